@@ -1,0 +1,28 @@
+"""Join helpers that broadcast only behind a size check."""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+# Largest side (rows) we broadcast on our own initiative. Beyond it the join is
+# left to the planner (sort-merge, or AQE's runtime broadcast if it turns out small).
+MAX_BROADCAST_ROWS = 1_000_000
+
+
+def small_enough(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> bool:
+    """True when ``df`` has at most ``max_rows`` rows; reads at most max_rows + 1."""
+    return df.limit(max_rows + 1).count() <= max_rows
+
+
+def join_small(left: DataFrame, right: DataFrame, on, how: str = "inner",
+               max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
+    """``left.join(right)``, broadcasting ``right`` only when its size is checked small."""
+    side = F.broadcast(right) if small_enough(right, max_rows) else right
+    return left.join(side, on, how)
+
+
+def semi_join_small(left: DataFrame, right: DataFrame, on: Column | str,
+                    max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
+    """``left`` rows with a match in ``right`` (left semi join), size-checked broadcast."""
+    return join_small(left, right, on, "left_semi", max_rows)

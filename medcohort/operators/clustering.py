@@ -1,0 +1,203 @@
+"""Scaling, PCA and the three clusterings.
+
+K-means, the Gaussian mixture, the scaler and PCA are ``pyspark.ml``
+estimators. The streaming k-means update (L7) has no ``pyspark.ml`` form, so it
+is written in DataFrames: nearest centre as a codegen'd array expression, one
+hash aggregate for per-cluster counts and sums, then the decayed weighted
+update on the k-row centre table. The centres are model parameters (k x dim
+numbers), the only thing brought to the driver.
+"""
+
+from __future__ import annotations
+
+from dataclasses import dataclass
+
+import numpy as np
+from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml.clustering import GaussianMixture, KMeans
+from pyspark.ml.feature import PCA, StandardScaler
+from pyspark.ml.functions import vector_to_array
+from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
+
+K = 3
+MAX_ITER = 20
+SEED = 6250
+PCA_COMPONENTS = 10
+STREAM_DECAY = 1.0
+STREAM_TIME_UNIT = "points"
+STREAM_START_WEIGHT = 0.5
+
+
+# ---------------------------------------------------------------------------
+# L1-L3: scale and project
+# ---------------------------------------------------------------------------
+
+def fit_projection(vectors: DataFrame, k: int = PCA_COMPONENTS,
+                   input_col: str = "features") -> PipelineModel:
+    """Standard scaler (mean and sample std) followed by PCA to ``k`` components."""
+    width = len(vectors.select(input_col).head()[0])
+    stages = [
+        StandardScaler(withMean=True, withStd=True, inputCol=input_col, outputCol="scaled"),
+        PCA(k=min(k, width), inputCol="scaled", outputCol="pca"),
+    ]
+    return Pipeline(stages=stages).fit(vectors)
+
+
+def project(model: PipelineModel, vectors: DataFrame) -> DataFrame:
+    """L3: scale and project any vector frame with a fitted model (keeps the id)."""
+    return model.transform(vectors).drop("scaled")
+
+
+def pca_scores(vectors: DataFrame, k: int = PCA_COMPONENTS) -> DataFrame:
+    """``(patient_id, pca array<double>)``."""
+    model = fit_projection(vectors, k)
+    return project(model, vectors).select("patient_id", vector_to_array("pca").alias("pca"))
+
+
+# ---------------------------------------------------------------------------
+# Batch clusterings
+# ---------------------------------------------------------------------------
+
+def kmeans_assign(points: DataFrame, features_col: str = "pca", k: int = K,
+                  max_iter: int = MAX_ITER, seed: int = SEED) -> DataFrame:
+    model = KMeans(k=k, maxIter=max_iter, seed=seed, featuresCol=features_col,
+                   predictionCol="cluster").fit(points)
+    return model.transform(points).select("patient_id", F.col("cluster").cast("int"))
+
+
+def gmm_assign(points: DataFrame, features_col: str = "pca", k: int = K,
+               max_iter: int = MAX_ITER, seed: int = SEED) -> DataFrame:
+    model = GaussianMixture(k=k, maxIter=max_iter, seed=seed, featuresCol=features_col,
+                            predictionCol="cluster").fit(points)
+    return model.transform(points).select("patient_id", F.col("cluster").cast("int"))
+
+
+# ---------------------------------------------------------------------------
+# Mini-batch (streaming) k-means
+# ---------------------------------------------------------------------------
+
+@dataclass
+class Centres:
+    """k centres (list of coordinate lists) and their weights."""
+
+    centers: list[list[float]]
+    weights: list[float]
+
+    @property
+    def k(self) -> int:
+        return len(self.centers)
+
+    @property
+    def dim(self) -> int:
+        return len(self.centers[0])
+
+    def to_frame(self, spark: SparkSession) -> DataFrame:
+        rows = [(i, float(w), [float(x) for x in c])
+                for i, (c, w) in enumerate(zip(self.centers, self.weights))]
+        return spark.createDataFrame(rows, "cluster int, weight double, center array<double>")
+
+    @staticmethod
+    def from_frame(df: DataFrame) -> "Centres":
+        rows = sorted(df.select("cluster", "weight", "center").collect())   # k rows
+        return Centres([list(r.center) for r in rows], [r.weight for r in rows])
+
+
+def random_centres(k: int, dim: int, weight: float = STREAM_START_WEIGHT, seed: int = SEED) -> Centres:
+    """Seeded standard-normal start centres, all with the same weight."""
+    rng = np.random.default_rng(seed)
+    return Centres(rng.standard_normal((k, dim)).tolist(), [float(weight)] * k)
+
+
+def squared_distance(x: Column, center: list[float]) -> Column:
+    c = F.array(*[F.lit(float(v)) for v in center])
+    return F.aggregate(F.zip_with(x, c, lambda a, b: (a - b) * (a - b)), F.lit(0.0),
+                       lambda acc, v: acc + v)
+
+
+def nearest_centre(x: Column, centres: Centres) -> Column:
+    """Index of the closest centre; ties go to the lowest index."""
+    cands = [F.struct(squared_distance(x, c).alias("d"), F.lit(i).alias("i"))
+             for i, c in enumerate(centres.centers)]
+    return F.array_min(F.array(*cands))["i"]
+
+
+def _as_array(df: DataFrame, col: str) -> Column:
+    dtype = df.schema[col].dataType.simpleString()
+    return F.col(col) if dtype.startswith("array") else vector_to_array(F.col(col))
+
+
+def minibatch_update(points: DataFrame, centres: Centres, features_col: str = "features",
+                     decay: float = STREAM_DECAY, time_unit: str = STREAM_TIME_UNIT,
+                     split_dying: bool = True) -> DataFrame:
+    """One streaming k-means update on a batch: ``(cluster, weight, center)``.
+
+    For a cluster with m new points of sum s, old centre c and weight n:
+    n' = n*a + m and c' = c + (m / n') * (s/m - c), where a = decay per batch
+    (``time_unit="batches"``) or decay ** (points in the batch) (``"points"``).
+    Clusters without points keep their centre, with the discounted weight.
+    If the lightest cluster falls below 1e-8 of the heaviest, the heaviest is
+    split in two around its centre (``split_dying``).
+    """
+    if time_unit not in ("batches", "points"):
+        raise ValueError("time_unit must be 'batches' or 'points'")
+    spark = points.sparkSession
+    dim = centres.dim
+    x = _as_array(points, features_col)
+    assigned = points.select(nearest_centre(x, centres).alias("cluster"), x.alias("x"))
+    stats = assigned.groupBy("cluster").agg(
+        F.count(F.lit(1)).alias("m"),
+        F.array(*[F.sum(F.col("x")[j]) for j in range(dim)]).alias("s"))
+
+    every = Window.partitionBy(F.lit(0))   # the k-row centre table only
+    old = centres.to_frame(spark)
+    j = F.broadcast(old).join(stats, "cluster", "left").select(
+        "cluster", "weight", "center",
+        F.coalesce(F.col("m"), F.lit(0)).cast("double").alias("m"), "s")
+    j = j.withColumn("batch_points", F.sum("m").over(every))
+    discount = (F.lit(float(decay)) if time_unit == "batches"
+                else F.pow(F.lit(float(decay)), F.col("batch_points")))
+    j = j.withColumn("new_w", F.col("weight") * discount + F.col("m"))
+    j = j.withColumn("lam", F.col("m") / F.greatest(F.col("new_w"), F.lit(1e-16)))
+    j = j.withColumn("step", F.col("lam") / F.col("m"))
+    moved = F.zip_with("center", "s",
+                       lambda c, s: c * (F.lit(1.0) - F.col("lam")) + s * F.col("step"))
+    upd = j.select("cluster", F.col("new_w").alias("weight"),
+                   F.when(F.col("m") > 0, moved).otherwise(F.col("center")).alias("center"))
+    if not split_dying:
+        return upd
+
+    w = upd.select("*",
+                   F.max("weight").over(every).alias("max_w"),
+                   F.min("weight").over(every).alias("min_w"))
+    w = w.select("*",
+                 F.min(F.when(F.col("weight") == F.col("max_w"), F.col("cluster"))).over(every).alias("largest"),
+                 F.min(F.when(F.col("weight") == F.col("min_w"), F.col("cluster"))).over(every).alias("smallest"))
+    w = w.withColumn("big_center", F.first(F.when(F.col("cluster") == F.col("largest"), F.col("center")),
+                                           ignorenulls=True).over(every))
+    dying = F.col("min_w") < F.lit(1e-8) * F.col("max_w")
+    shift = lambda sign: F.transform(
+        "big_center", lambda v: v + F.lit(sign) * F.lit(1e-14) * F.greatest(F.abs(v), F.lit(1.0)))
+    half = (F.col("max_w") + F.col("min_w")) / 2.0
+    is_big, is_small = F.col("cluster") == F.col("largest"), F.col("cluster") == F.col("smallest")
+    return w.select(
+        "cluster",
+        F.when(dying & (is_big | is_small), half).otherwise(F.col("weight")).alias("weight"),
+        F.when(dying & is_big, shift(1.0)).when(dying & is_small, shift(-1.0))
+        .otherwise(F.col("center")).alias("center"))
+
+
+def predict_nearest(points: DataFrame, centres: Centres, features_col: str = "pca") -> DataFrame:
+    """L8 for the mini-batch model: ``(patient_id, cluster)``."""
+    x = _as_array(points, features_col)
+    return points.select("patient_id", nearest_centre(x, centres).cast("int").alias("cluster"))
+
+
+def streaming_kmeans_assign(points: DataFrame, features_col: str = "pca", k: int = K,
+                            seed: int = SEED, decay: float = STREAM_DECAY,
+                            time_unit: str = STREAM_TIME_UNIT) -> DataFrame:
+    """Random start centres, one update with all points, then predict."""
+    dim = len(points.select(features_col).head()[0])
+    start = random_centres(k, dim, STREAM_START_WEIGHT, seed)
+    model = Centres.from_frame(minibatch_update(points, start, features_col, decay, time_unit))
+    return predict_nearest(points, model, features_col)
