@@ -110,7 +110,24 @@ def patient_flags(clinical: ClinicalFrames, day_precision: bool = False) -> Data
         F.when(is_glucose, F.col("value")).alias("glucose_value"),
         is_glucose.cast("long").alias("glucose_row"),
     )
-    events = dx.unionByName(med).unionByName(lab)
+    if clinical.lines is not None:
+        # diagnoses and labs share their joined rows: read them once
+        ln = clinical.lines
+        has_lab = F.col("test_name").isNotNull()
+        dx_lab = ln.select(
+            "patient_id",
+            is_t1_dx(F.col("code")).cast("int").alias("t1_dx"),
+            is_t2_dx(F.col("code")).cast("int").alias("t2_dx"),
+            is_related_dx(F.col("code")).cast("int").alias("related_dx"),
+            null_ts.alias("t1_med_date"), null_ts.alias("t2_med_date"),
+            (has_lab & is_glucose_tested(F.col("test_name"))).cast("int").alias("glucose_tested"),
+            (has_lab & is_abnormal_lab(F.col("test_name"), F.col("value"))).cast("int").alias("abnormal_lab"),
+            F.when(has_lab & is_glucose, F.col("value")).alias("glucose_value"),
+            (has_lab & is_glucose).cast("long").alias("glucose_row"),
+        )
+        events = dx_lab.unionByName(med)
+    else:
+        events = dx.unionByName(med).unionByName(lab)
     return events.groupBy("patient_id").agg(
         F.max("t1_dx").alias("t1_dx"),
         F.max("t2_dx").alias("t2_dx"),

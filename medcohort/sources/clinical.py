@@ -24,11 +24,18 @@ from pyspark.sql import functions as F
 
 @dataclass(frozen=True)
 class ClinicalFrames:
-    """The three event frames (medication, lab, diagnosis)."""
+    """The three event frames (medication, lab, diagnosis).
+
+    ``lines`` is optional: when diagnoses and labs come from the same joined
+    rows, it holds those rows once, as ``(patient_id, code, date, lab_date,
+    test_name, value)`` with the lab columns NULL on rows that are not labs.
+    Operators that read both domains use it so the join runs once.
+    """
 
     med: DataFrame
     lab: DataFrame
     dx: DataFrame
+    lines: DataFrame | None = None
 
 
 # ---------------------------------------------------------------------------
@@ -80,31 +87,30 @@ def encounter_lines(orders: DataFrame, lineitem: DataFrame) -> DataFrame:
 
 
 def clinical_view(orders: DataFrame, lineitem: DataFrame) -> ClinicalFrames:
-    """Derive dx / med / lab frames from ``orders`` and ``lineitem``."""
+    """Derive dx / med / lab frames (and the fused ``lines``) from ``orders`` and ``lineitem``."""
     lines = encounter_lines(orders, lineitem)
+    patient = F.col("o_custkey").cast("string").alias("patient_id")
+    code = _lookup(F.col("l_partkey") % 200, DX_CODE_BY_PARTKEY_MOD_200, DX_CODE_DEFAULT_PREFIX)
+    rem = F.col("l_suppkey") % 10
+    test_name = _lookup(rem, LAB_BY_SUPPKEY_MOD_10, LAB_DEFAULT_PREFIX)
+    value = (F.when(rem.isin(*LAB_A1C_REMAINDERS),
+                    F.lit(LAB_A1C_BASE) + F.col("l_quantity") * F.lit(LAB_A1C_SLOPE))
+             .otherwise(F.lit(LAB_OTHER_BASE) + F.col("l_quantity")))
+    is_lab = F.col("l_returnflag") != "N"
 
-    dx = lines.select(
-        F.col("o_custkey").cast("string").alias("patient_id"),
-        _lookup(F.col("l_partkey") % 200, DX_CODE_BY_PARTKEY_MOD_200, DX_CODE_DEFAULT_PREFIX).alias("code"),
-        F.col("o_orderdate").alias("date"),
-    )
-
+    dx = lines.select(patient, code.alias("code"), F.col("o_orderdate").alias("date"))
     med = orders.select(
-        F.col("o_custkey").cast("string").alias("patient_id"),
-        F.col("o_orderdate").alias("date"),
-        F.lower(_lookup(F.col("o_orderkey") % 20, MED_BY_ORDERKEY_MOD_20, MED_DEFAULT_PREFIX)).alias("medicine"),
-    )
-
-    rem = F.col("l_suppkey") % 10
-    lab = lines.filter(F.col("l_returnflag") != "N").select(
-        F.col("o_custkey").cast("string").alias("patient_id"),
-        F.col("l_shipdate").alias("date"),
-        _lookup(rem, LAB_BY_SUPPKEY_MOD_10, LAB_DEFAULT_PREFIX).alias("test_name"),
-        F.when(rem.isin(*LAB_A1C_REMAINDERS),
-               F.lit(LAB_A1C_BASE) + F.col("l_quantity") * F.lit(LAB_A1C_SLOPE))
-        .otherwise(F.lit(LAB_OTHER_BASE) + F.col("l_quantity")).alias("value"),
-    )
-    return ClinicalFrames(med=med, lab=lab, dx=dx)
+        patient, F.col("o_orderdate").alias("date"),
+        F.lower(_lookup(F.col("o_orderkey") % 20, MED_BY_ORDERKEY_MOD_20, MED_DEFAULT_PREFIX)).alias("medicine"))
+    # the filter on the return flag reaches the lineitem scan for lab-only plans
+    lab = lines.filter(is_lab).select(
+        patient, F.col("l_shipdate").alias("date"), test_name.alias("test_name"), value.alias("value"))
+    fused = lines.select(
+        patient, code.alias("code"), F.col("o_orderdate").alias("date"),
+        F.when(is_lab, F.col("l_shipdate")).alias("lab_date"),
+        F.when(is_lab, test_name).alias("test_name"),
+        F.when(is_lab, value).alias("value"))
+    return ClinicalFrames(med=med, lab=lab, dx=dx, lines=fused)
 
 
 def load_clinical_view(spark: SparkSession, sf_dir: str) -> ClinicalFrames:
