@@ -1,0 +1,110 @@
+"""Mini-batch k-means against a brute-force reference; ML clusterings by properties."""
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from medcohort.operators import clustering as C
+from medcohort.operators import features as FE
+from medcohort.sources.clinical import load_clinical_view
+
+
+def brute_update(points, centers, weights, decay, unit):
+    """The streaming k-means update rule, written out with numpy."""
+    centers = np.array(centers, dtype=float)
+    weights = np.array(weights, dtype=float)
+    d = ((points[:, None, :] - centers[None, :, :]) ** 2).sum(axis=2)
+    lab = d.argmin(axis=1)                      # first minimum: lowest index on ties
+    discount = decay if unit == "batches" else decay ** len(points)
+    weights = weights * discount
+    for k in range(len(centers)):
+        pts = points[lab == k]
+        m = len(pts)
+        if m == 0:
+            continue
+        nw = weights[k] + m
+        lam = m / max(nw, 1e-16)
+        centers[k] = centers[k] * (1 - lam) + pts.sum(axis=0) * (lam / m)
+        weights[k] = nw
+    big, small = int(weights.argmax()), int(weights.argmin())
+    if weights[small] < 1e-8 * weights[big]:
+        w = (weights[big] + weights[small]) / 2
+        x = centers[big].copy()
+        p = 1e-14 * np.maximum(np.abs(x), 1.0)
+        centers[big], centers[small] = x + p, x - p
+        weights[big] = weights[small] = w
+    return centers, weights
+
+
+@pytest.mark.parametrize("decay,unit", [(1.0, "points"), (0.999, "points"), (0.5, "batches")])
+def test_minibatch_matches_brute_force(spark, decay, unit):
+    rng = np.random.default_rng(7)
+    pts = rng.normal(size=(500, 3)) * [1, 2, 3] + [0, 1, 2]
+    df = spark.createDataFrame([(p.tolist(),) for p in pts], "features array<double>")
+    start = C.random_centres(3, 3, 0.5, 6250)
+    got = C.Centres.from_frame(C.minibatch_update(df, start, "features", decay, unit))
+    exp_c, exp_w = brute_update(pts, start.centers, start.weights, decay, unit)
+    np.testing.assert_allclose(np.array(got.centers), exp_c, rtol=1e-9, atol=1e-9)
+    np.testing.assert_allclose(np.array(got.weights), exp_w, rtol=1e-12)
+
+
+def test_dying_cluster_is_split(spark):
+    pts = np.array([[1.0, 1.0]] * 10 + [[5.0, 5.0]] * 2)
+    df = spark.createDataFrame([(p.tolist(),) for p in pts], "features array<double>")
+    start = C.Centres([[1.0, 1.0], [100.0, 100.0], [5.0, 5.0]], [0.5, 1e-12, 0.5])
+    got = C.Centres.from_frame(C.minibatch_update(df, start, "features", 1.0, "points"))
+    exp_c, exp_w = brute_update(pts, start.centers, start.weights, 1.0, "points")
+    np.testing.assert_allclose(np.array(got.weights), exp_w)
+    np.testing.assert_allclose(np.array(got.centers), exp_c)
+    assert got.weights[1] == got.weights[0]
+
+
+@pytest.fixture(scope="module")
+def points(spark):
+    c = load_clinical_view(spark, "/root/testdata/sf0.001")
+    _, vectors, _ = FE.build_vectors(FE.feature_tuples(c))
+    return C.project(C.fit_projection(vectors), vectors).select("patient_id", "pca").persist()
+
+
+@pytest.mark.parametrize("fn", [C.kmeans_assign, C.gmm_assign, C.streaming_kmeans_assign])
+def test_clusterings_cover_every_patient(points, fn):
+    a = fn(points)
+    rows = a.collect()
+    assert len(rows) == points.count() == 150
+    assert {r.cluster for r in rows} <= {0, 1, 2}
+    again = {r.patient_id: r.cluster for r in fn(points).collect()}
+    assert again == {r.patient_id: r.cluster for r in rows}
+
+
+def test_pca_width(points):
+    assert len(points.first().pca) == 10
+
+
+def test_streaming_kmeans_over_files(spark, tmp_path):
+    from medcohort.streaming.minibatch import latest_centres, start_streaming_kmeans
+    rng = np.random.default_rng(3)
+    batches = [rng.normal(size=(50, 2)) + off for off in (0.0, 3.0, -2.0)]
+    src = tmp_path / "src"
+    for i, b in enumerate(batches):
+        spark.createDataFrame([(p.tolist(),) for p in b], "features array<double>") \
+            .coalesce(1).write.parquet(str(src / f"part{i}"))
+    # one folder of files read as a stream, one file per micro-batch
+    files = [str(src / f"part{i}") for i in range(3)]
+    stream_dir = tmp_path / "stream"
+    for i, f in enumerate(files):
+        spark.read.parquet(f).coalesce(1).write.mode("append").parquet(str(stream_dir))
+    stream = (spark.readStream.schema("features array<double>").option("maxFilesPerTrigger", 1)
+              .parquet(str(stream_dir)))
+    start = C.Centres([[0.0, 0.0], [1.0, 1.0], [-1.0, -1.0]], [0.5, 0.5, 0.5])
+    q, base = start_streaming_kmeans(spark, stream, start, name=f"skm-{tmp_path.name}",
+                                     checkpoint_location=str(tmp_path / "ckpt"))
+    q.awaitTermination(120)
+    got = latest_centres(spark, base)
+    # replay in file order with the brute-force rule
+    ordered = sorted(stream_dir.glob("*.parquet"))
+    cs, ws = start.centers, start.weights
+    for f in ordered:
+        pts = np.array([r.features for r in spark.read.parquet(str(f)).collect()])
+        cs, ws = brute_update(pts, cs, ws, 1.0, "points")
+    np.testing.assert_allclose(np.array(got.centers), cs, rtol=1e-9)
+    np.testing.assert_allclose(np.array(got.weights), ws)
