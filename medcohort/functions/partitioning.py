@@ -1,0 +1,27 @@
+"""Partition sizing by data volume."""
+
+from __future__ import annotations
+
+import math
+
+from pyspark.sql import DataFrame
+
+TARGET_PARTITION_BYTES = 64 * 1024 * 1024
+
+
+def partitions_for(rows: int, row_bytes: int, target_bytes: int = TARGET_PARTITION_BYTES) -> int:
+    """Number of partitions that holds ``rows`` rows of ``row_bytes`` at ~``target_bytes`` each."""
+    return max(1, math.ceil(rows * row_bytes / target_bytes))
+
+
+def right_size(df: DataFrame, rows: int, row_bytes: int,
+               target_bytes: int = TARGET_PARTITION_BYTES) -> DataFrame:
+    """Coalesce ``df`` down to its volume-based partition count (never up).
+
+    Iterative learners run one job per iteration; on a small input each extra
+    partition is pure task overhead, while a large input keeps one partition
+    per ``target_bytes``. ``df`` should be persisted, so the narrow coalesce
+    reads cached blocks instead of recomputing with fewer tasks.
+    """
+    want = partitions_for(rows, row_bytes, target_bytes)
+    return df.coalesce(want) if want < df.rdd.getNumPartitions() else df

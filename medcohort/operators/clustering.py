@@ -34,9 +34,12 @@ STREAM_START_WEIGHT = 0.5
 # ---------------------------------------------------------------------------
 
 def fit_projection(vectors: DataFrame, k: int = PCA_COMPONENTS,
-                   input_col: str = "features") -> PipelineModel:
-    """Standard scaler (mean and sample std) followed by PCA to ``k`` components."""
-    width = len(vectors.select(input_col).head()[0])
+                   input_col: str = "features", width: int | None = None) -> PipelineModel:
+    """Standard scaler (mean and sample std) followed by PCA to ``k`` components.
+
+    ``width`` is the vector size when known (saves a job to look at one row).
+    """
+    width = width or len(vectors.select(input_col).head()[0])
     stages = [
         StandardScaler(withMean=True, withStd=True, inputCol=input_col, outputCol="scaled"),
         PCA(k=min(k, width), inputCol="scaled", outputCol="pca"),
@@ -195,9 +198,9 @@ def predict_nearest(points: DataFrame, centres: Centres, features_col: str = "pc
 
 def streaming_kmeans_assign(points: DataFrame, features_col: str = "pca", k: int = K,
                             seed: int = SEED, decay: float = STREAM_DECAY,
-                            time_unit: str = STREAM_TIME_UNIT) -> DataFrame:
+                            time_unit: str = STREAM_TIME_UNIT, dim: int | None = None) -> DataFrame:
     """Random start centres, one update with all points, then predict."""
-    dim = len(points.select(features_col).head()[0])
+    dim = dim or len(points.select(features_col).head()[0])
     start = random_centres(k, dim, STREAM_START_WEIGHT, seed)
     model = Centres.from_frame(minibatch_update(points, start, features_col, decay, time_unit))
     return predict_nearest(points, model, features_col)

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from medcohort.functions import valuesets as V
 from medcohort.functions.joins import semi_join_small
+from medcohort.functions.sqltext import in_list, quote
 from medcohort.session import ensure_checkpoint_dir
 from medcohort.sources.clinical import ClinicalFrames
 
@@ -69,34 +70,41 @@ def lab_features(lab: DataFrame, candidates: Candidates = None, ignore_case: boo
             .agg(F.avg("value").alias("value")))
 
 
-def _list_filter(kind: str, col: Column, candidates, ignore_case: bool) -> Column:
-    """Row predicate for a list filter on one domain (other domains pass)."""
+def _list_filter(kind: str, col: str, candidates, ignore_case: bool) -> str:
+    """SQL predicate for a list filter on one domain (other domains pass)."""
     if candidates is None:
-        return F.lit(True)
-    values = list(dict.fromkeys(v.lower() if ignore_case else v for v in candidates))
-    key = F.lower(col) if ignore_case else col
-    return (F.col("kind") != F.lit(kind)) | key.isin(*values)
+        return "true"
+    values = [v.lower() if ignore_case else v for v in candidates]
+    key = f"lower({col})" if ignore_case else col
+    return f"(kind <> {quote(kind)} OR {in_list(key, values)})"
 
 
-def feature_tuples(clinical: ClinicalFrames, candidate_dx: Candidates = None,
-                   candidate_lab: Candidates = None, candidate_med: Candidates = None,
-                   ignore_case: bool = False) -> DataFrame:
-    """H2-H4: diagnosis counts, lab means and medication counts (bag union).
+def restrict_tagged(tagged: DataFrame, candidate_dx: Candidates = None, candidate_lab: Candidates = None,
+                    candidate_med: Candidates = None, ignore_case: bool = False) -> DataFrame:
+    """Apply list filters (F12-F14) to tagged tuples.
+
+    The lists filter on the aggregation key, so filtering the aggregated tuples
+    equals aggregating the filtered events.
+    """
+    if all(c is None for c in (candidate_dx, candidate_lab, candidate_med)):
+        return tagged
+    keep = " AND ".join([_list_filter("dx", "feature", candidate_dx, ignore_case),
+                         _list_filter("lab", "feature", candidate_lab, ignore_case),
+                         _list_filter("med", "feature", candidate_med, ignore_case)])
+    return tagged.filter(F.expr(keep))
+
+
+def feature_tuples_tagged(clinical: ClinicalFrames, candidate_dx: Candidates = None,
+                          candidate_lab: Candidates = None, candidate_med: Candidates = None,
+                          ignore_case: bool = False) -> DataFrame:
+    """``(patient_id, kind, feature, value)``; kind is ``dx``, ``lab`` or ``med``.
 
     One row per event is tagged with its domain, all domains are unioned and
     aggregated once by (patient, domain, feature): a single shuffle with
     map-side partial aggregation. When the frames carry fused ``lines``,
-    diagnoses and labs are read from them in one pass. Features are keyed by
-    name only, as in the reference, so one name used in two domains for one
-    patient yields two tuples; :func:`assert_unique_features` detects that.
+    diagnoses and labs are read from them in one pass. List filters are
+    applied to the events, before the shuffle.
     """
-    lists = (candidate_dx, candidate_lab, candidate_med)
-    if any(isinstance(c, DataFrame) for c in lists):
-        return reduce(DataFrame.unionByName, [
-            dx_features(clinical.dx, candidate_dx, ignore_case),
-            lab_features(clinical.lab, candidate_lab, ignore_case),
-            med_features(clinical.med, candidate_med, ignore_case),
-        ])
     null_d = F.lit(None).cast("double")
     if clinical.lines is not None:
         dx_lab = clinical.lines.select("patient_id", F.inline(F.array(
@@ -111,17 +119,33 @@ def feature_tuples(clinical: ClinicalFrames, candidate_dx: Candidates = None,
                                 F.col("test_name").alias("feature"), "value"))
     events = dx_lab.unionByName(clinical.med.select(
         "patient_id", F.lit("med").alias("kind"), F.col("medicine").alias("feature"), null_d.alias("value")))
-    keep = (_list_filter("dx", F.col("feature"), candidate_dx, ignore_case)
-            & _list_filter("lab", F.col("feature"), candidate_lab, ignore_case)
-            & _list_filter("med", F.col("feature"), candidate_med, ignore_case))
-    if any(c is not None for c in lists):
-        events = events.filter(keep)
+    events = restrict_tagged(events, candidate_dx, candidate_lab, candidate_med, ignore_case)
     agg = events.groupBy("patient_id", "kind", "feature").agg(
         F.count(F.lit(1)).cast("double").alias("n"), F.avg("value").alias("mean"))
-    return agg.select("patient_id", "feature",
+    return agg.select("patient_id", "kind", "feature",
                       F.when(F.col("kind") == "lab", F.col("mean")).otherwise(F.col("n")).alias("value"))
 
 
+def feature_tuples(clinical: ClinicalFrames, candidate_dx: Candidates = None,
+                   candidate_lab: Candidates = None, candidate_med: Candidates = None,
+                   ignore_case: bool = False) -> DataFrame:
+    """H2-H4: diagnosis counts, lab means and medication counts (bag union).
+
+    Features are keyed by name only, as in the reference, so one name used in
+    two domains for one patient yields two tuples; :func:`assert_unique_features`
+    detects that. A candidate list given as a DataFrame is applied per domain
+    with a size-checked semi join.
+    """
+    lists = (candidate_dx, candidate_lab, candidate_med)
+    if any(isinstance(c, DataFrame) for c in lists):
+        return reduce(DataFrame.unionByName, [
+            dx_features(clinical.dx, candidate_dx, ignore_case),
+            lab_features(clinical.lab, candidate_lab, ignore_case),
+            med_features(clinical.med, candidate_med, ignore_case),
+        ])
+    return feature_tuples_tagged(clinical, *lists, ignore_case=ignore_case).drop("kind")
+
+
 def shipped_candidate_lists() -> dict[str, list[str]]:
     """V8: the shipped lists, lower-cased and de-duplicated like the loader."""
     return {"candidate_dx": V.candidate_diagnoses(),
@@ -151,20 +175,39 @@ def assert_unique_features(tuples: DataFrame) -> None:
 # H0: feature dictionary, 0-based ids in binary name order, built distributed
 # ---------------------------------------------------------------------------
 
-def feature_dictionary(tuples: DataFrame, num_partitions: int | None = None) -> DataFrame:
-    """``(feature string, idx int)``: dense 0-based ids in name order.
+# Vocabularies up to this many names are numbered in one window task; larger
+# ones take the distributed path. The check is a bounded count (limit + 1).
+SMALL_VOCABULARY = 1_000_000
+
+
+def feature_dictionary(tuples: DataFrame, num_partitions: int | None = None,
+                       small_vocabulary: int = SMALL_VOCABULARY) -> DataFrame:
+    """``(feature string, idx int)``: dense 0-based ids in binary name order.
 
-    A distributed ``zipWithIndex`` in DataFrame form: names are range
-    partitioned (balanced by sampling, so no task holds a hot share), the
-    partition id is frozen by a checkpoint to the shared checkpoint folder,
-    each partition ranks its own names, and a prefix sum over the per-partition
-    counts (one row per partition) gives each partition its offset.
+    The distinct names are counted first (reading at most ``small_vocabulary``
+    + 1 of them). A vocabulary within that bound is numbered by one
+    ``row_number`` window: a single task over a proven-bounded number of rows.
+    A larger one takes :func:`feature_dictionary_distributed`.
     """
-    spark = tuples.sparkSession
-    ensure_checkpoint_dir(spark)
     names = tuples.select("feature").distinct()
+    if names.limit(small_vocabulary + 1).count() <= small_vocabulary:
+        return names.select("feature", (F.row_number().over(Window.orderBy("feature")) - 1)
+                            .cast("int").alias("idx"))
+    return feature_dictionary_distributed(names, num_partitions)
+
+
+def feature_dictionary_distributed(names: DataFrame, num_partitions: int | None = None) -> DataFrame:
+    """Distributed ``zipWithIndex`` in DataFrame form for an unbounded vocabulary.
+
+    Names are range partitioned (balanced by sampling, so no task holds a hot
+    share), the partition id is frozen by a checkpoint to the shared checkpoint
+    folder, each partition ranks its own names, and a prefix sum over the
+    per-partition counts (one row per partition) gives each partition its offset.
+    """
+    spark = names.sparkSession
+    ensure_checkpoint_dir(spark)
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranged = (names.repartitionByRange(n, "feature")
+    ranged = (names.select("feature").distinct().repartitionByRange(n, "feature")
               .select("feature", F.spark_partition_id().alias("part"))
               .checkpoint(eager=True))
     counts = ranged.groupBy("part").agg(F.count(F.lit(1)).alias("n"))

@@ -51,3 +51,20 @@ def pair_counts_from_rows(spark, rows: list[tuple[int, int, int]],
     return (base.filter(F.col("c") > 0)
             .select(names[0], names[1], F.explode(F.sequence(F.lit(1), F.col("c"))).alias("_i"))
             .drop("_i"))
+
+
+def purity_by(assignments: DataFrame, keys: list[str], cluster: str = "cluster",
+              label: str = "label") -> DataFrame:
+    """``(keys..., n, purity, inverse_purity)`` for many clusterings in one job.
+
+    ``assignments`` stacks several clusterings, told apart by ``keys`` (for
+    example feature set and algorithm). One aggregate gives the pair counts
+    of all of them; the maxima and totals are small aggregates over those.
+    """
+    counts = assignments.groupBy(*keys, label, cluster).agg(F.count(F.lit(1)).alias("n"))
+    by_cluster = counts.groupBy(*keys, cluster).agg(F.max("n").alias("best"), F.sum("n").alias("tot"))
+    by_label = counts.groupBy(*keys, label).agg(F.max("n").alias("best"))
+    p = by_cluster.groupBy(*keys).agg(F.sum("best").alias("best_c"), F.sum("tot").alias("n"))
+    q = by_label.groupBy(*keys).agg(F.sum("best").alias("best_l"))
+    return p.join(q, keys).select(*keys, "n", (F.col("best_c") / F.col("n")).alias("purity"),
+                                  (F.col("best_l") / F.col("n")).alias("inverse_purity"))

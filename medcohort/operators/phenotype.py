@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from medcohort.functions import valuesets as V
+from medcohort.functions.sqltext import in_list, quote
 from medcohort.sources.clinical import ClinicalFrames
 
 CASE, CONTROL, OTHER = 1, 2, 3
@@ -28,37 +29,42 @@ CASE, CONTROL, OTHER = 1, 2, 3
 # Row-level predicates (pure column expressions, all codegen'd)
 # ---------------------------------------------------------------------------
 
-def is_t1_dx(code: Column) -> Column:
-    return code.isin(*V.T1DM_DX)
+def _name(c: Column | str) -> str:
+    if isinstance(c, str):
+        return c
+    raise TypeError("pass the column name; predicates are rendered as SQL text")
 
 
-def is_t2_dx(code: Column) -> Column:
-    return code.isin(*V.T2DM_DX)
+def is_t1_dx(code: str = "code") -> Column:
+    return F.expr(in_list(_name(code), V.T1DM_DX))
 
 
-def is_related_dx(code: Column) -> Column:
-    return code.isin(*V.DM_RELATED_DX) | code.startswith(V.DM_RELATED_PREFIX)
+def is_t2_dx(code: str = "code") -> Column:
+    return F.expr(in_list(_name(code), V.T2DM_DX))
 
 
-def is_t1_med(medicine: Column) -> Column:
-    return F.lower(medicine).isin(*V.distinct(V.T1DM_MED))
+def is_related_dx(code: str = "code") -> Column:
+    c = _name(code)
+    return F.expr(f"({in_list(c, V.DM_RELATED_DX)}) OR startswith({c}, {quote(V.DM_RELATED_PREFIX)})")
 
 
-def is_t2_med(medicine: Column) -> Column:
-    return F.lower(medicine).isin(*V.distinct(V.T2DM_MED))
+def is_t1_med(medicine: str = "medicine") -> Column:
+    return F.expr(in_list(f"lower({_name(medicine)})", V.T1DM_MED))
 
 
-def is_glucose_tested(test_name: Column) -> Column:
-    return F.lower(test_name).contains(V.GLUCOSE_TESTED_SUBSTRING)
+def is_t2_med(medicine: str = "medicine") -> Column:
+    return F.expr(in_list(f"lower({_name(medicine)})", V.T2DM_MED))
 
 
-def is_abnormal_lab(test_name: Column, value: Column) -> Column:
-    name = F.lower(test_name)
-    rules = []
-    for test, op, threshold in V.ABNORMAL_LAB_RULES:
-        cmp = value >= F.lit(threshold) if op == ">=" else value > F.lit(threshold)
-        rules.append((name == F.lit(test)) & cmp)
-    return reduce(lambda a, b: a | b, rules)
+def is_glucose_tested(test_name: str = "test_name") -> Column:
+    return F.expr(f"contains(lower({_name(test_name)}), {quote(V.GLUCOSE_TESTED_SUBSTRING)})")
+
+
+def is_abnormal_lab(test_name: str = "test_name", value: str = "value") -> Column:
+    name, val = f"lower({_name(test_name)})", _name(value)
+    rules = [f"({name} = {quote(t)} AND {val} {op} CAST({th} AS DOUBLE))"
+             for t, op, th in V.ABNORMAL_LAB_RULES]
+    return F.expr("(" + " OR ".join(rules) + ")")
 
 
 def _event_time(date: Column, day_precision: bool) -> Column:
@@ -84,9 +90,9 @@ def patient_flags(clinical: ClinicalFrames, day_precision: bool = False) -> Data
 
     dx = clinical.dx.select(
         "patient_id",
-        is_t1_dx(F.col("code")).cast("int").alias("t1_dx"),
-        is_t2_dx(F.col("code")).cast("int").alias("t2_dx"),
-        is_related_dx(F.col("code")).cast("int").alias("related_dx"),
+        is_t1_dx("code").cast("int").alias("t1_dx"),
+        is_t2_dx("code").cast("int").alias("t2_dx"),
+        is_related_dx("code").cast("int").alias("related_dx"),
         null_ts.alias("t1_med_date"), null_ts.alias("t2_med_date"),
         zero.alias("glucose_tested"), zero.alias("abnormal_lab"),
         null_d.alias("glucose_value"), zero_l.alias("glucose_row"),
@@ -95,8 +101,8 @@ def patient_flags(clinical: ClinicalFrames, day_precision: bool = False) -> Data
     med = clinical.med.select(
         "patient_id",
         zero.alias("t1_dx"), zero.alias("t2_dx"), zero.alias("related_dx"),
-        F.when(is_t1_med(F.col("medicine")), t).alias("t1_med_date"),
-        F.when(is_t2_med(F.col("medicine")), t).alias("t2_med_date"),
+        F.when(is_t1_med("medicine"), t).alias("t1_med_date"),
+        F.when(is_t2_med("medicine"), t).alias("t2_med_date"),
         zero.alias("glucose_tested"), zero.alias("abnormal_lab"),
         null_d.alias("glucose_value"), zero_l.alias("glucose_row"),
     )
@@ -105,8 +111,8 @@ def patient_flags(clinical: ClinicalFrames, day_precision: bool = False) -> Data
         "patient_id",
         zero.alias("t1_dx"), zero.alias("t2_dx"), zero.alias("related_dx"),
         null_ts.alias("t1_med_date"), null_ts.alias("t2_med_date"),
-        is_glucose_tested(F.col("test_name")).cast("int").alias("glucose_tested"),
-        is_abnormal_lab(F.col("test_name"), F.col("value")).cast("int").alias("abnormal_lab"),
+        is_glucose_tested("test_name").cast("int").alias("glucose_tested"),
+        is_abnormal_lab("test_name", "value").cast("int").alias("abnormal_lab"),
         F.when(is_glucose, F.col("value")).alias("glucose_value"),
         is_glucose.cast("long").alias("glucose_row"),
     )
@@ -116,12 +122,12 @@ def patient_flags(clinical: ClinicalFrames, day_precision: bool = False) -> Data
         has_lab = F.col("test_name").isNotNull()
         dx_lab = ln.select(
             "patient_id",
-            is_t1_dx(F.col("code")).cast("int").alias("t1_dx"),
-            is_t2_dx(F.col("code")).cast("int").alias("t2_dx"),
-            is_related_dx(F.col("code")).cast("int").alias("related_dx"),
+            is_t1_dx("code").cast("int").alias("t1_dx"),
+            is_t2_dx("code").cast("int").alias("t2_dx"),
+            is_related_dx("code").cast("int").alias("related_dx"),
             null_ts.alias("t1_med_date"), null_ts.alias("t2_med_date"),
-            (has_lab & is_glucose_tested(F.col("test_name"))).cast("int").alias("glucose_tested"),
-            (has_lab & is_abnormal_lab(F.col("test_name"), F.col("value"))).cast("int").alias("abnormal_lab"),
+            (has_lab & is_glucose_tested("test_name")).cast("int").alias("glucose_tested"),
+            (has_lab & is_abnormal_lab("test_name", "value")).cast("int").alias("abnormal_lab"),
             F.when(has_lab & is_glucose, F.col("value")).alias("glucose_value"),
             (has_lab & is_glucose).cast("long").alias("glucose_row"),
         )
@@ -250,29 +256,29 @@ def phenotype_labels_setwise(clinical: ClinicalFrames) -> DataFrame:
     patients = all_patients(clinical)
     ids = lambda df: df.select("patient_id").distinct()
 
-    t1_dx = ids(dx.filter(is_t1_dx(F.col("code"))))
-    t2_dx = ids(dx.filter(is_t2_dx(F.col("code"))))
-    t1_med = ids(med.filter(is_t1_med(F.col("medicine"))))
-    t2_med = ids(med.filter(is_t2_med(F.col("medicine"))))
+    t1_dx = ids(dx.filter(is_t1_dx("code")))
+    t2_dx = ids(dx.filter(is_t2_dx("code")))
+    t1_med = ids(med.filter(is_t1_med("medicine")))
+    t2_med = ids(med.filter(is_t2_med("medicine")))
 
     base = t2_dx.join(t1_dx, "patient_id", "left_anti")                      # R1 (J8)
     path1 = base.join(t1_med, "patient_id", "left_anti")                     # R2
     path2 = (base.intersect(t1_med)).join(t2_med, "patient_id", "left_anti")  # R3 (U3)
     both = base.intersect(t1_med).intersect(t2_med)
     both_med = med.join(both, "patient_id", "left_semi")                     # J2
-    t1_first = (both_med.filter(is_t1_med(F.col("medicine"))).groupBy("patient_id")
+    t1_first = (both_med.filter(is_t1_med("medicine")).groupBy("patient_id")
                 .agg(F.min("date").alias("t1_first")))
-    t2_first = (both_med.filter(is_t2_med(F.col("medicine"))).groupBy("patient_id")
+    t2_first = (both_med.filter(is_t2_med("medicine")).groupBy("patient_id")
                 .agg(F.min("date").alias("t2_first")))
     path3 = (t1_first.join(t2_first, "patient_id", "inner")                  # J3
              .filter(F.col("t1_first") > F.col("t2_first")).select("patient_id"))
     cases = path1.unionByName(path2).unionByName(path3).distinct()           # U2
 
-    glucose = ids(lab.filter(is_glucose_tested(F.col("test_name"))))
+    glucose = ids(lab.filter(is_glucose_tested("test_name")))
     glucose_labs = lab.join(glucose, "patient_id", "left_semi")              # J6 / F9
-    abnormal = ids(glucose_labs.filter(is_abnormal_lab(F.col("test_name"), F.col("value"))))
+    abnormal = ids(glucose_labs.filter(is_abnormal_lab("test_name", "value")))
     normal = glucose.join(abnormal, "patient_id", "left_anti")
-    related = ids(dx.filter(is_related_dx(F.col("code"))))
+    related = ids(dx.filter(is_related_dx("code")))
     not_related = patients.join(related, "patient_id", "left_anti")
     controls = normal.intersect(not_related)
 

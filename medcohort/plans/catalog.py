@@ -11,6 +11,7 @@ from __future__ import annotations
 
 from typing import Callable
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -400,24 +401,27 @@ def q_minibatch_centres(spark, sf_dir):
 # ML path (L1-L6, L8-L10): rows-only checks
 # ---------------------------------------------------------------------------
 
-def _vectors(spark, sf_dir):
-    _, vectors, _ = FE.build_vectors(_tuples(spark, sf_dir, False))
-    return vectors
+def _points(spark, sf_dir):
+    _, vectors, width = FE.build_vectors(_tuples(spark, sf_dir, False))
+    return S.project_points(vectors, width)
 
 
 @register("pca_scores")
 def q_pca_scores(spark, sf_dir):
-    return C.pca_scores(_vectors(spark, sf_dir))
+    points, _ = _points(spark, sf_dir)
+    return points.select("patient_id", vector_to_array("pca").alias("pca"))
 
 
 def _clusters_query(algorithm: str):
     def q(spark, sf_dir):
-        c = clin(spark, sf_dir)
-        vectors = _vectors(spark, sf_dir)
-        points = C.project(C.fit_projection(vectors), vectors).select("patient_id", "pca")
-        fn = {"kmeans": C.kmeans_assign, "gmm": C.gmm_assign,
-              "streaming_kmeans": C.streaming_kmeans_assign}[algorithm]
-        return S.with_labels(fn(points), P.phenotype_labels(c))
+        points, dim = _points(spark, sf_dir)
+        if algorithm == "kmeans":
+            assigned = C.kmeans_assign(points)
+        elif algorithm == "gmm":
+            assigned = C.gmm_assign(points)
+        else:
+            assigned = C.streaming_kmeans_assign(points, dim=dim)
+        return S.with_labels(assigned, P.phenotype_labels(clin(spark, sf_dir)))
     return q
 
 

@@ -11,6 +11,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from medcohort.functions.partitioning import right_size
 from medcohort.operators import clustering as C
 from medcohort.operators import features as FE
 from medcohort.operators import metrics as M
@@ -20,13 +21,29 @@ from medcohort.sources.clinical import ClinicalFrames
 ALGORITHMS = ("kMeans", "GMM", "StreamingKmeans")
 
 
-def cluster_all(vectors: DataFrame) -> dict[str, DataFrame]:
+def project_points(vectors: DataFrame, width: int | None = None) -> tuple[DataFrame, int]:
+    """Scale + PCA the vectors; ``(points (patient_id, pca), pca width)``.
+
+    The vectors and the projected points are persisted and coalesced to a
+    volume-based partition count before the iterative learners run.
+    """
+    vectors = vectors.persist()
+    rows = vectors.count()
+    width = width or len(vectors.select("features").head()[0])
+    vectors = right_size(vectors, rows, 8 * width + 64)
+    model = C.fit_projection(vectors, width=width)
+    dim = min(C.PCA_COMPONENTS, width)
+    points = C.project(model, vectors).select("patient_id", "pca").persist()   # K2
+    return right_size(points, rows, 8 * dim + 64), dim
+
+
+def cluster_all(vectors: DataFrame, width: int | None = None) -> dict[str, DataFrame]:
     """Scale, project and cluster three ways; ``{algorithm: (patient_id, cluster)}``."""
-    points = C.project(C.fit_projection(vectors), vectors).select("patient_id", "pca").persist()  # K2
+    points, dim = project_points(vectors, width)
     return {
         "kMeans": C.kmeans_assign(points),
         "GMM": C.gmm_assign(points),
-        "StreamingKmeans": C.streaming_kmeans_assign(points),
+        "StreamingKmeans": C.streaming_kmeans_assign(points, dim=dim),
     }
 
 
@@ -35,26 +52,37 @@ def with_labels(assignments: DataFrame, labels: DataFrame) -> DataFrame:
     return assignments.join(labels, "patient_id", "inner")
 
 
-def evaluate_clusterings(labels: DataFrame, vectors: DataFrame) -> DataFrame:
+def _stack(assignments: dict[str, DataFrame]) -> DataFrame:
+    return reduce(DataFrame.unionByName,
+                  [a.select(F.lit(name).alias("algorithm"), "patient_id", "cluster")
+                   for name, a in assignments.items()])
+
+
+def evaluate_clusterings(labels: DataFrame, vectors: DataFrame, width: int | None = None) -> DataFrame:
     """``(algorithm, n, purity, inverse_purity)``; the reference printed the latter."""
-    parts = []
-    for name, assigned in cluster_all(vectors).items():
-        scored = M.purity_pair(with_labels(assigned, labels))
-        parts.append(scored.select(F.lit(name).alias("algorithm"), "*"))
-    return reduce(DataFrame.unionByName, parts)
+    stacked = with_labels(_stack(cluster_all(vectors, width)), labels)
+    return M.purity_by(stacked, ["algorithm"])
 
 
 def run_cohort_study(clinical: ClinicalFrames) -> DataFrame:
-    """``(feature_set, algorithm, n, purity, inverse_purity, report)``."""
+    """``(feature_set, algorithm, n, purity, inverse_purity, report)``.
+
+    The tagged feature tuples are aggregated once and persisted; the filtered
+    set is a filter on them (the lists filter on the aggregation key). All six
+    clusterings are scored against the labels in one job.
+    """
     labels = P.phenotype_labels(clinical).persist()
-    out = []
-    for feature_set, tuples in (("All", FE.feature_tuples(clinical)),
-                                ("Filtered", FE.filtered_feature_tuples(clinical))):
-        _, vectors, _ = FE.build_vectors(tuples)
-        res = evaluate_clusterings(labels, vectors.persist())
-        out.append(res.select(F.lit(feature_set).alias("feature_set"), "*"))
-    report = reduce(DataFrame.unionByName, out)
-    return report.withColumn(
+    tagged = FE.feature_tuples_tagged(clinical).persist()                    # K1
+    sets = (("All", tagged.drop("kind")),
+            ("Filtered", FE.restrict_tagged(tagged, **FE.shipped_candidate_lists()).drop("kind")))
+    stacked = []
+    for feature_set, tuples in sets:
+        _, vectors, width = FE.build_vectors(tuples)
+        assigned = _stack(cluster_all(vectors, width))
+        stacked.append(assigned.select(F.lit(feature_set).alias("feature_set"), "*"))
+    scored = M.purity_by(with_labels(reduce(DataFrame.unionByName, stacked), labels),
+                         ["feature_set", "algorithm"])
+    return scored.withColumn(
         "report",
         F.format_string("[%s feature] getPurity of %s is: %.5f",
                         F.col("feature_set"), F.col("algorithm"), F.col("inverse_purity")))

@@ -21,6 +21,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from medcohort.functions.sqltext import case_lookup
+
 
 @dataclass(frozen=True)
 class ClinicalFrames:
@@ -61,16 +63,25 @@ LAB_OTHER_BASE = 62.0                # value = 62 + quantity
 # ---------------------------------------------------------------------------
 
 
-def _lookup(key: Column, table: dict[int, str], prefix: str) -> Column:
+def _lookup(key_sql: str, table: dict[int, str], prefix: str) -> Column:
     """CASE key WHEN k THEN v ... ELSE prefix || key (a codegen'd CASE, no join)."""
-    expr = None
-    for k, v in table.items():
-        expr = F.when(key == k, F.lit(v)) if expr is None else expr.when(key == k, F.lit(v))
-    return expr.otherwise(F.concat(F.lit(prefix), key.cast("string")))
+    return F.expr(case_lookup(key_sql, table, prefix))
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """Read one parquet table, keeping at least the session's parallelism.
+
+    A table stored as a few unsplittable row groups scans in a few tasks, which
+    then also run every narrow step above the scan (joins with a broadcast
+    side, projections, partial aggregation). Such a scan is spread round-robin
+    over ``defaultParallelism`` partitions. A large table has more splits than
+    that and is returned untouched, so at scale this adds nothing.
+    """
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    want = spark.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < want:
+        df = df.repartition(want)
+    return df
 
 
 def encounter_lines(orders: DataFrame, lineitem: DataFrame) -> DataFrame:
@@ -90,9 +101,9 @@ def clinical_view(orders: DataFrame, lineitem: DataFrame) -> ClinicalFrames:
     """Derive dx / med / lab frames (and the fused ``lines``) from ``orders`` and ``lineitem``."""
     lines = encounter_lines(orders, lineitem)
     patient = F.col("o_custkey").cast("string").alias("patient_id")
-    code = _lookup(F.col("l_partkey") % 200, DX_CODE_BY_PARTKEY_MOD_200, DX_CODE_DEFAULT_PREFIX)
+    code = _lookup("(l_partkey % 200)", DX_CODE_BY_PARTKEY_MOD_200, DX_CODE_DEFAULT_PREFIX)
     rem = F.col("l_suppkey") % 10
-    test_name = _lookup(rem, LAB_BY_SUPPKEY_MOD_10, LAB_DEFAULT_PREFIX)
+    test_name = _lookup("(l_suppkey % 10)", LAB_BY_SUPPKEY_MOD_10, LAB_DEFAULT_PREFIX)
     value = (F.when(rem.isin(*LAB_A1C_REMAINDERS),
                     F.lit(LAB_A1C_BASE) + F.col("l_quantity") * F.lit(LAB_A1C_SLOPE))
              .otherwise(F.lit(LAB_OTHER_BASE) + F.col("l_quantity")))
@@ -101,7 +112,7 @@ def clinical_view(orders: DataFrame, lineitem: DataFrame) -> ClinicalFrames:
     dx = lines.select(patient, code.alias("code"), F.col("o_orderdate").alias("date"))
     med = orders.select(
         patient, F.col("o_orderdate").alias("date"),
-        F.lower(_lookup(F.col("o_orderkey") % 20, MED_BY_ORDERKEY_MOD_20, MED_DEFAULT_PREFIX)).alias("medicine"))
+        F.lower(_lookup("(o_orderkey % 20)", MED_BY_ORDERKEY_MOD_20, MED_DEFAULT_PREFIX)).alias("medicine"))
     # the filter on the return flag reaches the lineitem scan for lab-only plans
     lab = lines.filter(is_lab).select(
         patient, F.col("l_shipdate").alias("date"), test_name.alias("test_name"), value.alias("value"))
