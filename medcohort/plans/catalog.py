@@ -261,11 +261,16 @@ def q_patient_vectors_long(spark, sf_dir):
             .select("patient_id", "idx", _r("value")))
 
 
-@register("patient_vectors")
+@register("patient_vectors", f"""{FEATURES_SQL}{DICT_SQL}
+SELECT t.patient_id, list(d.idx ORDER BY d.idx) AS indices,
+       list_transform(list(t.value ORDER BY d.idx), lambda x: round(x, {ROUND})) AS "values"
+FROM tuples t JOIN dict d ON t.feature = d.feature GROUP BY t.patient_id""")
 def q_patient_vectors(spark, sf_dir):
     tuples = _tuples(spark, sf_dir, False)
     dictionary = FE.feature_dictionary(tuples)
-    return FE.sparse_entries(FE.patient_vectors_long(tuples, dictionary))
+    e = FE.sparse_entries(FE.patient_vectors_long(tuples, dictionary))
+    return e.select("patient_id", "indices",
+                    F.transform("values", lambda x: F.round(x, ROUND)).alias("values"))
 
 
 _MOMENTS_SQL = f"""{FEATURES_SQL},
@@ -397,6 +402,31 @@ def q_minibatch_centres(spark, sf_dir):
                       F.round(F.col("center")[1], ROUND).alias("cy"))
 
 
+@register("minibatch_stream_centres", _minibatch_sql())
+def q_minibatch_stream_centres(spark, sf_dir):
+    """The same update run as a Structured Streaming query over the events files.
+
+    The file source reads the table as a stream (one micro-batch per file), the
+    ``foreachBatch`` sink writes the centre table per batch id, and the result
+    is the newest written state.
+    """
+    import uuid
+
+    from medcohort.streaming.minibatch import start_streaming_kmeans, state_frame
+
+    schema = read_table(spark, sf_dir, "events").schema
+    stream = spark.readStream.schema(schema).parquet(f"{sf_dir.rstrip('/')}/[e]vents.parquet")
+    pts = stream.select(F.array(F.col("value"), F.col("user_id").cast("double")).alias("features"))
+    start = C.Centres(MINIBATCH_START, [C.STREAM_START_WEIGHT] * len(MINIBATCH_START))
+    query, base = start_streaming_kmeans(spark, pts, start, name=f"minibatch-{uuid.uuid4().hex}")
+    query.awaitTermination()
+    if query.exception() is not None:
+        raise RuntimeError(str(query.exception()))
+    return state_frame(spark, base).select(
+        "cluster", _r("weight"),
+        F.round(F.col("center")[0], ROUND).alias("cx"), F.round(F.col("center")[1], ROUND).alias("cy"))
+
+
 # ---------------------------------------------------------------------------
 # ML path (L1-L6, L8-L10): rows-only checks
 # ---------------------------------------------------------------------------

@@ -23,6 +23,13 @@ def _state_path(base: str, batch_id: int) -> str:
     return f"{base}/batch_id={batch_id}"
 
 
+def state_frame(spark: SparkSession, base: str) -> DataFrame:
+    """The newest centre table written under ``base``: ``(cluster, weight, center)``."""
+    state = spark.read.parquet(base)
+    last = state.agg(F.max("batch_id")).first()[0]
+    return state.filter(F.col("batch_id") == last).drop("batch_id")
+
+
 def latest_centres(spark: SparkSession, base: str, before: int | None = None) -> Centres | None:
     """Centres written by the newest batch (older than ``before``), or None."""
     try:

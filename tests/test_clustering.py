@@ -100,8 +100,8 @@ def test_streaming_kmeans_over_files(spark, tmp_path):
                                      checkpoint_location=str(tmp_path / "ckpt"))
     q.awaitTermination(120)
     got = latest_centres(spark, base)
-    # replay in file order with the brute-force rule
-    ordered = sorted(stream_dir.glob("*.parquet"))
+    # replay with the brute-force rule in the file source's order (oldest file first)
+    ordered = sorted(stream_dir.glob("*.parquet"), key=lambda f: (f.stat().st_mtime, f.name))
     cs, ws = start.centers, start.weights
     for f in ordered:
         pts = np.array([r.features for r in spark.read.parquet(str(f)).collect()])

@@ -13,6 +13,7 @@ def _plan(df):
 
 @pytest.fixture
 def no_broadcast(spark):
+    spark.catalog.clearCache()       # a persisted equal plan would be substituted
     old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")   # the at-scale shape
     spark.conf.set("spark.sql.adaptive.enabled", "false")
@@ -32,6 +33,7 @@ def test_single_join_single_aggregate_shuffle(spark, no_broadcast, name):
 
 
 def test_filters_and_columns_reach_the_scan(spark):
+    spark.catalog.clearCache()
     plan = _plan(E.queries()["lab_events"](spark, SF0001))
     assert "PushedFilters: [IsNotNull(l_returnflag), Not(EqualTo(l_returnflag,N))" in plan
     assert "l_extendedprice" not in plan        # pruned: the view never reads it
