@@ -31,3 +31,14 @@ def test_single_cluster(spark):
     pairs = M.pair_counts_from_rows(spark, [(0, 1, 3), (0, 2, 1)], ("cluster", "label"))
     assert M.purity(pairs).first().purity == pytest.approx(0.75)
     assert M.purity(pairs, "label", "cluster").first().purity == pytest.approx(1.0)
+
+
+def test_unfeatured_patients_leave_purity_n(spark):
+    """A labelled patient with no features has no cluster and drops out of N."""
+    from medcohort.plans.study import with_labels
+    assigned = spark.createDataFrame([("a", 0), ("b", 0), ("c", 1)], "patient_id string, cluster int")
+    labels = spark.createDataFrame([("a", 1), ("b", 2), ("c", 2), ("d", 3)], "patient_id string, label int")
+    row = M.purity_pair(with_labels(assigned, labels)).first()
+    assert row.n == 3
+    # by cluster: {0: a->1, b->2}, {1: c->2} -> (1 + 1) / 3; by label: {1: a}, {2: b, c} -> (1 + 1) / 3
+    assert abs(row.purity - 2 / 3) < 1e-12 and abs(row.inverse_purity - 2 / 3) < 1e-12
