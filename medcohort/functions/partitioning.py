@@ -24,4 +24,13 @@ def right_size(df: DataFrame, rows: int, row_bytes: int,
     reads cached blocks instead of recomputing with fewer tasks.
     """
     want = partitions_for(rows, row_bytes, target_bytes)
-    return df.coalesce(want) if want < df.rdd.getNumPartitions() else df
+    have = num_partitions(df)
+    return df.coalesce(want) if have is not None and want < have else df
+
+
+def num_partitions(df: DataFrame) -> int | None:
+    """Partition count of a DataFrame's plan, or None where RDDs are unavailable."""
+    try:
+        return df.rdd.getNumPartitions()
+    except Exception:  # e.g. a Spark Connect session
+        return None

@@ -21,6 +21,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from medcohort.functions.partitioning import num_partitions
 from medcohort.functions.sqltext import case_lookup
 
 
@@ -78,8 +79,12 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     that and is returned untouched, so at scale this adds nothing.
     """
     df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    want = spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < want:
+    try:
+        want = spark.sparkContext.defaultParallelism
+    except Exception:  # no SparkContext on this client
+        return df
+    have = num_partitions(df)
+    if have is not None and have < want:
         df = df.repartition(want)
     return df
 

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from medcohort.functions.parsing import parse_instant, parse_us_number
@@ -22,7 +22,7 @@ LAB_FILE, LAB_VIEW = "lab_results_INPUT.csv", "lab"
 MED_FILE, MED_VIEW = "medication_orders_INPUT.csv", "med"
 MED_FILTER_FILE, LAB_FILTER_FILE, DX_FILTER_FILE = "med_filter.txt", "lab_filter.txt", "icd9_filter.txt"
 
-_VIEW_NAME = re.compile(r"(\w+)(\.csv)?$")
+_VIEW_NAME = re.compile(r"(\w+)(\.csv)?$", re.ASCII)   # Java's \w is ASCII
 
 
 def infer_table_name(path: str) -> str:
@@ -40,6 +40,19 @@ def load_csv_as_table(spark: SparkSession, path: str, table_name: str | None = N
     return df
 
 
+def source_table_name() -> Column:
+    """C4: the view name :func:`infer_table_name` gives each row's source file."""
+    return F.regexp_extract(F.input_file_name(), _VIEW_NAME.pattern, 1)
+
+
+def _required(col: str, what: str, on_error: str) -> Column:
+    """A used column must be non-NULL: fail the task (default) or keep NULL for dropping."""
+    c = F.col(col)
+    if on_error == "drop":
+        return c
+    return F.when(c.isNull(), F.raise_error(F.lit(f"NULL {what}"))).otherwise(c)
+
+
 def _path(data_dir: str, name: str) -> str:
     return f"{data_dir.rstrip('/')}/{name}"
 
@@ -66,30 +79,58 @@ def load_clinical_csv(spark: SparkSession, data_dir: str, on_error: str = "fail"
     dx = spark.sql(
         f"SELECT d.Member_ID, x.Code_ID, d.Encounter_DateTime FROM {ENCOUNTER_VIEW} d "
         f"JOIN {ENCOUNTER_DX_VIEW} x ON d.Encounter_ID = x.Encounter_ID"
-    ).select(F.col("Member_ID").alias("patient_id"), F.col("Code_ID").alias("code"),
-             parse_instant(F.col("Encounter_DateTime"), mode).alias("date"))
+    ).select(_required("Member_ID", "Member_ID", on_error).alias("patient_id"),
+             _required("Code_ID", "Code_ID", on_error).alias("code"),
+             parse_instant(_required("Encounter_DateTime", "Encounter_DateTime", on_error), mode).alias("date"))
 
     lab = (spark.sql(f"SELECT Member_ID, Date_Resulted, Result_Name, Numeric_Result FROM {LAB_VIEW} "
                      "WHERE Numeric_Result IS NOT NULL")
            .filter(F.length("Numeric_Result") > 0)
-           .select(F.col("Member_ID").alias("patient_id"),
-                   parse_instant(F.col("Date_Resulted"), mode).alias("date"),
-                   F.col("Result_Name").alias("test_name"),
+           .select(_required("Member_ID", "Member_ID", on_error).alias("patient_id"),
+                   parse_instant(_required("Date_Resulted", "Date_Resulted", on_error), mode).alias("date"),
+                   _required("Result_Name", "Result_Name", on_error).alias("test_name"),
                    parse_us_number(F.col("Numeric_Result"), mode).alias("value"))
            .filter(~F.isnan("value")))
 
     med = spark.sql(f"SELECT Member_ID, Order_Date, Drug_Name FROM {MED_VIEW}").select(
-        F.col("Member_ID").alias("patient_id"),
-        parse_instant(F.col("Order_Date"), mode).alias("date"),
-        F.lower("Drug_Name").alias("medicine"))
+        _required("Member_ID", "Member_ID", on_error).alias("patient_id"),
+        parse_instant(_required("Order_Date", "Order_Date", on_error), mode).alias("date"),
+        F.lower(_required("Drug_Name", "Drug_Name", on_error)).alias("medicine"))
 
     if on_error == "drop":
-        dx = dx.filter(F.col("date").isNotNull())
-        lab = lab.filter(F.col("date").isNotNull() & F.col("value").isNotNull())
-        med = med.filter(F.col("date").isNotNull())
+        dx = dx.dropna()
+        lab = lab.dropna()
+        med = med.dropna()
     return ClinicalFrames(med=med, lab=lab, dx=dx)
 
 
+def count_invalid_rows(spark: SparkSession, data_dir: str) -> DataFrame:
+    """Rows the strict loader would fail on, counted per frame in one pass each.
+
+    ``(frame, bad_rows)``: NULL ids, codes, names or dates, and non-empty
+    dates or numbers that do not parse.
+    """
+    c = load_clinical_csv(spark, data_dir, on_error="drop")
+    del c  # registers the views
+    checks = {
+        "dx": (f"SELECT d.Member_ID AS id, x.Code_ID AS item, d.Encounter_DateTime AS t, '0' AS num "
+               f"FROM {ENCOUNTER_VIEW} d JOIN {ENCOUNTER_DX_VIEW} x ON d.Encounter_ID = x.Encounter_ID"),
+        "lab": (f"SELECT Member_ID AS id, Result_Name AS item, Date_Resulted AS t, Numeric_Result AS num "
+                f"FROM {LAB_VIEW} WHERE Numeric_Result IS NOT NULL AND length(Numeric_Result) > 0"),
+        "med": f"SELECT Member_ID AS id, Drug_Name AS item, Order_Date AS t, '0' AS num FROM {MED_VIEW}",
+    }
+    parts = []
+    for name, sql in checks.items():
+        df = spark.sql(sql)
+        bad = (F.col("id").isNull() | F.col("item").isNull() | F.col("t").isNull()
+               | parse_instant(F.col("t"), "null").isNull()
+               | parse_us_number(F.col("num"), "null").isNull())
+        parts.append(df.agg(F.sum(bad.cast("long")).alias("bad_rows"))
+                     .select(F.lit(name).alias("frame"), F.coalesce("bad_rows", F.lit(0)).alias("bad_rows")))
+    from functools import reduce
+    return reduce(DataFrame.unionByName, parts)
+
+
 def load_code_list(spark: SparkSession, path: str) -> DataFrame:
     """One lower-cased item per line, de-duplicated, not trimmed.
 

@@ -118,3 +118,26 @@ def test_tsv_sinks(spark, tmp_path):
     sinks.write_labels_tsv(labels, str(tmp_path / "labels"))
     back = spark.read.option("sep", "\t").csv(str(tmp_path / "labels")).collect()
     assert sorted(tuple(r) for r in back) == [("p1", "1"), ("p2", "3")]
+
+
+def test_null_in_used_column_fails_or_drops(spark):
+    d = tempfile.mkdtemp(prefix="medcohort-null-")
+    _write(d, CT.ENCOUNTER_FILE, "Encounter_ID,Member_ID,Encounter_DateTime\ne1,,2008-01-31T06:00:00Z\n"
+                                 "e2,p2,2008-01-31T06:00:00Z\n")
+    _write(d, CT.ENCOUNTER_DX_FILE, "Encounter_ID,Code_ID\ne1,250.00\ne2,250.01\n")
+    _write(d, CT.LAB_FILE, "Member_ID,Date_Resulted,Result_Name,Numeric_Result\np1,bad-date,Glucose,5\n")
+    _write(d, CT.MED_FILE, "Member_ID,Order_Date,Drug_Name\np1,2008-01-31T06:00:00Z,\n")
+    with pytest.raises(Exception):
+        CT.load_clinical_csv(spark, d).dx.collect()
+    with pytest.raises(Exception):
+        CT.load_clinical_csv(spark, d).med.collect()
+    lenient = CT.load_clinical_csv(spark, d, on_error="drop")
+    assert [r.patient_id for r in lenient.dx.collect()] == ["p2"]
+    assert lenient.lab.count() == 0 and lenient.med.count() == 0
+    bad = {r.frame: r.bad_rows for r in CT.count_invalid_rows(spark, d).collect()}
+    assert bad == {"dx": 1, "lab": 1, "med": 1}
+
+
+def test_source_table_name_column(spark, raw_dir):
+    df = CT.load_csv_as_table(spark, os.path.join(raw_dir, CT.MED_FILE))
+    assert {r.v for r in df.select(CT.source_table_name().alias("v")).collect()} == {"medication_orders_INPUT"}
