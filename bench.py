@@ -40,7 +40,7 @@ def bench_plan(spark, sf_dir):
         return int((pdf.label == 1).sum())
 
     def glucose_means():
-        return catalog.QUERIES["glucose_mean_by_label"](spark, sf_dir).toPandas()
+        return catalog.QUERIES["glucose_mean_one_pass"](spark, sf_dir).toPandas()
 
     def features():
         c = load_clinical_view(spark, sf_dir)

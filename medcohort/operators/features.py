@@ -191,8 +191,10 @@ def feature_dictionary(tuples: DataFrame, num_partitions: int | None = None,
     """
     names = tuples.select("feature").distinct()
     if names.limit(small_vocabulary + 1).count() <= small_vocabulary:
-        return names.select("feature", (F.row_number().over(Window.orderBy("feature")) - 1)
-                            .cast("int").alias("idx"))
+        numbered = names.select("feature", (F.row_number().over(Window.orderBy("feature")) - 1)
+                                .cast("int").alias("idx"))
+        # size checked above: joins against this dictionary broadcast it
+        return F.broadcast(numbered)
     return feature_dictionary_distributed(names, num_partitions)
 
 
@@ -227,8 +229,8 @@ def feature_dictionary_distributed(names: DataFrame, num_partitions: int | None
 def patient_vectors_long(tuples: DataFrame, dictionary: DataFrame) -> DataFrame:
     """``(patient_id, idx, value)``: the COO form of the sparse vectors.
 
-    The dictionary join is left to AQE: it is broadcast when its runtime size
-    is under the broadcast threshold and shuffled otherwise.
+    A dictionary from the size-checked path carries a broadcast hint; a larger
+    one is joined by a shuffle (AQE splits a skewed feature).
     """
     return tuples.join(dictionary, "feature", "inner").select("patient_id", "idx", "value")
 
@@ -289,14 +291,13 @@ def feature_moments(tuples: DataFrame) -> DataFrame:
     """``(feature, n_patients, mean, std)`` over all patients with any feature.
 
     Absent entries count as 0, as in the dense matrix the reference scales;
-    ``std`` is the sample standard deviation (0 when undefined).
+    ``std`` is the sample standard deviation (0 when undefined). The patient
+    count is an uncorrelated scalar subquery, so no join is needed.
     """
-    total = tuples.agg(F.countDistinct("patient_id").cast("double").alias("n_all"),
-                       F.lit(1).alias("_k"))
+    n_all = tuples.agg(F.countDistinct("patient_id").cast("double")).scalar()
     per_feature = tuples.groupBy("feature").agg(
         F.sum("value").alias("s"), F.sum(F.col("value") * F.col("value")).alias("ss"))
-    # a global aggregate has exactly one row: a bounded broadcast side
-    j = per_feature.withColumn("_k", F.lit(1)).join(F.broadcast(total), "_k")
+    j = per_feature.withColumn("n_all", n_all)
     mean = F.col("s") / F.col("n_all")
     var = (F.col("ss") - F.col("s") * F.col("s") / F.col("n_all")) / (F.col("n_all") - 1)
     return j.select(

@@ -29,19 +29,13 @@ def purity(assignments: DataFrame, group: str = "cluster", other: str = "label")
 
 
 def purity_pair(assignments: DataFrame, cluster: str = "cluster", label: str = "label") -> DataFrame:
-    """One row ``(n, purity, inverse_purity)`` from a single pass of pair counts."""
+    """One row ``(n, purity, inverse_purity)`` from a single set of pair counts."""
     counts = contingency(assignments, cluster, label).persist()
-    by_cluster = counts.groupBy(cluster).agg(F.max("n").alias("best"))
-    by_label = counts.groupBy(label).agg(F.max("n").alias("best"))
+    best_c = counts.groupBy(cluster).agg(F.max("n").alias("b")).agg(F.sum("b")).scalar()
+    best_l = counts.groupBy(label).agg(F.max("n").alias("b")).agg(F.sum("b")).scalar()
     total = counts.agg(F.sum("n").alias("n"))
-    p = by_cluster.agg(F.sum("best").alias("best_c"))
-    q = by_label.agg(F.sum("best").alias("best_l"))
-    # three one-row global aggregates joined on a constant key
-    one = lambda df: df.withColumn("_k", F.lit(1))
-    return (one(total).join(one(p), "_k").join(one(q), "_k")
-            .select("n",
-                    (F.col("best_c") / F.col("n")).alias("purity"),
-                    (F.col("best_l") / F.col("n")).alias("inverse_purity")))
+    return total.select("n", (best_c / F.col("n")).alias("purity"),
+                        (best_l / F.col("n")).alias("inverse_purity"))
 
 
 def pair_counts_from_rows(spark, rows: list[tuple[int, int, int]],

@@ -203,12 +203,21 @@ def patients_where(flags: DataFrame, cond: Column) -> DataFrame:
 # Mean of "glucose" labs per label
 # ---------------------------------------------------------------------------
 
-def _with_all_labels(per_label: DataFrame, value_col: str) -> DataFrame:
-    spark = per_label.sparkSession
-    classes = spark.createDataFrame([(CASE,), (CONTROL,), (OTHER,)], "label int")
-    # three constant rows: a proven-bounded broadcast side
-    return (F.broadcast(classes).join(per_label, "label", "left")
-            .select("label", F.coalesce(F.col(value_col), F.lit(0.0)).alias(value_col)))
+def _means_for_all_labels(per_patient: DataFrame, label: Column) -> DataFrame:
+    """``(label, mean_glucose)`` for labels 1, 2, 3 from per-patient (s, n) pieces.
+
+    One global conditional aggregate (partial sums map-side, one row out),
+    unpacked into three rows; an empty class reports 0.0. No join.
+    """
+    aggs = []
+    for k in (CASE, CONTROL, OTHER):
+        aggs += [F.sum(F.when(label == k, F.col("s"))).alias(f"s{k}"),
+                 F.sum(F.when(label == k, F.col("n"))).alias(f"n{k}")]
+    one = per_patient.agg(*aggs)
+    rows = F.array(*[F.struct(F.lit(k).alias("label"),
+                              F.coalesce(F.col(f"s{k}") / F.col(f"n{k}"), F.lit(0.0)).alias("mean_glucose"))
+                     for k in (CASE, CONTROL, OTHER)])
+    return one.select(F.inline(rows))
 
 
 def glucose_mean_by_label(lab: DataFrame, labels: DataFrame) -> DataFrame:
@@ -221,18 +230,14 @@ def glucose_mean_by_label(lab: DataFrame, labels: DataFrame) -> DataFrame:
     per_patient = (lab.filter(F.lower("test_name") == F.lit(V.GLUCOSE_MEAN_TEST))
                    .groupBy("patient_id")
                    .agg(F.sum("value").alias("s"), F.count(F.lit(1)).alias("n")))
-    per_label = (per_patient.join(labels, "patient_id", "inner")
-                 .groupBy("label")
-                 .agg((F.sum("s") / F.sum("n")).alias("mean_glucose")))
-    return _with_all_labels(per_label, "mean_glucose")
+    return _means_for_all_labels(per_patient.join(labels, "patient_id", "inner"), F.col("label"))
 
 
 def glucose_mean_from_flags(flags: DataFrame) -> DataFrame:
     """A8 straight from :func:`patient_flags` (no second pass over the labs)."""
-    per_label = (flags.select(label_column().alias("label"), "glucose_sum", "glucose_n")
-                 .groupBy("label")
-                 .agg((F.sum("glucose_sum") / F.sum("glucose_n")).alias("mean_glucose")))
-    return _with_all_labels(per_label, "mean_glucose")
+    pieces = flags.select(label_column().alias("label"),
+                          F.col("glucose_sum").alias("s"), F.col("glucose_n").alias("n"))
+    return _means_for_all_labels(pieces, F.col("label"))
 
 
 # ---------------------------------------------------------------------------
@@ -241,6 +246,9 @@ def glucose_mean_from_flags(flags: DataFrame) -> DataFrame:
 
 def all_patients(clinical: ClinicalFrames) -> DataFrame:
     """Distinct patient ids across the three event sets."""
+    if clinical.lines is not None:   # dx and lab rows are both lines: read the join once
+        return (clinical.lines.select("patient_id")
+                .unionByName(clinical.med.select("patient_id")).distinct())
     return (clinical.dx.select("patient_id")
             .unionByName(clinical.lab.select("patient_id"))
             .unionByName(clinical.med.select("patient_id"))

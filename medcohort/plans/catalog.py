@@ -227,9 +227,10 @@ for _kind in ("dx", "med", "lab"):
             _features_query(_kind, _filtered))
 
 
-def _tuples(spark, sf_dir, filtered: bool) -> DataFrame:
+def _tuples(spark, sf_dir, filtered: bool, persist: bool = False) -> DataFrame:
     c = clin(spark, sf_dir)
-    return FE.filtered_feature_tuples(c) if filtered else FE.feature_tuples(c)
+    t = FE.filtered_feature_tuples(c) if filtered else FE.feature_tuples(c)
+    return t.persist() if persist else t      # K1: read twice by dictionary / moments
 
 
 @register("feature_tuples", f"{FEATURES_SQL} SELECT patient_id, feature, round(value, {ROUND}) AS value FROM tuples")
@@ -256,7 +257,7 @@ def q_feature_dictionary_filtered(spark, sf_dir):
 @register("patient_vectors_long", f"""{FEATURES_SQL}{DICT_SQL}
 SELECT t.patient_id, d.idx, round(t.value, {ROUND}) AS value FROM tuples t JOIN dict d ON t.feature = d.feature""")
 def q_patient_vectors_long(spark, sf_dir):
-    tuples = _tuples(spark, sf_dir, False)
+    tuples = _tuples(spark, sf_dir, False, persist=True)
     return (FE.patient_vectors_long(tuples, FE.feature_dictionary(tuples))
             .select("patient_id", "idx", _r("value")))
 
@@ -266,7 +267,7 @@ SELECT t.patient_id, list(d.idx ORDER BY d.idx) AS indices,
        list_transform(list(t.value ORDER BY d.idx), lambda x: round(x, {ROUND})) AS "values"
 FROM tuples t JOIN dict d ON t.feature = d.feature GROUP BY t.patient_id""")
 def q_patient_vectors(spark, sf_dir):
-    tuples = _tuples(spark, sf_dir, False)
+    tuples = _tuples(spark, sf_dir, False, persist=True)
     dictionary = FE.feature_dictionary(tuples)
     e = FE.sparse_entries(FE.patient_vectors_long(tuples, dictionary))
     return e.select("patient_id", "indices",
@@ -284,7 +285,7 @@ mom AS (SELECT feature, CAST(n_all AS BIGINT) AS n_patients, s / n_all AS mean,
 @register("feature_moments", f"""{_MOMENTS_SQL}
 SELECT feature, n_patients, round(mean, {ROUND}) AS mean, round(std, {ROUND}) AS std FROM mom""")
 def q_feature_moments(spark, sf_dir):
-    m = FE.feature_moments(_tuples(spark, sf_dir, False))
+    m = FE.feature_moments(_tuples(spark, sf_dir, False, persist=True))
     return m.select("feature", "n_patients", _r("mean"), _r("std"))
 
 
@@ -293,7 +294,8 @@ SELECT t.patient_id, t.feature,
        round(CASE WHEN m.std > 0 THEN (t.value - m.mean) / m.std ELSE 0.0 END, {ROUND}) AS zscore
 FROM tuples t JOIN mom m ON t.feature = m.feature""")
 def q_feature_zscores(spark, sf_dir):
-    return FE.feature_zscores(_tuples(spark, sf_dir, False)).select("patient_id", "feature", _r("zscore"))
+    tuples = _tuples(spark, sf_dir, False, persist=True)
+    return FE.feature_zscores(tuples).select("patient_id", "feature", _r("zscore"))
 
 
 # ---------------------------------------------------------------------------

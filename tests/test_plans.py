@@ -43,3 +43,11 @@ def test_no_python_in_feature_plans(spark):
     for name in ["patient_vectors", "feature_zscores", "minibatch_centres", "parsed_numbers"]:
         plan = _plan(E.queries()[name](spark, SF0001))
         assert "Python" not in plan, name
+
+
+@pytest.mark.parametrize("name", sorted(set(E.oracle_sql()) - {"minibatch_stream_centres"}))
+def test_no_cross_join_or_python_anywhere(spark, name):
+    spark.catalog.clearCache()
+    plan = _plan(E.queries()[name](spark, SF0001))
+    for bad in ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython"):
+        assert bad not in plan, (name, bad)
