@@ -27,6 +27,7 @@ PCA_COMPONENTS = 10
 STREAM_DECAY = 1.0
 STREAM_TIME_UNIT = "points"
 STREAM_START_WEIGHT = 0.5
+MAX_PCA_WIDTH = 65535        # Spark's limit for a principal-components solve
 
 
 # ---------------------------------------------------------------------------
@@ -40,6 +41,10 @@ def fit_projection(vectors: DataFrame, k: int = PCA_COMPONENTS,
     ``width`` is the vector size when known (saves a job to look at one row).
     """
     width = width or len(vectors.select(input_col).head()[0])
+    if width > MAX_PCA_WIDTH:
+        raise ValueError(
+            f"{width} features: PCA needs a width x width matrix on the driver (at most "
+            f"{MAX_PCA_WIDTH}); restrict the features first, e.g. with candidate lists")
     stages = [
         StandardScaler(withMean=True, withStd=True, inputCol=input_col, outputCol="scaled"),
         PCA(k=min(k, width), inputCol="scaled", outputCol="pca"),
