@@ -10,6 +10,7 @@ numbers), the only thing brought to the driver.
 
 from __future__ import annotations
 
+import threading
 from dataclasses import dataclass
 
 import numpy as np
@@ -29,6 +30,11 @@ STREAM_TIME_UNIT = "points"
 STREAM_START_WEIGHT = 0.5
 MAX_PCA_WIDTH = 65535        # Spark's limit for a principal-components solve
 
+# The dense linear algebra these fits run on the driver (the PCA eigen-solve,
+# the mixture's covariance factorisations) is not safe to start from
+# concurrent threads, so fits that use it take turns; the others run freely.
+_LINALG_LOCK = threading.Lock()
+
 
 # ---------------------------------------------------------------------------
 # L1-L3: scale and project
@@ -49,7 +55,8 @@ def fit_projection(vectors: DataFrame, k: int = PCA_COMPONENTS,
         StandardScaler(withMean=True, withStd=True, inputCol=input_col, outputCol="scaled"),
         PCA(k=min(k, width), inputCol="scaled", outputCol="pca"),
     ]
-    return Pipeline(stages=stages).fit(vectors)
+    with _LINALG_LOCK:
+        return Pipeline(stages=stages).fit(vectors)
 
 
 def project(model: PipelineModel, vectors: DataFrame) -> DataFrame:
@@ -76,8 +83,9 @@ def kmeans_assign(points: DataFrame, features_col: str = "pca", k: int = K,
 
 def gmm_assign(points: DataFrame, features_col: str = "pca", k: int = K,
                max_iter: int = MAX_ITER, seed: int = SEED) -> DataFrame:
-    model = GaussianMixture(k=k, maxIter=max_iter, seed=seed, featuresCol=features_col,
-                            predictionCol="cluster").fit(points)
+    with _LINALG_LOCK:
+        model = GaussianMixture(k=k, maxIter=max_iter, seed=seed, featuresCol=features_col,
+                                predictionCol="cluster").fit(points)
     return model.transform(points).select("patient_id", F.col("cluster").cast("int"))
 
 

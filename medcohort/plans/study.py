@@ -6,8 +6,11 @@ scale + PCA -> k-means / Gaussian mixture / streaming k-means -> purity.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
+from pyspark import inheritable_thread_target
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -37,14 +40,29 @@ def project_points(vectors: DataFrame, width: int | None = None) -> tuple[DataFr
     return right_size(points, rows, 8 * dim + 64), dim
 
 
-def cluster_all(vectors: DataFrame, width: int | None = None) -> dict[str, DataFrame]:
+def _in_parallel(tasks: dict, parallelism: int) -> dict:
+    """Run independent driver-side fits from a thread pool, as Spark ML's tuners do.
+
+    Each fit is a sequence of small jobs; running independent fits together
+    keeps the executors busy. Results are the same as sequential fits (every
+    learner is seeded).
+    """
+    if parallelism <= 1:
+        return {k: fn() for k, fn in tasks.items()}
+    with ThreadPoolExecutor(max_workers=min(parallelism, len(tasks))) as pool:
+        futures = {k: pool.submit(inheritable_thread_target(fn)) for k, fn in tasks.items()}
+        return {k: f.result() for k, f in futures.items()}
+
+
+def cluster_all(vectors: DataFrame, width: int | None = None,
+                parallelism: int = 3) -> dict[str, DataFrame]:
     """Scale, project and cluster three ways; ``{algorithm: (patient_id, cluster)}``."""
     points, dim = project_points(vectors, width)
-    return {
-        "kMeans": C.kmeans_assign(points),
-        "GMM": C.gmm_assign(points),
-        "StreamingKmeans": C.streaming_kmeans_assign(points, dim=dim),
-    }
+    return _in_parallel({
+        "kMeans": lambda: C.kmeans_assign(points),
+        "GMM": lambda: C.gmm_assign(points),
+        "StreamingKmeans": lambda: C.streaming_kmeans_assign(points, dim=dim),
+    }, parallelism)
 
 
 def with_labels(assignments: DataFrame, labels: DataFrame) -> DataFrame:
@@ -64,7 +82,7 @@ def evaluate_clusterings(labels: DataFrame, vectors: DataFrame, width: int | Non
     return M.purity_by(stacked, ["algorithm"])
 
 
-def run_cohort_study(clinical: ClinicalFrames) -> DataFrame:
+def run_cohort_study(clinical: ClinicalFrames, parallelism: int = 3) -> DataFrame:
     """``(feature_set, algorithm, n, purity, inverse_purity, report)``.
 
     The tagged feature tuples are aggregated once and persisted; the filtered
@@ -75,11 +93,14 @@ def run_cohort_study(clinical: ClinicalFrames) -> DataFrame:
     tagged = FE.feature_tuples_tagged(clinical).persist()                    # K1
     sets = (("All", tagged.drop("kind")),
             ("Filtered", FE.restrict_tagged(tagged, **FE.shipped_candidate_lists()).drop("kind")))
-    stacked = []
-    for feature_set, tuples in sets:
+    def one_set(feature_set, tuples):
         _, vectors, width = FE.build_vectors(tuples)
-        assigned = _stack(cluster_all(vectors, width))
-        stacked.append(assigned.select(F.lit(feature_set).alias("feature_set"), "*"))
+        assigned = _stack(cluster_all(vectors, width, parallelism))
+        return assigned.select(F.lit(feature_set).alias("feature_set"), "*")
+
+    done = _in_parallel({name: (lambda n=name, t=tuples: one_set(n, t)) for name, tuples in sets},
+                        parallelism)
+    stacked = [done[name] for name, _ in sets]
     scored = M.purity_by(with_labels(reduce(DataFrame.unionByName, stacked), labels),
                          ["feature_set", "algorithm"])
     return scored.withColumn(

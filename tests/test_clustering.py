@@ -108,3 +108,13 @@ def test_streaming_kmeans_over_files(spark, tmp_path):
         cs, ws = brute_update(pts, cs, ws, 1.0, "points")
     np.testing.assert_allclose(np.array(got.centers), cs, rtol=1e-9)
     np.testing.assert_allclose(np.array(got.weights), ws)
+
+
+def test_parallel_study_equals_sequential(spark):
+    from medcohort.plans.study import run_cohort_study
+    c = load_clinical_view(spark, "/root/testdata/sf0.001")
+    cols = ["feature_set", "algorithm", "n", "purity", "inverse_purity", "report"]
+    par = sorted(tuple(r) for r in run_cohort_study(c, parallelism=3).select(*cols).collect())
+    seq = sorted(tuple(r) for r in run_cohort_study(c, parallelism=1).select(*cols).collect())
+    assert par == seq and len(par) == 6
+    assert all(r[2] == 150 for r in par if r[0] == "All")
