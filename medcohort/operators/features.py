@@ -86,14 +86,44 @@ def restrict_tagged(tagged: DataFrame, candidate_dx: Candidates = None, candidat
     The lists filter on the aggregation key, so filtering the aggregated tuples
     equals aggregating the filtered events.
     """
-    if all(c is None for c in (candidate_dx, candidate_lab, candidate_med)):
+    lists = {"dx": candidate_dx, "lab": candidate_lab, "med": candidate_med}
+    if all(c is None for c in lists.values()):
         return tagged
+    if any(isinstance(c, DataFrame) for c in lists.values()):
+        return _restrict_tagged_frames(tagged, lists, ignore_case)
     keep = " AND ".join([_list_filter("dx", "feature", candidate_dx, ignore_case),
                          _list_filter("lab", "feature", candidate_lab, ignore_case),
                          _list_filter("med", "feature", candidate_med, ignore_case)])
     return tagged.filter(F.expr(keep))
 
 
+def _restrict_tagged_frames(tagged: DataFrame, lists: dict, ignore_case: bool) -> DataFrame:
+    """List filters where some lists are DataFrames ``(item)``: one semi join on (kind, feature).
+
+    Domains without a list pass through; the (kind, item) side is broadcast
+    only after its size is checked.
+    """
+    spark = tagged.sparkSession
+    parts, open_kinds = [], []
+    for kind, items in lists.items():
+        if items is None:
+            open_kinds.append(kind)
+            continue
+        if not isinstance(items, DataFrame):
+            items = spark.createDataFrame([(v,) for v in dict.fromkeys(items)], "item string")
+        col = F.col(items.columns[0])
+        parts.append(items.select(F.lit(kind).alias("_kind"),
+                                  (F.lower(col) if ignore_case else col).alias("_item")))
+    allowed = reduce(DataFrame.unionByName, parts).distinct()
+    key = F.lower(F.col("feature")) if ignore_case else F.col("feature")
+    listed = tagged.filter(~F.col("kind").isin(*open_kinds)) if open_kinds else tagged
+    kept = semi_join_small(listed.withColumn("_key", key), allowed,
+                           (F.col("kind") == F.col("_kind")) & (F.col("_key") == F.col("_item"))).drop("_key")
+    if open_kinds:
+        kept = kept.unionByName(tagged.filter(F.col("kind").isin(*open_kinds)))
+    return kept
+
+
 def feature_tuples_tagged(clinical: ClinicalFrames, candidate_dx: Candidates = None,
                           candidate_lab: Candidates = None, candidate_med: Candidates = None,
                           ignore_case: bool = False) -> DataFrame:
@@ -119,11 +149,18 @@ def feature_tuples_tagged(clinical: ClinicalFrames, candidate_dx: Candidates = N
                                 F.col("test_name").alias("feature"), "value"))
     events = dx_lab.unionByName(clinical.med.select(
         "patient_id", F.lit("med").alias("kind"), F.col("medicine").alias("feature"), null_d.alias("value")))
-    events = restrict_tagged(events, candidate_dx, candidate_lab, candidate_med, ignore_case)
+    if any(isinstance(c, DataFrame) for c in (candidate_dx, candidate_lab, candidate_med)):
+        agg_first = True
+    else:
+        agg_first = False
+        events = restrict_tagged(events, candidate_dx, candidate_lab, candidate_med, ignore_case)
     agg = events.groupBy("patient_id", "kind", "feature").agg(
         F.count(F.lit(1)).cast("double").alias("n"), F.avg("value").alias("mean"))
-    return agg.select("patient_id", "kind", "feature",
-                      F.when(F.col("kind") == "lab", F.col("mean")).otherwise(F.col("n")).alias("value"))
+    out = agg.select("patient_id", "kind", "feature",
+                     F.when(F.col("kind") == "lab", F.col("mean")).otherwise(F.col("n")).alias("value"))
+    if agg_first:   # lists as DataFrames filter the aggregated tuples (same result: key filter)
+        out = restrict_tagged(out, candidate_dx, candidate_lab, candidate_med, ignore_case)
+    return out
 
 
 def feature_tuples(clinical: ClinicalFrames, candidate_dx: Candidates = None,

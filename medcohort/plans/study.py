@@ -33,11 +33,16 @@ def project_points(vectors: DataFrame, width: int | None = None) -> tuple[DataFr
     vectors = vectors.persist()
     rows = vectors.count()
     width = width or len(vectors.select("features").head()[0])
-    vectors = right_size(vectors, rows, 8 * width + 64)
-    model = C.fit_projection(vectors, width=width)
+    # Seeded learners sample by position, so fix the row order: coalesce to the
+    # volume-based partition count and sort each partition by patient id.
+    ordered = (right_size(vectors, rows, 8 * width + 64)
+               .sortWithinPartitions("patient_id").persist())
+    ordered.count()
+    vectors.unpersist()
+    model = C.fit_projection(ordered, width=width)
     dim = min(C.PCA_COMPONENTS, width)
-    points = C.project(model, vectors).select("patient_id", "pca").persist()   # K2
-    return right_size(points, rows, 8 * dim + 64), dim
+    points = C.project(model, ordered).select("patient_id", "pca").persist()   # K2
+    return points, dim
 
 
 def _in_parallel(tasks: dict, parallelism: int) -> dict:
@@ -82,17 +87,21 @@ def evaluate_clusterings(labels: DataFrame, vectors: DataFrame, width: int | Non
     return M.purity_by(stacked, ["algorithm"])
 
 
-def run_cohort_study(clinical: ClinicalFrames, parallelism: int = 3) -> DataFrame:
+def run_cohort_study(clinical: ClinicalFrames, parallelism: int = 3,
+                     candidate_lists: dict | None = None) -> DataFrame:
     """``(feature_set, algorithm, n, purity, inverse_purity, report)``.
 
     The tagged feature tuples are aggregated once and persisted; the filtered
     set is a filter on them (the lists filter on the aggregation key). All six
-    clusterings are scored against the labels in one job.
+    clusterings are scored against the labels in one job. ``candidate_lists``
+    maps ``candidate_dx`` / ``candidate_lab`` / ``candidate_med`` to lists or
+    one-column DataFrames (e.g. from ``load_code_lists``); default: the shipped lists.
     """
     labels = P.phenotype_labels(clinical).persist()
     tagged = FE.feature_tuples_tagged(clinical).persist()                    # K1
     sets = (("All", tagged.drop("kind")),
-            ("Filtered", FE.restrict_tagged(tagged, **FE.shipped_candidate_lists()).drop("kind")))
+            ("Filtered", FE.restrict_tagged(
+                tagged, **(candidate_lists or FE.shipped_candidate_lists())).drop("kind")))
     def one_set(feature_set, tuples):
         _, vectors, width = FE.build_vectors(tuples)
         assigned = _stack(cluster_all(vectors, width, parallelism))

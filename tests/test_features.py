@@ -150,3 +150,18 @@ def test_moments_and_zscores_match_numpy(spark):
         assert m[f][1] == pytest.approx(arr[:, j].std(ddof=1))
     z = {(r.patient_id, r.feature): r.zscore for r in FE.feature_zscores(t).collect()}
     assert z[("b", "z")] == pytest.approx((7 - arr[:, 2].mean()) / arr[:, 2].std(ddof=1))
+
+
+def test_list_frames_equal_list_constants(spark):
+    from medcohort.sources.clinical import load_clinical_view
+    c = load_clinical_view(spark, "/root/testdata/sf0.001")
+    lists = FE.shipped_candidate_lists()
+    frames = {k: spark.createDataFrame([(v,) for v in vals], "item string") for k, vals in lists.items()}
+    tagged = FE.feature_tuples_tagged(c)
+    a = FE.restrict_tagged(tagged, **lists)
+    b = FE.restrict_tagged(tagged, **frames)
+    c2 = FE.feature_tuples_tagged(c, **frames)
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+    assert a.exceptAll(c2).count() == 0 and c2.exceptAll(a).count() == 0
+    only_dx = FE.restrict_tagged(tagged, candidate_dx=frames["candidate_dx"])
+    assert only_dx.filter("kind = 'med'").count() == tagged.filter("kind = 'med'").count()
