@@ -122,10 +122,12 @@ def test_construct_sparse(spark):
         "patient1": ([0, 2], [42.0, 24.0]), "patient2": ([1], [12.0])}
 
 
-def test_dictionary_is_dense_and_name_ordered(spark):
+@pytest.mark.parametrize("small_vocabulary", [1_000_000, 10])   # one window / distributed path
+def test_dictionary_is_dense_and_name_ordered(spark, small_vocabulary):
     names = [f"f{i:04d}" for i in range(300)] + ["Glucose", "glucose", "V77.1", "250.01"]
     t = _tuples(spark, [(f"p{i % 7}", n, 1.0) for i, n in enumerate(names)])
-    d = {r.feature: r.idx for r in FE.feature_dictionary(t, num_partitions=5).collect()}
+    d = {r.feature: r.idx for r in FE.feature_dictionary(
+        t, num_partitions=5, small_vocabulary=small_vocabulary).collect()}
     assert [k for k, _ in sorted(d.items(), key=lambda kv: kv[1])] == sorted(names)
     assert sorted(d.values()) == list(range(len(names)))
 
