@@ -20,6 +20,7 @@ from medcohort.operators import features as FE
 from medcohort.operators import metrics as M
 from medcohort.operators import phenotype as P
 from medcohort.sources.clinical import ClinicalFrames
+from medcohort.sources.sinks import report_line
 
 ALGORITHMS = ("kMeans", "GMM", "StreamingKmeans")
 
@@ -112,7 +113,4 @@ def run_cohort_study(clinical: ClinicalFrames, parallelism: int = 3,
     stacked = [done[name] for name, _ in sets]
     scored = M.purity_by(with_labels(reduce(DataFrame.unionByName, stacked), labels),
                          ["feature_set", "algorithm"])
-    return scored.withColumn(
-        "report",
-        F.format_string("[%s feature] getPurity of %s is: %.5f",
-                        F.col("feature_set"), F.col("algorithm"), F.col("inverse_purity")))
+    return scored.withColumn("report", report_line())
