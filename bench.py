@@ -43,8 +43,11 @@ def bench_plan(spark, sf_dir):
         return catalog.QUERIES["glucose_mean_one_pass"](spark, sf_dir).toPandas()
 
     def features():
-        c = load_clinical_view(spark, sf_dir)
-        return FE.feature_tuples(c).count() + FE.filtered_feature_tuples(c).count()
+        # both feature sets, as the study builds them: one aggregation, then the list filter
+        tagged = FE.feature_tuples_tagged(load_clinical_view(spark, sf_dir)).persist()
+        n = tagged.count() + FE.restrict_tagged(tagged, **FE.shipped_candidate_lists()).count()
+        tagged.unpersist()
+        return n
 
     def vectors():
         return catalog.QUERIES["patient_vectors"](spark, sf_dir).agg(F.sum(F.size("indices"))).first()[0]
