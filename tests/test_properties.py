@@ -75,3 +75,54 @@ def test_rule_and_features_against_brute_force(spark, events, hot_code, hot_med)
         want[key] = s / k
     assert got.keys() == want.keys()
     assert all(abs(got[k] - want[k]) < 1e-9 for k in want)
+
+
+def _py_us_number(text):
+    """Leading US number: optional minus, digits with commas, fraction, exponent; rest ignored."""
+    import re
+    if text.strip() == "NaN":
+        return float("nan")
+    m = re.match(r"-?[0-9,]*(\.[0-9]*)?(E-?[0-9]+)?", text)
+    head = m.group(0).replace(",", "") if m else ""
+    if not any(ch.isdigit() for ch in head):
+        return None
+    try:
+        return float(head)
+    except ValueError:
+        return float(re.match(r"-?[0-9]*\.?[0-9]*", head).group(0))
+
+
+number_text = st.builds(
+    lambda neg, whole, frac, junk: ("-" if neg else "") + f"{whole:,}" + (f".{frac}" if frac is not None else "") + junk,
+    st.booleans(), st.integers(0, 10**9), st.one_of(st.none(), st.integers(0, 999)),
+    st.sampled_from(["", " USD", "abc", "%", "  "]))
+
+
+@settings(max_examples=5, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.lists(number_text, min_size=1, max_size=40))
+def test_us_number_parse_matches_python(spark, texts):
+    from pyspark.sql import functions as F
+
+    from medcohort.functions.parsing import parse_us_number
+    df = spark.createDataFrame([(t,) for t in texts], "s string")
+    got = [r.v for r in df.select(parse_us_number(F.col("s"), "null").alias("v")).collect()]
+    assert got == [_py_us_number(t) for t in texts]
+
+
+@settings(max_examples=5, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.lists(st.tuples(st.datetimes(min_value=dt.datetime(1970, 1, 2), max_value=dt.datetime(2100, 1, 1)),
+                          st.integers(-12, 12), st.sampled_from(["X", "XXX"])), min_size=1, max_size=30))
+def test_instant_parse_matches_python(spark, items):
+    from pyspark.sql import functions as F
+
+    from medcohort.functions.parsing import epoch_millis, parse_instant
+    texts, want = [], []
+    for t, off, style in items:
+        t = t.replace(microsecond=0)
+        zone = "Z" if off == 0 else (f"{off:+03d}" if style == "X" else f"{off:+03d}:00")
+        texts.append(t.strftime("%Y-%m-%dT%H:%M:%S") + zone)
+        utc = t - dt.timedelta(hours=off)
+        want.append(int((utc - dt.datetime(1970, 1, 1)).total_seconds() * 1000))
+    df = spark.createDataFrame([(s,) for s in texts], "s string")
+    got = [r.v for r in df.select(epoch_millis(parse_instant(F.col("s"))).alias("v")).collect()]
+    assert got == want
