@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from medcohort.functions import valuesets as V
-from medcohort.functions.joins import semi_join_small
+from medcohort.functions.joins import join_small, semi_join_small
 from medcohort.functions.sqltext import in_list, quote
 from medcohort.session import ensure_checkpoint_dir
 from medcohort.sources.clinical import ClinicalFrames
@@ -351,4 +351,6 @@ def feature_zscores(tuples: DataFrame, moments: DataFrame | None = None) -> Data
     """
     moments = moments if moments is not None else feature_moments(tuples)
     z = F.when(F.col("std") > 0, (F.col("value") - F.col("mean")) / F.col("std")).otherwise(F.lit(0.0))
-    return tuples.join(moments, "feature").select("patient_id", "feature", z.alias("zscore"))
+    # one row per feature: broadcast after the bounded size check, else a shuffle join
+    joined = join_small(tuples, moments, "feature", "inner", max_rows=SMALL_VOCABULARY)
+    return joined.select("patient_id", "feature", z.alias("zscore"))
