@@ -2,7 +2,6 @@
 
 import numpy as np
 import pytest
-from pyspark.sql import functions as F
 
 from medcohort.operators import clustering as C
 from medcohort.operators import features as FE

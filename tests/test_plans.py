@@ -51,3 +51,16 @@ def test_no_cross_join_or_python_anywhere(spark, name):
     plan = _plan(E.queries()[name](spark, SF0001))
     for bad in ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython"):
         assert bad not in plan, (name, bad)
+
+
+def test_dictionary_and_list_joins_broadcast(spark, no_broadcast):
+    """Size-checked sides broadcast even with the size threshold off."""
+    from medcohort.operators import features as FE
+    from medcohort.sources.clinical import load_clinical_view
+    c = load_clinical_view(spark, SF0001)
+    tuples = FE.feature_tuples(c)
+    plan = _plan(FE.patient_vectors_long(tuples, FE.feature_dictionary(tuples)))
+    assert "BroadcastHashJoin" in plan
+    items = spark.createDataFrame([("250.00",), ("V77.1",)], "item string")
+    plan = _plan(FE.dx_features(c.dx, items))
+    assert "BroadcastHashJoin" in plan and "LeftSemi" in plan
