@@ -46,7 +46,7 @@ def project_points(vectors: DataFrame, width: int | None = None) -> tuple[DataFr
     return points, dim
 
 
-def _in_parallel(tasks: dict, parallelism: int) -> dict:
+def _in_parallel(tasks: dict, parallelism: int, spark=None) -> dict:
     """Run independent driver-side fits from a thread pool, as Spark ML's tuners do.
 
     Each fit is a sequence of small jobs; running independent fits together
@@ -56,7 +56,8 @@ def _in_parallel(tasks: dict, parallelism: int) -> dict:
     if parallelism <= 1:
         return {k: fn() for k, fn in tasks.items()}
     with ThreadPoolExecutor(max_workers=min(parallelism, len(tasks))) as pool:
-        futures = {k: pool.submit(inheritable_thread_target(fn)) for k, fn in tasks.items()}
+        wrap = inheritable_thread_target(spark) if spark is not None else inheritable_thread_target
+        futures = {k: pool.submit(wrap(fn)) for k, fn in tasks.items()}
         return {k: f.result() for k, f in futures.items()}
 
 
@@ -68,7 +69,7 @@ def cluster_all(vectors: DataFrame, width: int | None = None,
         "kMeans": lambda: C.kmeans_assign(points),
         "GMM": lambda: C.gmm_assign(points),
         "StreamingKmeans": lambda: C.streaming_kmeans_assign(points, dim=dim),
-    }, parallelism)
+    }, parallelism, points.sparkSession)
 
 
 def with_labels(assignments: DataFrame, labels: DataFrame) -> DataFrame:
@@ -109,7 +110,7 @@ def run_cohort_study(clinical: ClinicalFrames, parallelism: int = 3,
         return assigned.select(F.lit(feature_set).alias("feature_set"), "*")
 
     done = _in_parallel({name: (lambda n=name, t=tuples: one_set(n, t)) for name, tuples in sets},
-                        parallelism)
+                        parallelism, tagged.sparkSession)
     stacked = [done[name] for name, _ in sets]
     scored = M.purity_by(with_labels(reduce(DataFrame.unionByName, stacked), labels),
                          ["feature_set", "algorithm"])
