@@ -312,11 +312,19 @@ def patient_vectors(vectors_long: DataFrame, size: int) -> DataFrame:
         array_to_vector(dense_array(F.col("indices"), F.col("values"), size)).alias("features"))
 
 
-def build_vectors(tuples: DataFrame) -> tuple[DataFrame, DataFrame, int]:
-    """Dictionary, dense vectors and width for a tuple frame (H0 + H1)."""
-    tuples = tuples.persist()                      # K1: read by dictionary and vectors
+def build_vectors(tuples: DataFrame, persist: bool = True,
+                  held: list | None = None) -> tuple[DataFrame, DataFrame, int]:
+    """Dictionary, dense vectors and width for a tuple frame (H0 + H1).
+
+    ``persist=False`` when the caller already caches the tuples' source.
+    Frames this function caches are appended to ``held`` for the caller to release.
+    """
+    if persist:
+        tuples = tuples.persist()                  # K1: read by dictionary and vectors
     dictionary = feature_dictionary(tuples).persist()
     size = dictionary.count()
+    if held is not None:
+        held.extend([tuples, dictionary] if persist else [dictionary])
     return dictionary, patient_vectors(patient_vectors_long(tuples, dictionary), size), size
 
 

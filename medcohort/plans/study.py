@@ -20,12 +20,14 @@ from medcohort.operators import features as FE
 from medcohort.operators import metrics as M
 from medcohort.operators import phenotype as P
 from medcohort.sources.clinical import ClinicalFrames
+from medcohort.session import ensure_checkpoint_dir
 from medcohort.sources.sinks import report_line
 
 ALGORITHMS = ("kMeans", "GMM", "StreamingKmeans")
 
 
-def project_points(vectors: DataFrame, width: int | None = None) -> tuple[DataFrame, int]:
+def project_points(vectors: DataFrame, width: int | None = None,
+                   held: list | None = None) -> tuple[DataFrame, int]:
     """Scale + PCA the vectors; ``(points (patient_id, pca), pca width)``.
 
     The vectors and the projected points are persisted and coalesced to a
@@ -43,6 +45,8 @@ def project_points(vectors: DataFrame, width: int | None = None) -> tuple[DataFr
     model = C.fit_projection(ordered, width=width)
     dim = min(C.PCA_COMPONENTS, width)
     points = C.project(model, ordered).select("patient_id", "pca").persist()   # K2
+    if held is not None:
+        held.extend([ordered, points])
     return points, dim
 
 
@@ -62,9 +66,9 @@ def _in_parallel(tasks: dict, parallelism: int, spark=None) -> dict:
 
 
 def cluster_all(vectors: DataFrame, width: int | None = None,
-                parallelism: int = 3) -> dict[str, DataFrame]:
+                parallelism: int = 3, held: list | None = None) -> dict[str, DataFrame]:
     """Scale, project and cluster three ways; ``{algorithm: (patient_id, cluster)}``."""
-    points, dim = project_points(vectors, width)
+    points, dim = project_points(vectors, width, held)
     return _in_parallel({
         "kMeans": lambda: C.kmeans_assign(points),
         "GMM": lambda: C.gmm_assign(points),
@@ -99,14 +103,16 @@ def run_cohort_study(clinical: ClinicalFrames, parallelism: int = 3,
     maps ``candidate_dx`` / ``candidate_lab`` / ``candidate_med`` to lists or
     one-column DataFrames (e.g. from ``load_code_lists``); default: the shipped lists.
     """
+    ensure_checkpoint_dir(clinical.med.sparkSession)
     labels = P.phenotype_labels(clinical).persist()
     tagged = FE.feature_tuples_tagged(clinical).persist()                    # K1
+    held = [labels, tagged]
     sets = (("All", tagged.drop("kind")),
             ("Filtered", FE.restrict_tagged(
                 tagged, **(candidate_lists or FE.shipped_candidate_lists())).drop("kind")))
     def one_set(feature_set, tuples):
-        _, vectors, width = FE.build_vectors(tuples)
-        assigned = _stack(cluster_all(vectors, width, parallelism))
+        _, vectors, width = FE.build_vectors(tuples, persist=False, held=held)   # tagged is cached
+        assigned = _stack(cluster_all(vectors, width, parallelism, held))
         return assigned.select(F.lit(feature_set).alias("feature_set"), "*")
 
     done = _in_parallel({name: (lambda n=name, t=tuples: one_set(n, t)) for name, tuples in sets},
@@ -114,4 +120,8 @@ def run_cohort_study(clinical: ClinicalFrames, parallelism: int = 3,
     stacked = [done[name] for name, _ in sets]
     scored = M.purity_by(with_labels(reduce(DataFrame.unionByName, stacked), labels),
                          ["feature_set", "algorithm"])
-    return scored.withColumn("report", report_line())
+    # six rows, written to the shared checkpoint folder; then the caches are released
+    result = scored.withColumn("report", report_line()).checkpoint(eager=True)
+    for df in held:
+        df.unpersist()
+    return result
