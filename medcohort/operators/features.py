@@ -226,13 +226,20 @@ def feature_dictionary(tuples: DataFrame, num_partitions: int | None = None,
     ``row_number`` window: a single task over a proven-bounded number of rows.
     A larger one takes :func:`feature_dictionary_distributed`.
     """
+    return feature_dictionary_sized(tuples, num_partitions, small_vocabulary)[0]
+
+
+def feature_dictionary_sized(tuples: DataFrame, num_partitions: int | None = None,
+                             small_vocabulary: int = SMALL_VOCABULARY) -> tuple[DataFrame, int | None]:
+    """:func:`feature_dictionary` and its size when the bounded check measured it (else None)."""
     names = tuples.select("feature").distinct()
-    if names.limit(small_vocabulary + 1).count() <= small_vocabulary:
+    n = names.limit(small_vocabulary + 1).count()
+    if n <= small_vocabulary:
         numbered = names.select("feature", (F.row_number().over(Window.orderBy("feature")) - 1)
                                 .cast("int").alias("idx"))
         # size checked above: joins against this dictionary broadcast it
-        return F.broadcast(numbered)
-    return feature_dictionary_distributed(names, num_partitions)
+        return F.broadcast(numbered), n
+    return feature_dictionary_distributed(names, num_partitions), None
 
 
 def feature_dictionary_distributed(names: DataFrame, num_partitions: int | None = None) -> DataFrame:
@@ -321,8 +328,9 @@ def build_vectors(tuples: DataFrame, persist: bool = True,
     """
     if persist:
         tuples = tuples.persist()                  # K1: read by dictionary and vectors
-    dictionary = feature_dictionary(tuples).persist()
-    size = dictionary.count()
+    dictionary, size = feature_dictionary_sized(tuples)
+    dictionary = dictionary.persist()
+    size = size if size is not None else dictionary.count()
     if held is not None:
         held.extend([tuples, dictionary] if persist else [dictionary])
     return dictionary, patient_vectors(patient_vectors_long(tuples, dictionary), size), size

@@ -40,9 +40,8 @@ def project_points(vectors: DataFrame, width: int | None = None,
     # volume-based partition count and sort each partition by patient id.
     ordered = (right_size(vectors, rows, 8 * width + 64)
                .sortWithinPartitions("patient_id").persist())
-    ordered.count()
+    model = C.fit_projection(ordered, width=width)     # its first job fills the ordered cache
     vectors.unpersist()
-    model = C.fit_projection(ordered, width=width)
     dim = min(C.PCA_COMPONENTS, width)
     points = C.project(model, ordered).select("patient_id", "pca").persist()   # K2
     if held is not None:
