@@ -461,6 +461,11 @@ for _alg in ("kmeans", "gmm", "streaming_kmeans"):
     register(f"{_alg}_clusters")(_clusters_query(_alg))
 
 
+@register("clustering_contingency")
+def q_clustering_contingency(spark, sf_dir):
+    return S.clustering_contingency(clin(spark, sf_dir))
+
+
 @register("clustering_report")
 def q_clustering_report(spark, sf_dir):
     return S.run_cohort_study(clin(spark, sf_dir))

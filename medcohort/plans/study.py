@@ -92,23 +92,27 @@ def evaluate_clusterings(labels: DataFrame, vectors: DataFrame, width: int | Non
     return M.purity_by(stacked, ["algorithm"])
 
 
-def run_cohort_study(clinical: ClinicalFrames, parallelism: int = 3,
-                     candidate_lists: dict | None = None) -> DataFrame:
-    """``(feature_set, algorithm, n, purity, inverse_purity, report)``.
+def labelled_assignments(clinical: ClinicalFrames, parallelism: int = 3,
+                         candidate_lists: dict | None = None,
+                         held: list | None = None) -> DataFrame:
+    """``(feature_set, algorithm, patient_id, cluster, label)`` for all six clusterings.
 
     The tagged feature tuples are aggregated once and persisted; the filtered
-    set is a filter on them (the lists filter on the aggregation key). All six
-    clusterings are scored against the labels in one job. ``candidate_lists``
-    maps ``candidate_dx`` / ``candidate_lab`` / ``candidate_med`` to lists or
-    one-column DataFrames (e.g. from ``load_code_lists``); default: the shipped lists.
+    set is a filter on them (the lists filter on the aggregation key).
+    ``candidate_lists`` maps ``candidate_dx`` / ``candidate_lab`` /
+    ``candidate_med`` to lists or one-column DataFrames (e.g. from
+    ``load_code_lists``); default: the shipped lists. Frames cached here are
+    appended to ``held``.
     """
+    held = held if held is not None else []
     ensure_checkpoint_dir(clinical.med.sparkSession)
     labels = P.phenotype_labels(clinical).persist()
     tagged = FE.feature_tuples_tagged(clinical).persist()                    # K1
-    held = [labels, tagged]
+    held += [labels, tagged]
     sets = (("All", tagged.drop("kind")),
             ("Filtered", FE.restrict_tagged(
                 tagged, **(candidate_lists or FE.shipped_candidate_lists())).drop("kind")))
+
     def one_set(feature_set, tuples):
         _, vectors, width = FE.build_vectors(tuples, persist=False, held=held)   # tagged is cached
         assigned = _stack(cluster_all(vectors, width, parallelism, held))
@@ -116,11 +120,34 @@ def run_cohort_study(clinical: ClinicalFrames, parallelism: int = 3,
 
     done = _in_parallel({name: (lambda n=name, t=tuples: one_set(n, t)) for name, tuples in sets},
                         parallelism, tagged.sparkSession)
-    stacked = [done[name] for name, _ in sets]
-    scored = M.purity_by(with_labels(reduce(DataFrame.unionByName, stacked), labels),
-                         ["feature_set", "algorithm"])
-    # six rows, written to the shared checkpoint folder; then the caches are released
-    result = scored.withColumn("report", report_line()).checkpoint(eager=True)
+    return with_labels(reduce(DataFrame.unionByName, [done[name] for name, _ in sets]), labels)
+
+
+def _finish(result: DataFrame, held: list) -> DataFrame:
+    """Write a small result to the shared checkpoint folder, then release the caches."""
+    result = result.checkpoint(eager=True)
     for df in held:
         df.unpersist()
     return result
+
+
+def run_cohort_study(clinical: ClinicalFrames, parallelism: int = 3,
+                     candidate_lists: dict | None = None) -> DataFrame:
+    """``(feature_set, algorithm, n, purity, inverse_purity, report)``.
+
+    All six clusterings are scored against the labels in one job.
+    """
+    held: list = []
+    stacked = labelled_assignments(clinical, parallelism, candidate_lists, held)
+    scored = M.purity_by(stacked, ["feature_set", "algorithm"])
+    return _finish(scored.withColumn("report", report_line()), held)
+
+
+def clustering_contingency(clinical: ClinicalFrames, parallelism: int = 3,
+                           candidate_lists: dict | None = None) -> DataFrame:
+    """A9 for the study: ``(feature_set, algorithm, label, cluster, n)`` pair counts."""
+    held: list = []
+    stacked = labelled_assignments(clinical, parallelism, candidate_lists, held)
+    counts = stacked.groupBy("feature_set", "algorithm", "label", "cluster").agg(
+        F.count(F.lit(1)).alias("n"))
+    return _finish(counts, held)

@@ -117,3 +117,17 @@ def test_parallel_study_equals_sequential(spark):
     seq = sorted(tuple(r) for r in run_cohort_study(c, parallelism=1).select(*cols).collect())
     assert par == seq and len(par) == 6
     assert all(r[2] == 150 for r in par if r[0] == "All")
+
+
+def test_contingency_agrees_with_report(spark):
+    from medcohort.plans.study import clustering_contingency, run_cohort_study
+    c = load_clinical_view(spark, "/root/testdata/sf0.001")
+    counts = clustering_contingency(c).collect()
+    report = {(r.feature_set, r.algorithm): r for r in run_cohort_study(c).collect()}
+    for key, row in report.items():
+        cells = [r for r in counts if (r.feature_set, r.algorithm) == key]
+        assert sum(r.n for r in cells) == row.n
+        by_label = {}
+        for r in cells:
+            by_label[r.label] = max(by_label.get(r.label, 0), r.n)
+        assert abs(sum(by_label.values()) / row.n - row.inverse_purity) < 1e-12
