@@ -69,8 +69,11 @@ def _lookup(key_sql: str, table: dict[int, str], prefix: str) -> Column:
     return F.expr(case_lookup(key_sql, table, prefix))
 
 
-# A spread scan keeps at least this many rows per partition.
+# A spread scan keeps at least this many rows per partition. The session
+# setting below turns spreading off (e.g. for mid-sized tables on a large
+# cluster whose joins shuffle anyway, where the spread is one extra shuffle).
 SPREAD_ROWS_PER_PARTITION = 50_000
+SPREAD_CONF = "spark.medcohort.spreadSmallScans"
 _SPREAD: dict[tuple[str, int, int], int] = {}
 
 
@@ -88,6 +91,8 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """
     path = f"{sf_dir.rstrip('/')}/{name}.parquet"
     df = spark.read.parquet(path)
+    if spark.conf.get(SPREAD_CONF, "true").lower() != "true":
+        return df
     try:
         cores = spark.sparkContext.defaultParallelism
     except Exception:  # no SparkContext on this client

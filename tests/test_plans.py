@@ -64,3 +64,15 @@ def test_dictionary_and_list_joins_broadcast(spark, no_broadcast):
     items = spark.createDataFrame([("250.00",), ("V77.1",)], "item string")
     plan = _plan(FE.dx_features(c.dx, items))
     assert "BroadcastHashJoin" in plan and "LeftSemi" in plan
+
+
+def test_scan_spread_can_be_switched_off(spark):
+    from medcohort.sources.clinical import SPREAD_CONF, read_table
+    spark.conf.set(SPREAD_CONF, "false")
+    try:
+        plain = _plan(read_table(spark, "/root/testdata/sf0.01", "lineitem"))
+    finally:
+        spark.conf.unset(SPREAD_CONF)
+    spread = _plan(read_table(spark, "/root/testdata/sf0.01", "lineitem"))
+    assert "RoundRobinPartitioning" not in plain
+    assert "RoundRobinPartitioning" in spread
