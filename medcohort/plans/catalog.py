@@ -371,6 +371,7 @@ def q_inverse_purity(spark, sf_dir):
 
 # FIXED VALUES of the check: start centres (value, user id) and their weight.
 MINIBATCH_START = [[0.0, 0.0], [100.0, 50.0], [200.0, 100.0]]
+STREAM_TIMEOUT_SECONDS = 1800
 
 
 def _minibatch_sql() -> str:
@@ -416,12 +417,14 @@ def q_minibatch_stream_centres(spark, sf_dir):
 
     from medcohort.streaming.minibatch import start_streaming_kmeans, state_frame
 
-    schema = read_table(spark, sf_dir, "events").schema
+    schema = spark.read.parquet(f"{sf_dir.rstrip('/')}/events.parquet").schema
     stream = spark.readStream.schema(schema).parquet(f"{sf_dir.rstrip('/')}/[e]vents.parquet")
     pts = stream.select(F.array(F.col("value"), F.col("user_id").cast("double")).alias("features"))
     start = C.Centres(MINIBATCH_START, [C.STREAM_START_WEIGHT] * len(MINIBATCH_START))
     query, base = start_streaming_kmeans(spark, pts, start, name=f"minibatch-{uuid.uuid4().hex}")
-    query.awaitTermination()
+    if not query.awaitTermination(STREAM_TIMEOUT_SECONDS):   # availableNow: drains, then stops
+        query.stop()
+        raise TimeoutError("streaming k-means query did not drain its input in time")
     if query.exception() is not None:
         raise RuntimeError(str(query.exception()))
     return state_frame(spark, base).select(
