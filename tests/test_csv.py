@@ -141,3 +141,33 @@ def test_null_in_used_column_fails_or_drops(spark):
 def test_source_table_name_column(spark, raw_dir):
     df = CT.load_csv_as_table(spark, os.path.join(raw_dir, CT.MED_FILE))
     assert {r.v for r in df.select(CT.source_table_name().alias("v")).collect()} == {"medication_orders_INPUT"}
+
+
+def test_csv_round_trip_gives_the_same_phenotype(spark, tmp_path):
+    """The clinical view written as raw CSV exports and read back labels every patient alike."""
+    from medcohort.operators import phenotype as P
+    from medcohort.sources.clinical import load_clinical_view
+    view = load_clinical_view(spark, "/root/testdata/sf0.001")
+    stamp = lambda c: F.date_format(c, "yyyy-MM-dd'T'HH:mm:ss'Z'")
+    d = str(tmp_path)
+
+    def write(df, name):
+        df.coalesce(1).write.option("header", True).csv(os.path.join(d, name))
+
+    dx = view.dx.withColumn("Encounter_ID", F.monotonically_increasing_id().cast("string")).persist()
+    write(dx.select("Encounter_ID", F.col("patient_id").alias("Member_ID"),
+                    stamp("date").alias("Encounter_DateTime")), CT.ENCOUNTER_FILE)
+    write(dx.select("Encounter_ID", F.col("code").alias("Code_ID")), CT.ENCOUNTER_DX_FILE)
+    write(view.lab.select(F.col("patient_id").alias("Member_ID"), stamp("date").alias("Date_Resulted"),
+                          F.col("test_name").alias("Result_Name"),
+                          F.format_number("value", 6).alias("Numeric_Result")), CT.LAB_FILE)
+    write(view.med.select(F.col("patient_id").alias("Member_ID"), stamp("date").alias("Order_Date"),
+                          F.upper("medicine").alias("Drug_Name")), CT.MED_FILE)
+
+    csv = CT.load_clinical_csv(spark, d)
+    assert csv.dx.count() == view.dx.count() and csv.lab.count() == view.lab.count()
+    a, b = P.phenotype_labels(csv), P.phenotype_labels(view)
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+    ga = {r.label: round(r.mean_glucose, 6) for r in P.glucose_mean_by_label(csv.lab, a).collect()}
+    gb = {r.label: round(r.mean_glucose, 6) for r in P.glucose_mean_by_label(view.lab, b).collect()}
+    assert ga == gb
