@@ -166,3 +166,13 @@ def test_streaming_restart_resumes_from_saved_state(spark, tmp_path):
     cs, ws = brute_update(second, cs, ws, 1.0, "points")
     np.testing.assert_allclose(np.array(got.centers), cs, rtol=1e-9)
     np.testing.assert_allclose(np.array(got.weights), ws)
+
+
+def test_evaluate_clusterings_entry_point(spark):
+    from medcohort.operators import phenotype as P
+    from medcohort.plans.study import evaluate_clusterings
+    c = load_clinical_view(spark, "/root/testdata/sf0.001")
+    _, vectors, width = FE.build_vectors(FE.feature_tuples(c))
+    rows = {r.algorithm: r for r in evaluate_clusterings(P.phenotype_labels(c), vectors, width).collect()}
+    assert set(rows) == {"kMeans", "GMM", "StreamingKmeans"}
+    assert all(r.n == 150 and 0 < r.purity <= 1 and 0 < r.inverse_purity <= 1 for r in rows.values())
