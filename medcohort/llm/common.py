@@ -10,6 +10,8 @@ from collections.abc import Iterator, Sequence
 from pathlib import Path
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -82,16 +84,15 @@ def sha256_hex(column: Column) -> Column:
 # --- vectorised text ---------------------------------------------------------------------
 
 
-def steps(texts: Sequence[str | None], limit: int = STEP_BYTES) -> Iterator[tuple[int, int]]:
-    """Row ranges of about ``limit`` characters."""
-    begin, size = 0, 0
-    for k, text in enumerate(texts):
-        size += len(text or "")
-        if size >= limit:
-            yield begin, k + 1
-            begin, size = k + 1, 0
-    if begin < len(texts):
-        yield begin, len(texts)
+def steps(texts: pa.Array, limit: int = STEP_BYTES) -> Iterator[tuple[int, int]]:
+    """Row ranges of about ``limit`` bytes of text; a longer text is a range of its own."""
+    size = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+    begin = 0
+    while begin < len(size):
+        base = size[begin - 1] if begin else 0
+        stop = max(begin + 1, int(np.searchsorted(size, base + limit, "right")))
+        yield begin, stop
+        begin = stop
 
 
 def mix(x: np.ndarray) -> np.ndarray:

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from medcohort.llm import packing, sharding, url_filters
+from medcohort.llm import packing, sharding, toxicity, url_filters
 
 QUERIES = {
+    "op1_toxicity": toxicity.op1_toxicity,
     "op2_best_fit_packing": packing.op2_best_fit_packing,
     "op8_sharding": sharding.op8_sharding,
     "op9_url_filters": url_filters.op9_url_filters,
