@@ -2,71 +2,85 @@
 
 from __future__ import annotations
 
+import json
 import os
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from medcohort.llm.common import map_arrow, materialise, read_table, ship_code, steps
+from medcohort.llm.common import STEP_BYTES, map_arrow, materialise, read_table, ship_code, steps
 
 MAX_TOKENS = 4096
 END_ID = 1
 #: Pieces that one packing task gets on average. Every group ends with at most one poorly filled sequence.
 GROUP_PIECES = 50_000
-#: Chunks whose ids a Python worker remembers before it starts afresh (a bound on memory, not on the input).
-CACHE_CHUNKS = 600_000
+#: Word parts whose ids a Python worker remembers before it starts afresh (a bound on memory, not on the input).
+CACHE_PARTS = 1_000_000
 PIECE_SCHEMA = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
+def _visible_bytes() -> dict[int, int]:
+    """How byte-level BPE writes a byte (as Latin-1): printable ones as themselves, the rest as 256, 257, ..."""
+    hidden = [b for b in range(256) if not (33 <= b <= 126 or 161 <= b <= 172 or 174 <= b <= 255)]
+    return {b: 256 + k for k, b in enumerate(hidden)}
+
+
 class ChunkTokenizer:
     """Token ids of texts, chunk by chunk.
 
     Texts are cut at blanks, tabs and line ends, which the tokenizer drops and across which it joins nothing, so
-    the ids of a text are those of its chunks in order. Every distinct chunk is encoded once per worker.
+    the ids of a text are those of its chunks in order. Chunks of printable Latin letters, which the tokenizer's normaliser only lower-cases, are cut
+    by the tokenizer's own pattern and only unseen parts go to its model; all others go to the whole tokenizer.
     """
 
     def __init__(self, path: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
+        import regex
         from tokenizers import Tokenizer
 
-        self.model = Tokenizer.from_file(path)
-        self.clear()
-
-    def clear(self) -> None:
-        self.known: dict[str, int] = {}
-        self.flat, self.begin, self.size = np.zeros(0, np.uint32), np.zeros(0, np.int64), np.zeros(0, np.int64)
-
-    def learn(self, chunks: list[str]) -> None:
-        base = len(self.known)
-        self.known.update((c, base + k) for k, c in enumerate(chunks))
-        ids = [e.ids for e in self.model.encode_batch_fast(chunks, add_special_tokens=False)]
-        size = np.fromiter(map(len, ids), np.int64, len(ids))
-        begin = len(self.flat) + np.cumsum(size) - size
-        self.flat = np.concatenate([self.flat, np.array([x for i in ids for x in i], np.uint32)])
-        self.begin, self.size = np.concatenate([self.begin, begin]), np.concatenate([self.size, size])
-
-    def encode(self, texts: list[str | None]) -> Iterator[np.ndarray]:
-        if len(self.known) > CACHE_CHUNKS:
-            self.clear()
-        split = [(t or "").replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ") for t in texts]
-        chunks = [c for s in split for c in s]
-        new = set(chunks).difference(self.known)
-        if new:
-            self.learn(list(new))
-        at = np.fromiter(map(self.known.__getitem__, chunks), np.int64, len(chunks))
-        size = self.size[at]
-        ends = np.cumsum(size)
-        ids = self.flat[np.repeat(self.begin[at] - (ends - size), size) + np.arange(ends[-1] if len(ends) else 0)]
-        first = 0
-        stops = np.cumsum([len(s) for s in split])
-        for stop in stops:
-            last = int(ends[stop - 1])
+        self.whole = Tokenizer.from_file(path)
+        self.model = self.whole.model
+        with open(path, encoding="utf-8") as file:
+            cuts = json.load(file)["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"]
+        self.cut = regex.compile(cuts).findall
+        self.visible = _visible_bytes()
+        self.parts: dict[str, bytes] = {}
+
+    def part(self, part: str) -> bytes:
+        ids = self.parts.get(part)
+        if ids is None:
+            shown = part if part.isascii() else part.encode("utf-8").decode("latin-1").translate(self.visible)
+            ids = self.parts[part] = array("I", [t.id for t in self.model.tokenize(shown)]).tobytes()
+        return ids
+
+    def chunk(self, chunk: str) -> bytes:
+        if chunk and (chunk.isascii() or max(chunk) < "\u0250") and chunk.isprintable() and "<|" not in chunk:
+            found = self.cut(chunk.lower())
+            return self.part(found[0]) if len(found) == 1 else b"".join(map(self.part, found))
+        return array("I", self.whole.encode(chunk, add_special_tokens=False).ids).tobytes()
+
+    def encode(self, texts: pa.Array) -> Iterator[np.ndarray]:
+        if len(self.parts) > CACHE_PARTS:
+            self.parts = {}
+        split = pc.ascii_split_whitespace(texts.cast(pa.large_string()).fill_null(""))
+        coded = split.flatten().dictionary_encode()
+        known = [self.chunk(c) for c in coded.dictionary.to_pylist()]  # each distinct chunk once
+        flat = np.frombuffer(b"".join(known), np.uint32)
+        sizes = np.fromiter(map(len, known), np.int64, len(known)) // 4
+        at = coded.indices.to_numpy()
+        size = sizes[at]
+        ends = np.concatenate([np.zeros(1, np.int64), np.cumsum(size)])
+        ids = flat[np.repeat((np.cumsum(sizes) - sizes)[at] - ends[:-1], size) + np.arange(ends[-1])]
+        stops = split.offsets.to_numpy()
+        stops = ends[stops - stops[0]]
+        for first, last in zip(stops[:-1], stops[1:], strict=True):
             yield ids[first:last]
-            first = last
 
 
 _TOKENIZERS: dict[str, ChunkTokenizer] = {}
@@ -87,8 +101,8 @@ def tokenised_pieces(docs: DataFrame, tokenizer_path: str, max_tokens: int = MAX
         for batch in batches:
             ids, text = batch.column(0).to_pylist(), batch.column(1)
             rows = []
-            for a, b in steps(text.to_pylist()):
-                for doc, tokens in zip(ids[a:b], encoder.encode(text.slice(a, b - a).to_pylist()), strict=True):
+            for a, b in steps(text, 12 * STEP_BYTES):
+                for doc, tokens in zip(ids[a:b], encoder.encode(text.slice(a, b - a)), strict=True):
                     data = np.append(tokens, np.uint32(end_id)).astype("<u4")
                     for k, start in enumerate(range(0, len(data), max_tokens)):
                         part = data[start: start + max_tokens]
