@@ -174,3 +174,15 @@ def word_hashes(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nda
     total = np.zeros(n + 1, np.uint64)
     np.cumsum((raw.astype(np.uint64) + np.uint64(1)) * up[:n], out=total[1:])
     return mix((total[ends] - total[starts]) * down[starts] + (ends - starts).astype(np.uint64))
+
+
+#: Rows of a narrow fixed-width table up to which it may be broadcast (about 40 MB in memory).
+BROADCAST_ROWS = 500_000
+
+
+def if_small(stored: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
+    """A stored narrow table, marked for broadcasting if a count of its rows proves it small.
+
+    Beyond the bound the same join runs as a shuffled one.
+    """
+    return F.broadcast(stored) if stored.count() <= rows else stored
