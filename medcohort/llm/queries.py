@@ -2,17 +2,19 @@
 
 from __future__ import annotations
 
-from medcohort.llm import line_dedup, packing, sharding, toxicity, url_filters
+from medcohort.llm import decontamination, line_dedup, packing, sharding, toxicity, url_filters
 
 QUERIES = {
     "op1_toxicity": toxicity.op1_toxicity,
     "op2_best_fit_packing": packing.op2_best_fit_packing,
     "op4_line_dedup": line_dedup.op4_line_dedup,
+    "op5_benchmark_decontamination": decontamination.op5_benchmark_decontamination,
     "op8_sharding": sharding.op8_sharding,
     "op9_url_filters": url_filters.op9_url_filters,
 }
 
 ORACLES = {
     "op4_line_dedup": line_dedup.ORACLE,
+    "op5_benchmark_decontamination": decontamination.ORACLE,
     "op9_url_filters": url_filters.ORACLE,
 }
