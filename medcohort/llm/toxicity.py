@@ -16,7 +16,7 @@ GRAMS = (4, 5)
 #: n-grams are hashed into 2 ** BITS weights.
 BITS = 20
 #: The fit sees at most this many labelled rows of each class, those with the smallest hash of their id.
-MAX_ROWS_PER_CLASS = 2500
+MAX_ROWS_PER_CLASS = 1500
 THRESHOLD = 0.3
 #: Smoothing of the counts; least log-count ratio of a bucket that gets a weight; ridge; rounds of the fit.
 ALPHA, LEAST_RATIO, L2, ROUNDS = 1.0, 0.5, 1e-3, 300
