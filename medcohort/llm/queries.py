@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from medcohort.llm import decontamination, line_dedup, packing, sharding, toxicity, url_filters
+from medcohort.llm import decontamination, line_dedup, ngram_join, packing, sharding, toxicity, url_filters
 
 QUERIES = {
     "op1_toxicity": toxicity.op1_toxicity,
@@ -11,10 +11,12 @@ QUERIES = {
     "op5_benchmark_decontamination": decontamination.op5_benchmark_decontamination,
     "op8_sharding": sharding.op8_sharding,
     "op9_url_filters": url_filters.op9_url_filters,
+    "op10_ngram_jaccard_join": ngram_join.op10_ngram_jaccard_join,
 }
 
 ORACLES = {
     "op4_line_dedup": line_dedup.ORACLE,
     "op5_benchmark_decontamination": decontamination.ORACLE,
     "op9_url_filters": url_filters.ORACLE,
+    "op10_ngram_jaccard_join": ngram_join.ORACLE,
 }
