@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from medcohort.llm import decontamination, line_dedup, ngram_join, packing, sharding, toxicity, url_filters
+from medcohort.llm import (decontamination, line_dedup, ngram_join, packing, sharding, substring_dedup, toxicity,
+                           url_filters)
 
 QUERIES = {
     "op1_toxicity": toxicity.op1_toxicity,
     "op2_best_fit_packing": packing.op2_best_fit_packing,
+    "op3_substring_dedup": substring_dedup.op3_substring_dedup,
     "op4_line_dedup": line_dedup.op4_line_dedup,
     "op5_benchmark_decontamination": decontamination.op5_benchmark_decontamination,
     "op8_sharding": sharding.op8_sharding,
@@ -15,6 +17,7 @@ QUERIES = {
 }
 
 ORACLES = {
+    "op3_substring_dedup": substring_dedup.ORACLE,
     "op4_line_dedup": line_dedup.ORACLE,
     "op5_benchmark_decontamination": decontamination.ORACLE,
     "op9_url_filters": url_filters.ORACLE,
