@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from medcohort.llm import (decontamination, line_dedup, ngram_join, packing, sharding, substring_dedup, toxicity,
-                           url_filters)
+from medcohort.llm import (decontamination, embedding_dedup, line_dedup, ngram_join, packing, sharding, substring_dedup,
+                           toxicity, url_filters)
 
 QUERIES = {
     "op1_toxicity": toxicity.op1_toxicity,
@@ -11,6 +11,7 @@ QUERIES = {
     "op3_substring_dedup": substring_dedup.op3_substring_dedup,
     "op4_line_dedup": line_dedup.op4_line_dedup,
     "op5_benchmark_decontamination": decontamination.op5_benchmark_decontamination,
+    "op6_embedding_near_dedup": embedding_dedup.op6_embedding_near_dedup,
     "op8_sharding": sharding.op8_sharding,
     "op9_url_filters": url_filters.op9_url_filters,
     "op10_ngram_jaccard_join": ngram_join.op10_ngram_jaccard_join,
