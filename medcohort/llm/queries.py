@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from medcohort.llm import (decontamination, embedding_dedup, line_dedup, ngram_join, packing, sharding, substring_dedup,
-                           toxicity, url_filters)
+from medcohort.llm import (decontamination, embedding_dedup, html_extraction, line_dedup, ngram_join, packing, sharding,
+                           substring_dedup, toxicity, url_filters)
 
 QUERIES = {
     "op1_toxicity": toxicity.op1_toxicity,
@@ -12,6 +12,7 @@ QUERIES = {
     "op4_line_dedup": line_dedup.op4_line_dedup,
     "op5_benchmark_decontamination": decontamination.op5_benchmark_decontamination,
     "op6_embedding_near_dedup": embedding_dedup.op6_embedding_near_dedup,
+    "op7_html_extraction": html_extraction.op7_html_extraction,
     "op8_sharding": sharding.op8_sharding,
     "op9_url_filters": url_filters.op9_url_filters,
     "op10_ngram_jaccard_join": ngram_join.op10_ngram_jaccard_join,
