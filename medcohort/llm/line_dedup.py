@@ -28,6 +28,7 @@ def _near_lines(distinct: DataFrame, docs: DataFrame, min_words: int) -> DataFra
     shared = None
     for end in ("head", "tail"):
         again = able.groupBy(end).agg(F.count("*").alias("lines")).where("lines > 1").select(end)
+        again = if_small(materialise(again, "line-ends"))
         part = able.join(again, end, "left_semi").select("h1", "h2", "n", "at")
         shared = part if shared is None else shared.unionByName(part)
     shared = materialise(shared.distinct(), "line-able")
@@ -57,16 +58,23 @@ def _near_lines(distinct: DataFrame, docs: DataFrame, min_words: int) -> DataFra
         F.expr("bit_xor(own)").over(whole).alias("full"))
     variants = materialise(variants, "line-variants")
 
+    # most variants are alone with their hash: only the others go on with their lines
+    full = variants.where("k = 1").select("h1", "h2", "at", F.lit(0).alias("k"), "n", F.col("full").alias("rest"))
+    keyed = variants.drop("full").unionByName(full)
+    met = keyed.groupBy("rest").agg(F.count("*").alias("lines")).where("lines > 1").select("rest")
+    live = materialise(keyed.join(if_small(materialise(met, "line-met")), "rest", "left_semi"), "line-live")
+
     # one word replaced: the same rest, length and place; the earliest line of each key stands for all before it
-    same = ["rest", "n", "k"]
-    first = variants.groupBy(*same).agg(F.min(F.struct("at", "h1", "h2")).alias("e"), F.count("*").alias("lines"))
-    replaced = (variants.join(first.where("lines > 1"), same).where(F.col("at") > F.col("e.at"))
+    same, whole_lines = ["rest", "n", "k"], live.where("k = 0")
+    live = live.where("k > 0")
+    first = live.groupBy(*same).agg(F.min(F.struct("at", "h1", "h2")).alias("e"), F.count("*").alias("lines"))
+    replaced = (live.join(first.where("lines > 1"), same).where(F.col("at") > F.col("e.at"))
                 .select("h1", "h2", F.col("k").alias("k1"), F.col("e.h1").alias("g1"), F.col("e.h2").alias("g2"),
                         F.col("k").alias("k2")))
     # one word more: the rest of the longer line is the shorter line, of which there is one
-    shorter = variants.where("k = 1").select(F.col("full").alias("rest"), (F.col("n") + 1).alias("n"),
-                                             F.col("h1").alias("s1"), F.col("h2").alias("s2"), F.col("at").alias("s_at"))
-    longer = variants.join(shorter, ["rest", "n"])
+    shorter = whole_lines.select("rest", (F.col("n") + 1).alias("n"), F.col("h1").alias("s1"),
+                                 F.col("h2").alias("s2"), F.col("at").alias("s_at"))
+    longer = live.join(shorter, ["rest", "n"])
     after = F.col("at") > F.col("s_at")
     longer = longer.select(
         *(F.when(after, F.col(a)).otherwise(F.col(b)).alias(name) for name, a, b in
@@ -109,9 +117,10 @@ def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
             .agg(F.sort_array(F.collect_list("at.line")).alias("stay")))
     # a byte for each line up to the last that stays: 1 where it stays
     stay = stay.select(F.col("doc_id").alias("_d"), F.col("text_hash").alias("_t"), F.array_join(F.transform(
-        "stay", lambda x, k: F.concat(F.expr("repeat('0', 0)"), F.repeat(
+        "stay", lambda x, k: F.concat(F.repeat(
             F.lit("0"), x - F.when(k == 0, -1).otherwise(F.get("stay", k - 1)) - 1), F.lit("1"))), "")
         .cast("binary").alias(bits))
+    stay = if_small(materialise(stay, "line-stay"))
     joined = docs.withColumn(hidden, F.xxhash64("text")).join(
         stay, F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col(hidden) == F.col("_t")), "left")
     split = F.split("text", "\n")
