@@ -9,7 +9,8 @@ import __spark_entry__ as E
 
 from .conftest import SF0001
 
-TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events"]
+TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
+          "documents", "embeddings", "pages", "benchmark", "labels", "conversations"]
 
 
 @pytest.fixture(scope="module")
