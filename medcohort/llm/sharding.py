@@ -103,12 +103,12 @@ def shard(docs: DataFrame, shards: int = SHARDS, bits: int = BITS) -> DataFrame:
     inside = Window.partitionBy("curve").orderBy("slice", "part")
     base = (counts.withColumn("run_base", F.sum("n").over(inside) - F.col("n"))
             .join(before, "curve").select(*run, (F.col("cell_base") + F.col("run_base")).alias("base")))
-    total = per_cell.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("total"))
+    total = per_cell.agg(F.sum("n").alias("total")).scalar()
 
     order = Window.partitionBy(*run).orderBy("text_hash", "doc_id")
     placed = (rows.withColumn("rank", F.row_number().over(order) - 1)
               .join(base, run)
-              .crossJoin(F.broadcast(total))  # one row
+              .withColumn("total", total)
               .withColumn("place", F.col("base") + F.col("rank"))
               .withColumn("shard", F.expr(f"place * {shards} div total")))
     first = F.expr(f"(shard * total + {shards - 1}) div {shards}")

@@ -49,8 +49,8 @@ def filter_urls(pages: DataFrame, rules: DataFrame | Sequence[tuple[str, str, st
     known = rules.dropna().select(
         "rule_host", "rule_path", "rule_verdict", _digest(F.col("rule_host"), F.col("rule_path")).alias("full"))
     known = known.withColumn("short", F.substring("full", 1, PREFIX_DIGITS))
-    # one row: the distinct path lengths of the rules, at most as many as the longest rule has characters
-    lengths = known.agg(F.collect_set(F.length("rule_path")).alias("lengths"))
+    # one value: the distinct path lengths of the rules, at most as many as the longest rule has characters
+    lengths = known.agg(F.collect_set(F.length("rule_path")).alias("lengths")).scalar()
 
     rows = pages.select(F.col(id_col).alias("id"), F.col(url_col).alias("url"))
     # the distinct urls are judged once each, so a repeated url is neither expanded nor joined twice
@@ -62,7 +62,7 @@ def filter_urls(pages: DataFrame, rules: DataFrame | Sequence[tuple[str, str, st
                     lambda k: F.array_join(F.slice(labels, k, F.size(labels)), ".")))
     prefixes = F.transform(F.filter("lengths", lambda n: n <= F.length("path")),
                            lambda n: F.substring(F.col("path"), F.lit(1), n))
-    tried = (urls.crossJoin(F.broadcast(lengths))  # against one row
+    tried = (urls.withColumn("lengths", lengths)
              .select("url", F.explode(suffixes).alias("try_host"), prefixes.alias("prefixes"))
              .select("url", "try_host", F.explode("prefixes").alias("try_path"))
              .select("url", _digest(F.col("try_host"), F.col("try_path")).alias("try_full"))
