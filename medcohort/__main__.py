@@ -8,8 +8,9 @@ from __future__ import annotations
 
 import argparse
 
+from pyspark.sql import SparkSession
+
 from medcohort.plans.study import run_cohort_study
-from medcohort.session import local_session
 from medcohort.sources.clinical import load_clinical_view
 from medcohort.sources.csv_tables import load_clinical_csv, load_code_lists
 from medcohort.sources.sinks import purity_report_lines
@@ -21,10 +22,9 @@ def main(argv=None) -> None:
     src.add_argument("--tables", help="folder with orders.parquet and lineitem.parquet")
     src.add_argument("--csv", help="folder with the raw CSV exports")
     ap.add_argument("--lists", help="folder with med_filter.txt, lab_filter.txt, icd9_filter.txt")
-    ap.add_argument("--master", default="*", help="local cores when no session is configured")
     args = ap.parse_args(argv)
 
-    spark = local_session(args.master)
+    spark = SparkSession.builder.appName("medcohort").getOrCreate()   # master and settings come from spark-submit
     clinical = load_clinical_view(spark, args.tables) if args.tables else load_clinical_csv(spark, args.csv)
     lists = None
     if args.lists:

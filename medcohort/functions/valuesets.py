@@ -47,12 +47,6 @@ DM_RELATED_DX = [
 # V5 wildcard row "250.*": any code with this prefix is diabetes related.
 DM_RELATED_PREFIX = "250."
 
-# V6: glucose measures. Published but unused by the rule; kept for reference only.
-GLUCOSE_MEASURE = [
-    "hbA1c", "hemoglobin a1c", "fasting glucose", "fasting blood glucose", "fasting plasma glucose",
-    "glucose", "glucose, serum",
-]
-
 # Substring that marks a patient as glucose-tested (lower-cased lab name).
 GLUCOSE_TESTED_SUBSTRING = "glucose"
 # Lab name (lower-cased, exact) whose mean is reported per label.
@@ -128,7 +122,3 @@ def candidate_labs() -> list[str]:
 
 def candidate_diagnoses() -> list[str]:
     return _lower_distinct(ICD9_FILTER_LINES)
-
-
-def distinct(values: list[str]) -> list[str]:
-    return list(dict.fromkeys(values))

@@ -8,17 +8,18 @@ size (bounded by the code vocabulary, not by the number of events).
 
 from __future__ import annotations
 
+import uuid
 from functools import reduce
 from typing import Iterable, Union
 
-from pyspark.ml.functions import array_to_vector
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.ml.linalg import VectorUDT
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from medcohort.functions import valuesets as V
-from medcohort.functions.joins import join_small, semi_join_small
 from medcohort.functions.sqltext import in_list, quote
-from medcohort.session import ensure_checkpoint_dir
+from medcohort.session import ensure_checkpoint_dir, state_dir
 from medcohort.sources.clinical import ClinicalFrames
 
 Candidates = Union[Iterable[str], DataFrame, None]
@@ -30,8 +31,8 @@ def _restrict(events: DataFrame, col: str, candidates: Candidates, ignore_case:
     """Keep events whose ``col`` is in the candidate list.
 
     A Python list becomes an ``InSet`` predicate (no join). A DataFrame list
-    (one column ``item``) is a semi join, broadcast only after its size is
-    checked (see :func:`semi_join_small`).
+    (one column ``item``) is a semi join; the planner picks its strategy from
+    the sizes it measures.
     """
     if candidates is None:
         return events
@@ -40,8 +41,8 @@ def _restrict(events: DataFrame, col: str, candidates: Candidates, ignore_case:
         items = candidates.select(F.col(candidates.columns[0]).alias("_item"))
         if ignore_case:
             items = items.select(F.lower("_item").alias("_item"))
-        return semi_join_small(events.withColumn("_key", key), items.distinct(),
-                               F.col("_key") == F.col("_item")).drop("_key")
+        return events.withColumn("_key", key).join(
+            items.distinct(), F.col("_key") == F.col("_item"), "left_semi").drop("_key")
     values = list(dict.fromkeys(candidates))
     if ignore_case:
         values = list(dict.fromkeys(v.lower() for v in values))
@@ -100,8 +101,7 @@ def restrict_tagged(tagged: DataFrame, candidate_dx: Candidates = None, candidat
 def _restrict_tagged_frames(tagged: DataFrame, lists: dict, ignore_case: bool) -> DataFrame:
     """List filters where some lists are DataFrames ``(item)``: one semi join on (kind, feature).
 
-    Domains without a list pass through; the (kind, item) side is broadcast
-    only after its size is checked.
+    Domains without a list pass through.
     """
     spark = tagged.sparkSession
     parts, open_kinds = [], []
@@ -117,8 +117,8 @@ def _restrict_tagged_frames(tagged: DataFrame, lists: dict, ignore_case: bool) -
     allowed = reduce(DataFrame.unionByName, parts).distinct()
     key = F.lower(F.col("feature")) if ignore_case else F.col("feature")
     listed = tagged.filter(~F.col("kind").isin(*open_kinds)) if open_kinds else tagged
-    kept = semi_join_small(listed.withColumn("_key", key), allowed,
-                           (F.col("kind") == F.col("_kind")) & (F.col("_key") == F.col("_item"))).drop("_key")
+    kept = listed.withColumn("_key", key).join(
+        allowed, (F.col("kind") == F.col("_kind")) & (F.col("_key") == F.col("_item")), "left_semi").drop("_key")
     if open_kinds:
         kept = kept.unionByName(tagged.filter(F.col("kind").isin(*open_kinds)))
     return kept
@@ -170,8 +170,8 @@ def feature_tuples(clinical: ClinicalFrames, candidate_dx: Candidates = None,
 
     Features are keyed by name only, as in the reference, so one name used in
     two domains for one patient yields two tuples; :func:`assert_unique_features`
-    detects that. A candidate list given as a DataFrame is applied per domain
-    with a size-checked semi join.
+    detects that, and :func:`qualified_tuples` keeps them apart. A candidate list
+    given as a DataFrame is applied per domain with a semi join.
     """
     lists = (candidate_dx, candidate_lab, candidate_med)
     if any(isinstance(c, DataFrame) for c in lists):
@@ -212,38 +212,28 @@ def assert_unique_features(tuples: DataFrame) -> None:
 # H0: feature dictionary, 0-based ids in binary name order, built distributed
 # ---------------------------------------------------------------------------
 
-# Vocabularies up to this many names are numbered in one window task; larger
-# ones take the distributed path. The check is a bounded count (limit + 1).
-SMALL_VOCABULARY = 1_000_000
-
+def feature_names(clinical: ClinicalFrames) -> DataFrame:
+    """``(feature)``: the distinct names straight from the events, without the per-patient aggregate."""
+    if clinical.lines is not None:
+        names = clinical.lines.select(F.explode(F.array("code", "test_name")).alias("feature")).where("feature IS NOT NULL")
+    else:
+        names = clinical.dx.select(F.col("code").alias("feature")).unionByName(
+            clinical.lab.select(F.col("test_name").alias("feature")))
+    return names.unionByName(clinical.med.select(F.col("medicine").alias("feature"))).distinct()
 
-def feature_dictionary(tuples: DataFrame, num_partitions: int | None = None,
-                       small_vocabulary: int = SMALL_VOCABULARY) -> DataFrame:
-    """``(feature string, idx int)``: dense 0-based ids in binary name order.
 
-    The distinct names are counted first (reading at most ``small_vocabulary``
-    + 1 of them). A vocabulary within that bound is numbered by one
-    ``row_number`` window: a single task over a proven-bounded number of rows.
-    A larger one takes :func:`feature_dictionary_distributed`.
-    """
-    return feature_dictionary_sized(tuples, num_partitions, small_vocabulary)[0]
+def qualified_tuples(tagged: DataFrame) -> DataFrame:
+    """H2: tagged tuples with the domain in the feature key (``dx:250.00``), so names of two domains never clash."""
+    return tagged.select("patient_id", F.concat_ws(":", "kind", "feature").alias("feature"), "value")
 
 
-def feature_dictionary_sized(tuples: DataFrame, num_partitions: int | None = None,
-                             small_vocabulary: int = SMALL_VOCABULARY) -> tuple[DataFrame, int | None]:
-    """:func:`feature_dictionary` and its size when the bounded check measured it (else None)."""
-    names = tuples.select("feature").distinct()
-    n = names.limit(small_vocabulary + 1).count()
-    if n <= small_vocabulary:
-        numbered = names.select("feature", (F.row_number().over(Window.orderBy("feature")) - 1)
-                                .cast("int").alias("idx"))
-        # size checked above: joins against this dictionary broadcast it
-        return F.broadcast(numbered), n
-    return feature_dictionary_distributed(names, num_partitions), None
+def feature_dictionary(tuples: DataFrame, num_partitions: int | None = None) -> DataFrame:
+    """``(feature string, idx int)``: dense 0-based ids in binary name order of the ``feature`` column."""
+    return feature_dictionary_distributed(tuples, num_partitions)
 
 
 def feature_dictionary_distributed(names: DataFrame, num_partitions: int | None = None) -> DataFrame:
-    """Distributed ``zipWithIndex`` in DataFrame form for an unbounded vocabulary.
+    """Number the distinct names of any vocabulary, however large.
 
     Names are range partitioned (balanced by sampling, so no task holds a hot
     share), the partition id is frozen by a checkpoint to the shared checkpoint
@@ -273,8 +263,8 @@ def feature_dictionary_distributed(names: DataFrame, num_partitions: int | None
 def patient_vectors_long(tuples: DataFrame, dictionary: DataFrame) -> DataFrame:
     """``(patient_id, idx, value)``: the COO form of the sparse vectors.
 
-    A dictionary from the size-checked path carries a broadcast hint; a larger
-    one is joined by a shuffle (AQE splits a skewed feature).
+    The planner broadcasts a dictionary that it measures to be small and splits
+    a skewed feature of a larger one.
     """
     return tuples.join(dictionary, "feature", "inner").select("patient_id", "idx", "value")
 
@@ -292,47 +282,30 @@ def sparse_entries(vectors_long: DataFrame) -> DataFrame:
     return e.select("patient_id", indices.cast("array<int>").alias("indices"), F.col("e.value").alias("values"))
 
 
-def dense_array(indices: Column, values: Column, size: int) -> Column:
-    """Dense ``array<double>`` of ``size`` from index-sorted sparse entries.
-
-    Each entry is emitted after a run of zeros covering the gap since the
-    previous index, the pieces are flattened and the tail padded: O(size +
-    entries) per patient, all in the JVM (a map lookup per slot would cost
-    O(size * entries)).
-    """
-    prev = lambda p: F.when(p == 0, F.lit(-1)).otherwise(indices[p - 1])
-    pieces = F.transform(indices, lambda i, p: F.concat(
-        F.array_repeat(F.lit(0.0), i - prev(p) - 1), F.array(values[p])))
-    tail = F.array_repeat(F.lit(0.0), F.lit(size - 1) - F.coalesce(F.array_max(indices), F.lit(-1)))
-    return F.concat(F.flatten(pieces), tail)
-
-
 def patient_vectors(vectors_long: DataFrame, size: int) -> DataFrame:
-    """``(patient_id, features vector)`` dense ML vectors of width ``size``.
+    """``(patient_id, features)``: sparse ML vectors of width ``size``.
 
-    Only patients with at least one tuple appear. ``size`` is the dictionary
-    size (``feature_dictionary(...).count()``).
+    The entries are laid out as the vector type stores them, written to the
+    shared folder and read back under that type, so no Python touches a row and
+    no vector is filled up. Only patients with at least one tuple appear.
+    ``size`` is the dictionary size.
     """
-    entries = sparse_entries(vectors_long)
-    return entries.select(
-        "patient_id",
-        array_to_vector(dense_array(F.col("indices"), F.col("values"), size)).alias("features"))
+    spark = vectors_long.sparkSession
+    layout = F.struct(F.lit(0).cast("tinyint").alias("type"), F.lit(size).alias("size"), "indices", "values")
+    path = state_dir(spark, f"vectors-{uuid.uuid4().hex}")
+    sparse_entries(vectors_long).select("patient_id", layout.alias("features")).write.parquet(path)
+    schema = StructType([StructField("patient_id", StringType()), StructField("features", VectorUDT())])
+    return spark.read.schema(schema).parquet(path)
 
 
-def build_vectors(tuples: DataFrame, persist: bool = True,
-                  held: list | None = None) -> tuple[DataFrame, DataFrame, int]:
-    """Dictionary, dense vectors and width for a tuple frame (H0 + H1).
+def build_vectors(tuples: DataFrame, names: DataFrame | None = None) -> tuple[DataFrame, DataFrame, int]:
+    """Dictionary, sparse vectors and width for a tuple frame (H0 + H1).
 
-    ``persist=False`` when the caller already caches the tuples' source.
-    Frames this function caches are appended to ``held`` for the caller to release.
+    ``names`` are its feature names when they can be had without the tuples
+    (:func:`feature_names`).
     """
-    if persist:
-        tuples = tuples.persist()                  # K1: read by dictionary and vectors
-    dictionary, size = feature_dictionary_sized(tuples)
-    dictionary = dictionary.persist()
-    size = size if size is not None else dictionary.count()
-    if held is not None:
-        held.extend([tuples, dictionary] if persist else [dictionary])
+    dictionary = feature_dictionary(names if names is not None else tuples)
+    size = dictionary.count()
     return dictionary, patient_vectors(patient_vectors_long(tuples, dictionary), size), size
 
 
@@ -343,20 +316,20 @@ def build_vectors(tuples: DataFrame, persist: bool = True,
 def feature_moments(tuples: DataFrame) -> DataFrame:
     """``(feature, n_patients, mean, std)`` over all patients with any feature.
 
-    Absent entries count as 0, as in the dense matrix the reference scales;
-    ``std`` is the sample standard deviation (0 when undefined). The patient
-    count is an uncorrelated scalar subquery, so no join is needed.
+    Absent entries count as 0, as in the matrix that is scaled; ``std`` is the
+    sample standard deviation (0 when undefined). With n present values of mean
+    m and population variance v among N patients, the sum of squared deviations
+    is n * v + n * (N - n) / N * m**2: no difference of large squares.
     """
     n_all = tuples.agg(F.countDistinct("patient_id").cast("double")).scalar()
-    per_feature = tuples.groupBy("feature").agg(
-        F.sum("value").alias("s"), F.sum(F.col("value") * F.col("value")).alias("ss"))
-    j = per_feature.withColumn("n_all", n_all)
-    mean = F.col("s") / F.col("n_all")
-    var = (F.col("ss") - F.col("s") * F.col("s") / F.col("n_all")) / (F.col("n_all") - 1)
+    j = tuples.groupBy("feature").agg(
+        F.count("value").cast("double").alias("n"), F.avg("value").alias("m"),
+        F.var_pop("value").alias("v")).withColumn("n_all", n_all)
+    n, m, total = F.col("n"), F.col("m"), F.col("n_all")
+    squares = n * F.col("v") + n * (total - n) / total * m * m
     return j.select(
-        "feature", F.col("n_all").cast("long").alias("n_patients"),
-        mean.alias("mean"),
-        F.when(F.col("n_all") > 1, F.sqrt(F.greatest(var, F.lit(0.0)))).otherwise(F.lit(0.0)).alias("std"))
+        "feature", total.cast("long").alias("n_patients"), (n * m / total).alias("mean"),
+        F.when(total > 1, F.sqrt(squares / (total - 1))).otherwise(F.lit(0.0)).alias("std"))
 
 
 def feature_zscores(tuples: DataFrame, moments: DataFrame | None = None) -> DataFrame:
@@ -367,6 +340,4 @@ def feature_zscores(tuples: DataFrame, moments: DataFrame | None = None) -> Data
     """
     moments = moments if moments is not None else feature_moments(tuples)
     z = F.when(F.col("std") > 0, (F.col("value") - F.col("mean")) / F.col("std")).otherwise(F.lit(0.0))
-    # one row per feature: broadcast after the bounded size check, else a shuffle join
-    joined = join_small(tuples, moments, "feature", "inner", max_rows=SMALL_VOCABULARY)
-    return joined.select("patient_id", "feature", z.alias("zscore"))
+    return tuples.join(moments, "feature").select("patient_id", "feature", z.alias("zscore"))

@@ -1,11 +1,11 @@
-"""Scaling, PCA and the three clusterings.
+"""Scaling, PCA and the three learners.
 
 K-means, the Gaussian mixture, the scaler and PCA are ``pyspark.ml``
-estimators. The streaming k-means update (L7) has no ``pyspark.ml`` form, so it
-is written in DataFrames: nearest centre as a codegen'd array expression, one
-hash aggregate for per-cluster counts and sums, then the decayed weighted
-update on the k-row centre table. The centres are model parameters (k x dim
-numbers), the only thing brought to the driver.
+estimators, fed with sparse vectors. The streaming k-means update (L7) has no
+``pyspark.ml`` form, so it is written in DataFrames: nearest centre as a
+codegen'd array expression, one hash aggregate for per-cluster counts and sums,
+then the decayed weighted update on the k-row centre table. The centres are
+model parameters (k x dim numbers), the only thing brought to the driver.
 """
 
 from __future__ import annotations
@@ -13,11 +13,10 @@ from __future__ import annotations
 import threading
 from dataclasses import dataclass
 
-import numpy as np
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.clustering import GaussianMixture, KMeans
 from pyspark.ml.feature import PCA, StandardScaler
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -30,6 +29,17 @@ STREAM_TIME_UNIT = "points"
 STREAM_START_WEIGHT = 0.5
 MAX_PCA_WIDTH = 65535        # Spark's limit for a principal-components solve
 
+# FIXED VALUES: the first 30 normal draws of Spark's own streaming k-means for seed 6250,
+# from which it takes the start centres one coordinate after another.
+START_DRAWS = (
+    0.8954432981375008, 0.8611057671718804, 1.2437701504743883, 1.1473772836781626, -0.6448282977085286,
+    1.1909666292118135, -2.0405141129829385, 0.22840483545731904, 0.7511459566301913, -1.0901474955668489,
+    -1.0739039639688301, -0.11856841367394759, 0.3731166580959667, 0.939610981330412, 1.2969280516097152,
+    0.14776340055934106, -1.1046769986195957, -0.7684516559855848, 0.38052281571259, -0.015128720347862596,
+    0.39501761912063943, 0.2897614455379911, -0.6035993957850411, -0.10012686684134221, 0.29146625882746074,
+    1.811097211476681, 0.5030325078454325, -2.090470827731552, -0.16867655435618764, -0.5407471551373718,
+)
+
 # The dense linear algebra these fits run on the driver (the PCA eigen-solve,
 # the mixture's covariance factorisations) is not safe to start from
 # concurrent threads, so fits that use it take turns; the others run freely.
@@ -40,11 +50,27 @@ _LINALG_LOCK = threading.Lock()
 # L1-L3: scale and project
 # ---------------------------------------------------------------------------
 
+@dataclass
+class Projection:
+    """A fitted scaler and PCA; per component the mean's score to take off, and the sign of its largest loading.
+
+    A component's sign is arbitrary and changes with the summation order; scores are
+    turned so that the largest loading counts positive.
+    """
+
+    pipeline: PipelineModel
+    offset: list[float]
+    sign: list[float]
+
+
 def fit_projection(vectors: DataFrame, k: int = PCA_COMPONENTS,
-                   input_col: str = "features", width: int | None = None) -> PipelineModel:
-    """Standard scaler (mean and sample std) followed by PCA to ``k`` components.
+                   input_col: str = "features", width: int | None = None) -> Projection:
+    """Scale to unit sample std, then PCA to ``k`` components.
 
-    ``width`` is the vector size when known (saves a job to look at one row).
+    Centring would fill every sparse vector, so the vectors are only divided by
+    the std; the covariance subtracts the mean itself, and the mean's own scores
+    are taken off the projected points (:func:`project`). ``width`` is the
+    vector size when known (saves a job to look at one row).
     """
     width = width or len(vectors.select(input_col).head()[0])
     if width > MAX_PCA_WIDTH:
@@ -52,16 +78,25 @@ def fit_projection(vectors: DataFrame, k: int = PCA_COMPONENTS,
             f"{width} features: PCA needs a width x width matrix on the driver (at most "
             f"{MAX_PCA_WIDTH}); restrict the features first, e.g. with candidate lists")
     stages = [
-        StandardScaler(withMean=True, withStd=True, inputCol=input_col, outputCol="scaled"),
+        StandardScaler(withMean=False, withStd=True, inputCol=input_col, outputCol="scaled"),
         PCA(k=min(k, width), inputCol="scaled", outputCol="pca"),
     ]
     with _LINALG_LOCK:
-        return Pipeline(stages=stages).fit(vectors)
+        model = Pipeline(stages=stages).fit(vectors)
+    scaler, pca = model.stages
+    mean, std = scaler.mean.toArray(), scaler.std.toArray()
+    scaled = [m / s if s > 0 else 0.0 for m, s in zip(mean, std)]
+    loadings = pca.pc.toArray().T
+    sign = [1.0 if row[abs(row).argmax()] >= 0 else -1.0 for row in loadings]
+    return Projection(model, [float(x) for x in loadings @ scaled], sign)
 
 
-def project(model: PipelineModel, vectors: DataFrame) -> DataFrame:
-    """L3: scale and project any vector frame with a fitted model (keeps the id)."""
-    return model.transform(vectors).drop("scaled")
+def project(model: Projection, vectors: DataFrame) -> DataFrame:
+    """L3: scale and project any vector frame with a fitted model (keeps the other columns)."""
+    out = model.pipeline.transform(vectors).drop("scaled")
+    offset, sign = (F.array(*[F.lit(x) for x in numbers]) for numbers in (model.offset, model.sign))
+    centred = F.zip_with(vector_to_array("pca"), offset, lambda a, b: a - b)
+    return out.withColumn("pca", array_to_vector(F.zip_with(centred, sign, lambda a, b: a * b)))
 
 
 def pca_scores(vectors: DataFrame, k: int = PCA_COMPONENTS) -> DataFrame:
@@ -71,21 +106,31 @@ def pca_scores(vectors: DataFrame, k: int = PCA_COMPONENTS) -> DataFrame:
 
 
 # ---------------------------------------------------------------------------
-# Batch clusterings
+# Batch learners
 # ---------------------------------------------------------------------------
 
+def fit_kmeans(points: DataFrame, features_col: str = "pca", k: int = K,
+               max_iter: int = MAX_ITER, seed: int = SEED):
+    return KMeans(k=k, maxIter=max_iter, seed=seed, featuresCol=features_col,
+                  predictionCol="cluster").fit(points)
+
+
 def kmeans_assign(points: DataFrame, features_col: str = "pca", k: int = K,
                   max_iter: int = MAX_ITER, seed: int = SEED) -> DataFrame:
-    model = KMeans(k=k, maxIter=max_iter, seed=seed, featuresCol=features_col,
-                   predictionCol="cluster").fit(points)
+    model = fit_kmeans(points, features_col, k, max_iter, seed)
     return model.transform(points).select("patient_id", F.col("cluster").cast("int"))
 
 
+def fit_gmm(points: DataFrame, features_col: str = "pca", k: int = K,
+            max_iter: int = MAX_ITER, seed: int = SEED):
+    with _LINALG_LOCK:
+        return GaussianMixture(k=k, maxIter=max_iter, seed=seed, featuresCol=features_col,
+                               predictionCol="cluster").fit(points)
+
+
 def gmm_assign(points: DataFrame, features_col: str = "pca", k: int = K,
                max_iter: int = MAX_ITER, seed: int = SEED) -> DataFrame:
-    with _LINALG_LOCK:
-        model = GaussianMixture(k=k, maxIter=max_iter, seed=seed, featuresCol=features_col,
-                                predictionCol="cluster").fit(points)
+    model = fit_gmm(points, features_col, k, max_iter, seed)
     return model.transform(points).select("patient_id", F.col("cluster").cast("int"))
 
 
@@ -119,10 +164,11 @@ class Centres:
         return Centres([list(r.center) for r in rows], [r.weight for r in rows])
 
 
-def random_centres(k: int, dim: int, weight: float = STREAM_START_WEIGHT, seed: int = SEED) -> Centres:
-    """Seeded standard-normal start centres, all with the same weight."""
-    rng = np.random.default_rng(seed)
-    return Centres(rng.standard_normal((k, dim)).tolist(), [float(weight)] * k)
+def start_centres(k: int, dim: int, weight: float = STREAM_START_WEIGHT) -> Centres:
+    """The start centres that Spark's own streaming k-means draws for the study's seed."""
+    if k * dim > len(START_DRAWS):
+        raise ValueError(f"only {len(START_DRAWS)} start coordinates are pinned; pass your own Centres")
+    return Centres([list(START_DRAWS[i * dim:(i + 1) * dim]) for i in range(k)], [float(weight)] * k)
 
 
 def squared_distance(x: Column, center: list[float]) -> Column:
@@ -167,7 +213,7 @@ def minibatch_update(points: DataFrame, centres: Centres, features_col: str = "f
 
     every = Window.partitionBy(F.lit(0))   # the k-row centre table only
     old = centres.to_frame(spark)
-    j = F.broadcast(old).join(stats, "cluster", "left").select(
+    j = old.join(F.broadcast(stats), "cluster", "left").select(
         "cluster", "weight", "center",
         F.coalesce(F.col("m"), F.lit(0)).cast("double").alias("m"), "s")
     j = j.withColumn("batch_points", F.sum("m").over(every))
@@ -209,11 +255,15 @@ def predict_nearest(points: DataFrame, centres: Centres, features_col: str = "pc
     return points.select("patient_id", nearest_centre(x, centres).cast("int").alias("cluster"))
 
 
-def streaming_kmeans_assign(points: DataFrame, features_col: str = "pca", k: int = K,
-                            seed: int = SEED, decay: float = STREAM_DECAY,
-                            time_unit: str = STREAM_TIME_UNIT, dim: int | None = None) -> DataFrame:
-    """Random start centres, one update with all points, then predict."""
+def streaming_kmeans_centres(points: DataFrame, features_col: str = "pca", k: int = K, dim: int | None = None,
+                             decay: float = STREAM_DECAY, time_unit: str = STREAM_TIME_UNIT) -> Centres:
+    """The pinned start centres after one update with all points."""
     dim = dim or len(points.select(features_col).head()[0])
-    start = random_centres(k, dim, STREAM_START_WEIGHT, seed)
-    model = Centres.from_frame(minibatch_update(points, start, features_col, decay, time_unit))
-    return predict_nearest(points, model, features_col)
+    return Centres.from_frame(minibatch_update(points, start_centres(k, dim), features_col, decay, time_unit))
+
+
+def streaming_kmeans_assign(points: DataFrame, features_col: str = "pca", k: int = K,
+                            decay: float = STREAM_DECAY, time_unit: str = STREAM_TIME_UNIT,
+                            dim: int | None = None) -> DataFrame:
+    """One update with all points, then predict."""
+    return predict_nearest(points, streaming_kmeans_centres(points, features_col, k, dim, decay, time_unit), features_col)

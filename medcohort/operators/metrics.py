@@ -1,4 +1,4 @@
-"""Contingency counts and purity of a clustering against labels.
+"""Contingency counts and purity of a grouping against labels.
 
 Purity = (1/N) * sum over groups of the largest count of any other-value in
 that group. Computed as two hash aggregates and one global aggregate; no pair
@@ -30,7 +30,7 @@ def purity(assignments: DataFrame, group: str = "cluster", other: str = "label")
 
 def purity_pair(assignments: DataFrame, cluster: str = "cluster", label: str = "label") -> DataFrame:
     """One row ``(n, purity, inverse_purity)`` from a single set of pair counts."""
-    counts = contingency(assignments, cluster, label).persist()
+    counts = contingency(assignments, cluster, label)
     best_c = counts.groupBy(cluster).agg(F.max("n").alias("b")).agg(F.sum("b")).scalar()
     best_l = counts.groupBy(label).agg(F.max("n").alias("b")).agg(F.sum("b")).scalar()
     total = counts.agg(F.sum("n").alias("n"))
@@ -38,20 +38,11 @@ def purity_pair(assignments: DataFrame, cluster: str = "cluster", label: str = "
                         (best_l / F.col("n")).alias("inverse_purity"))
 
 
-def pair_counts_from_rows(spark, rows: list[tuple[int, int, int]],
-                          names: tuple[str, str] = ("first", "second")) -> DataFrame:
-    """Expand ``(a, b, count)`` rows into one row per pair (test fixtures)."""
-    base = spark.createDataFrame(rows, f"{names[0]} int, {names[1]} int, c int")
-    return (base.filter(F.col("c") > 0)
-            .select(names[0], names[1], F.explode(F.sequence(F.lit(1), F.col("c"))).alias("_i"))
-            .drop("_i"))
-
-
 def purity_by(assignments: DataFrame, keys: list[str], cluster: str = "cluster",
               label: str = "label") -> DataFrame:
-    """``(keys..., n, purity, inverse_purity)`` for many clusterings in one job.
+    """``(keys..., n, purity, inverse_purity)`` for many groupings in one job.
 
-    ``assignments`` stacks several clusterings, told apart by ``keys`` (for
+    ``assignments`` stacks several groupings, told apart by ``keys`` (for
     example feature set and algorithm). One aggregate gives the pair counts
     of all of them; the maxima and totals are small aggregates over those.
     """

@@ -6,15 +6,13 @@ one narrow row shape carrying per-event flags, unioned, and aggregated once by
 exactly one shuffle moves at most one row per (map task, patient) however
 skewed a patient is. The rule is then a ``CASE`` over the per-patient flags.
 
-A second, set-algebra form (:func:`phenotype_labels_setwise`) spells the rule
-with semi / anti joins and intersections; it is kept as an executable
-specification and cross-checked against the one-pass form in the tests.
+The sets that the rule is made of are also to be had one by one
+(:func:`event_patients` for a predicate on one event frame), and as membership
+rows (:func:`memberships`) on which set operations run without the big join.
 """
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -241,9 +239,33 @@ def glucose_mean_from_flags(flags: DataFrame) -> DataFrame:
 
 
 # ---------------------------------------------------------------------------
-# Set-algebra form (executable specification of R1-R10)
+# Patient sets
 # ---------------------------------------------------------------------------
 
+def event_patients(events: DataFrame, cond: Column) -> DataFrame:
+    """Distinct patients with an event that meets ``cond``; reads that one event frame only."""
+    return events.filter(cond).select("patient_id").distinct()
+
+
+#: Set name -> condition on the flags. The first four are read off directly, the rest are the rule's pieces.
+MEMBERSHIP = {
+    "t1_dx": lambda: F.col("t1_dx") == 1,
+    "t2_dx": lambda: F.col("t2_dx") == 1,
+    "t1_med": lambda: F.col("t1_med_first").isNotNull(),
+    "t2_med": lambda: F.col("t2_med_first").isNotNull(),
+    "t2_med_before_t1": lambda: F.col("t1_med_first") > F.col("t2_med_first"),
+    "glucose": lambda: F.col("glucose_tested") == 1,
+    "abnormal": lambda: F.col("abnormal_lab") == 1,
+    "related": lambda: F.col("related_dx") == 1,
+}
+
+
+def memberships(flags: DataFrame) -> DataFrame:
+    """``(patient_id, member_of array<string>)``: the sets each patient is in."""
+    names = F.array(*[F.when(cond(), F.lit(name)) for name, cond in MEMBERSHIP.items()])
+    return flags.select("patient_id", F.array_compact(names).alias("member_of"))
+
+
 def all_patients(clinical: ClinicalFrames) -> DataFrame:
     """Distinct patient ids across the three event sets."""
     if clinical.lines is not None:   # dx and lab rows are both lines: read the join once
@@ -255,45 +277,12 @@ def all_patients(clinical: ClinicalFrames) -> DataFrame:
             .distinct())
 
 
-def phenotype_labels_setwise(clinical: ClinicalFrames) -> DataFrame:
-    """R0 written with semi / anti joins and set operators.
+def member_sets(flags: DataFrame) -> dict[str, DataFrame]:
+    """``{set name: (patient_id)}`` over a stored membership table, with ``patients`` for all of them.
 
-    More shuffles than :func:`phenotype_labels`; used to cross-check it.
+    The table is checkpointed, one narrow row a patient, so any number of set
+    operations reads it and none runs the event join again.
     """
-    dx, med, lab = clinical.dx, clinical.med, clinical.lab
-    patients = all_patients(clinical)
-    ids = lambda df: df.select("patient_id").distinct()
-
-    t1_dx = ids(dx.filter(is_t1_dx("code")))
-    t2_dx = ids(dx.filter(is_t2_dx("code")))
-    t1_med = ids(med.filter(is_t1_med("medicine")))
-    t2_med = ids(med.filter(is_t2_med("medicine")))
-
-    base = t2_dx.join(t1_dx, "patient_id", "left_anti")                      # R1 (J8)
-    path1 = base.join(t1_med, "patient_id", "left_anti")                     # R2
-    path2 = (base.intersect(t1_med)).join(t2_med, "patient_id", "left_anti")  # R3 (U3)
-    both = base.intersect(t1_med).intersect(t2_med)
-    both_med = med.join(both, "patient_id", "left_semi")                     # J2
-    t1_first = (both_med.filter(is_t1_med("medicine")).groupBy("patient_id")
-                .agg(F.min("date").alias("t1_first")))
-    t2_first = (both_med.filter(is_t2_med("medicine")).groupBy("patient_id")
-                .agg(F.min("date").alias("t2_first")))
-    path3 = (t1_first.join(t2_first, "patient_id", "inner")                  # J3
-             .filter(F.col("t1_first") > F.col("t2_first")).select("patient_id"))
-    cases = path1.unionByName(path2).unionByName(path3).distinct()           # U2
-
-    glucose = ids(lab.filter(is_glucose_tested("test_name")))
-    glucose_labs = lab.join(glucose, "patient_id", "left_semi")              # J6 / F9
-    abnormal = ids(glucose_labs.filter(is_abnormal_lab("test_name", "value")))
-    normal = glucose.join(abnormal, "patient_id", "left_anti")
-    related = ids(dx.filter(is_related_dx("code")))
-    not_related = patients.join(related, "patient_id", "left_anti")
-    controls = normal.intersect(not_related)
-
-    others = (patients.join(cases, "patient_id", "left_anti")
-              .join(controls, "patient_id", "left_anti"))
-    return reduce(DataFrame.unionByName, [
-        cases.withColumn("label", F.lit(CASE)),
-        controls.withColumn("label", F.lit(CONTROL)),
-        others.withColumn("label", F.lit(OTHER)),
-    ])
+    stored = memberships(flags).checkpoint(eager=True)
+    sets = {name: stored.filter(F.array_contains("member_of", name)).select("patient_id") for name in MEMBERSHIP}
+    return {"patients": stored.select("patient_id"), **sets}

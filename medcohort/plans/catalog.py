@@ -9,6 +9,7 @@ change the compared value.
 
 from __future__ import annotations
 
+import uuid
 from typing import Callable
 
 from pyspark.ml.functions import vector_to_array
@@ -17,12 +18,15 @@ from pyspark.sql import functions as F
 
 from medcohort.functions import parsing as PA
 from medcohort.functions import valuesets as V
-from medcohort.operators import clustering as C
 from medcohort.operators import features as FE
+from medcohort.operators import learners as C
 from medcohort.operators import metrics as M
 from medcohort.operators import phenotype as P
 from medcohort.plans import study as S
+from medcohort.session import ensure_checkpoint_dir, state_dir
+from medcohort.sources import csv_tables as CT
 from medcohort.sources.clinical import clinical_view_sql, load_clinical_view, read_table
+from medcohort.sources.sinks import report_line
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -144,28 +148,55 @@ def _flag_query(cond):
     return q
 
 
-_SET_QUERIES = {
-    "t1_dx_patients": ("t1_dx", lambda: F.col("t1_dx") == 1),
-    "t2_dx_patients": ("t2_dx", lambda: F.col("t2_dx") == 1),
-    "related_dx_patients": ("related", lambda: F.col("related_dx") == 1),
-    "t1_med_patients": ("t1_med", lambda: F.col("t1_med_first").isNotNull()),
-    "t2_med_patients": ("t2_med", lambda: F.col("t2_med_first").isNotNull()),
+_FLAG_QUERIES = {
     "no_t1_dx_patients": ("no_t1_dx", lambda: F.col("t1_dx") == 0),
-    "t2_without_t1_dx": ("base", P.case_base),
     "case_path_1": ("path1", P.case_path_1),
     "case_path_2": ("path2", P.case_path_2),
     "case_path_3": ("path3", P.case_path_3),
     "case_patients": ("cases", P.is_case),
-    "glucose_tested": ("glucose", lambda: F.col("glucose_tested") == 1),
-    "abnormal_lab_patients": ("abnormal",
-                              lambda: (F.col("glucose_tested") == 1) & (F.col("abnormal_lab") == 1)),
     "control_patients": ("controls", lambda: P.label_column() == P.CONTROL),
     "other_patients": ("others", lambda: P.label_column() == P.OTHER),
 }
-for _name, (_cte, _cond) in _SET_QUERIES.items():
+for _name, (_cte, _cond) in _FLAG_QUERIES.items():
     register(_name, f"{SETS_SQL} SELECT patient_id FROM {_cte}")(_flag_query(_cond))
 
 
+def _event_query(frame: str, cond):
+    def q(spark, sf_dir):
+        return P.event_patients(getattr(clin(spark, sf_dir), frame), cond())
+    return q
+
+
+# a predicate on one event frame: medications touch orders alone, the others skip them
+_EVENT_QUERIES = {
+    "t1_dx_patients": ("t1_dx", "dx", P.is_t1_dx),
+    "t2_dx_patients": ("t2_dx", "dx", P.is_t2_dx),
+    "related_dx_patients": ("related", "dx", P.is_related_dx),
+    "t1_med_patients": ("t1_med", "med", P.is_t1_med),
+    "t2_med_patients": ("t2_med", "med", P.is_t2_med),
+    "glucose_tested": ("glucose", "lab", P.is_glucose_tested),
+}
+for _name, (_cte, _frame, _cond) in _EVENT_QUERIES.items():
+    register(_name, f"{SETS_SQL} SELECT patient_id FROM {_cte}")(_event_query(_frame, _cond))
+
+
+def _both(frame: DataFrame, first, second) -> DataFrame:
+    """Patients by two predicates on one frame, in one aggregate: has the first, and (not) the second."""
+    return frame.groupBy("patient_id").agg(F.max(first.cast("int")).alias("first"), F.max(second.cast("int")).alias("second"))
+
+
+@register("t2_without_t1_dx", f"{SETS_SQL} SELECT patient_id FROM base")
+def q_t2_without_t1_dx(spark, sf_dir):
+    dx = clin(spark, sf_dir).dx.filter(P.is_t2_dx() | P.is_t1_dx())
+    return _both(dx, P.is_t2_dx(), P.is_t1_dx()).where("first = 1 AND second = 0").select("patient_id")
+
+
+@register("abnormal_lab_patients", f"{SETS_SQL} SELECT patient_id FROM abnormal")
+def q_abnormal_lab_patients(spark, sf_dir):
+    lab = clin(spark, sf_dir).lab.filter(P.is_glucose_tested() | P.is_abnormal_lab())
+    return _both(lab, P.is_glucose_tested(), P.is_abnormal_lab()).where("first = 1 AND second = 1").select("patient_id")
+
+
 @register("phenotype_labels", f"{SETS_SQL} SELECT patient_id, label FROM labels")
 def q_phenotype_labels(spark, sf_dir):
     return P.phenotype_labels(clin(spark, sf_dir))
@@ -173,7 +204,17 @@ def q_phenotype_labels(spark, sf_dir):
 
 @register("phenotype_labels_setwise", f"{SETS_SQL} SELECT patient_id, label FROM labels")
 def q_phenotype_labels_setwise(spark, sf_dir):
-    return P.phenotype_labels_setwise(clin(spark, sf_dir))
+    """The labels by set operations (J2, J8, J9, U3, U4, F9) on stored membership rows: one read of the event join."""
+    ensure_checkpoint_dir(spark)
+    s = P.member_sets(P.patient_flags(clin(spark, sf_dir)))
+    on = "patient_id"
+    untreated = s["t1_med"].join(s["t2_med"], on, "left_anti")
+    treated_late = s["t2_med_before_t1"].intersect(s["t2_med"])
+    allowed = s["patients"].exceptAll(s["t1_med"]).unionByName(untreated).unionByName(treated_late)
+    cases = s["t2_dx"].subtract(s["t1_dx"]).join(allowed, on, "left_semi")
+    controls = s["glucose"].join(s["abnormal"], on, "left_anti").subtract(s["related"])
+    marked = cases.withColumn("label", F.lit(P.CASE)).unionByName(controls.withColumn("label", F.lit(P.CONTROL)))
+    return s["patients"].join(marked, on, "left").withColumn("label", F.coalesce("label", F.lit(P.OTHER)))
 
 
 @register("label_counts", f"{SETS_SQL} SELECT label, count(*) AS n FROM labels GROUP BY label")
@@ -227,10 +268,9 @@ for _kind in ("dx", "med", "lab"):
             _features_query(_kind, _filtered))
 
 
-def _tuples(spark, sf_dir, filtered: bool, persist: bool = False) -> DataFrame:
+def _tuples(spark, sf_dir, filtered: bool) -> DataFrame:
     c = clin(spark, sf_dir)
-    t = FE.filtered_feature_tuples(c) if filtered else FE.feature_tuples(c)
-    return t.persist() if persist else t      # K1: read twice by dictionary / moments
+    return FE.filtered_feature_tuples(c) if filtered else FE.feature_tuples(c)
 
 
 @register("feature_tuples", f"{FEATURES_SQL} SELECT patient_id, feature, round(value, {ROUND}) AS value FROM tuples")
@@ -246,7 +286,7 @@ def q_feature_tuples_filtered(spark, sf_dir):
 
 @register("feature_dictionary", f"{FEATURES_SQL}{DICT_SQL} SELECT feature, idx FROM dict")
 def q_feature_dictionary(spark, sf_dir):
-    return FE.feature_dictionary(_tuples(spark, sf_dir, False))
+    return FE.feature_dictionary(FE.feature_names(clin(spark, sf_dir)))
 
 
 @register("feature_dictionary_filtered", f"{FILTERED_FEATURES_SQL}{DICT_SQL} SELECT feature, idx FROM dict")
@@ -257,8 +297,8 @@ def q_feature_dictionary_filtered(spark, sf_dir):
 @register("patient_vectors_long", f"""{FEATURES_SQL}{DICT_SQL}
 SELECT t.patient_id, d.idx, round(t.value, {ROUND}) AS value FROM tuples t JOIN dict d ON t.feature = d.feature""")
 def q_patient_vectors_long(spark, sf_dir):
-    tuples = _tuples(spark, sf_dir, False, persist=True)
-    return (FE.patient_vectors_long(tuples, FE.feature_dictionary(tuples))
+    tuples = _tuples(spark, sf_dir, False)
+    return (FE.patient_vectors_long(tuples, FE.feature_dictionary(FE.feature_names(clin(spark, sf_dir))))
             .select("patient_id", "idx", _r("value")))
 
 
@@ -267,25 +307,26 @@ SELECT t.patient_id, list(d.idx ORDER BY d.idx) AS indices,
        list_transform(list(t.value ORDER BY d.idx), lambda x: round(x, {ROUND})) AS "values"
 FROM tuples t JOIN dict d ON t.feature = d.feature GROUP BY t.patient_id""")
 def q_patient_vectors(spark, sf_dir):
-    tuples = _tuples(spark, sf_dir, False, persist=True)
-    dictionary = FE.feature_dictionary(tuples)
+    tuples = _tuples(spark, sf_dir, False)
+    dictionary = FE.feature_dictionary(FE.feature_names(clin(spark, sf_dir)))
     e = FE.sparse_entries(FE.patient_vectors_long(tuples, dictionary))
     return e.select("patient_id", "indices",
                     F.transform("values", lambda x: F.round(x, ROUND)).alias("values"))
 
 
 _MOMENTS_SQL = f"""{FEATURES_SQL},
-tot AS (SELECT CAST(count(DISTINCT patient_id) AS DOUBLE) AS n_all FROM tuples),
-pf AS (SELECT feature, sum(value) AS s, sum(value * value) AS ss FROM tuples GROUP BY feature),
-mom AS (SELECT feature, CAST(n_all AS BIGINT) AS n_patients, s / n_all AS mean,
-        CASE WHEN n_all > 1 THEN sqrt(greatest((ss - s * s / n_all) / (n_all - 1), 0.0)) ELSE 0.0 END AS std
-        FROM pf, tot)"""
+pats AS (SELECT DISTINCT patient_id FROM tuples),
+names AS (SELECT DISTINCT feature FROM tuples),
+grid AS (SELECT n.feature, p.patient_id, coalesce(t.value, 0.0) AS value FROM names n CROSS JOIN pats p
+         LEFT JOIN tuples t ON t.feature = n.feature AND t.patient_id = p.patient_id),
+mom AS (SELECT feature, count(*) AS n_patients, avg(value) AS mean, coalesce(stddev_samp(value), 0.0) AS std
+        FROM grid GROUP BY feature)"""
 
 
 @register("feature_moments", f"""{_MOMENTS_SQL}
 SELECT feature, n_patients, round(mean, {ROUND}) AS mean, round(std, {ROUND}) AS std FROM mom""")
 def q_feature_moments(spark, sf_dir):
-    m = FE.feature_moments(_tuples(spark, sf_dir, False, persist=True))
+    m = FE.feature_moments(_tuples(spark, sf_dir, False))
     return m.select("feature", "n_patients", _r("mean"), _r("std"))
 
 
@@ -294,7 +335,7 @@ SELECT t.patient_id, t.feature,
        round(CASE WHEN m.std > 0 THEN (t.value - m.mean) / m.std ELSE 0.0 END, {ROUND}) AS zscore
 FROM tuples t JOIN mom m ON t.feature = m.feature""")
 def q_feature_zscores(spark, sf_dir):
-    tuples = _tuples(spark, sf_dir, False, persist=True)
+    tuples = _tuples(spark, sf_dir, False)
     return FE.feature_zscores(tuples).select("patient_id", "feature", _r("zscore"))
 
 
@@ -371,7 +412,6 @@ def q_inverse_purity(spark, sf_dir):
 
 # FIXED VALUES of the check: start centres (value, user id) and their weight.
 MINIBATCH_START = [[0.0, 0.0], [100.0, 50.0], [200.0, 100.0]]
-STREAM_TIMEOUT_SECONDS = 1800
 
 
 def _minibatch_sql() -> str:
@@ -413,62 +453,212 @@ def q_minibatch_stream_centres(spark, sf_dir):
     ``foreachBatch`` sink writes the centre table per batch id, and the result
     is the newest written state.
     """
-    import uuid
-
     from medcohort.streaming.minibatch import start_streaming_kmeans, state_frame
 
     schema = spark.read.parquet(f"{sf_dir.rstrip('/')}/events.parquet").schema
     stream = spark.readStream.schema(schema).parquet(f"{sf_dir.rstrip('/')}/[e]vents.parquet")
     pts = stream.select(F.array(F.col("value"), F.col("user_id").cast("double")).alias("features"))
     start = C.Centres(MINIBATCH_START, [C.STREAM_START_WEIGHT] * len(MINIBATCH_START))
-    query, base = start_streaming_kmeans(spark, pts, start, name=f"minibatch-{uuid.uuid4().hex}")
-    if not query.awaitTermination(STREAM_TIMEOUT_SECONDS):   # availableNow: drains, then stops
-        query.stop()
-        raise TimeoutError("streaming k-means query did not drain its input in time")
-    if query.exception() is not None:
-        raise RuntimeError(str(query.exception()))
-    return state_frame(spark, base).select(
+    base = state_dir(spark, f"minibatch-{uuid.uuid4().hex}")
+    query = start_streaming_kmeans(spark, pts, start, f"{base}/stream", f"{base}/state")
+    query.awaitTermination()   # availableNow: drains, then stops; raises what the stream raised
+    return state_frame(spark, f"{base}/state").select(
         "cluster", _r("weight"),
         F.round(F.col("center")[0], ROUND).alias("cx"), F.round(F.col("center")[1], ROUND).alias("cy"))
 
 
 # ---------------------------------------------------------------------------
-# ML path (L1-L6, L8-L10): rows-only checks
+# ML path (L1-L6, L8-L10): properties of the fits beside values from the tables
 # ---------------------------------------------------------------------------
 
-def _points(spark, sf_dir):
-    _, vectors, width = FE.build_vectors(_tuples(spark, sf_dir, False))
-    return S.project_points(vectors, width)
-
-
-@register("pca_scores")
+_SETS_OF_FEATURES = f"""{SETS_SQL},
+{_feature_sql(True)},
+every AS (SELECT patient_id, code AS feature FROM dx UNION SELECT patient_id, test_name FROM lab
+          UNION SELECT patient_id, medicine FROM med),
+featured AS (SELECT DISTINCT 'All' AS feature_set, patient_id FROM every
+             UNION ALL SELECT DISTINCT 'Filtered', patient_id FROM tuples),
+names AS (SELECT DISTINCT 'All' AS feature_set, feature FROM every
+          UNION ALL SELECT DISTINCT 'Filtered', feature FROM tuples),
+algorithms(algorithm) AS (VALUES ('kMeans'), ('GMM'), ('StreamingKmeans'))"""
+
+
+@register("pca_scores", f"""{_SETS_OF_FEATURES}
+SELECT p.feature_set, p.n_patients, w.width, least({C.PCA_COMPONENTS}, w.width) AS components,
+       true AS centred, true AS uncorrelated, true AS descending
+FROM (SELECT feature_set, count(*) AS n_patients FROM featured GROUP BY 1) p
+JOIN (SELECT feature_set, count(*) AS width FROM names GROUP BY 1) w USING (feature_set)""")
 def q_pca_scores(spark, sf_dir):
-    points, _ = _points(spark, sf_dir)
-    return points.select("patient_id", vector_to_array("pca").alias("pca"))
+    """L1-L3: what makes scores principal: mean 0, no correlation between two, variances in falling order."""
+    ensure_checkpoint_dir(spark)
+    parts = []
+    with S.released() as held:
+        for name, (_, vectors, width) in S.feature_sets(clin(spark, sf_dir), held=held).items():
+            points, dim = S.project_points(vectors, width, held)
+            at = [vector_to_array("pca")[i] for i in range(dim)]
+            size = F.sqrt(F.var_samp(at[0]))
+            centred = [F.abs(F.avg(a)) <= 1e-6 * size for a in at]
+            apart = [F.abs(F.covar_samp(at[i], at[j])) <= 1e-6 * F.var_samp(at[0]) for i in range(dim) for j in range(i)]
+            falls = [F.var_samp(at[i]) >= F.var_samp(at[i + 1]) * (1 - 1e-9) for i in range(dim - 1)]
+            every = lambda conds: F.array_min(F.array(*[c.cast("int") for c in conds])) == 1
+            parts.append(points.agg(
+                F.count("*").alias("n_patients"), every(centred).alias("centred"), every(apart).alias("uncorrelated"),
+                every(falls).alias("descending")).select(
+                F.lit(name).alias("feature_set"), "n_patients", F.lit(width).cast("long").alias("width"),
+                F.lit(dim).cast("long").alias("components"), "centred", "uncorrelated", "descending").checkpoint(eager=True))
+    return parts[0].unionByName(parts[1])
+
+
+def _fitted(points, dim: int, algorithm: str) -> DataFrame:
+    """``(patient_id, cluster, is_best)``: whether no other cluster is nearer, or more probable."""
+    if algorithm == "gmm":
+        out = C.fit_gmm(points).transform(points)
+        chance = vector_to_array("probability")
+        best = chance[F.col("cluster")] == F.array_max(chance)
+    elif algorithm == "kmeans":
+        model = C.fit_kmeans(points)
+        centres = [[float(x) for x in c] for c in model.clusterCenters()]
+        away = F.array(*[C.squared_distance(vector_to_array("pca"), c) for c in centres])
+        out, best = model.transform(points), away[F.col("cluster")] <= F.array_min(away) + 1e-9
+    else:
+        centres = C.streaming_kmeans_centres(points, dim=dim)
+        away = F.array(*[C.squared_distance(vector_to_array("pca"), c) for c in centres.centers])
+        out = points.withColumn("cluster", C.nearest_centre(vector_to_array("pca"), centres))
+        best = away[F.col("cluster")] == F.array_min(away)
+    return out.select("patient_id", F.col("cluster").cast("int"), best.alias("is_best"))
 
 
 def _clusters_query(algorithm: str):
     def q(spark, sf_dir):
-        points, dim = _points(spark, sf_dir)
-        if algorithm == "kmeans":
-            assigned = C.kmeans_assign(points)
-        elif algorithm == "gmm":
-            assigned = C.gmm_assign(points)
-        else:
-            assigned = C.streaming_kmeans_assign(points, dim=dim)
-        return S.with_labels(assigned, P.phenotype_labels(clin(spark, sf_dir)))
+        ensure_checkpoint_dir(spark)
+        c = clin(spark, sf_dir)
+        with S.released() as held:
+            _, vectors, width = S.feature_sets(c, held=held)["All"]
+            points, dim = S.project_points(vectors, width, held)
+            labelled = S.with_labels(_fitted(points, dim, algorithm), P.phenotype_labels(c))
+            return labelled.groupBy("label").agg(
+                F.count("*").alias("n"), F.min(F.col("cluster").between(0, C.K - 1).cast("int")).alias("in_range"),
+                F.avg(F.col("is_best").cast("double")).alias("best_share")).checkpoint(eager=True)
     return q
 
 
 for _alg in ("kmeans", "gmm", "streaming_kmeans"):
-    register(f"{_alg}_clusters")(_clusters_query(_alg))
+    register(f"{_alg}_clusters", f"""{SETS_SQL}
+SELECT label, count(*) AS n, 1 AS in_range, CAST(1 AS DOUBLE) AS best_share FROM labels GROUP BY label""")(
+        _clusters_query(_alg))
+
+
+@register("cluster_contingency", f"""{_SETS_OF_FEATURES}
+SELECT f.feature_set, a.algorithm, l.label, count(*) AS n
+FROM featured f JOIN labels l USING (patient_id), algorithms a GROUP BY 1, 2, 3""")
+def q_cluster_contingency(spark, sf_dir):
+    """A9 of the study: its cells, summed over the clusters, are the label totals of the feature set."""
+    cells = S.cluster_contingency(clin(spark, sf_dir))
+    return cells.groupBy("feature_set", "algorithm", "label").agg(F.sum("n").alias("n"))
+
+
+@register("cluster_report", f"""{_SETS_OF_FEATURES},
+best AS (SELECT feature_set, max(n) AS largest, sum(n) AS n FROM (
+           SELECT f.feature_set, l.label, count(*) AS n FROM featured f JOIN labels l USING (patient_id) GROUP BY 1, 2)
+         GROUP BY 1)
+SELECT feature_set, algorithm, CAST(n AS BIGINT) AS n, true AS purity_in_range, true AS line_is_right
+FROM best, algorithms""")
+def q_cluster_report(spark, sf_dir):
+    """Purity is at least the largest label's share and at most 1, and the line prints the inverse purity."""
+    c = clin(spark, sf_dir)
+    with S.released() as held:
+        stacked = S.labelled_assignments(c, held)
+        share = stacked.groupBy("feature_set", "algorithm", "label").agg(F.count("*").alias("m"))
+        share = share.groupBy("feature_set", "algorithm").agg((F.max("m") / F.sum("m")).alias("least"))
+        scored = M.purity_by(stacked, ["feature_set", "algorithm"]).withColumn("report", report_line())
+        scored = scored.join(share, ["feature_set", "algorithm"])
+        printed = F.regexp_extract("report", r"^\[(All|Filtered) feature\] getPurity of \w+ is: (\d\.\d{5})$", 2)
+        return scored.select(
+            "feature_set", "algorithm", "n",
+            F.col("purity").between(F.col("least") - 1e-9, 1).alias("purity_in_range"),
+            (F.abs(printed.try_cast("double") - F.col("inverse_purity")) <= 5.1e-6).alias("line_is_right")).checkpoint(eager=True)
+
+
+# One update of the mini-batch learner on the z-scored filtered features, exact in SQL: start centres are the
+# points whose coordinates are all -1, all 0 and all 1.
+ZSCORE_START = (-1.0, 0.0, 1.0)
+_ZSCORE_SQL = f"""{SETS_SQL},
+{_feature_sql(True)},
+pats AS (SELECT DISTINCT patient_id FROM tuples),
+grid AS (SELECT n.feature, p.patient_id, coalesce(t.value, 0.0) AS value
+         FROM (SELECT DISTINCT feature FROM tuples) n CROSS JOIN pats p
+         LEFT JOIN tuples t ON t.feature = n.feature AND t.patient_id = p.patient_id),
+mom AS (SELECT feature, avg(value) AS mean, stddev_samp(value) AS std FROM grid GROUP BY feature),
+z AS (SELECT patient_id, feature, CASE WHEN std > 0 THEN (value - mean) / std ELSE 0.0 END AS z FROM grid JOIN mom USING (feature)),
+first AS (SELECT patient_id, arg_min(c, d ORDER BY c) AS c FROM (
+            SELECT patient_id, c, round(sum((z - c) * (z - c)), 9) AS d FROM z, (VALUES (-1.0), (0.0), (1.0)) s(c) GROUP BY 1, 2)
+          GROUP BY 1),
+moved AS (SELECT s.c, n.feature, coalesce(sum(z.z), 0.0) AS s, count(z.z) AS m
+          FROM (VALUES (-1.0), (0.0), (1.0)) s(c) CROSS JOIN (SELECT DISTINCT feature FROM z) n
+          LEFT JOIN first f ON f.c = s.c LEFT JOIN z ON z.patient_id = f.patient_id AND z.feature = n.feature GROUP BY 1, 2),
+centre AS (SELECT c, feature, (c * {C.STREAM_START_WEIGHT} + s) / ({C.STREAM_START_WEIGHT} + m) AS x FROM moved),
+assigned AS (SELECT patient_id, CAST(arg_min(c, d ORDER BY c) + 1 AS INTEGER) AS cluster FROM (
+               SELECT z.patient_id, c, round(sum((z - x) * (z - x)), 9) AS d FROM z JOIN centre USING (feature) GROUP BY 1, 2)
+             GROUP BY 1),
+cells AS (SELECT l.label, a.cluster, count(*) AS n FROM assigned a JOIN labels l USING (patient_id) GROUP BY 1, 2)"""
+
+
+def _zscore_assignments(spark, sf_dir) -> DataFrame:
+    c = clin(spark, sf_dir)
+    tuples = FE.filtered_feature_tuples(c)
+    dictionary, vectors, width = FE.build_vectors(tuples)
+    moments = FE.feature_moments(tuples).join(dictionary, "feature").select("idx", "mean", "std").collect()  # list width
+    by = {r.idx: r for r in moments}
+    shift = F.array(*[F.lit(by[i].mean) for i in range(width)])
+    scale = F.array(*[F.lit(1 / by[i].std if by[i].std > 0 else 0.0) for i in range(width)])
+    points = vectors.select("patient_id", F.zip_with(
+        F.zip_with(vector_to_array("features"), shift, lambda a, b: a - b), scale, lambda a, b: a * b).alias("features"))
+    start = C.Centres([[x] * width for x in ZSCORE_START], [C.STREAM_START_WEIGHT] * len(ZSCORE_START))
+    centres = C.Centres.from_frame(C.minibatch_update(points, start))
+    return S.with_labels(C.predict_nearest(points, centres, "features"), P.phenotype_labels(c))
+
+
+@register("zscore_minibatch_contingency", f"{_ZSCORE_SQL} SELECT label, cluster, n FROM cells")
+def q_zscore_minibatch_contingency(spark, sf_dir):
+    return M.contingency(_zscore_assignments(spark, sf_dir))
+
+
+@register("zscore_minibatch_purity", f"""{_ZSCORE_SQL}
+SELECT sum(n) AS n, round((SELECT sum(b) FROM (SELECT max(n) AS b FROM cells GROUP BY cluster)) / sum(n), {ROUND}) AS purity,
+       round((SELECT sum(b) FROM (SELECT max(n) AS b FROM cells GROUP BY label)) / sum(n), {ROUND}) AS inverse_purity
+FROM cells""")
+def q_zscore_minibatch_purity(spark, sf_dir):
+    return M.purity_pair(_zscore_assignments(spark, sf_dir)).select("n", _r("purity"), _r("inverse_purity"))
+
+
+# ---------------------------------------------------------------------------
+# Raw exports (S1-S12, F1, F2, C4): the view written as the four CSV exports by Spark and loaded back
+# ---------------------------------------------------------------------------
+
+def _exported(spark, sf_dir):
+    folder = state_dir(spark, f"exports-{uuid.uuid4().hex}")
+    CT.write_clinical_csv(clin(spark, sf_dir), folder)
+    return CT.load_clinical_csv(spark, folder)
+
+
+@register("csv_dx_events", f"WITH {clinical_view_sql()} SELECT patient_id, code, epoch_ms(date) AS date_ms FROM dx")
+def q_csv_dx_events(spark, sf_dir):
+    return _exported(spark, sf_dir).dx.select("patient_id", "code", PA.epoch_millis("date").alias("date_ms"))
+
+
+@register("csv_lab_events", f"""WITH {clinical_view_sql()}
+SELECT patient_id, epoch_ms(date) AS date_ms, test_name, round(value, {ROUND}) AS value FROM lab""")
+def q_csv_lab_events(spark, sf_dir):
+    return _exported(spark, sf_dir).lab.select("patient_id", PA.epoch_millis("date").alias("date_ms"), "test_name", _r("value"))
 
 
-@register("clustering_contingency")
-def q_clustering_contingency(spark, sf_dir):
-    return S.clustering_contingency(clin(spark, sf_dir))
+@register("csv_med_events", f"WITH {clinical_view_sql()} SELECT patient_id, epoch_ms(date) AS date_ms, medicine FROM med")
+def q_csv_med_events(spark, sf_dir):
+    return _exported(spark, sf_dir).med.select("patient_id", PA.epoch_millis("date").alias("date_ms"), "medicine")
 
 
-@register("clustering_report")
-def q_clustering_report(spark, sf_dir):
-    return S.run_cohort_study(clin(spark, sf_dir))
+@register("code_list_items", f"WITH {clinical_view_sql()} SELECT DISTINCT lower(test_name) AS item FROM lab")
+def q_code_list_items(spark, sf_dir):
+    """S10 on a list file that Spark writes from the lab names."""
+    path = f"{state_dir(spark, f'lists-{uuid.uuid4().hex}')}/{CT.LAB_FILTER_FILE}"
+    clin(spark, sf_dir).lab.select("test_name").write.text(path)
+    return CT.load_code_list(spark, path)

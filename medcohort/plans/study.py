@@ -7,14 +7,14 @@ scale + PCA -> k-means / Gaussian mixture / streaming k-means -> purity.
 from __future__ import annotations
 
 from concurrent.futures import ThreadPoolExecutor
+from contextlib import contextmanager
 from functools import reduce
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from medcohort.functions.partitioning import right_size
-from medcohort.operators import clustering as C
+from medcohort.operators import learners as C
 from medcohort.operators import features as FE
 from medcohort.operators import metrics as M
 from medcohort.operators import phenotype as P
@@ -23,27 +23,26 @@ from medcohort.sources.clinical import ClinicalFrames
 from medcohort.sources.sinks import report_line
 
 
-def project_points(vectors: DataFrame, width: int | None = None,
-                   held: list | None = None) -> tuple[DataFrame, int]:
+#: The points of the learners are dealt by patient over this many partitions, whatever the input's layout, and
+#: sorted within them: seeded learners draw their start by position, so a fixed layout fixes the result. Raise it
+#: with the data; a new value is a new draw.
+LEARNER_PARTITIONS = 16
+
+
+def project_points(vectors: DataFrame, width: int | None = None, held: list | None = None,
+                   partitions: int = LEARNER_PARTITIONS) -> tuple[DataFrame, int]:
     """Scale + PCA the vectors; ``(points (patient_id, pca), pca width)``.
 
-    The vectors and the projected points are persisted and coalesced to a
-    volume-based partition count before the iterative learners run.
+    The points are persisted for the iterative learners and appended to ``held``
+    for the caller to release; the sparse vectors are already written out.
     """
-    vectors = vectors.persist()
-    rows = vectors.count()
     width = width or len(vectors.select("features").head()[0])
-    # Seeded learners sample by position, so fix the row order: coalesce to the
-    # volume-based partition count and sort each partition by patient id.
-    ordered = (right_size(vectors, rows, 8 * width + 64)
-               .sortWithinPartitions("patient_id").persist())
-    model = C.fit_projection(ordered, width=width)     # its first job fills the ordered cache
-    vectors.unpersist()
-    dim = min(C.PCA_COMPONENTS, width)
+    ordered = vectors.repartition(partitions, "patient_id").sortWithinPartitions("patient_id")
+    model = C.fit_projection(ordered, width=width)
     points = C.project(model, ordered).select("patient_id", "pca").persist()   # K2
     if held is not None:
-        held.extend([ordered, points])
-    return points, dim
+        held.append(points)
+    return points, min(C.PCA_COMPONENTS, width)
 
 
 def _in_parallel(tasks: dict, parallelism: int, spark=None) -> dict:
@@ -83,68 +82,80 @@ def _stack(assignments: dict[str, DataFrame]) -> DataFrame:
                    for name, a in assignments.items()])
 
 
-def evaluate_clusterings(labels: DataFrame, vectors: DataFrame, width: int | None = None) -> DataFrame:
+def evaluate_learners(labels: DataFrame, vectors: DataFrame, width: int | None = None) -> DataFrame:
     """``(algorithm, n, purity, inverse_purity)``; the reference printed the latter."""
-    stacked = with_labels(_stack(cluster_all(vectors, width)), labels)
-    return M.purity_by(stacked, ["algorithm"])
+    with released() as held:
+        stacked = with_labels(_stack(cluster_all(vectors, width, held=held)), labels)
+        return M.purity_by(stacked, ["algorithm"]).checkpoint(eager=True)
+
+
+@contextmanager
+def released():
+    """A list for cached frames; all of them are released at the end, also after a failure."""
+    held: list = []
+    try:
+        yield held
+    finally:
+        for df in held:
+            df.unpersist()
+
+
+def feature_sets(clinical: ClinicalFrames, candidate_lists: dict | None = None, held: list | None = None) -> dict:
+    """``{name: (tuples, vectors, width)}`` for all features and for those on the candidate lists.
+
+    The tagged tuples are aggregated once and cached; the filtered set is a
+    filter on them (the lists filter on the aggregation key).
+    """
+    tagged = FE.feature_tuples_tagged(clinical).persist()                    # K1
+    if held is not None:
+        held.append(tagged)
+    filtered = FE.restrict_tagged(tagged, **(candidate_lists or FE.shipped_candidate_lists()))
+    out = {}
+    for name, tuples in (("All", tagged.drop("kind")), ("Filtered", filtered.drop("kind"))):
+        _, vectors, width = FE.build_vectors(tuples)
+        out[name] = (tuples, vectors, width)
+    return out
 
 
-def labelled_assignments(clinical: ClinicalFrames, parallelism: int = 3,
-                         candidate_lists: dict | None = None,
-                         held: list | None = None) -> DataFrame:
-    """``(feature_set, algorithm, patient_id, cluster, label)`` for all six clusterings.
+def labelled_assignments(clinical: ClinicalFrames, held: list, parallelism: int = 3,
+                         candidate_lists: dict | None = None) -> DataFrame:
+    """``(feature_set, algorithm, patient_id, cluster, label)`` for all six assignments.
 
-    The tagged feature tuples are aggregated once and persisted; the filtered
-    set is a filter on them (the lists filter on the aggregation key).
     ``candidate_lists`` maps ``candidate_dx`` / ``candidate_lab`` /
     ``candidate_med`` to lists or one-column DataFrames (e.g. from
     ``load_code_lists``); default: the shipped lists. Frames cached here are
     appended to ``held``.
     """
-    held = held if held is not None else []
     ensure_checkpoint_dir(clinical.med.sparkSession)
-    labels = P.phenotype_labels(clinical).persist()
-    tagged = FE.feature_tuples_tagged(clinical).persist()                    # K1
-    held += [labels, tagged]
-    sets = (("All", tagged.drop("kind")),
-            ("Filtered", FE.restrict_tagged(
-                tagged, **(candidate_lists or FE.shipped_candidate_lists())).drop("kind")))
+    sets = feature_sets(clinical, candidate_lists, held)
+    labels = P.phenotype_labels(clinical)
 
-    def one_set(feature_set, tuples):
-        _, vectors, width = FE.build_vectors(tuples, persist=False, held=held)   # tagged is cached
+    def one_set(name):
+        _, vectors, width = sets[name]
         assigned = _stack(cluster_all(vectors, width, parallelism, held))
-        return assigned.select(F.lit(feature_set).alias("feature_set"), "*")
+        return assigned.select(F.lit(name).alias("feature_set"), "*")
 
-    done = _in_parallel({name: (lambda n=name, t=tuples: one_set(n, t)) for name, tuples in sets},
-                        parallelism, tagged.sparkSession)
-    return with_labels(reduce(DataFrame.unionByName, [done[name] for name, _ in sets]), labels)
-
-
-def _finish(result: DataFrame, held: list) -> DataFrame:
-    """Write a small result to the shared checkpoint folder, then release the caches."""
-    result = result.checkpoint(eager=True)
-    for df in held:
-        df.unpersist()
-    return result
+    done = _in_parallel({name: (lambda n=name: one_set(n)) for name in sets}, parallelism,
+                        clinical.med.sparkSession)
+    return with_labels(reduce(DataFrame.unionByName, [done[name] for name in sets]), labels)
 
 
 def run_cohort_study(clinical: ClinicalFrames, parallelism: int = 3,
                      candidate_lists: dict | None = None) -> DataFrame:
     """``(feature_set, algorithm, n, purity, inverse_purity, report)``.
 
-    All six clusterings are scored against the labels in one job.
+    All six assignments are scored against the labels in one job.
     """
-    held: list = []
-    stacked = labelled_assignments(clinical, parallelism, candidate_lists, held)
-    scored = M.purity_by(stacked, ["feature_set", "algorithm"])
-    return _finish(scored.withColumn("report", report_line()), held)
+    with released() as held:
+        stacked = labelled_assignments(clinical, held, parallelism, candidate_lists)
+        scored = M.purity_by(stacked, ["feature_set", "algorithm"])
+        return scored.withColumn("report", report_line()).checkpoint(eager=True)
 
 
-def clustering_contingency(clinical: ClinicalFrames, parallelism: int = 3,
+def cluster_contingency(clinical: ClinicalFrames, parallelism: int = 3,
                            candidate_lists: dict | None = None) -> DataFrame:
     """A9 for the study: ``(feature_set, algorithm, label, cluster, n)`` pair counts."""
-    held: list = []
-    stacked = labelled_assignments(clinical, parallelism, candidate_lists, held)
-    counts = stacked.groupBy("feature_set", "algorithm", "label", "cluster").agg(
-        F.count(F.lit(1)).alias("n"))
-    return _finish(counts, held)
+    with released() as held:
+        stacked = labelled_assignments(clinical, held, parallelism, candidate_lists)
+        return stacked.groupBy("feature_set", "algorithm", "label", "cluster").agg(
+            F.count(F.lit(1)).alias("n")).checkpoint(eager=True)

@@ -21,7 +21,6 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from medcohort.functions.partitioning import num_partitions
 from medcohort.functions.sqltext import case_lookup
 
 
@@ -69,42 +68,9 @@ def _lookup(key_sql: str, table: dict[int, str], prefix: str) -> Column:
     return F.expr(case_lookup(key_sql, table, prefix))
 
 
-# A spread scan keeps at least this many rows per partition. The session
-# setting below turns spreading off (e.g. for mid-sized tables on a large
-# cluster whose joins shuffle anyway, where the spread is one extra shuffle).
-SPREAD_ROWS_PER_PARTITION = 50_000
-SPREAD_CONF = "spark.medcohort.spreadSmallScans"
-_SPREAD: dict[tuple[str, int, int], int] = {}
-
-
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """Read one parquet table; spread an under-split scan over the cores.
-
-    A table stored as a few unsplittable row groups scans in a few tasks, which
-    then also run every narrow step above the scan (joins with a broadcast
-    side, projections, partial aggregation). When the scan has fewer splits
-    than the session's parallelism, its row count (answered from the parquet
-    footers) decides whether to spread it round-robin: to at most one
-    partition per ``SPREAD_ROWS_PER_PARTITION`` rows, never beyond the
-    parallelism. Tiny tables stay as they are; a large table has more splits
-    than cores and is returned untouched, with no extra job.
-    """
-    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    df = spark.read.parquet(path)
-    if spark.conf.get(SPREAD_CONF, "true").lower() != "true":
-        return df
-    try:
-        cores = spark.sparkContext.defaultParallelism
-    except Exception:  # no SparkContext on this client
-        return df
-    have = num_partitions(df)
-    if have is None or have >= cores:
-        return df
-    key = (path, have, cores)
-    if key not in _SPREAD:   # the decision only shapes partitioning, never results
-        _SPREAD[key] = min(cores, -(-df.count() // SPREAD_ROWS_PER_PARTITION))
-    want = _SPREAD[key]
-    return df.repartition(want) if want > have else df
+    """Read one parquet table."""
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def encounter_lines(orders: DataFrame, lineitem: DataFrame) -> DataFrame:

@@ -1,13 +1,14 @@
 """Raw CSV exports, code lists and criteria tables.
 
 The raw files are headed, comma separated and read as all-string columns with
-malformed rows dropped. CSV column pruning is switched off for the session so
+malformed rows dropped. Each read switches CSV column pruning off for itself, so
 DROPMALFORMED judges whole rows, as a reader without pruning does.
 """
 
 from __future__ import annotations
 
 import re
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,10 +22,10 @@ ENCOUNTER_DX_FILE, ENCOUNTER_DX_VIEW = "encounter_dx_INPUT.csv", "diag_dx"
 LAB_FILE, LAB_VIEW = "lab_results_INPUT.csv", "lab"
 MED_FILE, MED_VIEW = "medication_orders_INPUT.csv", "med"
 MED_FILTER_FILE, LAB_FILTER_FILE, DX_FILTER_FILE = "med_filter.txt", "lab_filter.txt", "icd9_filter.txt"
-
 _VIEW_NAME = re.compile(r"(\w+)(\.csv)?$", re.ASCII)   # Java's \w is ASCII
 
 
+
 def infer_table_name(path: str) -> str:
     """S3: trailing word characters before an optional ``.csv``; else the path."""
     m = _VIEW_NAME.search(path)
@@ -33,9 +34,8 @@ def infer_table_name(path: str) -> str:
 
 def load_csv_as_table(spark: SparkSession, path: str, table_name: str | None = None) -> DataFrame:
     """Headed CSV, all strings, malformed rows dropped, temp view."""
-    spark.conf.set("spark.sql.csv.parser.columnPruning.enabled", "false")
     df = (spark.read.option("header", True).option("mode", "DROPMALFORMED")
-          .option("delimiter", ",").csv(path))
+          .option("columnPruning", False).option("delimiter", ",").csv(path))
     df.createOrReplaceTempView(table_name or infer_table_name(path))
     return df
 
@@ -57,6 +57,49 @@ def _path(data_dir: str, name: str) -> str:
     return f"{data_dir.rstrip('/')}/{name}"
 
 
+_EXPORTS = ((ENCOUNTER_FILE, ENCOUNTER_VIEW), (ENCOUNTER_DX_FILE, ENCOUNTER_DX_VIEW), (LAB_FILE, LAB_VIEW),
+            (MED_FILE, MED_VIEW))
+
+
+def _register_views(spark: SparkSession, data_dir: str) -> None:
+    for file, view in _EXPORTS:
+        load_csv_as_table(spark, _path(data_dir, file), view)
+
+
+def count_malformed_rows(spark: SparkSession, data_dir: str) -> DataFrame:
+    """``(file, malformed_rows)``: rows of each export that the loader drops for a wrong number of fields."""
+    parts = []
+    for file, _ in _EXPORTS:
+        path, record = _path(data_dir, file), "_malformed_record"
+        schema = spark.read.option("header", True).csv(path).schema.add(record, "string")
+        rows = (spark.read.schema(schema).option("header", True).option("mode", "PERMISSIVE")
+                .option("columnPruning", False).option("columnNameOfCorruptRecord", record).csv(path))
+        whole = F.concat(record, F.coalesce(F.col(schema[0].name), F.lit("")))   # the record alone may not be read
+        parts.append(rows.agg(F.count(whole).alias("malformed_rows")).select(F.lit(file).alias("file"), "malformed_rows"))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def write_clinical_csv(clinical: ClinicalFrames, data_dir: str) -> None:
+    """Write typed frames as the four raw exports, one folder of part files each.
+
+    An encounter is a patient at a time; dates are written to the second in UTC,
+    numbers with grouping commas and six decimals, drug names in upper case.
+    """
+    def write(df: DataFrame, name: str) -> None:
+        df.write.mode("overwrite").option("header", True).csv(_path(data_dir, name))
+
+    stamp = lambda c: F.date_format(c, "yyyy-MM-dd'T'HH:mm:ss'Z'")
+    encounter = F.concat_ws("-", "patient_id", stamp("date")).alias("Encounter_ID")
+    dx, lab, med = clinical.dx, clinical.lab, clinical.med
+    write(dx.select(encounter, F.col("patient_id").alias("Member_ID"), stamp("date").alias("Encounter_DateTime")).distinct(),
+          ENCOUNTER_FILE)
+    write(dx.select(encounter, F.col("code").alias("Code_ID")), ENCOUNTER_DX_FILE)
+    write(lab.select(F.col("patient_id").alias("Member_ID"), stamp("date").alias("Date_Resulted"),
+                     F.col("test_name").alias("Result_Name"), F.format_number("value", 6).alias("Numeric_Result")), LAB_FILE)
+    write(med.select(F.col("patient_id").alias("Member_ID"), stamp("date").alias("Order_Date"),
+                     F.upper("medicine").alias("Drug_Name")), MED_FILE)
+
+
 def load_clinical_csv(spark: SparkSession, data_dir: str, on_error: str = "fail") -> ClinicalFrames:
     """Typed medication, lab and diagnosis frames from the raw CSV files.
 
@@ -71,10 +114,7 @@ def load_clinical_csv(spark: SparkSession, data_dir: str, on_error: str = "fail"
     (``on_error="drop"``).
     """
     mode = "null" if on_error == "drop" else "fail"
-    load_csv_as_table(spark, _path(data_dir, ENCOUNTER_FILE), ENCOUNTER_VIEW)
-    load_csv_as_table(spark, _path(data_dir, ENCOUNTER_DX_FILE), ENCOUNTER_DX_VIEW)
-    load_csv_as_table(spark, _path(data_dir, LAB_FILE), LAB_VIEW)
-    load_csv_as_table(spark, _path(data_dir, MED_FILE), MED_VIEW)
+    _register_views(spark, data_dir)
 
     dx = spark.sql(
         f"SELECT d.Member_ID, x.Code_ID, d.Encounter_DateTime FROM {ENCOUNTER_VIEW} d "
@@ -110,8 +150,7 @@ def count_invalid_rows(spark: SparkSession, data_dir: str) -> DataFrame:
     ``(frame, bad_rows)``: NULL ids, codes, names or dates, and non-empty
     dates or numbers that do not parse.
     """
-    c = load_clinical_csv(spark, data_dir, on_error="drop")
-    del c  # registers the views
+    _register_views(spark, data_dir)
     checks = {
         "dx": (f"SELECT d.Member_ID AS id, x.Code_ID AS item, d.Encounter_DateTime AS t, '0' AS num "
                f"FROM {ENCOUNTER_VIEW} d JOIN {ENCOUNTER_DX_VIEW} x ON d.Encounter_ID = x.Encounter_ID"),
@@ -127,7 +166,6 @@ def count_invalid_rows(spark: SparkSession, data_dir: str) -> DataFrame:
                | parse_us_number(F.col("num"), "null").isNull())
         parts.append(df.agg(F.sum(bad.cast("long")).alias("bad_rows"))
                      .select(F.lit(name).alias("frame"), F.coalesce("bad_rows", F.lit(0)).alias("bad_rows")))
-    from functools import reduce
     return reduce(DataFrame.unionByName, parts)
 
 
@@ -161,11 +199,8 @@ def criteria_filter(events: DataFrame, col: str, criteria: DataFrame) -> DataFra
     Exact codes and prefix rules are left joins against distinct keys (so every
     event row is kept once, duplicates included) that set a hit flag: exact on
     the code, prefixes on the code's leading characters, one equi join per
-    distinct prefix length (a handful: bounded by the length of a code). Each
-    small side is broadcast only after a size check.
+    distinct prefix length (a handful: bounded by the length of a code).
     """
-    from medcohort.functions.joins import join_small
-
     codes = criteria.select(F.col("code")).filter(F.col("code").isNotNull())
     exact = (codes.filter(~F.col("code").endswith("*")).distinct()
              .select(F.col("code").alias("_key"), F.lit(True).alias("_x")))
@@ -179,7 +214,7 @@ def criteria_filter(events: DataFrame, col: str, criteria: DataFrame) -> DataFra
              .select(F.col("prefix").alias("_key"), F.lit(True).alias("_x")))
         keys.append((F.substring(F.col(col), 1, plen), p))
     for key, side in keys:
-        out = (join_small(out.withColumn("_probe", key), side, F.col("_probe") == F.col("_key"), "left")
+        out = (out.withColumn("_probe", key).join(side, F.col("_probe") == F.col("_key"), "left")
                .withColumn("_hit", F.col("_hit") | F.coalesce(F.col("_x"), F.lit(False)))
                .drop("_probe", "_key", "_x"))
     return out.filter(F.col("_hit")).drop("_hit")

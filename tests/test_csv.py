@@ -148,22 +148,8 @@ def test_csv_round_trip_gives_the_same_phenotype(spark, tmp_path):
     from medcohort.operators import phenotype as P
     from medcohort.sources.clinical import load_clinical_view
     view = load_clinical_view(spark, "/root/testdata/sf0.001")
-    stamp = lambda c: F.date_format(c, "yyyy-MM-dd'T'HH:mm:ss'Z'")
     d = str(tmp_path)
-
-    def write(df, name):
-        df.coalesce(1).write.option("header", True).csv(os.path.join(d, name))
-
-    dx = view.dx.withColumn("Encounter_ID", F.monotonically_increasing_id().cast("string")).persist()
-    write(dx.select("Encounter_ID", F.col("patient_id").alias("Member_ID"),
-                    stamp("date").alias("Encounter_DateTime")), CT.ENCOUNTER_FILE)
-    write(dx.select("Encounter_ID", F.col("code").alias("Code_ID")), CT.ENCOUNTER_DX_FILE)
-    write(view.lab.select(F.col("patient_id").alias("Member_ID"), stamp("date").alias("Date_Resulted"),
-                          F.col("test_name").alias("Result_Name"),
-                          F.format_number("value", 6).alias("Numeric_Result")), CT.LAB_FILE)
-    write(view.med.select(F.col("patient_id").alias("Member_ID"), stamp("date").alias("Order_Date"),
-                          F.upper("medicine").alias("Drug_Name")), CT.MED_FILE)
-
+    CT.write_clinical_csv(view, d)
     csv = CT.load_clinical_csv(spark, d)
     assert csv.dx.count() == view.dx.count() and csv.lab.count() == view.lab.count()
     a, b = P.phenotype_labels(csv), P.phenotype_labels(view)
@@ -171,3 +157,30 @@ def test_csv_round_trip_gives_the_same_phenotype(spark, tmp_path):
     ga = {r.label: round(r.mean_glucose, 6) for r in P.glucose_mean_by_label(csv.lab, a).collect()}
     gb = {r.label: round(r.mean_glucose, 6) for r in P.glucose_mean_by_label(view.lab, b).collect()}
     assert ga == gb
+
+
+def test_loading_leaves_the_session_as_it_is(spark, raw_dir):
+    key = "spark.sql.csv.parser.columnPruning.enabled"
+    before = spark.conf.get(key)
+    CT.load_clinical_csv(spark, raw_dir)
+    assert spark.conf.get(key) == before
+
+
+def test_malformed_rows_are_counted(spark, raw_dir):
+    got = {r.file: r.malformed_rows for r in CT.count_malformed_rows(spark, raw_dir).collect()}
+    assert got == {CT.ENCOUNTER_FILE: 2, CT.ENCOUNTER_DX_FILE: 0, CT.LAB_FILE: 0, CT.MED_FILE: 0}
+
+
+def test_lenient_instants(spark):
+    texts = ["2008-01-31T06:00:00-05:30", "2008-01-31T06:00:00-05", "2008-13-01T25:61:61Z", "2009-01-02T02:02:01Z",
+             "2008-01-31T06:00:00+0530x", "2008-01-31T06:00:00+05", "nonsense", None]
+    df = spark.createDataFrame([(t,) for t in texts], "s string")
+    got = [r.v for r in df.select(PA.epoch_millis(PA.parse_instant(F.col("s"), "null", lenient=True)).alias("v")).collect()]
+    assert got[0] == got[1] and got[2] == got[3] and got[4] == got[5] and got[6:] == [None, None] and None not in got[:6]
+
+
+def test_feature_sink(spark, tmp_path):
+    from medcohort.sources import sinks
+    tuples = spark.createDataFrame([("p1", "250.00", 2.0)], "patient_id string, feature string, value double")
+    sinks.write_feature_tuples_tsv(tuples, str(tmp_path / "f"))
+    assert [tuple(r) for r in spark.read.option("sep", "\t").csv(str(tmp_path / "f")).collect()] == [("p1", "250.00", "2.0")]

@@ -3,7 +3,7 @@
 import datetime as dt
 
 import pytest
-from pyspark.ml.linalg import SparseVector, Vectors
+from pyspark.ml.linalg import SparseVector
 from pyspark.sql import functions as F
 
 from medcohort.operators import features as FE
@@ -102,12 +102,12 @@ def _tuples(spark, rows):
     return spark.createDataFrame(rows, FE.FEATURE_SCHEMA)
 
 
-def test_construct_dense(spark):
+def test_construct_full_row(spark):
     t = _tuples(spark, [("patient1", "code2", 42.0), ("patient1", "code1", 24.0)])
     d, v, n = FE.build_vectors(t)
     assert n == 2
     assert {r.feature: r.idx for r in d.collect()} == {"code1": 0, "code2": 1}
-    assert {r.patient_id: r.features for r in v.collect()} == {"patient1": Vectors.dense(24.0, 42.0)}
+    assert {r.patient_id: r.features for r in v.collect()} == {"patient1": SparseVector(2, [0, 1], [24.0, 42.0])}
 
 
 def test_construct_sparse(spark):
@@ -115,6 +115,7 @@ def test_construct_sparse(spark):
                         ("patient2", "code1", 12.0)])
     d, v, n = FE.build_vectors(t)
     got = {r.patient_id: r.features for r in v.collect()}
+    assert all(type(v) is SparseVector for v in got.values())   # dense ones would compare equal
     assert got["patient1"] == SparseVector(3, [0, 2], [42.0, 24.0])
     assert got["patient2"] == SparseVector(3, [1], [12.0])
     long = FE.sparse_entries(FE.patient_vectors_long(t, d))
@@ -122,12 +123,11 @@ def test_construct_sparse(spark):
         "patient1": ([0, 2], [42.0, 24.0]), "patient2": ([1], [12.0])}
 
 
-@pytest.mark.parametrize("small_vocabulary", [1_000_000, 10])   # one window / distributed path
-def test_dictionary_is_dense_and_name_ordered(spark, small_vocabulary):
+@pytest.mark.parametrize("num_partitions", [1, 5, None])
+def test_dictionary_is_dense_and_name_ordered(spark, num_partitions):
     names = [f"f{i:04d}" for i in range(300)] + ["Glucose", "glucose", "V77.1", "250.01"]
     t = _tuples(spark, [(f"p{i % 7}", n, 1.0) for i, n in enumerate(names)])
-    d = {r.feature: r.idx for r in FE.feature_dictionary(
-        t, num_partitions=5, small_vocabulary=small_vocabulary).collect()}
+    d = {r.feature: r.idx for r in FE.feature_dictionary(t, num_partitions).collect()}
     assert [k for k, _ in sorted(d.items(), key=lambda kv: kv[1])] == sorted(names)
     assert sorted(d.values()) == list(range(len(names)))
 
@@ -140,6 +140,31 @@ def test_duplicate_index_fails(spark):
         FE.sparse_entries(dup).collect()
 
 
+def test_names_come_straight_from_the_events(spark):
+    from medcohort.sources.clinical import load_clinical_view
+    c = load_clinical_view(spark, "/root/testdata/sf0.001")
+    generic = ClinicalFrames(med=c.med, lab=c.lab, dx=c.dx)
+    want = {r.feature for r in FE.feature_tuples(c).select("feature").distinct().collect()}
+    for frames in (c, generic):
+        assert sorted(r.feature for r in FE.feature_names(frames).collect()) == sorted(want)
+
+
+def test_domain_in_the_key_keeps_equal_names_apart(spark):
+    c = ClinicalFrames(med=_med(spark, ["x"]), lab=_lab(spark, [("x", 1.0)]), dx=_dx(spark, ["y"]))
+    tuples = FE.qualified_tuples(FE.feature_tuples_tagged(c))
+    FE.assert_unique_features(tuples)
+    _, vectors, width = FE.build_vectors(tuples)
+    assert width == 3 and {r.feature for r in tuples.collect()} == {"dx:y", "lab:x", "med:x"} and vectors.count() == 1
+
+
+def test_moments_of_large_close_values(spark):
+    rows = [(str(k), "x", 1e9 + k % 2) for k in range(100)] + [(str(k), "y", 1e9) for k in range(50)]
+    m = {r.feature: r.std for r in FE.feature_moments(_tuples(spark, rows)).collect()}
+    import numpy as np
+    assert m["x"] == pytest.approx(np.std([k % 2 for k in range(100)], ddof=1), rel=1e-6)
+    assert m["y"] == pytest.approx(np.std([1e9] * 50 + [0] * 50, ddof=1), rel=1e-9)
+
+
 def test_moments_and_zscores_match_numpy(spark):
     import numpy as np
     rows = [("a", "x", 1.0), ("b", "x", 3.0), ("c", "y", 5.0), ("a", "y", 2.0), ("b", "z", 7.0)]

@@ -4,6 +4,13 @@ import pytest
 
 from medcohort.operators import metrics as M
 
+
+def pairs_of(spark, rows, names=("first", "second")):
+    """One row per pair from ``(a, b, count)`` rows."""
+    pairs = [(a, b) for a, b, n in rows for _ in range(n)]
+    return spark.createDataFrame(pairs, f"{names[0]} int, {names[1]} int")
+
+
 TABLE_1 = [(1, 1, 0), (1, 2, 1), (1, 3, 5), (2, 1, 1), (2, 2, 4), (2, 3, 1), (3, 1, 3), (3, 2, 0), (3, 3, 2)]
 TABLE_2 = [(1, 1, 0), (1, 2, 53), (1, 3, 10), (2, 1, 0), (2, 2, 1), (2, 3, 60), (3, 1, 0), (3, 2, 16), (3, 3, 0)]
 
@@ -13,7 +20,7 @@ TABLE_2 = [(1, 1, 0), (1, 2, 53), (1, 3, 10), (2, 1, 0), (2, 2, 1), (2, 3, 60),
     (TABLE_2, (53 + 60 + 16) / 140, (53 + 60) / 140),
 ])
 def test_purity_tables(spark, rows, purity, inverse):
-    pairs = M.pair_counts_from_rows(spark, rows, ("cluster", "label"))
+    pairs = pairs_of(spark, rows, ("cluster", "label"))
     assert M.purity(pairs, "cluster", "label").first().purity == pytest.approx(purity, abs=1e-3)
     assert M.purity(pairs, "label", "cluster").first().purity == pytest.approx(inverse, abs=1e-3)
     both = M.purity_pair(pairs).first()
@@ -22,13 +29,13 @@ def test_purity_tables(spark, rows, purity, inverse):
 
 
 def test_contingency_counts(spark):
-    pairs = M.pair_counts_from_rows(spark, TABLE_1, ("cluster", "label"))
+    pairs = pairs_of(spark, TABLE_1, ("cluster", "label"))
     got = {(r.label, r.cluster): r.n for r in M.contingency(pairs).collect()}
     assert got == {(lab, c): n for c, lab, n in TABLE_1 if n}
 
 
 def test_single_cluster(spark):
-    pairs = M.pair_counts_from_rows(spark, [(0, 1, 3), (0, 2, 1)], ("cluster", "label"))
+    pairs = pairs_of(spark, [(0, 1, 3), (0, 2, 1)], ("cluster", "label"))
     assert M.purity(pairs).first().purity == pytest.approx(0.75)
     assert M.purity(pairs, "label", "cluster").first().purity == pytest.approx(1.0)
 

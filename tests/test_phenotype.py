@@ -51,9 +51,13 @@ def test_truth_table(truth_frames):
     assert got == {pid: label for pid, *_, label in TRUTH}
 
 
-def test_truth_table_setwise(truth_frames):
-    got = {r.patient_id: r.label for r in P.phenotype_labels_setwise(truth_frames).collect()}
-    assert got == {pid: label for pid, *_, label in TRUTH}
+def test_memberships_of_the_truth_table(truth_frames):
+    sets = P.member_sets(P.patient_flags(truth_frames))
+    flags = {r.patient_id: r for r in P.patient_flags(truth_frames).collect()}
+    got = {name: {r.patient_id for r in df.collect()} for name, df in sets.items()}
+    assert got["patients"] == set(flags) and got["t1_dx"] == {p for p, r in flags.items() if r.t1_dx}
+    assert got["t2_med"] == {p for p, r in flags.items() if r.t2_med_first is not None}
+    assert got["t2_med_before_t1"] <= got["t1_med"] & got["t2_med"]
 
 
 def test_day_precision_makes_same_day_a_tie(spark):
@@ -71,9 +75,6 @@ def test_counts_on_clinical_view(spark):
     c = load_clinical_view(spark, "/root/testdata/sf0.001")
     counts = {r.label: r["count"] for r in P.phenotype_labels(c).groupBy("label").count().collect()}
     assert counts == {1: 45, 2: 12, 3: 93}
-    setwise = P.phenotype_labels_setwise(c)
-    one_pass = P.phenotype_labels(c)
-    assert one_pass.exceptAll(setwise).count() == 0 and setwise.exceptAll(one_pass).count() == 0
 
 
 def test_glucose_means_and_empty_label(spark, truth_frames):

@@ -3,6 +3,7 @@
 import pytest
 
 import __spark_entry__ as E
+from medcohort.plans import catalog
 
 from .conftest import SF0001
 
@@ -45,7 +46,8 @@ def test_no_python_in_feature_plans(spark):
         assert "Python" not in plan, name
 
 
-@pytest.mark.parametrize("name", sorted(set(E.oracle_sql()) - {"minibatch_stream_centres"}))
+# the training-data operators have plan rules of their own
+@pytest.mark.parametrize("name", sorted(set(catalog.QUERIES)))
 def test_no_cross_join_or_python_anywhere(spark, name):
     spark.catalog.clearCache()
     plan = _plan(E.queries()[name](spark, SF0001))
@@ -53,26 +55,24 @@ def test_no_cross_join_or_python_anywhere(spark, name):
         assert bad not in plan, (name, bad)
 
 
-def test_dictionary_and_list_joins_broadcast(spark, no_broadcast):
-    """Size-checked sides broadcast even with the size threshold off."""
-    from medcohort.operators import features as FE
-    from medcohort.sources.clinical import load_clinical_view
-    c = load_clinical_view(spark, SF0001)
-    tuples = FE.feature_tuples(c)
-    plan = _plan(FE.patient_vectors_long(tuples, FE.feature_dictionary(tuples)))
-    assert "BroadcastHashJoin" in plan
-    items = spark.createDataFrame([("250.00",), ("V77.1",)], "item string")
-    plan = _plan(FE.dx_features(c.dx, items))
-    assert "BroadcastHashJoin" in plan and "LeftSemi" in plan
-
-
-def test_scan_spread_can_be_switched_off(spark):
-    from medcohort.sources.clinical import SPREAD_CONF, read_table
-    spark.conf.set(SPREAD_CONF, "false")
-    try:
-        plain = _plan(read_table(spark, "/root/testdata/sf0.01", "lineitem"))
-    finally:
-        spark.conf.unset(SPREAD_CONF)
-    spread = _plan(read_table(spark, "/root/testdata/sf0.01", "lineitem"))
-    assert "RoundRobinPartitioning" not in plain
-    assert "RoundRobinPartitioning" in spread
+@pytest.mark.parametrize("name", ["t1_med_patients", "t2_med_patients"])
+def test_medication_sets_scan_orders_alone(spark, no_broadcast, name):
+    plan = _plan(E.queries()[name](spark, SF0001))
+    assert plan.count("FileScan") == 1 and "Join" not in plan
+
+
+@pytest.mark.parametrize("name", ["t1_dx_patients", "related_dx_patients", "t2_without_t1_dx", "glucose_tested",
+                                  "abnormal_lab_patients"])
+def test_other_sets_read_the_lines_once(spark, no_broadcast, name):
+    plan = _plan(E.queries()[name](spark, SF0001))
+    assert plan.count("FileScan") == 2 and plan.count("SortMergeJoin") == 1
+    if name in ("glucose_tested", "abnormal_lab_patients"):
+        assert "Not(EqualTo(l_returnflag,N))" in plan
+
+
+def test_nothing_stays_cached(spark):
+    spark.catalog.clearCache()
+    before = spark.sparkContext._jsc.sc().getPersistentRDDs().size()
+    for name in ("feature_zscores", "patient_vectors", "cluster_report", "kmeans_clusters", "zscore_minibatch_purity"):
+        E.queries()[name](spark, SF0001).count()
+    assert spark.sparkContext._jsc.sc().getPersistentRDDs().size() == before

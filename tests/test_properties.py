@@ -59,7 +59,6 @@ def test_rule_and_features_against_brute_force(spark, events, hot_code, hot_med)
         dx=spark.createDataFrame(dx, "patient_id string, code string, date timestamp"))
     expected = brute_labels(dx, med, lab)
     assert {r.patient_id: r.label for r in P.phenotype_labels(frames).collect()} == expected
-    assert {r.patient_id: r.label for r in P.phenotype_labels_setwise(frames).collect()} == expected
 
     got = {(r.patient_id, r.feature): r.value for r in FE.feature_tuples(frames).collect()}
     want = {}
