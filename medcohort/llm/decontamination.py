@@ -91,10 +91,12 @@ def find_hits(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> Da
     maybe = materialise(maybe, "bench-maybe")
 
     few = if_small(maybe.select(F.col("doc_id").alias("d"), F.col("text_hash").alias("t")))
-    some = key.select("doc_id", "text_hash", "w").join(
-        few, key["doc_id"].eqNullSafe(few["d"]) & (key["text_hash"] == few["t"]), "left_semi")
+    # the texts that have candidates, cut into words only after both joins
+    some = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), "text")
+    some = some.join(few, some["doc_id"].eqNullSafe(few["d"]) & (some["text_hash"] == few["t"]), "left_semi")
     m = maybe.select(F.col("doc_id").alias("d"), F.col("text_hash").alias("t"), "maybe")
     sure = (some.join(m, some["doc_id"].eqNullSafe(m["d"]) & (some["text_hash"] == m["t"]))
+            .select("doc_id", "text_hash", "maybe", words_of(F.col("text")).alias("w"))
             .select("doc_id", "text_hash", F.filter("maybe", lambda c: F.array_join(
                 F.slice("w", c["start"] + 1, c["width"]), " ") == c["words"]).alias("sure"))
             .where(F.size("sure") > 0).dropDuplicates(["doc_id", "text_hash"]))
