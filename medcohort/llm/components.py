@@ -15,7 +15,8 @@ def _step(edges: DataFrame, large: bool) -> DataFrame:
         edges = edges.withColumnsRenamed({"a": "u", "b": "v"})
     else:
         edges = edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
-    least = edges.groupBy("u").agg(F.min("v").alias("m")).withColumn("m", F.least("u", "m"))
+    # stored, so that both sides of the join are plain shuffles, which Spark splits where a node has very many edges
+    least = materialise(edges.groupBy("u").agg(F.min("v").alias("m")).withColumn("m", F.least("u", "m")), "least")
     joined = edges.join(least, "u")
     if large:
         out = joined.where(F.col("v") > F.col("u")).select(F.col("v").alias("a"), F.col("m").alias("b"))
