@@ -17,9 +17,9 @@ from medcohort.llm.common import (SPACES, fresh, if_small, map_arrow, materialis
 WINDOW, GRAM = 35, 8
 #: Rows of the count-min sketch, and cells of each row for every anchor of the corpus (at least).
 DEPTH, CELLS_PER_ANCHOR = 2, 4
-#: The repeated cells go to the tasks as two bit maps while a row has at most this many cells (8 MB a map), and
-#: are joined to the documents' anchors beyond.
-BITMAP_CELLS = 1 << 26
+#: The repeated cells go to the tasks as two bit maps while a row has at most BITMAP_CELLS cells (8 MB a map) and
+#: HOT_CELLS are repeated (64 MB through the driver), and are joined to the documents' anchors beyond.
+BITMAP_CELLS, HOT_CELLS = 1 << 26, 1 << 23
 _SPAN = WINDOW - GRAM + 1
 #: Window rows of a partition that are held to find repeats within it.
 HELD_WINDOWS = 4_000_000
@@ -51,7 +51,8 @@ def _anchor_rows(batches):
         for a, b in steps(text):
             first, anchor, _, inside, grams = _windows(text.slice(a, b - a).to_pylist())
             pad = np.zeros(_SPAN - 1, np.uint64)
-            top = sliding(np.concatenate([pad, np.where(inside, anchor, 0), pad]), _SPAN, np.maximum) if len(anchor) else grams
+            around = np.concatenate([pad, np.where(inside, anchor, np.uint64(0)), pad])
+            top = sliding(around, _SPAN, np.maximum) if len(anchor) else grams
             chosen = np.flatnonzero((top == grams[: len(top)]) & (top > 0))
             cuts = np.searchsorted(chosen, first).astype(np.int32)
             lists = pa.ListArray.from_arrays(pa.array(cuts), pa.array(grams[chosen].view(np.int64)))
@@ -77,10 +78,11 @@ def repeated_cells(anchors: DataFrame, cells: int) -> DataFrame:
 
 def _bitmaps(hot: DataFrame, cells: int) -> np.ndarray:
     """Both rows of the merged sketch as one bit a cell; at most 2 * BITMAP_CELLS bits."""
-    bits = np.zeros(cells * DEPTH, bool)
+    bits = np.zeros(cells * DEPTH // 8, np.uint8)
     for part in hot.toArrow().column("cell").chunks:
-        bits[part.to_numpy()] = True
-    return np.packbits(bits, bitorder="little")
+        at = part.to_numpy()
+        np.bitwise_or.at(bits, at >> 3, np.uint8(1) << (at & 7).astype(np.uint8))
+    return bits
 
 
 def _candidate_rows(batches):
@@ -139,7 +141,7 @@ def _repeated_rows(batches):
         group = np.cumsum(new) - 1
         met = np.bincount(group, np.where(state == 2, 2, np.where(state == 1, 0, 1)))[group] > 1
         keep = ((state == 1) | met) & (state != 2)
-        return table.select(["doc_id", "text_hash", "start"]).filter(pa.array(keep)).combine_chunks().to_batches(), group
+        return table.select(["doc_id", "text_hash", "start"]).filter(pa.array(keep)).combine_chunks().to_batches()
 
     for batch in batches:
         table = pa.Table.from_batches([batch]) if rest is None else pa.concat_tables([rest, pa.Table.from_batches([batch])])
@@ -147,10 +149,10 @@ def _repeated_rows(batches):
         change = np.flatnonzero((h1[1:] != h1[:-1]) | (h2[1:] != h2[:-1])) + 1
         cut = int(change[-1]) if len(change) else 0
         if cut:
-            yield from settle(table.slice(0, cut))[0]
+            yield from settle(table.slice(0, cut))
         rest = table.slice(cut).combine_chunks()
     if rest is not None and rest.num_rows:
-        yield from settle(rest)[0]
+        yield from settle(rest)
 
 
 _NOT_SPACE = re.compile(r"[^\x20\x09-\x0D]+")
@@ -177,7 +179,7 @@ def repeated_windows(docs: DataFrame, bitmap_cells: int = BITMAP_CELLS) -> DataF
     cells = 1 << max(16, (CELLS_PER_ANCHOR * n - 1).bit_length())
     hot = materialise(repeated_cells(anchors, cells), "sub-cells")
     each = anchors.select("doc_id", "text_hash", F.explode(F.array_distinct("anchors")).alias("a"))
-    if cells <= bitmap_cells:
+    if cells <= bitmap_cells and hot.count() <= HOT_CELLS:
         bits = docs.sparkSession.sparkContext.broadcast(_bitmaps(hot, cells))
 
         def asked(batches):
