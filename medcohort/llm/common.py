@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
+import gc
 import os
 import tempfile
 import uuid
@@ -59,10 +62,23 @@ def ship_code(spark: SparkSession) -> None:
     _shipped[app] = folder
 
 
+def give_back() -> None:
+    """Return a Python worker's free memory to the system: workers are kept, and the next stage runs beside them."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # another C library has no such call
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+
+
 def map_arrow(df: DataFrame, function, schema) -> DataFrame:
-    """``mapInArrow`` with this package at hand on the executors."""
+    """``mapInArrow`` with this package at hand on the executors; a worker gives its free memory back at the end."""
     ship_code(df.sparkSession)
-    return df.mapInArrow(function, schema)
+
+    def run(batches):
+        yield from function(batches)
+        give_back()
+
+    return df.mapInArrow(run, schema)
 
 
 def fresh(df: DataFrame, *names: str) -> list[str]:
@@ -113,7 +129,7 @@ class Powers:
 
     def to(self, n: int) -> tuple[np.ndarray, np.ndarray]:
         if len(self.up) < n:
-            size = max(n, STEP_BYTES * 2)
+            size = n + n // 8
             self.up, self.down = (
                 np.concatenate([np.ones(1, np.uint64), np.full(size - 1, b, np.uint64)]).cumprod(dtype=np.uint64)
                 for b in (self.base, self.inverse))

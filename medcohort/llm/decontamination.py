@@ -83,7 +83,8 @@ def find_hits(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> Da
     prefix = (each.join(often, ["shingle", "size"], "left").groupBy("words", "width", "size")
               .agg(F.min(F.struct(F.coalesce("often", F.lit(0)).alias("often"), "shingle", "place")).alias("least"))
               .where("least.often > 0")
-              .select("words", "width", "size", F.col("least.shingle").alias("shingle"), F.col("least.place").alias("place")))
+              .select("words", "width", "size", F.col("least.shingle").alias("shingle"),
+                      F.col("least.place").alias("place")))
     start = F.col("p") - F.col("place")
     maybe = (hits.join(prefix, ["shingle", "size"]).where((start >= 0) & (start + F.col("width") <= F.col("n")))
              .groupBy("doc_id", "text_hash")

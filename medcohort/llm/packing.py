@@ -20,8 +20,9 @@ MAX_TOKENS = 4096
 END_ID = 1
 #: Pieces that one packing task gets on average. Every group ends with at most one poorly filled sequence.
 GROUP_PIECES = 50_000
-#: Word parts whose ids a Python worker remembers before it starts afresh (a bound on memory, not on the input).
-CACHE_PARTS = 1_000_000
+#: Word parts that a Python worker remembers in each of two generations: once the new one is full it becomes the old
+#: one, and parts met again move to the new one (a bound on memory, about 70 MB, not on the input).
+CACHE_PARTS = 200_000
 PIECE_SCHEMA = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
@@ -35,8 +36,9 @@ class ChunkTokenizer:
     """Token ids of texts, chunk by chunk.
 
     Texts are cut at blanks, tabs and line ends, which the tokenizer drops and across which it joins nothing, so
-    the ids of a text are those of its chunks in order. Chunks of printable Latin letters, which the tokenizer's normaliser only lower-cases, are cut
-    by the tokenizer's own pattern and only unseen parts go to its model; all others go to the whole tokenizer.
+    the ids of a text are those of its chunks in order. Chunks of printable Latin letters, which the tokenizer's
+    normaliser only lower-cases, are cut by the tokenizer's own pattern and only unseen parts go to its model; all
+    others go to the whole tokenizer.
     """
 
     def __init__(self, path: str):
@@ -46,37 +48,47 @@ class ChunkTokenizer:
 
         self.whole = Tokenizer.from_file(path)
         self.model = self.whole.model
-        with open(path, encoding="utf-8") as file:
-            cuts = json.load(file)["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"]
+        cuts = json.loads(self.whole.pre_tokenizer.__getstate__())["pretokenizers"][0]["pattern"]["Regex"]
         self.cut = regex.compile(cuts).findall
         self.visible = _visible_bytes()
         self.parts: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
     def part(self, part: str) -> bytes:
         ids = self.parts.get(part)
         if ids is None:
-            shown = part if part.isascii() else part.encode("utf-8").decode("latin-1").translate(self.visible)
-            ids = self.parts[part] = array("I", [t.id for t in self.model.tokenize(shown)]).tobytes()
+            ids = self.older.get(part)
+            if ids is None:
+                shown = part if part.isascii() else part.encode("utf-8").decode("latin-1").translate(self.visible)
+                ids = array("I", [t.id for t in self.model.tokenize(shown)]).tobytes()
+            self.parts[part] = ids
         return ids
 
     def chunk(self, chunk: str) -> bytes:
-        if chunk and (chunk.isascii() or max(chunk) < "\u0250") and chunk.isprintable() and "<|" not in chunk:
-            found = self.cut(chunk.lower())
-            return self.part(found[0]) if len(found) == 1 else b"".join(map(self.part, found))
+        if chunk and (chunk.isascii() or max(chunk) < "\u0250"):
+            low = chunk.lower()
+            if low.isalpha():  # letters are one part, and so is a mark after them
+                return self.part(low)
+            if low[-1] in ".,;:!?" and low[:-1].isalpha():
+                return self.part(low[:-1]) + self.part(low[-1])
+            if chunk.isprintable() and "<|" not in chunk:
+                return b"".join(map(self.part, self.cut(low)))
         return array("I", self.whole.encode(chunk, add_special_tokens=False).ids).tobytes()
 
     def encode(self, texts: pa.Array) -> Iterator[np.ndarray]:
         if len(self.parts) > CACHE_PARTS:
-            self.parts = {}
+            self.parts, self.older = {}, self.parts
         split = pc.ascii_split_whitespace(texts.cast(pa.large_string()).fill_null(""))
         coded = split.flatten().dictionary_encode()
         known = [self.chunk(c) for c in coded.dictionary.to_pylist()]  # each distinct chunk once
         flat = np.frombuffer(b"".join(known), np.uint32)
-        sizes = np.fromiter(map(len, known), np.int64, len(known)) // 4
+        sizes = np.fromiter(map(len, known), np.int32, len(known)) // 4
         at = coded.indices.to_numpy()
         size = sizes[at]
-        ends = np.concatenate([np.zeros(1, np.int64), np.cumsum(size)])
-        ids = flat[np.repeat((np.cumsum(sizes) - sizes)[at] - ends[:-1], size) + np.arange(ends[-1])]
+        ends = np.concatenate([np.zeros(1, np.int32), np.cumsum(size, dtype=np.int32)])  # a step is far below 2 ** 31
+        place = np.repeat((np.cumsum(sizes, dtype=np.int32) - sizes)[at] - ends[:-1], size)
+        place += np.arange(len(place), dtype=np.int32)
+        ids = flat[place]
         stops = split.offsets.to_numpy()
         stops = ends[stops - stops[0]]
         for first, last in zip(stops[:-1], stops[1:], strict=True):
@@ -101,7 +113,7 @@ def tokenised_pieces(docs: DataFrame, tokenizer_path: str, max_tokens: int = MAX
         for batch in batches:
             ids, text = batch.column(0).to_pylist(), batch.column(1)
             rows = []
-            for a, b in steps(text, 12 * STEP_BYTES):
+            for a, b in steps(text, 4 * STEP_BYTES):
                 for doc, tokens in zip(ids[a:b], encoder.encode(text.slice(a, b - a)), strict=True):
                     data = np.append(tokens, np.uint32(end_id)).astype("<u4")
                     for k, start in enumerate(range(0, len(data), max_tokens)):

@@ -112,9 +112,10 @@ def shard(docs: DataFrame, shards: int = SHARDS, bits: int = BITS) -> DataFrame:
               .withColumn("place", F.col("base") + F.col("rank"))
               .withColumn("shard", F.expr(f"place * {shards} div total")))
     first = F.expr(f"(shard * total + {shards - 1}) div {shards}")
-    return placed.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), F.col("shard").cast("int").alias("shard"),
-                         (F.col("place") - first).alias("slot"), F.lit(None).cast("int").alias("grown_shard"),
-                         F.col("curve").alias("curve_index"))
+    return placed.select(
+        "doc_id", "size", "text_crc32", F.lit("rows").alias("law"), F.col("shard").cast("int").alias("shard"),
+        (F.col("place") - first).alias("slot"), F.lit(None).cast("int").alias("grown_shard"),
+        F.col("curve").alias("curve_index"))
 
 
 def op8_sharding(spark, sf_dir):

@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from medcohort.llm.common import map_arrow, read_table
+from medcohort.llm.common import map_arrow, read_table, steps
 
 #: Lengths of the character n-grams, in code points of the lower-cased text; presence counts, not frequency.
 GRAMS = (4, 5)
@@ -128,7 +128,9 @@ def train(docs: DataFrame, labels: DataFrame, max_rows_per_class: int = MAX_ROWS
     def run(batches):
         presence = Presence()
         for batch in batches:
-            found = [presence(buckets(t)).astype(np.int32).tobytes() for t in batch.column(1).to_pylist()]
+            text = batch.column(1)
+            found = [presence(buckets(t)).astype(np.int32).tobytes()
+                     for a, b in steps(text) for t in text.slice(a, b - a).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(found, pa.binary())],
                                              ["doc_id", "toxic", "found"])
 
@@ -146,16 +148,16 @@ def score(docs: DataFrame, model: Model, keep_columns: bool = False) -> DataFram
     Returns doc_id, held_out, score, predicted; one row per input row, repeated rows included. With
     ``keep_columns`` the input's columns are returned and only rows below the threshold stay.
     """
-    def marks(texts):
+    def marks(texts: pa.Array) -> list[float]:
         presence = Presence()
-        return [model.score(t, presence) for t in texts]
+        return [model.score(t, presence) for a, b in steps(texts) for t in texts.slice(a, b - a).to_pylist()]
 
     if keep_columns:
         place = docs.columns.index("text")
 
         def run(batches):
             for batch in batches:
-                clean = [s < THRESHOLD for s in marks(batch.column(place).to_pylist())]
+                clean = [s < THRESHOLD for s in marks(batch.column(place))]
                 yield batch.filter(pa.array(clean, pa.bool_()))
 
         return map_arrow(docs, run, docs.schema)
@@ -163,7 +165,7 @@ def score(docs: DataFrame, model: Model, keep_columns: bool = False) -> DataFram
     def run(batches):
         for batch in batches:
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(marks(batch.column(2).to_pylist()), pa.float64())],
+                [batch.column(0), batch.column(1), pa.array(marks(batch.column(2)), pa.float64())],
                 ["doc_id", "held_out", "score"])
 
     rows = docs.select(F.col("doc_id").cast("long"), held_out(F.col("doc_id")).alias("held_out"), F.col("text"))
