@@ -15,8 +15,7 @@ def _step(edges: DataFrame, large: bool) -> DataFrame:
         edges = edges.withColumnsRenamed({"a": "u", "b": "v"})
     else:
         edges = edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
-    # stored, so that both sides of the join are plain shuffles, which Spark splits where a node has very many edges
-    least = materialise(edges.groupBy("u").agg(F.min("v").alias("m")).withColumn("m", F.least("u", "m")), "least")
+    least = edges.groupBy("u").agg(F.min("v").alias("m")).withColumn("m", F.least("u", "m"))
     joined = edges.join(least, "u")
     if large:
         out = joined.where(F.col("v") > F.col("u")).select(F.col("v").alias("a"), F.col("m").alias("b"))
@@ -31,7 +30,7 @@ def components(edges: DataFrame) -> DataFrame:
 
     Nodes may be of any ordered type. Each round is written out; neither edges nor labels reach the driver, which
     only compares a count and a checksum. A node's neighbours are never gathered: the least one is aggregated and
-    joined back, so a node with very many edges is split like any skewed join key.
+    joined back; the edges of one node meet in one sorted task, which spills but holds none of them.
     """
     edges = materialise(edges.where("a != b").select(
         F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "edges")
