@@ -123,3 +123,16 @@ def test_differencing(spark):
     want = [(1, "one & two\nalpha"), (2, "three"), (3, "Top of site\nsolo\nAll rights"), (4, ""), (4, ""), (5, "same"), (6, "same")]
     assert got == [(i, t, len(t)) for i, t in want]
     assert html_extraction.extract(pages.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize(("html", "main"), [
+    ('<article><p class="ad">Buy<p>Real</p><p>More</p></article>', ["Real", "More"]),
+    ("<article><p class=ad>a<p class=ad>b <b>c</b><h2>T</h2>w</article>", ["T", "w"]),
+    ("<article><div><p class=ad>x <b>y</div>w</article>", ["w"]), ("<article><p class=ad>x</b></span>y<br>z</article>", []),
+    ("<article><ul><li class=share>x<ul><li>in<li>in</ul>y<li>Real<li class=ad>q</ul><p>More</article>", ["Real", "More"]),
+    ("<article><dl><dt class=ad>x<dd>y<dd class=ad>z</dl>w</article>", ["y", "w"]),
+    ("<article><table><tr><td class=ad>a<table><tr><td>in</table>b<td>c<tr class=ad><td>d<td>e<tr><td>f</table>z</article>",
+     ["c", "f", "z"]),
+    ("<main><datalist><option class=ad>x<option>y</datalist>z</main>", ["yz"])])
+def test_left_out_elements_without_end_tags(html, main):
+    assert html_extraction.lines_of(html) == (main, [])
