@@ -136,3 +136,34 @@ def test_differencing(spark):
     ("<main><datalist><option class=ad>x<option>y</datalist>z</main>", ["yz"])])
 def test_left_out_elements_without_end_tags(html, main):
     assert html_extraction.lines_of(html) == (main, [])
+
+
+@pytest.mark.parametrize("partitions", ["1", "3", "40"])
+def test_differencing_skips_copies(spark, partitions):
+    page = "<body><div><p>Top of site</p></div>{}<p>All rights</p></body>"
+    body = [f"{word} is a line of the copied text of some length" for word in "abcdefgh"]
+    rows, want = [], []
+
+    def add(url, lines, left):
+        rows.append((len(rows), url, page.format("".join(f"<p>{x}</p>" for x in lines))))
+        want.append((len(want), "\n".join(left)))
+
+    add("http://a.org/a", ["something else"], ["something else"])
+    for k in range(30):  # equal and near copies, in one stretch of paths
+        lines = body if k % 3 else [*body[:-1], f"line {k}"]
+        add(f"http://a.org/m?q={k}" if k % 2 else f"http://a.org/m/{k}", lines, lines)
+    add("http://a.org/z", ["another"], ["another"])
+    for k in range(3):
+        add(f"http://b.org/{k}", body, ["Top of site", *body, "All rights"])
+    rows += rows[1:4] + rows[-1:]
+    want += want[1:4] + want[-1:]
+    was = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", partitions)
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+        pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+        got = [(r["page_id"], r["text"]) for r in html_extraction.extract(pages).collect()]
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", was)
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert sorted(got) == sorted(want)
