@@ -9,14 +9,15 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from medcohort.llm.common import map_arrow, read_table, steps
+from medcohort.llm.common import if_small, map_arrow, materialise, read_table, steps
 
 #: Lengths of the character n-grams, in code points of the lower-cased text; presence counts, not frequency.
 GRAMS = (4, 5)
 #: n-grams are hashed into 2 ** BITS weights.
 BITS = 20
-#: The fit sees at most this many labelled rows of each class, those with the smallest hash of their id.
-MAX_ROWS_PER_CLASS = 1500
+#: The regression sees at most this many labelled ids of each class, those with the smallest hash of their id; the
+#: log-count ratios come from all labelled texts.
+MAX_ROWS_PER_CLASS = 2500
 THRESHOLD = 0.3
 #: Smoothing of the counts; least log-count ratio of a bucket that gets a weight; ridge; rounds of the fit.
 ALPHA, LEAST_RATIO, L2, ROUNDS = 1.0, 0.5, 1e-3, 300
@@ -65,13 +66,15 @@ def _sigmoid(z: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
 
 
-def fit(rows: list[np.ndarray], toxic: np.ndarray, share: float) -> Model:
+def fit(rows: list[np.ndarray], toxic: np.ndarray, share: float, counts: np.ndarray, texts: tuple[int, int]) -> Model:
     """Fit on the distinct buckets of some texts; ``share`` is the share of toxic rows among all labelled ones.
 
-    r = log of the ratio of a bucket's smoothed share of the toxic texts to its share of the others; a ridge
-    logistic regression on r * presence is fitted by accelerated gradient steps, half of a class's weight being its
+    ``counts[k]`` has, for each bucket, the labelled texts of class k with it, of ``texts[k]`` in all. r = log of the
+    ratio of a bucket's smoothed share of the toxic texts to its share of the others; a ridge logistic regression on
+    r * presence is fitted by accelerated gradient steps, half of a class's weight being its
     share and half being one half. Only buckets of two texts or more with r over ``LEAST_RATIO`` get a weight, so
-    what a long clean text consists of says nothing. With one class only, the score is that share everywhere.
+    what a long clean text consists of says nothing. Such buckets that are in none of ``rows`` get the mean weight of
+    the others, times their r. With one class only, the score is that share everywhere.
     """
     weights = np.zeros(1 << BITS, np.float32)
     bias = float(np.log((share + 1e-6) / (1 - share + 1e-6)))
@@ -79,9 +82,8 @@ def fit(rows: list[np.ndarray], toxic: np.ndarray, share: float) -> Model:
     if not 0 < ones < n:
         return Model(weights, bias)
     at, size = np.concatenate(rows), np.array([len(r) for r in rows])
-    label = np.repeat(toxic, size)
-    p, q = (np.bincount(at[label == k], minlength=1 << BITS) for k in (1, 0))
-    ratio = np.log((ALPHA + p) / (ones + 2 * ALPHA)) - np.log((ALPHA + q) / (n - ones + 2 * ALPHA))
+    q, p = counts
+    ratio = np.log((ALPHA + p) / (texts[1] + 2 * ALPHA)) - np.log((ALPHA + q) / (texts[0] + 2 * ALPHA))
     known = (p + q > 1) & (ratio > LEAST_RATIO)
     keep = known[at]
     column, row = (np.cumsum(known) - 1)[at[keep]], np.repeat(np.arange(n), size)[keep]
@@ -103,7 +105,8 @@ def fit(rows: list[np.ndarray], toxic: np.ndarray, share: float) -> Model:
         push = k / (k + 3)
         ahead, b_ahead = w_new + push * (w_new - w), b_new + push * (b_new - b)
         w, b = w_new, b_new
-    weights[known] = w * ratio[known]
+    met = np.bincount(column, minlength=width) > 0
+    weights[known] = np.where(met, w, w[met].mean() if met.any() else 0.0) * ratio[known]
     return Model(weights, float(b))
 
 
@@ -114,11 +117,14 @@ def held_out(doc_id: Column) -> Column:
 def train(docs: DataFrame, labels: DataFrame, max_rows_per_class: int = MAX_ROWS_PER_CLASS) -> Model:
     """Fit from the labelled documents that are not held out.
 
-    At most ``max_rows_per_class`` rows of each class go to the driver, as distinct bucket numbers. A document
-    labelled twice counts as toxic if any label says so; null labels, null ids and null texts' labels are ignored.
+    Buckets are counted over all their rows, at most one row a bucket for each partition in the shuffle. Of at most
+    ``max_rows_per_class`` ids of each class one text (the least hash) goes to the driver, as distinct bucket numbers.
+    A document labelled twice counts as toxic if any label says so; null labels, null ids and null texts' labels are
+    ignored.
     """
     known = (labels.where(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
-             .groupBy("doc_id").agg(F.max((F.col("toxic") == 1).cast("int")).alias("toxic")))
+             .groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.max((F.col("toxic") == 1).cast("int")).alias("toxic")))
+    known = materialise(known, "toxic-labels")
     shares = {r["toxic"]: r["n"] for r in known.groupBy("toxic").agg(F.count("*").alias("n")).collect()}  # 2 rows
     share = shares.get(1, 0) / max(1, sum(shares.values()))
     order = [F.xxhash64("doc_id"), F.col("doc_id")]
@@ -131,15 +137,36 @@ def train(docs: DataFrame, labels: DataFrame, max_rows_per_class: int = MAX_ROWS
             text = batch.column(1)
             found = [presence(buckets(t)).astype(np.int32).tobytes()
                      for a, b in steps(text) for t in text.slice(a, b - a).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(found, pa.binary())],
-                                             ["doc_id", "toxic", "found"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), batch.column(3),
+                                              pa.array(found, pa.binary())], ["doc_id", "toxic", "hash", "found"])
 
-    rows = docs.where("text is not null").select(F.col("doc_id").cast("long"), F.col("text")).join(
-        F.broadcast(sample.select(F.col("doc_id").cast("long"), "toxic")), "doc_id")
-    got = map_arrow(rows, run, "doc_id long, toxic int, found binary").toArrow()
+    def count(batches):
+        presence, counts, texts = Presence(), np.zeros((2, 1 << BITS), np.int64), [0, 0]
+        for batch in batches:
+            text, toxic = batch.column(1), batch.column(2).to_pylist()
+            for a, b in steps(text):
+                for t, k in zip(text.slice(a, b - a).to_pylist(), toxic[a:b], strict=True):
+                    counts[k, presence(buckets(t))] += 1
+                    texts[k] += 1
+        at = np.flatnonzero(counts.any(axis=0))
+        yield pa.RecordBatch.from_arrays(  # bucket -1: the texts
+            [pa.array(np.append(at, -1).astype(np.int32)), *(pa.array(np.append(counts[k, at], texts[k])) for k in (0, 1))],
+            ["bucket", "clean", "toxic"])
+
+    texts = docs.where("text is not null").select(F.col("doc_id").cast("long"), F.col("text"))
+    summed = map_arrow(texts.join(if_small(known), "doc_id"), count, "bucket int, clean long, toxic long") \
+        .groupBy("bucket").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic")).toArrow()
+    bucket = summed.column(0).to_numpy()
+    both = np.array([summed.column(k).to_numpy() for k in (1, 2)], np.int64).reshape(2, -1)
+    counts = np.zeros((2, 1 << BITS), np.int64)
+    counts[:, bucket[bucket >= 0]] = both[:, bucket >= 0]
+    rows = texts.join(F.broadcast(sample), "doc_id").withColumn("hash", F.xxhash64("text"))
+    got = map_arrow(rows, run, "doc_id long, toxic int, hash long, found binary")
+    got = got.groupBy("doc_id", "toxic").agg(F.min_by("found", "hash").alias("found")).toArrow()
     got = got.take(pa.compute.sort_indices(got, [("doc_id", "ascending")]))
     return fit([np.frombuffer(x, np.int32) for x in got.column(2).to_pylist()],
-               got.column(1).to_numpy(zero_copy_only=False).astype(np.int64), share)
+               got.column(1).to_numpy(zero_copy_only=False).astype(np.int64), share, counts,
+               tuple(int(x) for x in both[:, bucket < 0].sum(axis=1)))
 
 
 def score(docs: DataFrame, model: Model, keep_columns: bool = False) -> DataFrame:

@@ -167,3 +167,13 @@ def test_differencing_skips_copies(spark, partitions):
         spark.conf.set("spark.sql.shuffle.partitions", was)
         spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
     assert sorted(got) == sorted(want)
+
+
+def test_toxicity_counts_all_labelled_rows(spark):
+    words = ["qzjx", "vkwy"]
+    rows = [(k, f"plain words number {k} " + (words[k % 2] if k % 4 < 2 else "")) for k in range(0, 400)]
+    docs = spark.createDataFrame(rows + rows[:1] * 50, "doc_id long, text string")
+    labels = spark.createDataFrame([(k, int(k % 4 < 2)) for k, _ in rows], "doc_id long, toxic int")
+    model = toxicity.train(docs, labels, max_rows_per_class=1)  # the two words cannot both be in one toxic text
+    for word in words:
+        assert (model.weights[toxicity.buckets(f" {word} ")] > 0).any()
