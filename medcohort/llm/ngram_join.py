@@ -149,8 +149,8 @@ def _signature_rows(batches):
             marks = dict(zip(some, signatures([sets[k] for k in some]), strict=True)) if some else {}
             yield pa.RecordBatch.from_arrays(
                 [ids.slice(a, b - a), pa.array([None if t is None else digest(t) for t in texts], pa.binary()),
-                 pa.array([marks[k].tobytes() if k in marks else None for k in range(len(texts))], pa.binary())],
-                ["doc_id", "node", "signature"])
+                 pa.array([marks[k].tobytes() if k in marks else None for k in range(len(texts))], pa.binary()),
+                 batch.column(2).slice(a, b - a)], ["doc_id", "node", "signature", "text_hash"])
 
 
 def _band_rows(batches):
@@ -177,18 +177,25 @@ def near_classes(docs: DataFrame) -> DataFrame:
     that document. A null text equals nothing; texts without words link with equal texts only; rows repeated in
     full are copies of each other and share their ``kept``.
     """
-    text_rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    signed = materialise(map_arrow(text_rows, _signature_rows, "doc_id long, node binary, signature binary"), "near-signed")
+    return _classes(docs).drop("text_hash")
+
+
+def _classes(docs: DataFrame) -> DataFrame:
+    """The rows of ``near_classes`` with the hash of their text: an id may stand for several texts."""
+    text_rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).withColumn(
+        "text_hash", F.xxhash64("text"))
+    signed = materialise(map_arrow(text_rows, _signature_rows, "doc_id long, node binary, signature binary, "
+                                                               "text_hash long"), "near-signed")
     classes = materialise(signed.where("node is not null").groupBy("node").agg(
-        F.min("doc_id").alias("class_id"), F.count("*").alias("copies"), F.first("signature").alias("signature")),
-        "near-classes")
+        F.min("doc_id").alias("class_id"), F.count("*").alias("copies"), F.first("signature").alias("signature"),
+        F.first("text_hash").alias("text_hash")), "near-classes")
     with_words = classes.where("signature is not null").select("node", "signature")
     bands = map_arrow(with_words, _band_rows, "band long, node binary")
     again = bands.groupBy("band").agg(F.count("*").alias("n")).where("n > 1").select("band")
     shared = materialise(bands.join(again, "band", "left_semi"), "near-shared")
     marked = in_blocks(shared.join(with_words, "node"), "band")
     maybe = components(map_arrow(marked, _survivor_edges, "a binary, b binary"))
-    maybe = materialise(maybe.join(classes.select("node", "class_id", "copies", "signature"), "node"), "near-maybe")
+    maybe = materialise(maybe.join(classes.select("node", "class_id", "copies", "signature", "text_hash"), "node"), "near-maybe")
 
     def sets(batches):
         for batch in batches:
@@ -202,10 +209,11 @@ def near_classes(docs: DataFrame) -> DataFrame:
                     [node.slice(a, b - a).take(pa.array(keep, pa.int64())), pa.array([found[k] for k in keep], pa.binary())],
                     ["node", "shingles"])
 
-    places = if_small(materialise(maybe.select(F.col("class_id").alias("doc_id"), "node"), "near-places"))
-    found = map_arrow(text_rows.where("text is not null").join(places, "doc_id").select("text", "node"), sets,
+    places = if_small(materialise(maybe.select("class_id", F.col("text_hash").alias("hash"), "node"), "near-places"))
+    here = F.col("doc_id").eqNullSafe(F.col("class_id")) & (F.col("text_hash") == F.col("hash"))
+    found = map_arrow(text_rows.where("text is not null").join(places, here).select("text", "node"), sets,
                       "node binary, shingles binary").dropDuplicates(["node"])
-    checked = in_blocks(maybe.join(found, "node"), "component")
+    checked = in_blocks(maybe.drop("text_hash").join(found, "node"), "component")
     links = materialise(map_arrow(checked, _verified_links, "node binary, root binary, texts long, rows long"), "near-links")
     linked = links.groupBy("node").agg(F.sum("texts").alias("texts"), F.sum("rows").alias("rows"))
     parts = components(links.select(F.col("node").alias("a"), F.col("root").alias("b")))
@@ -214,20 +222,21 @@ def near_classes(docs: DataFrame) -> DataFrame:
     parts = parts.join(least, "component").select("node", "texts", "rows", "component_id")
     every = classes.select("node", "class_id", "copies").join(parts, "node", "left")
     one = F.coalesce("component_id", "class_id", "doc_id")
-    return signed.select("doc_id", "node").join(every, "node", "left").select(
+    return signed.select("doc_id", "node", "text_hash").join(every, "node", "left").select(
         "doc_id", F.coalesce("class_id", "doc_id").alias("class_id"), F.coalesce("copies", F.lit(1)).alias("n_copies"),
         (F.coalesce("copies", F.lit(1)) - 1 + F.coalesce("rows", F.lit(0))).alias("n_links"),
         F.coalesce("texts", F.lit(0)).alias("n_text_links"), one.alias("component_id"),
-        F.col("doc_id").eqNullSafe(one).alias("kept"))
+        F.col("doc_id").eqNullSafe(one).alias("kept"), "text_hash")
 
 
 def drop_near_copies(docs: DataFrame) -> DataFrame:
     """The rows of ``docs``, all columns, whose document is the least of its component; rows without an id stay."""
-    gone = near_classes(docs).where(~F.col("kept")).select(F.col("doc_id").alias("_d")).distinct()
+    gone = _classes(docs).where(~F.col("kept")).select(F.col("doc_id").alias("_d"), F.col("text_hash").alias("_t")).distinct()
     gone = if_small(materialise(gone, "near-gone"))
-    (key,) = fresh(docs, "_key")
-    marked = docs.withColumn(key, F.col("doc_id").cast("long"))
-    return marked.join(gone, marked[key] == gone["_d"], "left_anti").drop(key)
+    key, hidden = fresh(docs, "_key", "_hash")
+    marked = docs.withColumn(key, F.col("doc_id").cast("long")).withColumn(hidden, F.xxhash64(F.col("text").cast("string")))
+    same = (marked[key] == gone["_d"]) & (marked[hidden] == gone["_t"])
+    return marked.join(gone, same, "left_anti").drop(key, hidden)
 
 
 def op10_ngram_jaccard_join(spark, sf_dir):

@@ -176,3 +176,15 @@ def test_empty_tables_and_null_ids(spark, operator):
     assert operator(spark.createDataFrame([], SCHEMA)).count() == 0
     nulls = spark.createDataFrame([(None, None, None, None, None, None)] * 2, SCHEMA)
     assert operator(nulls).count() == 2
+
+
+def test_near_copies_with_repeated_and_null_ids(spark):
+    base = [f"word{k}" for k in range(60)]
+    near, other = " ".join([*base[:-1], "changed"]), " ".join(f"other{k}" for k in range(60))
+    base, both = " ".join(base), [" ".join([f"z{k}" for k in range(60)] + [x]) for x in ("a", "b")]
+    rows = [(1, base), (2, near), (2, other), (3, both[0]), (None, both[1])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = [tuple(r) for r in ngram_join.drop_near_copies(docs).collect()]
+    assert sorted(kept, key=str) == sorted([rows[0], *rows[2:]], key=str)
+    links = {(r["doc_id"], r["n_links"], r["component_id"]) for r in ngram_join.near_classes(docs).collect()}
+    assert links == {(1, 1, 1), (2, 1, 1), (2, 0, 2), (3, 1, 3), (None, 1, 3)}
