@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from medcohort.llm import (decontamination, embedding_dedup, html_extraction, line_dedup, ngram_join, packing, sharding,
-                           substring_dedup, toxicity, url_filters)
+from medcohort.llm import (conversation_repair, decontamination, embedding_dedup, hard_negatives, html_extraction, line_dedup,
+                           ngram_join, packing, quality, sharding, substring_dedup, toxicity, url_filters)
 
 QUERIES = {
     "op1_toxicity": toxicity.op1_toxicity,
@@ -16,6 +16,9 @@ QUERIES = {
     "op8_sharding": sharding.op8_sharding,
     "op9_url_filters": url_filters.op9_url_filters,
     "op10_ngram_jaccard_join": ngram_join.op10_ngram_jaccard_join,
+    "op11_hard_negatives": hard_negatives.op11_hard_negatives,
+    "op12_quality": quality.op12_quality,
+    "op13_conversation_repair": conversation_repair.op13_conversation_repair,
 }
 
 ORACLES = {
@@ -24,4 +27,6 @@ ORACLES = {
     "op5_benchmark_decontamination": decontamination.ORACLE,
     "op9_url_filters": url_filters.ORACLE,
     "op10_ngram_jaccard_join": ngram_join.ORACLE,
+    "op11_hard_negatives": hard_negatives.ORACLE,
+    "op13_conversation_repair": conversation_repair.ORACLE,
 }
