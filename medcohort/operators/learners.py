@@ -1,33 +1,40 @@
-"""Scaling, PCA and the three learners.
-
-K-means, the Gaussian mixture, the scaler and PCA are ``pyspark.ml``
-estimators, fed with sparse vectors. The streaming k-means update (L7) has no
-``pyspark.ml`` form, so it is written in DataFrames: nearest centre as a
-codegen'd array expression, one hash aggregate for per-cluster counts and sums,
-then the decayed weighted update on the k-row centre table. The centres are
-model parameters (k x dim numbers), the only thing brought to the driver.
+"""Scaling and projection (L1-L3) and the mini-batch k-means.
+
+The scaler and, for narrow features, PCA are ``pyspark.ml`` estimators, fed with sparse vectors; wider features use
+:mod:`medcohort.operators.components`. K-means and the Gaussian mixture are in :mod:`medcohort.operators.grouping`. The
+streaming k-means update (L7) has no ``pyspark.ml`` form, so it is written in DataFrames: nearest centre as a codegen'd
+array expression, one hash aggregate for per-cluster counts and sums, then the decayed weighted update on the k-row
+centre table. The centres are model parameters (k x dim numbers), the only thing brought to the driver.
 """
 
 from __future__ import annotations
 
 import threading
+import uuid
 from dataclasses import dataclass
 
-from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.clustering import GaussianMixture, KMeans
+from pyspark import keyword_only
+from pyspark.ml import Pipeline, PipelineModel, Transformer
 from pyspark.ml.feature import PCA, StandardScaler
 from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.param import Param, Params, TypeConverters
+from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from medcohort.operators import components as PC
+from medcohort.operators.features import feature_moments
+from medcohort.session import state_dir
+
 K = 3
-MAX_ITER = 20
 SEED = 6250
 PCA_COMPONENTS = 10
 STREAM_DECAY = 1.0
 STREAM_TIME_UNIT = "points"
 STREAM_START_WEIGHT = 0.5
-MAX_PCA_WIDTH = 65535        # Spark's limit for a principal-components solve
+#: Up to this many features the covariance (at most 16 MB) is solved on the driver; wider ones are iterated on the cluster.
+#: Both give the principal components, to the iteration's tolerance.
+DENSE_WIDTH = 2048
 
 # FIXED VALUES: the first 30 normal draws of Spark's own streaming k-means for seed 6250,
 # from which it takes the start centres one coordinate after another.
@@ -40,9 +47,8 @@ START_DRAWS = (
     1.811097211476681, 0.5030325078454325, -2.090470827731552, -0.16867655435618764, -0.5407471551373718,
 )
 
-# The dense linear algebra these fits run on the driver (the PCA eigen-solve,
-# the mixture's covariance factorisations) is not safe to start from
-# concurrent threads, so fits that use it take turns; the others run freely.
+# The dense linear algebra of the PCA eigen-solve on the driver is not safe to
+# start from concurrent threads, so fits that use it take turns.
 _LINALG_LOCK = threading.Lock()
 
 
@@ -50,33 +56,40 @@ _LINALG_LOCK = threading.Lock()
 # L1-L3: scale and project
 # ---------------------------------------------------------------------------
 
-@dataclass
-class Projection:
-    """A fitted scaler and PCA; per component the mean's score to take off, and the sign of its largest loading.
+class ScoreTurn(Transformer, DefaultParamsReadable, DefaultParamsWritable):
+    """Takes the mean's scores off projected points and turns every component (``offset``, ``sign``).
 
-    A component's sign is arbitrary and changes with the summation order; scores are
-    turned so that the largest loading counts positive.
+    A component's sign is arbitrary and changes with the summation order; scores are turned so that the largest loading
+    counts positive. A pipeline stage that can be written and read like any other.
     """
 
-    pipeline: PipelineModel
-    offset: list[float]
-    sign: list[float]
+    offset = Param(Params._dummy(), "offset", "scores of the mean", typeConverter=TypeConverters.toListFloat)
+    sign = Param(Params._dummy(), "sign", "1 or -1 for each component", typeConverter=TypeConverters.toListFloat)
+    column = Param(Params._dummy(), "column", "vector column", typeConverter=TypeConverters.toString)
+
+    @keyword_only
+    def __init__(self, *, offset=None, sign=None, column=None):
+        super().__init__()
+        self._setDefault(column="pca")
+        self._set(**{k: v for k, v in self._input_kwargs.items() if v is not None})
+
+    def _transform(self, df: DataFrame) -> DataFrame:
+        column = self.getOrDefault("column")
+        numbers = [F.array(*[F.lit(x) for x in self.getOrDefault(p)]) for p in ("offset", "sign")]
+        centred = F.zip_with(vector_to_array(column), numbers[0], lambda a, b: a - b)
+        return df.withColumn(column, array_to_vector(F.zip_with(centred, numbers[1], lambda a, b: a * b)))
 
 
 def fit_projection(vectors: DataFrame, k: int = PCA_COMPONENTS,
-                   input_col: str = "features", width: int | None = None) -> Projection:
-    """Scale to unit sample std, then PCA to ``k`` components.
+                   input_col: str = "features", width: int | None = None) -> PipelineModel:
+    """Scale to unit sample std, then PCA to ``k`` components: a pipeline that can be saved and loaded.
 
     Centring would fill every sparse vector, so the vectors are only divided by
     the std; the covariance subtracts the mean itself, and the mean's own scores
-    are taken off the projected points (:func:`project`). ``width`` is the
+    are taken off the projected points (:class:`ScoreTurn`). ``width`` is the
     vector size when known (saves a job to look at one row).
     """
     width = width or len(vectors.select(input_col).head()[0])
-    if width > MAX_PCA_WIDTH:
-        raise ValueError(
-            f"{width} features: PCA needs a width x width matrix on the driver (at most "
-            f"{MAX_PCA_WIDTH}); restrict the features first, e.g. with candidate lists")
     stages = [
         StandardScaler(withMean=False, withStd=True, inputCol=input_col, outputCol="scaled"),
         PCA(k=min(k, width), inputCol="scaled", outputCol="pca"),
@@ -88,50 +101,46 @@ def fit_projection(vectors: DataFrame, k: int = PCA_COMPONENTS,
     scaled = [m / s if s > 0 else 0.0 for m, s in zip(mean, std)]
     loadings = pca.pc.toArray().T
     sign = [1.0 if row[abs(row).argmax()] >= 0 else -1.0 for row in loadings]
-    return Projection(model, [float(x) for x in loadings @ scaled], sign)
+    turn = ScoreTurn(offset=[float(x) for x in loadings @ scaled], sign=sign)
+    return PipelineModel([scaler, pca, turn])
 
 
-def project(model: Projection, vectors: DataFrame) -> DataFrame:
+def project(model: PipelineModel, vectors: DataFrame) -> DataFrame:
     """L3: scale and project any vector frame with a fitted model (keeps the other columns)."""
-    out = model.pipeline.transform(vectors).drop("scaled")
-    offset, sign = (F.array(*[F.lit(x) for x in numbers]) for numbers in (model.offset, model.sign))
-    centred = F.zip_with(vector_to_array("pca"), offset, lambda a, b: a - b)
-    return out.withColumn("pca", array_to_vector(F.zip_with(centred, sign, lambda a, b: a * b)))
+    return model.transform(vectors).drop("scaled")
 
 
-def pca_scores(vectors: DataFrame, k: int = PCA_COMPONENTS) -> DataFrame:
-    """``(patient_id, pca array<double>)``."""
-    model = fit_projection(vectors, k)
-    return project(model, vectors).select("patient_id", vector_to_array("pca").alias("pca"))
-
+def vector_entries(vectors: DataFrame, input_col: str = "features") -> DataFrame:
+    """``(patient_id, idx, value)`` of the stored entries of a vector column.
 
-# ---------------------------------------------------------------------------
-# Batch learners
-# ---------------------------------------------------------------------------
-
-def fit_kmeans(points: DataFrame, features_col: str = "pca", k: int = K,
-               max_iter: int = MAX_ITER, seed: int = SEED):
-    return KMeans(k=k, maxIter=max_iter, seed=seed, featuresCol=features_col,
-                  predictionCol="cluster").fit(points)
-
-
-def kmeans_assign(points: DataFrame, features_col: str = "pca", k: int = K,
-                  max_iter: int = MAX_ITER, seed: int = SEED) -> DataFrame:
-    model = fit_kmeans(points, features_col, k, max_iter, seed)
-    return model.transform(points).select("patient_id", F.col("cluster").cast("int"))
-
-
-def fit_gmm(points: DataFrame, features_col: str = "pca", k: int = K,
-            max_iter: int = MAX_ITER, seed: int = SEED):
-    with _LINALG_LOCK:
-        return GaussianMixture(k=k, maxIter=max_iter, seed=seed, featuresCol=features_col,
-                               predictionCol="cluster").fit(points)
+    The vectors are written to the shared folder and read back under the layout of the vector type, so no row goes
+    through Python and none is filled up.
+    """
+    path = state_dir(vectors.sparkSession, f"entries-{uuid.uuid4().hex}")
+    vectors.select("patient_id", F.col(input_col).alias("v")).write.parquet(path)
+    layout = "patient_id string, v struct<type: tinyint, size: int, indices: array<int>, values: array<double>>"
+    rows = vectors.sparkSession.read.schema(layout).parquet(path)
+    at = F.when(F.col("v.type") == 0, F.col("v.indices")).otherwise(
+        F.sequence(F.lit(0), F.size("v.values") - 1))
+    return rows.select("patient_id", F.explode(F.arrays_zip(at.alias("idx"), F.col("v.values").alias("value"))).alias("e")).select(
+        "patient_id", F.col("e.idx").alias("idx"), F.col("e.value").alias("value"))
+
+
+def principal_points(vectors: DataFrame, k: int = PCA_COMPONENTS, width: int | None = None,
+                     dense_width: int = DENSE_WIDTH) -> DataFrame:
+    """L1, L2: ``(patient_id, x array<double>)``, the scores on the first ``k`` components, for any width."""
+    width = width or len(vectors.select("features").head()[0])
+    if width <= dense_width:
+        return project(fit_projection(vectors, k, width=width), vectors).select(
+            "patient_id", vector_to_array("pca").alias("x"))
+    entries = PC.stored(vector_entries(vectors), "vector-entries")
+    moments = feature_moments(entries.withColumnRenamed("idx", "feature")).withColumnRenamed("feature", "idx")
+    return PC.project_long(PC.principal_components(entries, moments, k), entries).withColumnRenamed("pca", "x")
 
 
-def gmm_assign(points: DataFrame, features_col: str = "pca", k: int = K,
-               max_iter: int = MAX_ITER, seed: int = SEED) -> DataFrame:
-    model = fit_gmm(points, features_col, k, max_iter, seed)
-    return model.transform(points).select("patient_id", F.col("cluster").cast("int"))
+def pca_scores(vectors: DataFrame, k: int = PCA_COMPONENTS) -> DataFrame:
+    """``(patient_id, pca array<double>)``."""
+    return principal_points(vectors, k).withColumnRenamed("x", "pca")
 
 
 # ---------------------------------------------------------------------------

@@ -18,7 +18,9 @@ from pyspark.sql import functions as F
 
 from medcohort.functions import parsing as PA
 from medcohort.functions import valuesets as V
+from medcohort.operators import components as PC
 from medcohort.operators import features as FE
+from medcohort.operators import grouping as G
 from medcohort.operators import learners as C
 from medcohort.operators import metrics as M
 from medcohort.operators import phenotype as P
@@ -482,19 +484,19 @@ names AS (SELECT DISTINCT 'All' AS feature_set, feature FROM every
 algorithms(algorithm) AS (VALUES ('kMeans'), ('GMM'), ('StreamingKmeans'))"""
 
 
-@register("pca_scores", f"""{_SETS_OF_FEATURES}
+@register("pca_properties", f"""{_SETS_OF_FEATURES}
 SELECT p.feature_set, p.n_patients, w.width, least({C.PCA_COMPONENTS}, w.width) AS components,
        true AS centred, true AS uncorrelated, true AS descending
 FROM (SELECT feature_set, count(*) AS n_patients FROM featured GROUP BY 1) p
 JOIN (SELECT feature_set, count(*) AS width FROM names GROUP BY 1) w USING (feature_set)""")
-def q_pca_scores(spark, sf_dir):
+def q_pca_properties(spark, sf_dir):
     """L1-L3: what makes scores principal: mean 0, no correlation between two, variances in falling order."""
     ensure_checkpoint_dir(spark)
     parts = []
     with S.released() as held:
         for name, (_, vectors, width) in S.feature_sets(clin(spark, sf_dir), held=held).items():
             points, dim = S.project_points(vectors, width, held)
-            at = [vector_to_array("pca")[i] for i in range(dim)]
+            at = [F.col("x")[i] for i in range(dim)]
             size = F.sqrt(F.var_samp(at[0]))
             centred = [F.abs(F.avg(a)) <= 1e-6 * size for a in at]
             apart = [F.abs(F.covar_samp(at[i], at[j])) <= 1e-6 * F.var_samp(at[0]) for i in range(dim) for j in range(i)]
@@ -508,45 +510,6 @@ def q_pca_scores(spark, sf_dir):
     return parts[0].unionByName(parts[1])
 
 
-def _fitted(points, dim: int, algorithm: str) -> DataFrame:
-    """``(patient_id, cluster, is_best)``: whether no other cluster is nearer, or more probable."""
-    if algorithm == "gmm":
-        out = C.fit_gmm(points).transform(points)
-        chance = vector_to_array("probability")
-        best = chance[F.col("cluster")] == F.array_max(chance)
-    elif algorithm == "kmeans":
-        model = C.fit_kmeans(points)
-        centres = [[float(x) for x in c] for c in model.clusterCenters()]
-        away = F.array(*[C.squared_distance(vector_to_array("pca"), c) for c in centres])
-        out, best = model.transform(points), away[F.col("cluster")] <= F.array_min(away) + 1e-9
-    else:
-        centres = C.streaming_kmeans_centres(points, dim=dim)
-        away = F.array(*[C.squared_distance(vector_to_array("pca"), c) for c in centres.centers])
-        out = points.withColumn("cluster", C.nearest_centre(vector_to_array("pca"), centres))
-        best = away[F.col("cluster")] == F.array_min(away)
-    return out.select("patient_id", F.col("cluster").cast("int"), best.alias("is_best"))
-
-
-def _clusters_query(algorithm: str):
-    def q(spark, sf_dir):
-        ensure_checkpoint_dir(spark)
-        c = clin(spark, sf_dir)
-        with S.released() as held:
-            _, vectors, width = S.feature_sets(c, held=held)["All"]
-            points, dim = S.project_points(vectors, width, held)
-            labelled = S.with_labels(_fitted(points, dim, algorithm), P.phenotype_labels(c))
-            return labelled.groupBy("label").agg(
-                F.count("*").alias("n"), F.min(F.col("cluster").between(0, C.K - 1).cast("int")).alias("in_range"),
-                F.avg(F.col("is_best").cast("double")).alias("best_share")).checkpoint(eager=True)
-    return q
-
-
-for _alg in ("kmeans", "gmm", "streaming_kmeans"):
-    register(f"{_alg}_clusters", f"""{SETS_SQL}
-SELECT label, count(*) AS n, 1 AS in_range, CAST(1 AS DOUBLE) AS best_share FROM labels GROUP BY label""")(
-        _clusters_query(_alg))
-
-
 @register("cluster_contingency", f"""{_SETS_OF_FEATURES}
 SELECT f.feature_set, a.algorithm, l.label, count(*) AS n
 FROM featured f JOIN labels l USING (patient_id), algorithms a GROUP BY 1, 2, 3""")
@@ -602,19 +565,24 @@ assigned AS (SELECT patient_id, CAST(arg_min(c, d ORDER BY c) + 1 AS INTEGER) AS
 cells AS (SELECT l.label, a.cluster, count(*) AS n FROM assigned a JOIN labels l USING (patient_id) GROUP BY 1, 2)"""
 
 
-def _zscore_assignments(spark, sf_dir) -> DataFrame:
-    c = clin(spark, sf_dir)
-    tuples = FE.filtered_feature_tuples(c)
+def _zscore_points(spark, sf_dir) -> tuple[DataFrame, int]:
+    """``(patient_id, x)``: the z-scored filtered features, absent entries included, and their number."""
+    tuples = FE.filtered_feature_tuples(clin(spark, sf_dir))
     dictionary, vectors, width = FE.build_vectors(tuples)
     moments = FE.feature_moments(tuples).join(dictionary, "feature").select("idx", "mean", "std").collect()  # list width
     by = {r.idx: r for r in moments}
     shift = F.array(*[F.lit(by[i].mean) for i in range(width)])
     scale = F.array(*[F.lit(1 / by[i].std if by[i].std > 0 else 0.0) for i in range(width)])
     points = vectors.select("patient_id", F.zip_with(
-        F.zip_with(vector_to_array("features"), shift, lambda a, b: a - b), scale, lambda a, b: a * b).alias("features"))
+        F.zip_with(vector_to_array("features"), shift, lambda a, b: a - b), scale, lambda a, b: a * b).alias("x"))
+    return points, width
+
+
+def _zscore_assignments(spark, sf_dir) -> DataFrame:
+    points, width = _zscore_points(spark, sf_dir)
     start = C.Centres([[x] * width for x in ZSCORE_START], [C.STREAM_START_WEIGHT] * len(ZSCORE_START))
-    centres = C.Centres.from_frame(C.minibatch_update(points, start))
-    return S.with_labels(C.predict_nearest(points, centres, "features"), P.phenotype_labels(c))
+    centres = C.Centres.from_frame(C.minibatch_update(points, start, "x"))
+    return S.with_labels(C.predict_nearest(points, centres, "x"), P.phenotype_labels(clin(spark, sf_dir)))
 
 
 @register("zscore_minibatch_contingency", f"{_ZSCORE_SQL} SELECT label, cluster, n FROM cells")
@@ -630,6 +598,219 @@ def q_zscore_minibatch_purity(spark, sf_dir):
     return M.purity_pair(_zscore_assignments(spark, sf_dir)).select("n", _r("purity"), _r("inverse_purity"))
 
 
+# ---------------------------------------------------------------------------
+# Exact learners (L2-L6, L8-L10, S13) on the z-scored filtered features: the same steps unrolled in SQL
+# ---------------------------------------------------------------------------
+
+_Z_SQL = _ZSCORE_SQL[:_ZSCORE_SQL.index("\nfirst AS (")].rstrip().rstrip(",")
+POWER_ROUNDS, LLOYD_STEPS, EM_STEPS = 4, 4, 4
+
+
+def _power_sql() -> str:
+    rounds = ["""names AS (SELECT feature, row_number() OVER (ORDER BY feature) - 1 AS idx FROM (SELECT DISTINCT feature FROM tuples)),
+raw0 AS (SELECT feature, sin((idx + 1) * CAST(12.9898 AS DOUBLE)) AS b FROM names JOIN mom USING (feature) WHERE std > 0),
+b0 AS (SELECT feature, b / sqrt(sum(b * b) OVER ()) AS b FROM raw0)"""]
+    for t in range(1, POWER_ROUNDS + 1):
+        rounds.append(f"""y{t} AS (SELECT patient_id, sum(z * b) AS y FROM z JOIN b{t - 1} USING (feature) GROUP BY 1),
+raw{t} AS (SELECT feature, sum(z * y) AS b FROM z JOIN y{t} USING (patient_id) JOIN b0 USING (feature) GROUP BY 1),
+b{t} AS (SELECT feature, b / sqrt(sum(b * b) OVER ()) AS b FROM raw{t})""")
+    last = f"b{POWER_ROUNDS}"
+    return ",\n".join([_Z_SQL, *rounds, f"""turned AS (
+  SELECT feature, b * (SELECT sign(b) FROM {last} JOIN names USING (feature) ORDER BY abs(b) DESC, idx LIMIT 1) AS b FROM {last})"""])
+
+
+def _first_component(spark, sf_dir):
+    tuples = FE.filtered_feature_tuples(clin(spark, sf_dir)).persist()
+    try:
+        dictionary = FE.feature_dictionary(tuples)
+        entries = FE.patient_vectors_long(tuples, dictionary)
+        model = PC.principal_components(entries, PC.indexed_moments(tuples, dictionary), 1, POWER_ROUNDS, 0.0, 0)
+        return model, PC.project_long(model, PC.stored(entries, "pca-entries")), dictionary
+    finally:
+        tuples.unpersist()
+
+
+@register("pca_scores", f"""{_power_sql()}
+SELECT patient_id, round(sum(z * b), {ROUND}) AS score FROM z JOIN turned USING (feature) GROUP BY 1""")
+def q_pca_scores(spark, sf_dir):
+    """L1-L3: scores on the first component after a fixed number of rounds of the block iteration."""
+    _, points, _ = _first_component(spark, sf_dir)
+    return points.select("patient_id", F.round(F.col("pca")[0], ROUND).alias("score"))
+
+
+@register("pca_loadings", f"{_power_sql()} SELECT feature, round(b, {ROUND}) AS loading FROM turned")
+def q_pca_loadings(spark, sf_dir):
+    model, _, dictionary = _first_component(spark, sf_dir)
+    return model.loadings.join(dictionary, "idx").select("feature", F.round("c0", ROUND).alias("loading"))
+
+
+def _start_sql() -> str:
+    """The oversampled start (``grouping.start_centres``): candidates, their weights, the chosen centres ``c0(i, x)``."""
+    u = lambda r: (f"((CAST('0x' || substr(md5('{r}:' || patient_id), 1, {G.DRAW_DIGITS}) AS BIGINT) + 0.5)"
+                   f" / {16 ** G.DRAW_DIGITS}.0)")
+    d2 = "list_sum(list_transform(list_zip(p.x, c.x), lambda q: (q[1] - q[2]) * (q[1] - q[2])))"
+    parts = [f"""zv AS MATERIALIZED (SELECT patient_id, list(z ORDER BY feature) AS x FROM z GROUP BY 1),
+cand0 AS MATERIALIZED (SELECT 0 AS c, x FROM (SELECT x FROM zv ORDER BY {u(0)}, patient_id LIMIT 1))"""]
+    size = 1
+    for r in range(1, G.START_ROUNDS + 1):
+        more = G.START_FACTOR * G.K
+        parts.append(f"""away{r} AS (SELECT p.patient_id, any_value(p.x) AS x, min({d2}) AS d FROM zv p, cand{r - 1} c GROUP BY 1),
+cand{r} AS MATERIALIZED (SELECT * FROM cand{r - 1} UNION ALL SELECT {size - 1} + k AS c, x FROM (
+  SELECT x, row_number() OVER (ORDER BY -ln({u(r)}) / d, patient_id) AS k FROM away{r} WHERE d > 0) WHERE k <= {more})""")
+        size += more
+    last = f"cand{G.START_ROUNDS}"
+    parts.append(f"""weigh AS MATERIALIZED (SELECT c.c, c.x, count(n.c) AS w FROM {last} c LEFT JOIN (
+  SELECT arg_min(c, d ORDER BY c) AS c FROM (SELECT p.patient_id, c.c, {d2} AS d FROM zv p, {last} c) GROUP BY patient_id) n ON n.c = c.c
+  GROUP BY c.c, c.x),
+pick0 AS MATERIALIZED (SELECT 0 AS i, x FROM (SELECT x FROM weigh ORDER BY w DESC, c LIMIT 1))""")
+    for i in range(1, G.K):
+        parts.append(f"""pick{i} AS MATERIALIZED (SELECT * FROM pick{i - 1} UNION ALL SELECT {i}, x FROM (
+  SELECT x FROM (SELECT p.c AS place, any_value(p.x) AS x, any_value(p.w) * min({d2}) AS far FROM weigh p, pick{i - 1} c GROUP BY 1)
+  WHERE far > 0 ORDER BY far DESC, place LIMIT 1))""")
+    return ",\n".join([*parts, f"c0 AS (SELECT i, x FROM pick{G.K - 1})"])
+
+
+def _lloyd_sql() -> str:
+    near = "round(list_sum(list_transform(list_zip(p.x, c.x), lambda q: (q[1] - q[2]) * (q[1] - q[2]))), 9)"
+    parts = [_Z_SQL, _start_sql()]
+    for t in range(LLOYD_STEPS + 1):
+        parts.append(f"""near{t} AS MATERIALIZED (SELECT patient_id, any_value(x) AS x, arg_min(i, d ORDER BY i) AS i FROM (
+  SELECT p.patient_id, p.x, c.i, {near} AS d FROM zv p, c{t} c) GROUP BY 1)""")
+        if t < LLOYD_STEPS:
+            parts.append(f"""c{t + 1} AS MATERIALIZED (SELECT c.i, coalesce(m.x, c.x) AS x FROM c{t} c LEFT JOIN (
+  SELECT i, list(v ORDER BY j) AS x FROM (SELECT i, j, avg(v) AS v FROM (
+    SELECT i, unnest(x) AS v, generate_subscripts(x, 1) AS j FROM near{t}) GROUP BY 1, 2) GROUP BY 1) m ON m.i = c.i)""")
+    return ",\n".join(parts)
+
+
+def _kmeans_assignments(spark, sf_dir) -> DataFrame:
+    points = _zscore_points(spark, sf_dir)[0].persist()
+    centres = G.kmeans(points, max_iter=LLOYD_STEPS, tol=0.0)
+    points.unpersist()
+    return S.with_labels(G.assign(points, centres), P.phenotype_labels(clin(spark, sf_dir)))
+
+
+@register("kmeans_clusters", f"""{_lloyd_sql()}
+SELECT label, CAST(i AS INTEGER) AS cluster, count(*) AS n FROM near{LLOYD_STEPS} JOIN labels USING (patient_id) GROUP BY 1, 2""")
+def q_kmeans_clusters(spark, sf_dir):
+    """The groups after a fixed number of Lloyd steps from the drawn start, by label."""
+    return _kmeans_assignments(spark, sf_dir).groupBy("label", "cluster").agg(F.count("*").alias("n"))
+
+
+@register("kmeans_centres", f"""{_lloyd_sql()}
+SELECT CAST(i AS INTEGER) AS cluster, CAST(j - 1 AS INTEGER) AS idx, round(v, {ROUND}) AS centre FROM (
+  SELECT i, unnest(x) AS v, generate_subscripts(x, 1) AS j FROM c{LLOYD_STEPS})""")
+def q_kmeans_centres(spark, sf_dir):
+    points = _zscore_points(spark, sf_dir)[0].persist()
+    centres = G.kmeans(points, max_iter=LLOYD_STEPS, tol=0.0)
+    points.unpersist()
+    rows = [(i, c) for i, c in enumerate(centres)]
+    return spark.createDataFrame(rows, "cluster int, x array<double>").select(
+        "cluster", F.posexplode("x").alias("idx", "centre")).withColumn("centre", F.round("centre", ROUND))
+
+
+@register("streaming_kmeans_clusters", f"""{_Z_SQL},
+{_start_sql()},
+near0 AS (SELECT patient_id, any_value(x) AS x, arg_min(i, d ORDER BY i) AS i FROM (
+  SELECT p.patient_id, p.x, c.i, round(list_sum(list_transform(list_zip(p.x, c.x), lambda q: (q[1] - q[2]) * (q[1] - q[2]))), 9) AS d
+  FROM zv p, c0 c) GROUP BY 1),
+sums AS (SELECT i, j, sum(v) AS s, count(*) AS m FROM (SELECT i, unnest(x) AS v, generate_subscripts(x, 1) AS j FROM near0) GROUP BY 1, 2),
+c1 AS MATERIALIZED (SELECT i, list(v ORDER BY j) AS x FROM (
+  SELECT c.i, c.j, (c.v * {C.STREAM_START_WEIGHT} + coalesce(s, 0)) / ({C.STREAM_START_WEIGHT} + coalesce(m, 0)) AS v
+  FROM (SELECT i, unnest(x) AS v, generate_subscripts(x, 1) AS j FROM c0) c LEFT JOIN sums USING (i, j)) GROUP BY 1),
+near1 AS (SELECT patient_id, arg_min(i, d ORDER BY i) AS i FROM (
+  SELECT p.patient_id, c.i, round(list_sum(list_transform(list_zip(p.x, c.x), lambda q: (q[1] - q[2]) * (q[1] - q[2]))), 9) AS d
+  FROM zv p, c1 c) GROUP BY 1)
+SELECT label, CAST(i AS INTEGER) AS cluster, count(*) AS n FROM near1 JOIN labels USING (patient_id) GROUP BY 1, 2""")
+def q_streaming_kmeans_clusters(spark, sf_dir):
+    """One mini-batch update of the drawn start with all points, then the groups by label."""
+    points = _zscore_points(spark, sf_dir)[0].persist()
+    drawn = G.start_centres(points)
+    start = C.Centres(drawn, [C.STREAM_START_WEIGHT] * len(drawn))
+    centres = C.Centres.from_frame(C.minibatch_update(points, start, "x"))
+    points.unpersist()
+    labelled = S.with_labels(C.predict_nearest(points, centres, "x"), P.phenotype_labels(clin(spark, sf_dir)))
+    return labelled.groupBy("label", "cluster").agg(F.count("*").alias("n"))
+
+
+# FIXED VALUES of the check: start means of the mixture on (number of diagnoses, mean lab value), z-scored.
+MIXTURE_START = [[-1.0, -1.0], [0.0, 0.0], [1.0, 1.0]]
+
+
+def _mixture_sql(head: str = f"WITH {clinical_view_sql()}") -> str:
+    rows = ", ".join(f"({i}, CAST({x} AS DOUBLE), CAST({y} AS DOUBLE))" for i, (x, y) in enumerate(MIXTURE_START))
+    parts = [f"""{head},
+two AS (SELECT patient_id, CAST(d.n AS DOUBLE) AS a, l.m AS b FROM (SELECT patient_id, count(*) AS n FROM dx GROUP BY 1) d
+        JOIN (SELECT patient_id, avg(value) AS m FROM lab GROUP BY 1) l USING (patient_id)),
+pts AS MATERIALIZED (SELECT patient_id, (a - avg(a) OVER ()) / stddev_samp(a) OVER () AS x,
+               (b - avg(b) OVER ()) / stddev_samp(b) OVER () AS y FROM two),
+var AS (SELECT var_pop(x) AS vx, var_pop(y) AS vy, {G.RIDGE} * greatest((var_pop(x) + var_pop(y)) / 2, 1e-12) AS r FROM pts),
+rid AS MATERIALIZED (SELECT vx + r AS vx, vy + r AS vy, {G.RIDGE} * greatest((vx + vy + 2 * r) / 2, 1e-12) AS r FROM var),
+m0 AS (SELECT i, 1.0 / {len(MIXTURE_START)} AS w, mx, my, vx AS sxx, CAST(0 AS DOUBLE) AS sxy, vy AS syy
+       FROM (VALUES {rows}) t(i, mx, my), rid)"""]
+    for t in range(EM_STEPS + 1):
+        parts.append(f"""l{t} AS (SELECT p.patient_id, p.x, p.y, m.i, ln(w) - ln(2 * pi()) - 0.5 * ln(sxx * syy - sxy * sxy)
+  - 0.5 * (syy * (x - mx) * (x - mx) - 2 * sxy * (x - mx) * (y - my) + sxx * (y - my) * (y - my)) / (sxx * syy - sxy * sxy) AS l
+  FROM pts p, m{t} m),
+e{t} AS (SELECT *, exp(l - max(l) OVER (PARTITION BY patient_id)) AS e FROM l{t}),
+r{t} AS MATERIALIZED (SELECT *, e / sum(e) OVER (PARTITION BY patient_id) AS r FROM e{t})""")
+        if t < EM_STEPS:
+            parts.append(f"""m{t + 1} AS MATERIALIZED (SELECT i, s / n AS w, ax / s AS mx, ay / s AS my, axx / s - (ax / s) * (ax / s) + r AS sxx,
+  axy / s - (ax / s) * (ay / s) AS sxy, ayy / s - (ay / s) * (ay / s) + r AS syy
+  FROM (SELECT i, sum(r) AS s, count(*) AS n, sum(r * x) AS ax, sum(r * y) AS ay, sum(r * x * x) AS axx, sum(r * x * y) AS axy,
+        sum(r * y * y) AS ayy FROM r{t} GROUP BY i), rid)""")
+    return ",\n".join(parts)
+
+
+def _mixture_points(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
+    """The z-scored points, and the cached frame behind them."""
+    c = clin(spark, sf_dir)
+    two = c.dx.groupBy("patient_id").agg(F.count("*").cast("double").alias("a")).join(
+        c.lab.groupBy("patient_id").agg(F.avg("value").alias("b")), "patient_id").persist()
+    row = two.agg(F.avg("a"), F.stddev_samp("a"), F.avg("b"), F.stddev_samp("b")).first()
+    out = two.select("patient_id", F.array((F.col("a") - row[0]) / row[1], (F.col("b") - row[2]) / row[3]).alias("x"))
+    return out, two
+
+
+@register("gmm_parameters", f"""{_mixture_sql()}
+SELECT CAST(i AS INTEGER) AS cluster, round(w, {ROUND}) AS weight, round(mx, {ROUND}) AS mean_x, round(my, {ROUND}) AS mean_y,
+       round(sxx, {ROUND}) AS var_x, round(sxy, {ROUND}) AS covar, round(syy, {ROUND}) AS var_y FROM m{EM_STEPS}""")
+def q_gmm_parameters(spark, sf_dir):
+    """Weights, means and covariances after a fixed number of EM steps."""
+    points, held = _mixture_points(spark, sf_dir)
+    model = G.gaussian_mixture(points, max_iter=EM_STEPS, tol=-1.0, means=MIXTURE_START)
+    held.unpersist()
+    rows = [(i, *map(float, (model.weights[i], *model.means[i], c[0, 0], c[0, 1], c[1, 1]))) for i, c in enumerate(model.covariances)]
+    names = ["weight", "mean_x", "mean_y", "var_x", "covar", "var_y"]
+    return spark.createDataFrame(rows, f"cluster int, {', '.join(f'{n} double' for n in names)}").select(
+        "cluster", *[_r(n) for n in names])
+
+
+@register("gmm_clusters", f"""{_mixture_sql(SETS_SQL)},
+best AS (SELECT patient_id, arg_min(i, -round(r, 9) ORDER BY i) AS i FROM r{EM_STEPS} GROUP BY 1)
+SELECT label, CAST(i AS INTEGER) AS cluster, count(*) AS n FROM best JOIN labels USING (patient_id) GROUP BY 1, 2""")
+def q_gmm_clusters(spark, sf_dir):
+    """The likeliest part of every patient after a fixed number of EM steps, by label."""
+    points, held = _mixture_points(spark, sf_dir)
+    model = G.gaussian_mixture(points, max_iter=EM_STEPS, tol=-1.0, means=MIXTURE_START)
+    held.unpersist()
+    labelled = S.with_labels(G.mixture_assign(points, model), P.phenotype_labels(clin(spark, sf_dir)))
+    return labelled.groupBy("label", "cluster").agg(F.count("*").alias("n"))
+
+
+@register("kmeans_report", f"""{_lloyd_sql()},
+cells AS (SELECT label, i, count(*) AS n FROM near{LLOYD_STEPS} JOIN labels USING (patient_id) GROUP BY 1, 2),
+total AS (SELECT CAST(sum(n) AS BIGINT) AS n, (SELECT sum(b) FROM (SELECT max(n) AS b FROM cells GROUP BY i)) / sum(n) AS p,
+                 (SELECT sum(b) FROM (SELECT max(n) AS b FROM cells GROUP BY label)) / sum(n) AS q FROM cells)
+SELECT 'Filtered' AS feature_set, 'kMeans' AS algorithm, n, round(p, {ROUND}) AS purity, round(q, {ROUND}) AS inverse_purity,
+       '[Filtered feature] getPurity of kMeans is: ' || format('{{:.5f}}', q) AS report FROM total""")
+def q_kmeans_report(spark, sf_dir):
+    """Both purities of the exact k-means groups and the printed line."""
+    stacked = _kmeans_assignments(spark, sf_dir).select(F.lit("Filtered").alias("feature_set"), F.lit("kMeans").alias("algorithm"), "*")
+    scored = M.purity_by(stacked, ["feature_set", "algorithm"]).withColumn("report", report_line())
+    return scored.select("feature_set", "algorithm", "n", _r("purity"), _r("inverse_purity"), "report")
+
+
 # ---------------------------------------------------------------------------
 # Raw exports (S1-S12, F1, F2, C4): the view written as the four CSV exports by Spark and loaded back
 # ---------------------------------------------------------------------------

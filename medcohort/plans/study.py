@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from medcohort.operators import learners as C
 from medcohort.operators import features as FE
+from medcohort.operators import grouping as G
 from medcohort.operators import metrics as M
 from medcohort.operators import phenotype as P
 from medcohort.session import ensure_checkpoint_dir
@@ -23,34 +24,29 @@ from medcohort.sources.clinical import ClinicalFrames
 from medcohort.sources.sinks import report_line
 
 
-#: The points of the learners are dealt by patient over this many partitions, whatever the input's layout, and
-#: sorted within them: seeded learners draw their start by position, so a fixed layout fixes the result. Raise it
-#: with the data; a new value is a new draw.
-LEARNER_PARTITIONS = 16
-
-
-def project_points(vectors: DataFrame, width: int | None = None, held: list | None = None,
-                   partitions: int = LEARNER_PARTITIONS) -> tuple[DataFrame, int]:
-    """Scale + PCA the vectors; ``(points (patient_id, pca), pca width)``.
+def project_points(vectors: DataFrame, width: int | None = None, held: list | None = None) -> tuple[DataFrame, int]:
+    """Scale + PCA the vectors; ``(points (patient_id, x), number of components)``.
 
     The points are persisted for the iterative learners and appended to ``held``
     for the caller to release; the sparse vectors are already written out.
     """
     width = width or len(vectors.select("features").head()[0])
-    ordered = vectors.repartition(partitions, "patient_id").sortWithinPartitions("patient_id")
-    model = C.fit_projection(ordered, width=width)
-    points = C.project(model, ordered).select("patient_id", "pca").persist()   # K2
+    dim = min(C.PCA_COMPONENTS, width)
+    # small files make fewer partitions than there are cores; the learners' steps are bound by arithmetic
+    parts = max(vectors.rdd.getNumPartitions(), vectors.sparkSession.sparkContext.defaultParallelism)
+    vectors = vectors.repartition(parts, "patient_id")
+    points = C.principal_points(vectors, width=width).persist()   # K2
     if held is not None:
         held.append(points)
-    return points, min(C.PCA_COMPONENTS, width)
+    return points, dim
 
 
 def _in_parallel(tasks: dict, parallelism: int, spark=None) -> dict:
     """Run independent driver-side fits from a thread pool, as Spark ML's tuners do.
 
     Each fit is a sequence of small jobs; running independent fits together
-    keeps the executors busy. Results are the same as sequential fits (every
-    learner is seeded).
+    keeps the executors busy. Results are the same as sequential fits (no
+    learner draws by position).
     """
     if parallelism <= 1:
         return {k: fn() for k, fn in tasks.items()}
@@ -64,10 +60,11 @@ def cluster_all(vectors: DataFrame, width: int | None = None,
                 parallelism: int = 3, held: list | None = None) -> dict[str, DataFrame]:
     """Scale, project and cluster three ways; ``{algorithm: (patient_id, cluster)}``."""
     points, dim = project_points(vectors, width, held)
+    start = G.start_centres(points)   # of k-means and the mixture
     return _in_parallel({
-        "kMeans": lambda: C.kmeans_assign(points),
-        "GMM": lambda: C.gmm_assign(points),
-        "StreamingKmeans": lambda: C.streaming_kmeans_assign(points, dim=dim),
+        "kMeans": lambda: G.assign(points, G.kmeans(points, start=start)),
+        "GMM": lambda: G.mixture_assign(points, G.gaussian_mixture(points, means=start)),
+        "StreamingKmeans": lambda: C.streaming_kmeans_assign(points, "x", dim=dim),
     }, parallelism, points.sparkSession)
 
 
@@ -110,11 +107,9 @@ def feature_sets(clinical: ClinicalFrames, candidate_lists: dict | None = None,
     if held is not None:
         held.append(tagged)
     filtered = FE.restrict_tagged(tagged, **(candidate_lists or FE.shipped_candidate_lists()))
-    out = {}
-    for name, tuples in (("All", tagged.drop("kind")), ("Filtered", filtered.drop("kind"))):
-        _, vectors, width = FE.build_vectors(tuples)
-        out[name] = (tuples, vectors, width)
-    return out
+    tuples = {"All": tagged.drop("kind"), "Filtered": filtered.drop("kind")}
+    built = _in_parallel({name: (lambda t=t: FE.build_vectors(t)) for name, t in tuples.items()}, 2, clinical.med.sparkSession)
+    return {name: (tuples[name], *built[name][1:]) for name in tuples}
 
 
 def labelled_assignments(clinical: ClinicalFrames, held: list, parallelism: int = 3,

@@ -3,8 +3,10 @@
 import numpy as np
 import pytest
 
-from medcohort.operators import learners as C
+from medcohort.operators import components as PC
 from medcohort.operators import features as FE
+from medcohort.operators import grouping as G
+from medcohort.operators import learners as C
 from medcohort.sources.clinical import load_clinical_view
 
 
@@ -59,24 +61,187 @@ def test_dying_cluster_is_split(spark):
 
 
 @pytest.fixture(scope="module")
-def points(spark):
+def vectors(spark):
     c = load_clinical_view(spark, "/root/testdata/sf0.001")
-    _, vectors, _ = FE.build_vectors(FE.feature_tuples(c))
-    return C.project(C.fit_projection(vectors), vectors).select("patient_id", "pca").persist()
+    return FE.build_vectors(FE.feature_tuples(c))[1].persist()
+
+
+@pytest.fixture(scope="module")
+def points(vectors):
+    return C.principal_points(vectors).persist()
+
 
+def assignments(points, name):
+    if name == "kmeans":
+        return G.assign(points, G.kmeans(points))
+    if name == "mixture":
+        return G.mixture_assign(points, G.gaussian_mixture(points))
+    return C.streaming_kmeans_assign(points, "x")
 
-@pytest.mark.parametrize("fn", [C.kmeans_assign, C.gmm_assign, C.streaming_kmeans_assign])
-def test_learners_cover_every_patient(points, fn):
-    a = fn(points)
-    rows = a.collect()
+
+@pytest.mark.parametrize("name", ["kmeans", "mixture", "streaming"])
+def test_learners_cover_every_patient(points, name):
+    rows = assignments(points, name).collect()
     assert len(rows) == points.count() == 150
     assert {r.cluster for r in rows} <= {0, 1, 2}
-    again = {r.patient_id: r.cluster for r in fn(points).collect()}
+    again = {r.patient_id: r.cluster for r in assignments(points, name).collect()}
     assert again == {r.patient_id: r.cluster for r in rows}
 
 
 def test_pca_width(points):
-    assert len(points.first().pca) == 10
+    assert len(points.first().x) == 10
+
+
+def frame(spark, data):
+    return spark.createDataFrame([(str(i), [float(v) for v in x]) for i, x in enumerate(data)], "patient_id string, x array<double>")
+
+
+def blobs(n=240, dim=3, seed=1):
+    rng = np.random.default_rng(seed)
+    return np.concatenate([rng.normal(size=(n // 3, dim)) * 0.4 + 4 * rng.normal(size=dim) for _ in range(3)])
+
+
+def plain_draw(ids, number):
+    import hashlib
+    return np.array([(int(hashlib.md5(f"{number}:{i}".encode()).hexdigest()[:G.DRAW_DIGITS], 16) + 0.5) / 16 ** G.DRAW_DIGITS for i in ids])
+
+
+def plain_start(x, k):
+    ids = [str(i) for i in range(len(x))]
+    far = lambda c: ((x[:, None, :] - np.array(c)[None, :, :]) ** 2).sum(axis=2)
+    found = [x[plain_draw(ids, 0).argmin()]]
+    for r in range(1, G.START_ROUNDS + 1):
+        d = far(found).min(axis=1)
+        with np.errstate(divide="ignore"):
+            key = np.where(d > 0, -np.log(plain_draw(ids, r)) / d, np.inf)
+        found += [x[i] for i in np.argsort(key, kind="stable")[:G.START_FACTOR * k] if np.isfinite(key[i])]
+    weight = np.bincount(far(found).argmin(axis=1), minlength=len(found))
+    found, chosen = np.array(found), [int(weight.argmax())]
+    while len(chosen) < k:
+        away = ((found[:, None, :] - found[chosen][None, :, :]) ** 2).sum(axis=2).min(axis=1) * weight
+        if away.max() <= 0:
+            break
+        chosen.append(int(away.argmax()))
+    return found[chosen]
+
+
+def test_kmeans_equals_plain_steps(spark):
+    x = blobs()
+    points = frame(spark, x).persist()
+    start = G.start_centres(points)
+    np.testing.assert_allclose(start, plain_start(x, 3), rtol=1e-12)
+    centres = np.array(start)
+    for _ in range(5):
+        near = ((x[:, None, :] - centres[None, :, :]) ** 2).sum(axis=2).argmin(axis=1)
+        centres = np.array([x[near == i].mean(axis=0) for i in range(3)])
+    np.testing.assert_allclose(G.kmeans(points, max_iter=5, tol=0.0), centres, rtol=1e-9)
+    assert sorted(np.bincount([r.cluster for r in G.assign(points, centres.tolist()).collect()])) == [80, 80, 80]
+
+
+@pytest.mark.parametrize("data", [np.zeros((0, 2)), np.ones((1, 2)), np.ones((9, 2)), np.array([[0.0, 0], [1, 1]] * 5)])
+def test_learners_with_few_distinct_points(spark, data):
+    points = frame(spark, data)
+    centres, model = G.kmeans(points), G.gaussian_mixture(points)
+    assert len(centres) == min(3, len({tuple(x) for x in data.tolist()}))
+    if len(data):
+        assert G.assign(points, centres).count() == G.mixture_assign(points, model).count() == len(data)
+        assert np.isfinite(model.covariances).all() and abs(model.weights.sum() - 1) < 1e-9
+    else:
+        assert model is None
+
+
+def test_mixture_equals_plain_em(spark):
+    x = blobs(150, 2, 4) + np.random.default_rng(2).normal(size=(150, 2))
+    means = [[-1.0, 0.0], [0.0, 1.0], [2.0, 2.0]]
+    got = G.gaussian_mixture(frame(spark, x).persist(), max_iter=6, tol=-1.0, means=means)
+    var = x.var(axis=0)
+    var = var + G.RIDGE * var.mean()
+    ridge = G.RIDGE * var.mean()
+    w, m, s = np.full(3, 1 / 3), np.array(means), np.array([np.diag(var)] * 3)
+    for _ in range(6):
+        d = x[:, None, :] - m
+        log = np.log(w) - np.log(2 * np.pi) - 0.5 * np.log(np.linalg.det(s)) - 0.5 * np.einsum("nki,kij,nkj->nk", d, np.linalg.inv(s), d)
+        r = np.exp(log - log.max(axis=1, keepdims=True))
+        r /= r.sum(axis=1, keepdims=True)
+        size = r.sum(axis=0)
+        w, m = size / len(x), r.T @ x / size[:, None]
+        s = np.array([(r[:, k, None] * x).T @ x / size[k] - np.outer(m[k], m[k]) + ridge * np.eye(2) for k in range(3)])
+    np.testing.assert_allclose(got.weights, w, rtol=1e-7)
+    np.testing.assert_allclose(got.means, m, rtol=1e-7)
+    np.testing.assert_allclose(got.covariances, s, rtol=1e-6)
+
+
+def low_rank(n=60, width=40, rank=4, seed=5):
+    """Sparse counts of few hidden factors: the leading components stand apart."""
+    rng = np.random.default_rng(seed)
+    x = (rng.random((n, rank)) * [9, 6, 4, 2.5]) @ (rng.random((rank, width)) < 0.3) + rng.random((n, width)) * 0.2
+    return np.where(rng.random((n, width)) < 0.9, x, 0.0) + np.eye(n, width)
+
+
+def test_block_iteration_finds_the_principal_components(spark):
+    x = low_rank()
+    rows = [(str(i), int(j), float(x[i, j])) for i, j in zip(*np.nonzero(x))]
+    entries = spark.createDataFrame(rows, "patient_id string, idx int, value double")
+    std = x.std(axis=0, ddof=1)
+    moments = spark.createDataFrame([(j, float(x[:, j].mean()), float(std[j])) for j in range(x.shape[1])], "idx int, mean double, std double")
+    model = PC.principal_components(entries, moments, 3, rounds=24, tol=1e-12)
+    z = (x - x.mean(axis=0)) / std
+    value, vector = np.linalg.eigh(z.T @ z / (len(x) - 1))
+    np.testing.assert_allclose(model.variances, value[::-1][:3], rtol=1e-5)
+    want = vector[:, ::-1][:, :3]
+    want = want * np.sign(want[abs(want).argmax(axis=0), range(3)])
+    got = np.array([list(r)[3:] for r in sorted(model.loadings.collect())])
+    np.testing.assert_allclose(got, want, atol=5e-3)
+    points = {r.patient_id: r.pca for r in PC.project_long(model, entries).collect()}
+    np.testing.assert_allclose([points[str(i)] for i in range(len(x))], z @ got, atol=1e-9)
+    none = spark.createDataFrame([], entries.schema)
+    assert PC.principal_components(none, moments.limit(0), 3).k == 0
+
+
+def test_wide_vectors_take_the_cluster_route(spark):
+    from pyspark.ml.linalg import Vectors
+    x = low_rank()
+    sparse = lambda row: Vectors.sparse(len(row), [(int(j), float(row[j])) for j in np.flatnonzero(row)])
+    rows = [(str(i), Vectors.dense(row) if i % 2 else sparse(row)) for i, row in enumerate(x)]
+    vectors = spark.createDataFrame(rows, ["patient_id", "features"])
+    dense = {r.patient_id: r.x for r in C.principal_points(vectors, 2).collect()}
+    wide = {r.patient_id: r.x for r in C.principal_points(vectors, 2, dense_width=1).collect()}
+    assert dense.keys() == wide.keys()
+    for k, v in dense.items():
+        np.testing.assert_allclose(wide[k], v, atol=5e-2)
+
+
+LOAD = """
+import sys
+sys.path.insert(0, {repo!r})
+from pyspark.ml import PipelineModel
+from medcohort.operators import learners as C
+from medcohort.session import local_session
+spark = local_session(2)
+rows = C.project(PipelineModel.load({model!r}), spark.read.parquet({data!r})).select("patient_id", "pca").collect()
+print("SCORES", sorted((r.patient_id, [float(x) for x in r.pca]) for r in rows))
+spark.stop()
+"""
+
+
+def test_saved_projection_scores_new_patients_in_another_process(spark, vectors, tmp_path):
+    import ast
+    import os
+    import subprocess
+    import sys
+
+    fitted = C.fit_projection(vectors.where("patient_id < '5'"))
+    new = vectors.where("patient_id >= '5'")
+    fitted.write().overwrite().save(str(tmp_path / "model"))
+    new.write.parquet(str(tmp_path / "new"))
+    code = LOAD.format(repo=os.path.dirname(os.path.dirname(os.path.abspath(__file__))), model=str(tmp_path / "model"), data=str(tmp_path / "new"))
+    done = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, timeout=300)
+    assert done.returncode == 0, done.stderr[-2000:]
+    line = next(x for x in done.stdout.splitlines() if x.startswith("SCORES"))
+    got = ast.literal_eval(line.removeprefix("SCORES "))
+    want = sorted((r.patient_id, [float(x) for x in r.pca]) for r in C.project(fitted, new).collect())
+    assert len(want) > 10 and [g[0] for g in got] == [w[0] for w in want]
+    np.testing.assert_allclose([g[1] for g in got], [w[1] for w in want], rtol=1e-12)
 
 
 def test_start_centres_are_the_librarys_own(spark):
