@@ -21,7 +21,6 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 from pyspark.sql import functions as F  # noqa: E402
 
 from medcohort.operators import features as FE  # noqa: E402
-from medcohort.operators import metrics as M  # noqa: E402
 from medcohort.operators import phenotype as P  # noqa: E402
 from medcohort.plans import catalog  # noqa: E402
 from medcohort.plans import study as S  # noqa: E402
@@ -35,8 +34,7 @@ WARMUP_DIR = "/root/testdata/sf0.001"
 def bench_plan(spark, sf_dir):
     def load_events():
         c = load_clinical_view(spark, sf_dir)
-        dx, lab = c.lines.agg(F.count("code"), F.count("test_name")).first()
-        return dx + lab + c.med.count()
+        return c.dx.count() + c.med.count() + c.lab.count()
 
     def phenotype():
         pdf = P.phenotype_labels(load_clinical_view(spark, sf_dir)).toPandas()
@@ -55,11 +53,8 @@ def bench_plan(spark, sf_dir):
     def vectors():
         return catalog.QUERIES["patient_vectors"](spark, sf_dir).agg(F.sum(F.size("indices"))).first()[0]
 
-    pairs = catalog.standin_assignments(spark, sf_dir).persist()   # purity is timed on ready assignments
-    pairs.count()
-
     def purity():
-        return M.purity(pairs, "cluster", "label").first()[0]
+        return catalog.QUERIES["purity"](spark, sf_dir).first()[0]   # label rule and join included
 
     def study():
         return S.run_cohort_study(load_clinical_view(spark, sf_dir)).toPandas()

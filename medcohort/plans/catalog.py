@@ -27,8 +27,9 @@ from medcohort.operators import phenotype as P
 from medcohort.plans import study as S
 from medcohort.session import ensure_checkpoint_dir, state_dir
 from medcohort.sources import csv_tables as CT
+from medcohort.sources import event_tables as ET
 from medcohort.sources.clinical import clinical_view_sql, load_clinical_view, read_table
-from medcohort.sources.sinks import report_line
+from medcohort.sources.sinks import report_line, write_feature_tuples_tsv, write_labels_tsv
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -296,12 +297,16 @@ def q_feature_dictionary_filtered(spark, sf_dir):
     return FE.feature_dictionary(_tuples(spark, sf_dir, True))
 
 
+def _stored_tuples(spark, sf_dir) -> DataFrame:
+    """All tuples, written once: names and entries both come from them, so the event join runs once."""
+    return PC.stored(_tuples(spark, sf_dir, False), "tuples")
+
+
 @register("patient_vectors_long", f"""{FEATURES_SQL}{DICT_SQL}
 SELECT t.patient_id, d.idx, round(t.value, {ROUND}) AS value FROM tuples t JOIN dict d ON t.feature = d.feature""")
 def q_patient_vectors_long(spark, sf_dir):
-    tuples = _tuples(spark, sf_dir, False)
-    return (FE.patient_vectors_long(tuples, FE.feature_dictionary(FE.feature_names(clin(spark, sf_dir))))
-            .select("patient_id", "idx", _r("value")))
+    tuples = _stored_tuples(spark, sf_dir)
+    return FE.patient_vectors_long(tuples, FE.feature_dictionary(tuples)).select("patient_id", "idx", _r("value"))
 
 
 @register("patient_vectors", f"""{FEATURES_SQL}{DICT_SQL}
@@ -309,9 +314,8 @@ SELECT t.patient_id, list(d.idx ORDER BY d.idx) AS indices,
        list_transform(list(t.value ORDER BY d.idx), lambda x: round(x, {ROUND})) AS "values"
 FROM tuples t JOIN dict d ON t.feature = d.feature GROUP BY t.patient_id""")
 def q_patient_vectors(spark, sf_dir):
-    tuples = _tuples(spark, sf_dir, False)
-    dictionary = FE.feature_dictionary(FE.feature_names(clin(spark, sf_dir)))
-    e = FE.sparse_entries(FE.patient_vectors_long(tuples, dictionary))
+    tuples = _stored_tuples(spark, sf_dir)
+    e = FE.sparse_entries(FE.patient_vectors_long(tuples, FE.feature_dictionary(tuples)))
     return e.select("patient_id", "indices",
                     F.transform("values", lambda x: F.round(x, ROUND)).alias("values"))
 
@@ -843,3 +847,128 @@ def q_code_list_items(spark, sf_dir):
     path = f"{state_dir(spark, f'lists-{uuid.uuid4().hex}')}/{CT.LAB_FILTER_FILE}"
     clin(spark, sf_dir).lab.select("test_name").write.text(path)
     return CT.load_code_list(spark, path)
+
+
+def _faulty_exports(spark, sf_dir) -> str:
+    """The four exports with planted faults: missing names, texts for dates and numbers, and rows with a field too many."""
+    folder = state_dir(spark, f"faulty-{uuid.uuid4().hex}")
+    stamp = lambda c: F.date_format(c, "yyyy-MM-dd'T'HH:mm:ss'Z'")
+
+    def planted(c, key, n, bad):
+        return F.when(F.col(key) % n == 0, F.lit(bad)).otherwise(c)
+
+    def write(df, name):
+        df.write.option("header", True).option("quote", "").csv(f"{folder}/{name}")
+
+    orders, lines = read_table(spark, sf_dir, "orders"), read_table(spark, sf_dir, "lineitem")
+    write(orders.select(F.col("o_orderkey").cast("string").alias("Encounter_ID"),
+                        planted(F.col("o_custkey").cast("string"), "o_orderkey", 61, None).alias("Member_ID"),
+                        planted(stamp("o_orderdate"), "o_orderkey", 53, "soon").alias("Encounter_DateTime")), CT.ENCOUNTER_FILE)
+    write(lines.select(F.col("l_orderkey").cast("string").alias("Encounter_ID"),
+                       planted(F.concat(F.lit("D"), F.col("l_partkey")), "l_partkey", 71, "a,b").alias("Code_ID")), CT.ENCOUNTER_DX_FILE)
+    write(lines.select(F.col("l_suppkey").cast("string").alias("Member_ID"), stamp("l_shipdate").alias("Date_Resulted"),
+                       F.lit("glucose").alias("Result_Name"),
+                       F.when(F.col("l_partkey") % 47 == 0, "high").when(F.col("l_partkey") % 43 == 0, None)
+                       .otherwise(F.col("l_quantity").cast("string")).alias("Numeric_Result")), CT.LAB_FILE)
+    write(orders.select(F.col("o_custkey").cast("string").alias("Member_ID"), stamp("o_orderdate").alias("Order_Date"),
+                        planted(planted(F.lit("X"), "o_orderkey", 97, None), "o_orderkey", 89, "a,b").alias("Drug_Name")), CT.MED_FILE)
+    return folder
+
+
+@register("csv_load_faults", f"""
+SELECT '{CT.ENCOUNTER_FILE}' AS file, count(*) AS "rows", 0 AS malformed, count(*) FILTER (o_orderkey % 61 = 0) AS missing,
+       count(*) FILTER (o_orderkey % 53 = 0) AS bad_dates, 0 AS bad_numbers FROM orders
+UNION ALL SELECT '{CT.ENCOUNTER_DX_FILE}', count(*), count(*) FILTER (l_partkey % 71 = 0), 0, 0, 0 FROM lineitem
+UNION ALL SELECT '{CT.LAB_FILE}', count(*), 0, 0, 0, count(*) FILTER (l_partkey % 47 = 0) FROM lineitem
+UNION ALL SELECT '{CT.MED_FILE}', count(*), count(*) FILTER (o_orderkey % 89 = 0),
+       count(*) FILTER (o_orderkey % 97 = 0 AND o_orderkey % 89 <> 0), 0, 0 FROM orders""")
+def q_csv_load_faults(spark, sf_dir):
+    """What an observed load counts in exports with planted faults, all of them named by the failure."""
+    try:
+        CT.load_observed_csv(spark, _faulty_exports(spark, sf_dir), state_dir(spark, f"typed-{uuid.uuid4().hex}"))
+        raise AssertionError("the planted faults must fail the load")
+    except CT.LoadFaults as faults:
+        names = ("rows", "malformed", "missing", "bad_dates", "bad_numbers")
+        rows = [(file, *(c[n] for n in names)) for file, c in faults.counts.items()]  # one row an export
+    return spark.createDataFrame(rows, "file string, " + ", ".join(f"{n} long" for n in names))
+
+
+@register("csv_usable_events", f"""
+SELECT 'dx' AS domain, count(*) AS n FROM orders JOIN lineitem ON o_orderkey = l_orderkey
+WHERE o_orderkey % 61 <> 0 AND o_orderkey % 53 <> 0 AND l_partkey % 71 <> 0
+UNION ALL SELECT 'lab', count(*) FROM lineitem WHERE l_partkey % 47 <> 0 AND l_partkey % 43 <> 0
+UNION ALL SELECT 'med', count(*) FROM orders WHERE o_orderkey % 97 <> 0 AND o_orderkey % 89 <> 0""")
+def q_csv_usable_events(spark, sf_dir):
+    """The events that an observed load keeps of the same exports when it drops unusable rows."""
+    c = CT.load_observed_csv(spark, _faulty_exports(spark, sf_dir), state_dir(spark, f"typed-{uuid.uuid4().hex}"), "drop")
+    parts = [df.agg(F.count("*").alias("n")).select(F.lit(k).alias("domain"), "n") for k, df in (("dx", c.dx), ("lab", c.lab), ("med", c.med))]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+@register("csv_view_rows", """
+SELECT 'encounter_dx_INPUT' AS view_name, 'c000' AS source, count(*) AS n FROM lineitem
+UNION ALL SELECT 'medication_orders_INPUT', 'c000', count(*) FROM orders""")
+def q_csv_view_rows(spark, sf_dir):
+    """Exports loaded under the view names inferred from their paths, and the name of each row's own file."""
+    folder = state_dir(spark, f"exports-{uuid.uuid4().hex}")
+    CT.write_clinical_csv(clin(spark, sf_dir), folder)
+    parts = []
+    for file in (CT.ENCOUNTER_DX_FILE, CT.MED_FILE):
+        CT.load_csv_as_table(spark, f"{folder}/{file}")
+        name = CT.infer_table_name(f"{folder}/{file}")
+        rows = spark.sql(f"SELECT * FROM {name}").withColumn("source", CT.source_table_name())
+        parts.append(rows.groupBy("source").agg(F.count("*").alias("n")).select(F.lit(name).alias("view_name"), "source", "n"))
+    return parts[0].unionByName(parts[1])
+
+
+@register("labels_tsv", f"{SETS_SQL} SELECT patient_id, CAST(label AS VARCHAR) AS label FROM labels")
+def q_labels_tsv(spark, sf_dir):
+    """The label export, read back."""
+    path = state_dir(spark, f"labels-{uuid.uuid4().hex}")
+    write_labels_tsv(P.phenotype_labels(clin(spark, sf_dir)), path)
+    return spark.read.option("sep", "\t").schema("patient_id string, label string").csv(path)
+
+
+@register("feature_tuples_tsv", f"{FEATURES_SQL} SELECT patient_id, feature, round(value, {ROUND}) AS value FROM tuples")
+def q_feature_tuples_tsv(spark, sf_dir):
+    """The tuple export, read back."""
+    path = state_dir(spark, f"tuples-{uuid.uuid4().hex}")
+    write_feature_tuples_tsv(_tuples(spark, sf_dir, False), path)
+    return spark.read.option("sep", "\t").schema("patient_id string, feature string, value double").csv(path).select(
+        "patient_id", "feature", _r("value"))
+
+
+# FIXED VALUES of the check: a criteria table as it is shipped, with a wildcard row and a quoted comma.
+CRITERIA_ROWS = (("790.21", "Impaired fasting glucose"), ("256.4", "Polycystic ovaries, any"), ("250.*", "Diabetes mellitus"))
+
+
+@register("criteria_events", f"""WITH {clinical_view_sql()}
+SELECT code, count(*) AS n FROM dx WHERE code IN ('790.21', '256.4') OR code LIKE '250.%' GROUP BY code""")
+def q_criteria_events(spark, sf_dir):
+    """Diagnoses that a written criteria table names, by code or by a wildcard row."""
+    path = state_dir(spark, f"criteria-{uuid.uuid4().hex}")
+    spark.createDataFrame(CRITERIA_ROWS, "code string, description string").write.csv(path)
+    found = CT.criteria_filter(clin(spark, sf_dir).dx, "code", CT.load_criteria_table(spark, path))
+    return found.groupBy("code").agg(F.count("*").alias("n"))
+
+
+def _bucketed(spark, sf_dir, query) -> DataFrame:
+    """``query`` on the view written as bucketed event tables; its result is stored, the tables go."""
+    name = f"events_{uuid.uuid4().hex}"
+    ET.save_event_tables(clin(spark, sf_dir), name)
+    try:
+        return PC.stored(query(ET.load_event_tables(spark, name)), "bucketed")
+    finally:
+        ET.drop_event_tables(spark, name)
+
+
+@register("phenotype_labels_bucketed", f"{SETS_SQL} SELECT patient_id, label FROM labels")
+def q_phenotype_labels_bucketed(spark, sf_dir):
+    """R0 on event tables bucketed by patient."""
+    return _bucketed(spark, sf_dir, P.phenotype_labels)
+
+
+@register("feature_tuples_bucketed", f"{FEATURES_SQL} SELECT patient_id, feature, round(value, {ROUND}) AS value FROM tuples")
+def q_feature_tuples_bucketed(spark, sf_dir):
+    """H3 on event tables bucketed by patient."""
+    return _bucketed(spark, sf_dir, lambda c: FE.feature_tuples(c).select("patient_id", "feature", _r("value")))
