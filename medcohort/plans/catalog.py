@@ -810,8 +810,8 @@ SELECT 'Filtered' AS feature_set, 'kMeans' AS algorithm, n, round(p, {ROUND}) AS
        '[Filtered feature] getPurity of kMeans is: ' || format('{{:.5f}}', q) AS report FROM total""")
 def q_kmeans_report(spark, sf_dir):
     """Both purities of the exact k-means groups and the printed line."""
-    stacked = _kmeans_assignments(spark, sf_dir).select(F.lit("Filtered").alias("feature_set"), F.lit("kMeans").alias("algorithm"), "*")
-    scored = M.purity_by(stacked, ["feature_set", "algorithm"]).withColumn("report", report_line())
+    scored = M.purity_pair(_kmeans_assignments(spark, sf_dir)).select(
+        F.lit("Filtered").alias("feature_set"), F.lit("kMeans").alias("algorithm"), "*").withColumn("report", report_line())
     return scored.select("feature_set", "algorithm", "n", _r("purity"), _r("inverse_purity"), "report")
 
 
@@ -972,3 +972,12 @@ def q_phenotype_labels_bucketed(spark, sf_dir):
 def q_feature_tuples_bucketed(spark, sf_dir):
     """H3 on event tables bucketed by patient."""
     return _bucketed(spark, sf_dir, lambda c: FE.feature_tuples(c).select("patient_id", "feature", _r("value")))
+
+
+@register("restricted_lab_means", f"""{SETS_SQL}
+SELECT patient_id, test_name, round(avg(value), {ROUND}) AS value FROM lab
+WHERE patient_id IN (SELECT patient_id FROM t1_med) GROUP BY 1, 2""")
+def q_restricted_lab_means(spark, sf_dir):
+    """Lab means of the patients with a type-1 medication, restricted before the encounter join."""
+    c = load_clinical_view(spark, sf_dir, QUERIES["t1_med_patients"](spark, sf_dir))
+    return FE.lab_features(c.lab).select("patient_id", F.col("feature").alias("test_name"), _r("value"))

@@ -86,8 +86,16 @@ def encounter_lines(orders: DataFrame, lineitem: DataFrame) -> DataFrame:
     return o.join(li, o.o_orderkey == li.l_orderkey, "inner")
 
 
-def clinical_view(orders: DataFrame, lineitem: DataFrame) -> ClinicalFrames:
-    """Derive dx / med / lab frames (and the fused ``lines``) from ``orders`` and ``lineitem``."""
+def clinical_view(orders: DataFrame, lineitem: DataFrame, patients: DataFrame | None = None) -> ClinicalFrames:
+    """Derive dx / med / lab frames (and the fused ``lines``) from ``orders`` and ``lineitem``.
+
+    ``patients (patient_id)`` restricts the frames to a set of patients (F9, J2). The semi join runs on the encounters,
+    before they meet their lines, so only the set's encounters are shuffled by order key; where Spark finds the lines'
+    side large enough, it also builds a runtime Bloom filter of their order keys for the scan of the lines.
+    """
+    if patients is not None:
+        keep = patients.select(F.col("patient_id").alias("_kept"))
+        orders = orders.join(keep, F.col("o_custkey").cast("string") == F.col("_kept"), "left_semi")
     lines = encounter_lines(orders, lineitem)
     patient = F.col("o_custkey").cast("string").alias("patient_id")
     code = _lookup("(l_partkey % 200)", DX_CODE_BY_PARTKEY_MOD_200, DX_CODE_DEFAULT_PREFIX)
@@ -113,9 +121,9 @@ def clinical_view(orders: DataFrame, lineitem: DataFrame) -> ClinicalFrames:
     return ClinicalFrames(med=med, lab=lab, dx=dx, lines=fused)
 
 
-def load_clinical_view(spark: SparkSession, sf_dir: str) -> ClinicalFrames:
-    """Read ``orders`` and ``lineitem`` from ``sf_dir`` and derive the frames."""
-    return clinical_view(read_table(spark, sf_dir, "orders"), read_table(spark, sf_dir, "lineitem"))
+def load_clinical_view(spark: SparkSession, sf_dir: str, patients: DataFrame | None = None) -> ClinicalFrames:
+    """Read ``orders`` and ``lineitem`` from ``sf_dir`` and derive the frames, of some ``patients`` if given."""
+    return clinical_view(read_table(spark, sf_dir, "orders"), read_table(spark, sf_dir, "lineitem"), patients)
 
 
 # DuckDB / ANSI text of the same view, used by the SQL oracles.

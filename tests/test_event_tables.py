@@ -95,3 +95,12 @@ def test_observed_load_equals_the_plain_one(spark, tmp_path):
     seen = CT.load_observed_csv(spark, str(tmp_path / "in"), str(tmp_path / "store"))
     for name in ("dx", "lab", "med"):
         assert getattr(seen, name).columns == getattr(plain, name).columns and same(getattr(seen, name), getattr(plain, name))
+
+
+def test_a_patient_set_restricts_the_encounters_before_their_join(spark):
+    who = spark.createDataFrame([("7",), ("12",), ("7",), (None,), ("no one",)], "patient_id string")
+    c, some = load_clinical_view(spark, SF0001), load_clinical_view(spark, SF0001, who)
+    joins = [x.strip(" :+-").split(" ", 3)[1:2] + [x] for x in plan(some.lab).splitlines() if "Join" in x]
+    assert len(joins) == 2 and "Inner" in joins[0][1] and "LeftSemi" in joins[1][1]  # the semi join is the inner one's input
+    for name in ("dx", "lab", "med", "lines"):
+        assert same(getattr(some, name), getattr(c, name).where("patient_id IN ('7', '12')"))
