@@ -9,23 +9,29 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from medcohort.llm.common import join_hot
+
 #: Rows of one side of a block of pairs; a larger group is cut into blocks that are paired with each other.
 BLOCK = 512
 
 
-def in_blocks(rows: DataFrame, group: str) -> DataFrame:
-    """``rows`` as a stream sorted by ``key``, one key for each pair of blocks of each group of two or more.
+def in_blocks(rows: DataFrame, group: str, payload: DataFrame) -> DataFrame:
+    """Rows of groups as a stream sorted by ``key``, one key for each pair of blocks of each group of two or more.
 
-    A group of up to ``BLOCK`` rows is one block. A larger one is dealt by node over blocks, and each row goes to
-    every pair of blocks that has its own. ``side`` says which of the two, ``whole`` that both are the same.
+    ``rows`` is a stored narrow table (``group``, node), ``payload`` has one row a node. A group of up to ``BLOCK`` rows
+    is one block. A larger one is dealt by node over blocks, and each row goes to every pair of blocks that has its
+    own; only then does it get its payload. No hot group meets in one task: its size is broadcast (:func:`join_hot`).
+    ``side`` says which of the two blocks, ``whole`` that both are the same.
     """
     sizes = rows.groupBy(group).agg(F.count("*").alias("size")).where("size > 1")
     blocks = F.ceil(F.col("size") / BLOCK)
-    dealt = rows.join(sizes, group).withColumn("blocks", blocks).withColumn("own", F.pmod(F.xxhash64("node"), "blocks"))
+    dealt = join_hot(rows.select(group, "node"), sizes, group, "size", rows.count())
+    dealt = dealt.withColumn("blocks", blocks).withColumn("own", F.pmod(F.xxhash64("node"), "blocks"))
     dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
     dealt = dealt.withColumn("key", F.xxhash64(group, F.least("own", "other"), F.greatest("own", "other")))
     dealt = dealt.withColumn("whole", F.col("own") == F.col("other")).withColumn("side", F.col("own") <= F.col("other"))
-    return dealt.drop("size", "blocks", "own", "other").repartition("key").sortWithinPartitions("key")
+    dealt = dealt.drop("size", "blocks", "own", "other").join(payload, "node")
+    return dealt.repartition("key").sortWithinPartitions("key")
 
 
 def groups(batches: Iterator[pa.RecordBatch], key: str = "key") -> Iterator[pa.Table]:

@@ -192,13 +192,55 @@ def word_hashes(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nda
     return mix((total[ends] - total[starts]) * down[starts] + (ends - starts).astype(np.uint64))
 
 
-#: Rows of a narrow fixed-width table up to which it may be broadcast (about 40 MB in memory).
-BROADCAST_ROWS = 500_000
+#: Bytes of a stored table's values up to which it may be broadcast.
+BROADCAST_BYTES = 32 << 20
 
 
-def if_small(stored: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
-    """A stored narrow table, marked for broadcasting if a count of its rows proves it small.
+def value_bytes(df: DataFrame) -> Column:
+    """Bytes of a row's values: 8 for a number, the length of a text and the elements of an array, and 16 for either."""
+    total = F.lit(8)
+    for field in df.schema.fields:
+        kind = field.dataType.typeName()
+        if kind in ("string", "binary"):
+            total = total + 16 + F.coalesce(F.octet_length(field.name), F.lit(0))
+        elif kind == "array":
+            total = total + 16 + 8 * F.coalesce(F.size(field.name), F.lit(0))
+        else:
+            total = total + 8
+    return total
+
+
+def if_small(stored: DataFrame, limit: int = BROADCAST_BYTES) -> DataFrame:
+    """A stored table, marked for broadcasting if the sum of its values' bytes proves it small.
 
     Beyond the bound the same join runs as a shuffled one.
     """
-    return F.broadcast(stored) if stored.count() <= rows else stored
+    size = stored.agg(F.sum(value_bytes(stored).cast("long"))).first()[0] or 0
+    return F.broadcast(stored) if size <= limit else stored
+
+
+#: A key with more than this part of all rows is hot; there are fewer hot keys than this, at any size.
+HOT_PART = 1024
+
+
+def join_hot(rows: DataFrame, table: DataFrame, key: str, size: str, total: int, how: str = "inner") -> DataFrame:
+    """``rows`` joined with ``table``, which has one row for each ``key`` and in ``size`` how many of ``rows`` have it.
+
+    ``total`` is the number of ``rows``, at least. Keys with over 1 / ``HOT_PART`` of it are fewer than ``HOT_PART``, so
+    their rows of ``table`` are broadcast and the rows of a hot key stay where they are; all other keys are shuffled.
+    With ``how`` "left", rows without a key stay in place too.
+    """
+    bound = max(1, total // HOT_PART)
+    hot = F.broadcast(table.where(F.col(size) > bound))
+    met = rows.join(hot, key)
+    others = rows.join(F.broadcast(table.where(F.col(size) > bound).select(key)), key, "left_anti")
+    out = met.unionByName(others.where(F.col(key).isNotNull()).join(table.where(F.col(size) <= bound), key, how))
+    if how == "left":
+        out = out.unionByName(rows.where(F.col(key).isNull()), allowMissingColumns=True)
+    return out
+
+
+def join_counted(rows: DataFrame, stored: DataFrame, key: str, size: str, total: int) -> DataFrame:
+    """``rows`` joined with a stored table of one row a key: broadcast if proven small, else by :func:`join_hot`."""
+    near = if_small(stored)
+    return rows.join(near, key) if near is not stored else join_hot(rows, stored, key, size, total)

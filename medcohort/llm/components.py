@@ -7,6 +7,9 @@ from pyspark.sql import functions as F
 
 from medcohort.llm.common import materialise
 
+#: A node's edges are split over so many parts of its neighbours.
+SALTS = 256
+
 
 def _step(edges: DataFrame, large: bool) -> DataFrame:
     """Large star: larger neighbours point to the least of the neighbourhood. Small star: the smaller ones do."""
@@ -15,8 +18,11 @@ def _step(edges: DataFrame, large: bool) -> DataFrame:
         edges = edges.withColumnsRenamed({"a": "u", "b": "v"})
     else:
         edges = edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
-    least = edges.groupBy("u").agg(F.min("v").alias("m")).withColumn("m", F.least("u", "m"))
-    joined = edges.join(least, "u")
+    edges = edges.withColumn("salt", F.pmod(F.xxhash64("v"), F.lit(SALTS)))
+    parts = edges.groupBy("u", "salt").agg(F.min("v").alias("m"))
+    least = parts.groupBy("u").agg(F.min("m").alias("m")).withColumn("m", F.least("u", "m"))
+    # the least goes back to the salts a node has, then to the edges: no node's edges meet
+    joined = edges.join(parts.drop("m").join(least, "u"), ["u", "salt"])
     if large:
         out = joined.where(F.col("v") > F.col("u")).select(F.col("v").alias("a"), F.col("m").alias("b"))
     else:
@@ -29,8 +35,8 @@ def components(edges: DataFrame) -> DataFrame:
     """(node, component) for every node of the edge table ``(a, b)``; the component is its least node.
 
     Nodes may be of any ordered type. Each round is written out; neither edges nor labels reach the driver, which
-    only compares a count and a checksum. A node's neighbours are never gathered: the least one is aggregated and
-    joined back; the edges of one node meet in one sorted task, which spills but holds none of them.
+    only compares a count and a checksum. A node's neighbours are never gathered: the least one is aggregated in two
+    steps, by parts of the neighbours and then by node, and joined back the same way.
     """
     edges = materialise(edges.where("a != b").select(
         F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "edges")

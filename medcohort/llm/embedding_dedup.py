@@ -12,11 +12,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from medcohort.llm.blocks import groups, in_blocks, roots, sides
-from medcohort.llm.common import map_arrow, materialise, read_table
+from medcohort.llm.common import join_hot, map_arrow, materialise, read_table
 from medcohort.llm.components import components
 
 THRESHOLD = 0.93
-#: Hash tables; each vector also goes to its next-best buckets: a table has PROBES of them besides the best.
+#: Hash tables of up to two parts, twice as many for each further part, which makes a bucket harder to share; each vector
+#: also goes to its next-best buckets: a table has PROBES of them besides the best.
 TABLES, PROBES = 8, 2
 #: Vectors of the largest label that a bucket should hold; sets how many polytopes a table's hash joins.
 BUCKET = 64
@@ -50,7 +51,7 @@ def buckets(x: np.ndarray, parts: int) -> np.ndarray:
     width = 1 << max(1, (size - 1).bit_length())
     x = np.concatenate([x, np.zeros((n, width - size))], 1)
     out = []
-    for table in range(TABLES):
+    for table in range(TABLES << max(0, parts - 2)):
         top = []  # (rows, 3) vertices of each part, best first
         for part in range(parts):
             y = rotate(x, table, part)
@@ -148,21 +149,21 @@ def near_vectors(vectors: DataFrame) -> DataFrame:
                 number = buckets(_units(part), parts)
                 at = np.repeat(np.arange(part.num_rows), number.shape[1])
                 yield pa.RecordBatch.from_arrays(
-                    [*(part.column(c).combine_chunks().take(pa.array(at)) for c in ("label", "node", "unit")),
-                     pa.array(number.ravel())], ["label", "node", "unit", "number"])
+                    [*(part.column(c).combine_chunks().take(pa.array(at)) for c in ("label", "node")),
+                     pa.array(np.full(len(at), own)), pa.array(number.ravel())], ["label", "node", "size", "number"])
 
     spread = map_arrow(nodes.select("label", "node", "unit"), hashed,
-                       "label string, node binary, unit binary, number long")
-    spread = spread.select("node", "unit", F.xxhash64("label", F.octet_length("unit"), "number").alias("bucket"))
-    edges = map_arrow(in_blocks(spread, "bucket"), _edge_rows, "a binary, b binary")
+                       "label string, node binary, size long, number long")
+    spread = materialise(spread.select("node", F.xxhash64("label", "size", "number").alias("bucket")), "vec-buckets")
+    edges = map_arrow(in_blocks(spread, "bucket", nodes.select("node", "unit")), _edge_rows, "a binary, b binary")
     found = materialise(components(edges).join(nodes, "node"), "vec-found")
-    counted = map_arrow(in_blocks(found.select("component", "node", "unit", "copies"), "component"), _count_rows,
+    counted = map_arrow(in_blocks(found, "component", found.select("node", "unit", "copies")), _count_rows,
                         "node binary, links long").groupBy("node").agg(F.sum("links").alias("links"))
     least = found.groupBy("component").agg(F.min("least").alias("component_id"))
     found = found.select("node", "component").join(least, "component").join(counted, "node", "left")
-    every = nodes.select("node", "least", "copies").join(found, "node", "left")
+    every = materialise(nodes.select("node", "least", "copies").join(found, "node", "left"), "vec-every")
     one = F.coalesce("component_id", "least", "vec_id")
-    return signed.select("vec_id", "node").join(every, "node", "left").select(
+    return join_hot(signed.select("vec_id", "node"), every, "node", "copies", signed.count(), "left").select(
         "vec_id", (F.coalesce("links", F.lit(0)) + F.coalesce("copies", F.lit(1)) - 1).alias("n_links"),
         one.alias("component_id"), F.col("vec_id").eqNullSafe(one).alias("kept"))
 

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from medcohort.llm.blocks import groups, in_blocks, roots, sides
-from medcohort.llm.common import (NON_ALNUM, fresh, if_small, map_arrow, materialise, mix, read_table, rolling,
+from medcohort.llm.common import (NON_ALNUM, fresh, if_small, join_hot, map_arrow, materialise, mix, read_table, rolling,
                                   steps, word_hashes, words)
 from medcohort.llm.components import components
 
@@ -193,7 +193,7 @@ def _classes(docs: DataFrame) -> DataFrame:
     bands = map_arrow(with_words, _band_rows, "band long, node binary")
     again = bands.groupBy("band").agg(F.count("*").alias("n")).where("n > 1").select("band")
     shared = materialise(bands.join(again, "band", "left_semi"), "near-shared")
-    marked = in_blocks(shared.join(with_words, "node"), "band")
+    marked = in_blocks(shared, "band", with_words)
     maybe = components(map_arrow(marked, _survivor_edges, "a binary, b binary"))
     maybe = materialise(maybe.join(classes.select("node", "class_id", "copies", "signature", "text_hash"), "node"), "near-maybe")
 
@@ -213,16 +213,17 @@ def _classes(docs: DataFrame) -> DataFrame:
     here = F.col("doc_id").eqNullSafe(F.col("class_id")) & (F.col("text_hash") == F.col("hash"))
     found = map_arrow(text_rows.where("text is not null").join(places, here).select("text", "node"), sets,
                       "node binary, shingles binary").dropDuplicates(["node"])
-    checked = in_blocks(maybe.drop("text_hash").join(found, "node"), "component")
+    checked = in_blocks(maybe, "component", maybe.drop("component", "class_id", "text_hash").join(found, "node"))
     links = materialise(map_arrow(checked, _verified_links, "node binary, root binary, texts long, rows long"), "near-links")
     linked = links.groupBy("node").agg(F.sum("texts").alias("texts"), F.sum("rows").alias("rows"))
     parts = components(links.select(F.col("node").alias("a"), F.col("root").alias("b")))
     parts = parts.join(linked, "node").join(classes.select("node", "class_id"), "node")
     least = parts.groupBy("component").agg(F.min("class_id").alias("component_id"))
     parts = parts.join(least, "component").select("node", "texts", "rows", "component_id")
-    every = classes.select("node", "class_id", "copies").join(parts, "node", "left")
+    every = materialise(classes.select("node", "class_id", "copies").join(parts, "node", "left"), "near-every")
     one = F.coalesce("component_id", "class_id", "doc_id")
-    return signed.select("doc_id", "node", "text_hash").join(every, "node", "left").select(
+    rows = signed.select("doc_id", "node", "text_hash")
+    return join_hot(rows, every, "node", "copies", signed.count(), "left").select(
         "doc_id", F.coalesce("class_id", "doc_id").alias("class_id"), F.coalesce("copies", F.lit(1)).alias("n_copies"),
         (F.coalesce("copies", F.lit(1)) - 1 + F.coalesce("rows", F.lit(0))).alias("n_links"),
         F.coalesce("texts", F.lit(0)).alias("n_text_links"), one.alias("component_id"),

@@ -23,6 +23,8 @@ BITMAP_CELLS, HOT_CELLS = 1 << 26, 1 << 23
 _SPAN = WINDOW - GRAM + 1
 #: Window rows of a partition that are held to find repeats within it.
 HELD_WINDOWS = 4_000_000
+#: Bytes of the tables of places (anchors, window starts) up to which they are broadcast.
+PLACES_BYTES = 96 << 20
 
 
 def _windows(texts: list[str | None], second: bool = False):
@@ -196,7 +198,7 @@ def repeated_windows(docs: DataFrame, bitmap_cells: int = BITMAP_CELLS) -> DataF
         for r in range(DEPTH):
             each = each.withColumn("cell", cell(F.col("a"), r, cells)).join(hot, "cell", "left_semi").drop("cell")
     likely = each.groupBy("doc_id", "text_hash").agg(F.collect_set("a").alias("hot"))
-    likely = if_small(materialise(likely, "sub-likely"), 200_000)
+    likely = if_small(materialise(likely, "sub-likely"), PLACES_BYTES)
     found = rows.join(likely, ["doc_id", "text_hash"]).select("doc_id", "text_hash", "text", "hot")
     windows = map_arrow(found, _candidate_rows,
                         "h1 long, h2 long, doc_id long, text_hash long, start long, state byte")
@@ -218,7 +220,7 @@ def remove_repeats(docs: DataFrame, bitmap_cells: int = BITMAP_CELLS) -> DataFra
     doc_id and text are two occurrences and get the same result.
     """
     starts = repeated_windows(docs, bitmap_cells).withColumnsRenamed({"doc_id": "_d", "text_hash": "_t", "starts": "_s"})
-    starts = if_small(starts, 200_000)
+    starts = if_small(starts, PLACES_BYTES)
     n_words, n_removed, hidden = fresh(docs, "n_words", "n_removed", "_hash")
     marked = docs.withColumn(hidden, F.xxhash64("text"))
     joined = marked.join(starts, (F.coalesce(F.col("doc_id").cast("long"), F.lit(-1)) == F.col("_d"))
