@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
-from medcohort.llm.common import materialise, read_table
+from medcohort.llm.common import join_counted, materialise, read_table
 
 SHARDS = 24
 #: Bits of each quantised dimension: the curve has 2 ** (3 * BITS) cells.
@@ -65,30 +65,48 @@ def hilbert_cells(spark: SparkSession, bits: int = BITS) -> DataFrame:
     return cells.select("x", "y", "z", index.alias("curve"))
 
 
+def ranked_cells(rows: DataFrame, column: str, bits: int) -> DataFrame:
+    """``(column, n, cell)`` of every value: its cell is where the middle of its rows lies when rows are sorted by it.
+
+    Cells are ranges of values that hold about equal shares of the rows, whatever the values' distribution. Counts of
+    values are dealt over ranges; the prefix sums are exact, so the ranges, which Spark samples, do not show.
+    """
+    dealt = rows.groupBy(column).agg(F.count("*").alias("n")).repartitionByRange(column)
+    dealt = materialise(dealt.withColumn("range", F.spark_partition_id()), "shard-values")
+    upto = Window.orderBy("range")  # one row a range
+    bases = dealt.groupBy("range").agg(F.sum("n").alias("rows")).select(
+        "range", (F.sum("rows").over(upto) - F.col("rows")).alias("base"), F.sum("rows").over(
+            Window.orderBy("range").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)).alias("total"))
+    inside = Window.partitionBy("range").orderBy(column)
+    placed = dealt.withColumn("before", F.sum("n").over(inside) - F.col("n")).join(F.broadcast(bases), "range")
+    middle = (F.col("base") + F.col("before")) * 2 + F.col("n")
+    return placed.select(column, "n", F.floor(middle * (1 << bits) / (F.col("total") * 2)).cast("long").alias("cell"))
+
+
 def shard(docs: DataFrame, shards: int = SHARDS, bits: int = BITS) -> DataFrame:
     """Deal documents over ``shards`` shards whose row counts differ by at most one (law ``rows``).
 
-    Dimensions: language and source (hashed to a cell number; equal values share one), and the logarithm of the
-    size. Rows are ordered by the curve index, then by leading bits of the text's hash and of the id's hash, and
-    cut into runs, so a shard spans few values of each dimension and equal texts of one language and source lie
-    near each other. A row's place is the rows in earlier cells, plus those in earlier parts of its cell, plus
-    its rank in its part: no task gets a whole cell or a whole group of equal texts.
+    Dimensions: language, source and the text's bytes, each quantised by rank (:func:`ranked_cells`), so a cell is a
+    range of values and a shard's least and greatest value of each dimension prune it. Rows are ordered by the curve
+    index, then by leading bits of the text's hash and of the id's hash, and cut into runs, so a shard spans few values
+    of each dimension and equal texts of one language and source lie near each other. A row's place is the rows in
+    earlier cells, plus those in earlier parts of its cell, plus its rank in its part: no task gets a whole cell or a
+    whole group of equal texts.
 
-    A null text has no bytes and crc 0 of the empty text; null metadata is a value of its own. Repeated rows
-    (all of id, text, metadata equal) get one place each. Other columns are not read. An empty table gives an
-    empty result.
+    A null text has no bytes and crc 0 of the empty text; null metadata is a value of its own, before all others.
+    Repeated rows (all of id, text, metadata equal) get one place each. Other columns are not read. An empty table
+    gives an empty result.
     """
-    top = (1 << bits) - 1
-
-    def cell(column: str) -> Column:
-        return F.pmod(F.xxhash64(F.coalesce(F.col(column).cast("string"), F.lit("\0"))), F.lit(1 << bits))
-
     text = F.coalesce(F.col("text"), F.lit(""))
-    rows = docs.select(
+    named = lambda c: F.coalesce(F.concat(F.lit("="), F.col(c).cast("string")), F.lit(""))
+    rows = materialise(docs.select(
         F.col("doc_id"), (F.octet_length(text) + 8).cast("long").alias("size"), F.crc32(text).alias("text_crc32"),
-        F.xxhash64(text).alias("text_hash"), cell("lang").alias("x"), cell("source").alias("y"),
-        # a quarter of a doubling a step, clamped to the last cell
-        F.least(F.floor(F.log2(F.octet_length(text) + F.lit(1.0))), F.lit(top)).cast("long").alias("z"))
+        F.xxhash64(text).alias("text_hash"), named("lang").alias("lang"), named("source").alias("source")), "shard-narrow")
+    n = rows.count()
+    for column, axis in (("lang", "x"), ("source", "y"), ("size", "z")):
+        values = materialise(ranked_cells(rows, column, bits), "shard-cells").withColumnRenamed("cell", axis)
+        rows = join_counted(rows, values, column, "n", n).drop("n")
+    rows = rows.drop("lang", "source")
     cells = hilbert_cells(docs.sparkSession, bits)  # at most 2 ** (3 * bits) rows
     rows = materialise(
         rows.join(F.broadcast(cells), ["x", "y", "z"]).drop("x", "y", "z")

@@ -65,3 +65,51 @@ def test_shards(spark, n):
     assert max(sizes) - min(sizes) <= 1
     curve = sorted((r["shard"], r["slot"], r["curve_index"]) for r in got)
     assert [c[2] for c in curve] == sorted(c[2] for c in curve)
+
+
+def test_cells_are_ranges_of_equal_shares(spark):
+    rng = random.Random(3)
+    values = [f"v{rng.randrange(40):02d}" for _ in range(900)] + ["v07"] * 600
+    rows = spark.createDataFrame([(v,) for v in values], "source string")
+    got = {r["source"]: (r["n"], r["cell"]) for r in sharding.ranked_cells(rows, "source", 3).collect()}
+    before = 0
+    for v in sorted(set(values)):
+        n = values.count(v)
+        assert got[v] == (n, (2 * before + n) * 8 // (2 * len(values)))
+        before += n
+
+
+def test_few_shards_hold_a_value(spark):
+    """Least and greatest values of a shard's rows prune it: a filter on one dimension opens a part of the shards."""
+    rng = random.Random(9)
+    rows = [(k, "x" * int(2 ** rng.uniform(3, 12)), rng.choice(["de", "en", "es", "fr"]), f"s{rng.randrange(16):02d}") for k in range(3000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    shard_of = {r["doc_id"]: r["shard"] for r in sharding.shard(docs).collect()}
+    for column, most in ((2, 14), (3, 16)):
+        spans = {}
+        for r in rows:
+            spans.setdefault(shard_of[r[0]], []).append(r[column])
+        for value in {r[column] for r in rows}:
+            assert sum(min(v) <= value <= max(v) for v in spans.values()) <= most
+
+
+def plain_places(rows, bits=4, shards=24):
+    """Independent placement: quantise by rank, sort by the curve, the hashes and the id, and cut."""
+    cells = []
+    for column in range(3):
+        values = sorted(r[column] for r in rows)
+        cells.append({v: (2 * values.index(v) + values.count(v)) * (1 << bits) // (2 * len(rows)) for v in set(values)})
+    return [tuple(cells[c][r[c]] for c in range(3)) for r in rows]
+
+
+def test_shards_follow_the_curve_of_ranked_cells(spark):
+    rng = random.Random(4)
+    rows = [(k, "y" * rng.randrange(1, 400), rng.choice(["de", "en", None]), rng.choice(["a", "b", "c", None])) for k in range(400)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    curve = {(r["x"], r["y"], r["z"]): r["curve"] for r in sharding.hilbert_cells(spark, 4).collect()}
+    plain = plain_places([(r[2] or "", r[3] or "", len(r[1])) for r in rows])
+    got = {r["doc_id"]: r for r in sharding.shard(docs).collect()}
+    assert all(got[r[0]]["curve_index"] == curve[p] for r, p in zip(rows, plain))
+    order = sorted(got.values(), key=lambda r: (r["shard"], r["slot"]))
+    assert [r["curve_index"] for r in order] == sorted(curve[p] for p in plain)
+    assert [r["shard"] for r in order] == [k * 24 // 400 for k in range(400)]
