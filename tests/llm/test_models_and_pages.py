@@ -138,6 +138,98 @@ def test_left_out_elements_without_end_tags(html, main):
     assert html_extraction.lines_of(html) == (main, [])
 
 
+@pytest.mark.parametrize(("html", "text"), [
+    ('<article><div class="widget-area main-content"><p>Real</p></div></article>', "Real"),
+    ('<article><p class="related-work">Real</p><p id="notice-of-meeting">Also</p></article>', "Real\nAlso"),
+    ('<article>short</article><div><p>The body of the page is here</p><p>x</p></div>', "short\nThe body of the page is here"),
+    ('<div><p>The body comes before</p></div><main>m</main>', "The body comes before\nm"),
+    ('<main>m<div class="ad-slot">no</div><div class="site-nav">no</div><ul class="share-buttons">no</ul></main>', "m"),
+    ('<main>m<div class="post entry-content notice">yes</div><div class="sidebar content">no</div></main>', "m\nyes"),
+    ("<p title=don't>a</p><p title=\"x>b</p>", "a\nb"), ("<p title = '>'>q</p>", "q"), ("<p>a<!-->b<!--->c<!-- x --!>d", "abcd"),
+    ("a<script>x</scripty></script >b", "ab"), ("a<b title='", "a"), ("", "")])
+def test_page_parts(html, text):
+    assert "\n".join(x for x, _ in html_extraction.chosen(html_extraction.blocks_of(html))[0]) == text
+
+
+@pytest.mark.parametrize("piece", ['<a href="x ', "<a href='x\" ", "<p x=  ", "<!--", "</script", "<script>", "<div class=ad>", "&#", "<a b=\"'"])
+def test_malformed_page_takes_linear_time(piece):
+    import time
+    begin = time.perf_counter()
+    html_extraction.blocks_of(piece * (1_000_000 // len(piece)) + '"')
+    assert time.perf_counter() - begin < 5
+
+
+def test_shared_lines_in_parts():
+    rng = random.Random(1)
+    for _ in range(300):
+        a, b = ([rng.randrange(5) for _ in range(rng.randrange(40))] for _ in range(2))
+        got = html_extraction.shared_lines(a, b, limit=8)
+        assert len(got) == subsequence(a, b) == subsequence([a[k] for k in got], b) and got == sorted(set(got))
+
+
+def extracted(rows):
+    """The result of ``extract`` by loops over whole hosts."""
+    hosts = {}
+    for _, url, page in rows:
+        host, path = (url or "").partition("://")[2].partition("/")[::2] if "://" in (url or "") else ("", "")
+        hosts.setdefault(host, set()).add(("/" + path.partition("?")[0], url, page))
+    texts = {}
+    for host, found in hosts.items():
+        found = sorted(found, key=lambda r: r[0])
+        loose = [[x for x, marked in html_extraction.blocks_of(r[2]) if not marked] for r in found]
+
+        def weight(lines):
+            return sum(len(x.encode()) for x in lines)
+
+        def gone(i, j):
+            if loose[i] == loose[j]:
+                return None
+            at = html_extraction.shared_lines(loose[i], loose[j])
+            if weight([loose[i][k] for k in at]) * 3 >= 2 * max(weight(loose[i]), weight(loose[j])):
+                return None
+            return at
+
+        first = [0] * len(found)
+        for i in range(1, len(found)):
+            first[i] = first[i - 1] if gone(i, i - 1) is None else i
+        for i, (path, url, page) in enumerate(found):
+            last = max(k for k in range(len(found)) if first[k] == first[i])
+            best = None
+            for j, side in ((first[i] - 1, 1), (last + 1, 0)):
+                if 0 <= j < len(found) and gone(i, j) is not None:
+                    common = next((k for k, (x, y) in enumerate(zip(path, found[j][0])) if x != y), min(len(path), len(found[j][0])))
+                    best = max(best or (-1,), (common, side, gone(i, j)))
+            out = set(best[2]) if best else set()
+            keep = html_extraction.chosen(html_extraction.blocks_of(page))[0]
+            texts[url, page] = "\n".join(x for x, k in keep if k not in out)
+    return sorted((i, texts[url, page]) for i, url, page in rows)
+
+
+@pytest.mark.parametrize(("partitions", "block"), [("1", 1000), ("7", 3)])
+def test_extract_against_loops(spark, monkeypatch, partitions, block):
+    monkeypatch.setattr(html_extraction, "RUN_BLOCK", block)
+    rng = random.Random(11)
+    lines = [f"line {k} " + "w" * rng.randrange(30) for k in range(40)]
+    rows = []
+    for k in range(150):
+        body = rng.sample(lines, rng.randrange(1, 12)) if k % 4 else lines[:10] + rng.sample(lines, 1)
+        page = "<p>Top</p>" + "".join(f"<p>{x}</p>" for x in body) + "<p>All rights</p>"
+        if k % 10 == 3:
+            page = f"<main><p>{'m' * rng.choice([3, 60])}</p></main>" + page
+        rows.append((k, f"http://h{rng.choice('aaab')}.org/{rng.choice('xyz')}/{k}", page))
+    rows += rows[5:9]
+    was = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", partitions)
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+        pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+        got = sorted((r["page_id"], r["text"]) for r in html_extraction.extract(pages).collect())
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", was)
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert got == extracted(rows)
+
+
 @pytest.mark.parametrize("partitions", ["1", "3", "40"])
 def test_differencing_skips_copies(spark, partitions):
     page = "<body><div><p>Top of site</p></div>{}<p>All rights</p></body>"
