@@ -14,12 +14,14 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from medcohort.llm.common import STEP_BYTES, map_arrow, materialise, read_table, ship_code, steps
+from medcohort.llm.common import STEP_BYTES, fresh, map_arrow, materialise, read_table, ship_code, steps
 
 MAX_TOKENS = 4096
 END_ID = 1
 #: Pieces that one packing task gets on average. Every group ends with at most one poorly filled sequence.
 GROUP_PIECES = 50_000
+#: Copies of an equal row that are numbered at once.
+COPIES_AT_ONCE = 1000
 #: Word parts that a Python worker remembers in each of two generations: once the new one is full it becomes the old
 #: one, and parts met again move to the new one (a bound on memory, about 70 MB, not on the input).
 CACHE_PARTS = 200_000
@@ -188,11 +190,18 @@ def pack(pieces: DataFrame, max_tokens: int = MAX_TOKENS, group_pieces: int = GR
     """Place every row of ``pieces`` (with ``doc_id``, ``piece``, ``length`` in 1 .. ``max_tokens``).
 
     Rows are dealt by hash over groups of about ``group_pieces`` rows; each group is packed by itself, so memory is
-    bounded at any size, and the packing depends on the rows alone.
+    bounded at any size, and the packing depends on the rows alone. Equal rows are counted first and each is dealt with
+    its number among them, so a row repeated any number of times is spread over all groups.
     """
     ship_code(pieces.sparkSession)
     groups = max(1, -(-pieces.count() // group_pieces))
     columns = pieces.columns
+    times, copy = fresh(pieces, "_times", "_copy")
+    dealt = (pieces.groupBy(*columns).agg(F.count(F.lit(1)).alias(times))
+             .withColumn(copy, F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col(times) - 1) / COPIES_AT_ONCE))))
+             .withColumn(copy, F.explode(F.sequence(F.col(copy) * COPIES_AT_ONCE, F.least(
+                 F.col(times), (F.col(copy) + 1) * COPIES_AT_ONCE) - 1)))
+             .withColumn("_group", F.pmod(F.xxhash64(*columns, copy), F.lit(groups))).drop(times, copy))
 
     def run(key, frame):
         frame = frame.sort_values(["length", "doc_id", "piece"], kind="stable", ignore_index=True)
@@ -206,7 +215,6 @@ def pack(pieces: DataFrame, max_tokens: int = MAX_TOKENS, group_pieces: int = GR
         out["offset"] = begin - begin.groupby(number).transform("min")
         return out
 
-    dealt = pieces.withColumn("_group", F.pmod(F.xxhash64("doc_id", "piece"), F.lit(groups)))
     schema = pieces.schema.add("sequence_id", "long").add("offset", "long")
     return dealt.groupBy("_group").applyInPandas(run, schema)
 

@@ -39,6 +39,14 @@ def test_urls_empty(spark):
     assert url_filters.filter_urls(spark.createDataFrame([(1, None)], pages.schema), []).first()["verdict"] == "allow"
 
 
+def test_very_long_urls(spark):
+    rules = url_filters.RULES
+    urls = ["http://" + "a." * 3000 + "example.org/es/" + "x/" * 50_000, "http://" + "a" * 300_000 + ".com/de/", "http://b.org?" + "/" * 300_000]
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    got = sorted(map(tuple, url_filters.filter_urls(pages, rules).collect()))
+    assert got == [(k, *judge(u, rules)) for k, u in enumerate(urls)]
+
+
 def test_hilbert_curve_visits_every_cell_by_unit_steps(spark):
     for bits in (1, 2, 3):
         cells = {r["curve"]: (r["x"], r["y"], r["z"]) for r in sharding.hilbert_cells(spark, bits).collect()}

@@ -67,6 +67,23 @@ def test_vectors(spark, monkeypatch, block):
     assert embedding_dedup.near_vectors(table.limit(0)).count() == 0
 
 
+def test_repeated_and_null_vector_ids(spark):
+    v, w = [1.0, 2.0, 3.0, 4.0], [-4.0, 3.0, -2.0, 1.0]
+    rows = [(1, v, 0), (1, v, 0), (2, v, 0), (3, w, 0), (3, v, 1)]
+    got = embedding_dedup.near_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int")).collect()
+    assert len(got) == 5 and sorted(r["vec_id"] for r in got) == [1, 1, 2, 3, 3]
+    assert {r["component_id"] for r in got if r["vec_id"] in (1, 2)} == {1}
+    assert [r["n_links"] for r in got if r["vec_id"] == 2] == [2] and [r["kept"] for r in got if r["vec_id"] == 2] == [False]
+
+
+def test_toxicity_of_a_very_long_text(spark):
+    docs, labels = labelled(spark)
+    model = toxicity.train(docs, labels)
+    long = spark.createDataFrame([(1, "abcde " * 500_000), (2, "vexomnop " * 300_000)], "doc_id long, text string")
+    got = {r["doc_id"]: r for r in toxicity.score(long, model).collect()}
+    assert 0 <= got[1]["score"] <= got[2]["score"] <= 1 and got[2]["predicted"] == 1
+
+
 def test_several_polytopes_keep_near_vectors_together():
     rng = np.random.default_rng(6)
     x = rng.normal(size=(400, 64))

@@ -70,3 +70,30 @@ def test_many_groups(spark):
     pieces = spark.range(300).selectExpr("id as doc_id", "0 as piece", "0L as start", "id % 90 + 1 as length", "0L as ids_crc32")
     got = packing.pack(pieces, 100, group_pieces=50).groupBy("sequence_id").sum("length").collect()
     assert sum(r[1] for r in got) == sum(k % 90 + 1 for k in range(300)) and max(r[1] for r in got) <= 100
+
+
+def test_repeated_rows_and_null_ids_are_spread_over_groups(spark):
+    same = spark.range(2500).selectExpr("cast(null as long) as doc_id", "0 as piece", "0L as start", "7L as length", "5L as ids_crc32")
+    other = spark.range(500).selectExpr("3L as doc_id", "cast(id % 5 as int) as piece", "0L as start", "id % 50 + 1 as length", "0L as ids_crc32")
+    pieces = same.union(other)
+    got = packing.pack(pieces, 100, group_pieces=100).collect()
+    key = ["doc_id", "piece", "start", "length", "ids_crc32"]
+    assert sorted([str(tuple(r[k] for k in key)) for r in got]) == sorted(str(tuple(r)) for r in pieces.collect())
+    groups, places = {}, {}
+    for r in got:
+        groups[r["sequence_id"] % 30] = groups.get(r["sequence_id"] % 30, 0) + 1
+        places.setdefault(r["sequence_id"], []).append((r["offset"], r["length"]))
+    assert len(groups) == 30 and max(groups.values()) < 200
+    for place in places.values():
+        place.sort()
+        assert [a for a, _ in place] == [sum(n for _, n in place[:k]) for k in range(len(place))] and sum(n for _, n in place) <= 100
+
+
+def test_documents_with_null_and_repeated_ids(spark):
+    rows = [(None, None), (None, None), (None, "a b"), (1, "a b"), (1, "a b"), (1, "c"), (2, "word " * 5000), (None, "word " * 5000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = packing.pack_documents(docs).collect()
+    whole = Tokenizer.from_file(PATH)
+    size = [len(whole.encode(t or "", add_special_tokens=False).ids) + 1 for _, t in rows]
+    assert sum(r["length"] for r in got) == sum(size) and len(got) == sum(-(-n // 4096) for n in size)
+    assert sum(r["doc_id"] is None for r in got) == 3 + -(-size[-1] // 4096)
