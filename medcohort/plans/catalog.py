@@ -28,7 +28,7 @@ from medcohort.plans import study as S
 from medcohort.session import ensure_checkpoint_dir, state_dir
 from medcohort.sources import csv_tables as CT
 from medcohort.sources import event_tables as ET
-from medcohort.sources.clinical import clinical_view_sql, load_clinical_view, read_table
+from medcohort.sources.clinical import clinical_view_sql, load_clinical_view, read_table, stored_patients
 from medcohort.sources.sinks import report_line, write_feature_tuples_tsv, write_labels_tsv
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -981,3 +981,13 @@ def q_restricted_lab_means(spark, sf_dir):
     """Lab means of the patients with a type-1 medication, restricted before the encounter join."""
     c = load_clinical_view(spark, sf_dir, QUERIES["t1_med_patients"](spark, sf_dir))
     return FE.lab_features(c.lab).select("patient_id", F.col("feature").alias("test_name"), _r("value"))
+
+
+@register("stored_set_dx_counts", f"""{SETS_SQL}
+SELECT patient_id, code, CAST(count(*) AS DOUBLE) AS value FROM dx
+WHERE patient_id IN (SELECT patient_id FROM abnormal) GROUP BY 1, 2""")
+def q_stored_set_dx_counts(spark, sf_dir):
+    """Diagnosis counts of the patients with an abnormal lab; their stored set prunes the scans of J1."""
+    some = stored_patients(QUERIES["abnormal_lab_patients"](spark, sf_dir))
+    return FE.dx_features(load_clinical_view(spark, sf_dir, some).dx).select(
+        "patient_id", F.col("feature").alias("code"), "value")

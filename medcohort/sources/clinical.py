@@ -16,12 +16,14 @@ Frames:
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from medcohort.functions.sqltext import case_lookup
+from medcohort.session import state_dir
 
 
 @dataclass(frozen=True)
@@ -126,6 +128,20 @@ def load_clinical_view(spark: SparkSession, sf_dir: str, patients: DataFrame | N
     return clinical_view(read_table(spark, sf_dir, "orders"), read_table(spark, sf_dir, "lineitem"), patients)
 
 
+def stored_patients(patients: DataFrame) -> DataFrame:
+    """The distinct ids of ``patients``, written once below the shared checkpoint folder and read under a comparison.
+
+    The comparison holds for every id. It marks the set as selective to the optimizer, so that, where the encounters are
+    large (``spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold``) and the set is small
+    (``...creationSideThreshold``), a Bloom filter of the ids reaches the scan of the encounters, and one of their order
+    keys the scan of the lines. Null ids match nothing and go.
+    """
+    spark = patients.sparkSession
+    path = state_dir(spark, f"patients-{uuid.uuid4().hex}")
+    patients.select("patient_id").distinct().write.parquet(path)
+    return spark.read.parquet(path).where(F.col("patient_id") >= "")
+
+
 # DuckDB / ANSI text of the same view, used by the SQL oracles.
 def _sql_case(key: str, table: dict[int, str], prefix: str) -> str:
     whens = " ".join(f"WHEN {k} THEN '{v}'" for k, v in table.items())

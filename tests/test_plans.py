@@ -76,3 +76,32 @@ def test_nothing_stays_cached(spark):
     for name in ("feature_zscores", "patient_vectors", "cluster_report", "kmeans_clusters", "zscore_minibatch_purity"):
         E.queries()[name](spark, SF0001).count()
     assert spark.sparkContext._jsc.sc().getPersistentRDDs().size() == before
+
+
+def _filter_rows(node, table):
+    """Rows that each filter above a scan of ``table`` lets through, in a plan that has run."""
+    found = []
+    for k in range(node.children().size()):
+        found += _filter_rows(node.children().apply(k), table)
+    if node.nodeName() == "Filter" and "might_contain" in node.simpleString(10_000) and f"{table}" in node.toString():
+        found.append(node.metrics().apply("numOutputRows").value())
+    return found
+
+
+def test_a_stored_patient_set_prunes_the_scans(spark, no_broadcast):
+    from medcohort.sources.clinical import load_clinical_view, read_table, stored_patients
+    patients = spark.createDataFrame([("7",), ("7",), ("8",), (None,), ("",), ("none",)], "patient_id string")
+    size = "spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold"
+    want = sorted(map(str, load_clinical_view(spark, SF0001, patients).dx.collect()))
+    spark.conf.set(size, "0")   # the given tables lie under the bound from which filters pay
+    try:
+        got = load_clinical_view(spark, SF0001, stored_patients(patients)).dx
+        run = got._jdf.queryExecution()
+        assert run.toRdd().count() == len(want) > 0
+        for table, key in (("orders", "o_custkey"), ("lineitem", "l_orderkey")):
+            rows = _filter_rows(run.executedPlan(), key)
+            every = read_table(spark, SF0001, table).count()
+            assert rows and min(rows) < every / 10
+        assert sorted(map(str, got.collect())) == want
+    finally:
+        spark.conf.unset(size)
