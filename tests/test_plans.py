@@ -105,3 +105,19 @@ def test_a_stored_patient_set_prunes_the_scans(spark, no_broadcast):
         assert sorted(map(str, got.collect())) == want
     finally:
         spark.conf.unset(size)
+
+
+def test_listed_lines_are_picked_below_the_join(spark, no_broadcast):
+    plan = _plan(E.queries()["feature_tuples_filtered"](spark, SF0001))
+    below = plan[plan.index("SortMergeJoin"):]
+    picked = [x for x in below.splitlines() if "Filter" in x and "l_partkey" in x]
+    assert picked and all("l_suppkey" in x for x in picked)
+
+
+def test_zscore_points_join_the_events_once(spark, no_broadcast, monkeypatch):
+    seen = []
+    for name in ("build_vectors", "feature_moments"):
+        whole = getattr(catalog.FE, name)
+        monkeypatch.setattr(catalog.FE, name, lambda tuples, whole=whole: (seen.append(_plan(tuples)), whole(tuples))[1])
+    catalog._zscore_points(spark, SF0001)
+    assert len(seen) == 2 and not any("Join" in x for x in seen)
