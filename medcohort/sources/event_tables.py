@@ -13,17 +13,22 @@ from pyspark.sql import functions as F
 
 from medcohort.sources.clinical import ClinicalFrames
 
-#: Buckets of each table: about the bytes of all events / 256 MB, and at least the cores that should work on them.
+#: Least number of buckets of each table: the cores that should work on them.
 BUCKETS = 16
+#: Lines of one bucket on average. A bucket is one task of every later query, so its memory is bounded at any size.
+BUCKET_LINES = 500_000
 
 
 def _names(name: str) -> tuple[str, str]:
     return f"{name}_lines", f"{name}_med"
 
 
-def save_event_tables(clinical: ClinicalFrames, name: str, buckets: int = BUCKETS) -> None:
+def save_event_tables(clinical: ClinicalFrames, name: str, buckets: int | None = None,
+                      bucket_lines: int = BUCKET_LINES) -> None:
     """Write the fused lines and the medications as ``{name}_lines`` and ``{name}_med``; existing ones are replaced.
 
+    Without a number of ``buckets`` the events are counted first: there are at least ``BUCKETS``, of about
+    ``bucket_lines`` events of the larger table each.
     Frames without fused lines (from CSV exports) are fused by a union: a line is then a diagnosis or a lab.
     """
     lines = clinical.lines
@@ -34,6 +39,8 @@ def save_event_tables(clinical: ClinicalFrames, name: str, buckets: int = BUCKET
                                    none("double").alias("value")).unionByName(
             clinical.lab.select("patient_id", none("string").alias("code"), none(stamp).alias("date"),
                                 F.col("date").alias("lab_date"), "test_name", "value"))
+    if buckets is None:
+        buckets = max(BUCKETS, -(-max(lines.count(), clinical.med.count()) // bucket_lines))
     for df, table in zip((lines, clinical.med), _names(name), strict=True):
         dealt = df.repartition(buckets, "patient_id")   # one file a bucket
         dealt.write.bucketBy(buckets, "patient_id").sortBy("patient_id").mode("overwrite").format("parquet").saveAsTable(table)

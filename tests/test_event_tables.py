@@ -104,3 +104,20 @@ def test_a_patient_set_restricts_the_encounters_before_their_join(spark):
     assert len(joins) == 2 and "Inner" in joins[0][1] and "LeftSemi" in joins[1][1]  # the semi join is the inner one's input
     for name in ("dx", "lab", "med", "lines"):
         assert same(getattr(some, name), getattr(c, name).where("patient_id IN ('7', '12')"))
+
+
+def test_buckets_grow_with_the_events(spark, events, monkeypatch):
+    c, save = events
+    monkeypatch.setattr(ET, "BUCKETS", 2)
+    name = f"t_{uuid.uuid4().hex}"
+    n = c.lines.count()
+    try:
+        ET.save_event_tables(c, name, bucket_lines=n // 5)
+        for table in ET._names(name):
+            described = {r.col_name: r.data_type for r in spark.sql(f"DESCRIBE EXTENDED {table}").collect()}
+            assert described["Num Buckets"] == str(-(-n // (n // 5)))
+        stored = ET.load_event_tables(spark, name)
+        assert "Exchange" not in plan(FE.feature_tuples(stored))
+        assert same(P.phenotype_labels(stored), P.phenotype_labels(c))
+    finally:
+        ET.drop_event_tables(spark, name)
