@@ -284,6 +284,8 @@ def _hashes(lines: list[str]) -> list[int]:
 
 #: Pages whose common blocks are this share of the larger one's bytes, or more, are copies: they tell nothing of furniture.
 COPY_SHARE = 2 / 3
+#: A shared block of marked text goes if it is on this share of the host's pages with marked text, and on as many pages.
+FURNITURE_SHARE, FURNITURE_PAGES = 1 / 2, 4
 #: Pages of one run that meet their partner in one key.
 RUN_BLOCK = 1000
 _KEYS = ("key", "key2")
@@ -351,7 +353,21 @@ def _runs(pages: DataFrame) -> DataFrame:
     return materialise(rows.select("place", F.coalesce("first", "earlier").alias("first")), "page-run-places")
 
 
-def template_lines(pages: DataFrame) -> DataFrame:
+def _furniture(best: DataFrame, placed: DataFrame) -> DataFrame:
+    """The check after differencing: of the shared blocks ``gone`` of marked text, those on ``FURNITURE_SHARE`` of the
+    host's pages and on ``FURNITURE_PAGES`` at least. Passages that some articles share are text."""
+    shared = best.join(placed.select(*_KEYS, "host", "lines"), list(_KEYS)).select(
+        *_KEYS, "host", "lines", F.explode("gone").alias("place"))
+    shared = materialise(shared.select(*_KEYS, "host", "place", F.col("lines")[F.col("place")].alias("line")), "page-shared")
+    asked = if_small(materialise(shared.select("host", "line").distinct(), "page-asked"))
+    often = placed.select("host", F.explode(F.array_distinct("lines")).alias("line")).join(
+        asked, ["host", "line"], "left_semi").groupBy("host", "line").agg(F.count("*").alias("n"))
+    often = often.join(placed.groupBy("host").agg(F.count("*").alias("all")), "host").where(
+        (F.col("n") >= FURNITURE_PAGES) & (F.col("n") >= F.col("all") * FURNITURE_SHARE)).select("host", "line")
+    return shared.join(often, ["host", "line"]).groupBy(*_KEYS).agg(F.collect_list("place").alias("gone"))
+
+
+def template_lines(pages: DataFrame, marked: bool = False) -> DataFrame:
     """(key, key2, gone): for pages with unmarked blocks in their result, the places of the unmarked blocks they share
     with the nearest page in path order on their host that is no copy (``COPY_SHARE``).
 
@@ -360,6 +376,9 @@ def template_lines(pages: DataFrame) -> DataFrame:
     that is no copy of the page itself is aligned with it; without one the page keeps all blocks. Repeated rows are one
     page.
 
+    With ``marked``, the same is done among the pages with marked text, for its blocks, and an exact check follows
+    (:func:`_furniture`).
+
     Pages are numbered by host and path over range partitions, so a host of any size is many partitions. A run meets its
     neighbours in blocks of ``RUN_BLOCK`` places, each a key of its own.
     """
@@ -368,11 +387,12 @@ def template_lines(pages: DataFrame) -> DataFrame:
     def run(batches):
         for batch in batches:
             found = [blocks_of(h) for h in batch.column(2).to_pylist()]
-            loose = [[x for x, marked in blocks if not marked] for blocks in found]
+            mine = [[x for x, inside in blocks if inside == marked] for blocks in found]
+            need = [bool(lines) for lines in mine] if marked else [chosen(blocks)[1] for blocks in found]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array([chosen(blocks)[1] for blocks in found], pa.bool_()),
-                 pa.array([_hashes(lines) for lines in loose], pa.list_(pa.int64())),
-                 pa.array([[len(x.encode("utf-8", "surrogatepass")) for x in lines] for lines in loose],
+                [batch.column(0), batch.column(1), pa.array(need, pa.bool_()),
+                 pa.array([_hashes(lines) for lines in mine], pa.list_(pa.int64())),
+                 pa.array([[len(x.encode("utf-8", "surrogatepass")) for x in lines] for lines in mine],
                           pa.list_(pa.int32())), batch.column(3), batch.column(4)],
                 ["host", "path", "need", "lines", "sizes", "key", "key2"])
 
@@ -380,6 +400,8 @@ def template_lines(pages: DataFrame) -> DataFrame:
     light = materialise(map_arrow(rows, run, _LIGHT), "page-lines")
     if light.where("need").isEmpty():
         return light.select(*_KEYS, F.array().cast("array<int>").alias("gone")).limit(0)
+    if marked:
+        light = light.where("need")
     placed = _numbered(light.groupBy(*order).agg(F.first("need").alias("need"), F.first("lines").alias("lines"),
                                                  F.first("sizes").alias("sizes")))
     runs = _runs(placed)
@@ -406,7 +428,8 @@ def template_lines(pages: DataFrame) -> DataFrame:
 
     best = map_arrow(met, align, "key long, key2 long, score int, side int, gone array<int>")
     best = best.groupBy(*_KEYS).agg(F.max_by("gone", F.struct("score", "side")).alias("gone"))
-    return materialise(best.where(F.size("gone") > 0), "page-gone")
+    best = best.where(F.size("gone") > 0)
+    return materialise(_furniture(best, placed) if marked else best, "page-gone")
 
 
 _FOUND = pa.schema([("key", pa.int64()), ("key2", pa.int64()), ("score", pa.int32()), ("side", pa.int32()),
@@ -419,21 +442,28 @@ def extract(pages: DataFrame) -> DataFrame:
     What markup names as menu, header, footer, sidebar, notice, advert, form, comment, script or style goes. Of a page
     with text in ``article`` or ``main`` elements, that text is the result, with any other block longer than all of it.
     Blocks outside such elements are deleted if a longest common subsequence aligns them with the page of the host
-    with the nearest URL path that is no copy. Blocks inside a marked article are never deleted for being shared:
-    copied articles and quoted passages are common.
+    with the nearest URL path that is no copy. Blocks inside marked articles are aligned in the same way among
+    themselves, but copied articles and quoted passages are common: of the blocks that differencing finds, only those
+    on half of the host's pages with marked text go (4 pages at least), and never all of a page's marked text.
 
     Returns page_id, url, text, n_chars (code points), one row per input row, repeated rows included. Other columns
     are not read. A page alone with its copies on its host keeps all its blocks.
     """
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url"), F.col("html"), *_keys())
-    rows = rows.join(if_small(template_lines(pages)), list(_KEYS), "left").select("page_id", "url", "html", "gone")
+    for name, marked in (("gone", False), ("gone_marked", True)):
+        rows = rows.join(if_small(template_lines(pages, marked).withColumnRenamed("gone", name)), list(_KEYS), "left")
+    rows = rows.select("page_id", "url", "html", "gone", "gone_marked")
 
     def run(batches):
         for batch in batches:
             texts = []
-            for page, skip in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
-                out = set(skip or ())
-                texts.append("\n".join(x for x, k in chosen(blocks_of(page))[0] if k not in out))
+            for page, skip, skip_marked in zip(*(batch.column(k).to_pylist() for k in (2, 3, 4)), strict=True):
+                out, kept = set(skip or ()), chosen(blocks_of(page))[0]
+                within = [i for i, (_, k) in enumerate(kept) if k < 0]
+                drop = {within[i] for i in skip_marked or ()}
+                if len(drop) == len(within):
+                    drop = set()
+                texts.append("\n".join(x for i, (x, k) in enumerate(kept) if k not in out and i not in drop))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array(texts, pa.string()),
                  pa.array([len(t) for t in texts], pa.int64())], ["page_id", "url", "text", "n_chars"])

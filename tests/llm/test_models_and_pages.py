@@ -278,6 +278,21 @@ def test_differencing_skips_copies(spark, partitions):
     assert sorted(got) == sorted(want)
 
 
+def test_differencing_of_marked_articles(spark):
+    page = "<article><h1>Title {0}</h1><p>{0} is the text of this page, long enough to be no copy</p>{1}<p>Get our daily letter</p></article>"
+    quote = "<p>A passage that two articles quote</p>"
+    rows = [(k, f"http://a.org/{k}", page.format(f"word{k}", quote if k in (2, 3) else "")) for k in range(6)]
+    rows += [(6, "http://a.org/6", "<article><p>Get our daily letter</p></article>"), (7, "http://a.org/7", None)]
+    rows += [(10 + k, f"http://b.org/{k}", page.format(f"word{k}", "")) for k in range(3)]  # too few pages to tell
+    rows += rows[:2]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    want = []
+    for k, _, html in rows:
+        lines = [x for x, _ in html_extraction.blocks_of(html)]
+        want.append((k, "\n".join(lines[:-1] if k < 6 else lines)))
+    assert sorted((r["page_id"], r["text"]) for r in html_extraction.extract(pages).collect()) == sorted(want)
+
+
 def test_toxicity_counts_all_labelled_rows(spark):
     words = ["qzjx", "vkwy"]
     rows = [(k, f"plain words number {k} " + (words[k % 2] if k % 4 < 2 else "")) for k in range(0, 400)]
