@@ -381,3 +381,27 @@ def test_evaluate_learners_entry_point(spark):
     rows = {r.algorithm: r for r in evaluate_learners(P.phenotype_labels(c), vectors, width).collect()}
     assert set(rows) == {"kMeans", "GMM", "StreamingKmeans"}
     assert all(r.n == 150 and 0 < r.purity <= 1 and 0 < r.inverse_purity <= 1 for r in rows.values())
+
+
+def test_steps_sum_in_tasks_also_over_empty_partitions(spark):
+    points = spark.createDataFrame([(str(i), [float(i), 1.0]) for i in range(5)], "patient_id string, x array<double>").repartition(9)
+    assert G.summed(points, lambda x, _: x.sum(axis=0)).tolist() == [10.0, 5.0]
+    assert G.summed(points.limit(0), lambda x, _: x.sum(axis=0)).tolist() == []
+    assert G.lloyd_step(points.limit(0), [[1.0, 2.0]]) == [[1.0, 2.0]]
+    assert G.lloyd_step(points, [[0.0, 1.0], [4.0, 1.0], [9.0, 9.0]]) == [[1.0, 1.0], [3.5, 1.0], [9.0, 9.0]]
+    some = points.unionByName(spark.createDataFrame([("n", [None, 5.0])], points.schema))
+    assert G.lloyd_step(some, [[0.0, 1.0], [4.0, 1.0]]) == [[1.0, 2.0], [3.5, 1.0]]
+
+
+def test_vectors_of_dealt_tuples_need_no_other_shuffle(spark):
+    from medcohort.sources.clinical import load_clinical_view
+    tagged = FE.feature_tuples_tagged(load_clinical_view(spark, "/root/testdata/sf0.001"), by_patient=True)
+    old = spark.conf.get("spark.sql.adaptive.enabled")
+    try:
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        plan = tagged.groupBy("patient_id").count()._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", old)
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert plan.count("Exchange hashpartitioning") == 3  # two join sides, the events by patient
