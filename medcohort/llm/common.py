@@ -150,6 +150,15 @@ def rolling(values: np.ndarray, width: int, family: int = 0) -> np.ndarray:
     return mix((total[width:] - total[:-width]) * down[: n - width + 1])
 
 
+def spans(values: np.ndarray, begin: np.ndarray, end: np.ndarray, family: int = 0) -> np.ndarray:
+    """Hash of the values, and their number, of every span ``begin:end``."""
+    n = len(values)
+    up, down = _WORDS[family].to(n + 1)
+    total = np.zeros(n + 1, np.uint64)
+    np.cumsum(values * up[:n], out=total[1:])
+    return mix((total[end] - total[begin]) * down[begin] + (end - begin).astype(np.uint64))
+
+
 def sliding(values: np.ndarray, width: int, best=np.minimum) -> np.ndarray:
     """Minimum (or maximum) of every run of ``width`` values, by doubling."""
     have = 1

@@ -1,4 +1,4 @@
-"""Substring deduplication: a count-min prefilter of window anchors, then exact grouping of likely repeats."""
+"""Substring deduplication: a count-min prefilter of window anchors, then grouping of likely repeats, runs before windows."""
 
 from __future__ import annotations
 
@@ -10,8 +10,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from medcohort.llm.common import (SPACES, fresh, if_small, map_arrow, materialise, read_table, rolling, ship_code,
-                                  sliding, steps, word_hashes, words)
+from medcohort.llm.common import (SPACES, fresh, if_small, join_hot, map_arrow, materialise, read_table, rolling,
+                                  ship_code, sliding, spans, steps, word_hashes, words)
 
 #: Words of a window, and of the anchors that stand for it in the sketch.
 WINDOW, GRAM = 35, 8
@@ -23,12 +23,12 @@ BITMAP_CELLS, HOT_CELLS = 1 << 26, 1 << 23
 _SPAN = WINDOW - GRAM + 1
 #: Window rows of a partition that are held to find repeats within it.
 HELD_WINDOWS = 4_000_000
-#: Bytes of the tables of places (anchors, window starts) up to which they are broadcast.
+#: Bytes of the tables of places (anchors, spans) up to which they are broadcast.
 PLACES_BYTES = 96 << 20
 
 
 def _windows(texts: list[str | None], second: bool = False):
-    """(first word of each text, anchor of each window, window hashes, which starts are windows, 8-word hashes).
+    """(first word of each text, anchor of each window, window hashes, which starts are windows, 8-word hashes, words).
 
     A window's anchor is the least hash of its runs of eight words: equal windows have equal anchors, and
     neighbouring windows mostly share theirs.
@@ -38,12 +38,12 @@ def _windows(texts: list[str | None], second: bool = False):
     grams = rolling(each, GRAM)
     if len(grams) < _SPAN:
         none = np.zeros(0, np.uint64)
-        return first, none, (none, none), np.zeros(0, bool), none
+        return first, none, (none, none), np.zeros(0, bool), none, each
     anchor = sliding(grams, _SPAN)
     text = np.searchsorted(first, np.arange(len(anchor)), "right") - 1
     inside = np.arange(len(anchor)) + WINDOW <= first[text + 1]
-    pair = (rolling(each, WINDOW), rolling(each, WINDOW, 1)) if second else (None, None)
-    return first, anchor, pair, inside, grams
+    pair = (rolling(each, WINDOW), rolling(each, WINDOW, 1) if second else None)
+    return first, anchor, pair, inside, grams, each
 
 
 def _anchor_rows(batches):
@@ -51,7 +51,7 @@ def _anchor_rows(batches):
     for batch in batches:
         text = batch.column(2)
         for a, b in steps(text):
-            first, anchor, _, inside, grams = _windows(text.slice(a, b - a).to_pylist())
+            first, anchor, _, inside, grams, _ = _windows(text.slice(a, b - a).to_pylist())
             pad = np.zeros(_SPAN - 1, np.uint64)
             around = np.concatenate([pad, np.where(inside, anchor, np.uint64(0)), pad])
             top = sliding(around, _SPAN, np.maximum) if len(anchor) else grams
@@ -87,8 +87,46 @@ def _bitmaps(hot: DataFrame, cells: int) -> np.ndarray:
     return bits
 
 
+def _asked(first: np.ndarray, anchor: np.ndarray, inside: np.ndarray, hot: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The windows whose anchor is in their text's list, and the number of the text."""
+    likely = inside.copy()
+    for k, (lo, hi) in enumerate(zip(first[:-1], first[1:], strict=True)):
+        own = np.asarray(hot[k].values.to_numpy() if hot[k].is_valid else [], np.int64).view(np.uint64)
+        likely[lo:hi] &= np.isin(anchor[lo:hi], own)
+    at = np.flatnonzero(likely)
+    return at, np.searchsorted(first, at, "right") - 1
+
+
+def _run_rows(batches):
+    """Runs of neighbouring windows of one likely repeated anchor: two hashes of all their words, and their place.
+
+    ``n`` is the number of windows; ``twice`` says that a window may be met again within its run.
+    """
+    for batch in batches:
+        ids, hashes, text, hot = (batch.column(k) for k in range(4))
+        for a, b in steps(text):
+            first, anchor, (one, _), inside, _, each = _windows(text.slice(a, b - a).to_pylist())
+            at, row = _asked(first, anchor, inside, hot.slice(a, b - a))
+            if not len(at):
+                continue
+            new = np.concatenate([[True], (np.diff(at) != 1) | (np.diff(row) != 0) | (anchor[at[1:]] != anchor[at[:-1]])])
+            begin = np.flatnonzero(new)
+            n = np.diff(np.append(begin, len(at)))
+            run, lo, row = np.cumsum(new) - 1, at[begin], row[begin]
+            order = np.lexsort((one[at], run))
+            again = (np.diff(run[order]) == 0) & (np.diff(one[at][order]) == 0)
+            twice = np.zeros(len(lo), bool)
+            twice[run[order][1:][again]] = True
+            sums = [spans(each, lo, lo + n + WINDOW - 1, family).view(np.int64) for family in (0, 1)]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(anchor[lo].view(np.int64)), *map(pa.array, sums), ids.slice(a, b - a).take(pa.array(row)),
+                 hashes.slice(a, b - a).take(pa.array(row)), pa.array((lo - first[row]).astype(np.int32)),
+                 pa.array(n.astype(np.int32)), pa.array(twice)],
+                ["a", "s1", "s2", "doc_id", "text_hash", "start", "n", "twice"])
+
+
 def _candidate_rows(batches):
-    """Windows whose anchor the sketch deems repeated, grouped exactly as far as one partition goes.
+    """Windows whose anchor has runs that differ, grouped exactly as far as one partition goes.
 
     A window met twice here is known to be repeated: its places go on as such, and one row without a place tells
     the other partitions. So a window of any frequency is one row for each partition in the shuffle.
@@ -113,15 +151,9 @@ def _candidate_rows(batches):
     for batch in batches:
         ids, hashes, text, hot = (batch.column(k) for k in range(4))
         for a, b in steps(text):
-            first, anchor, (one, two), inside, _ = _windows(text.slice(a, b - a).to_pylist(), second=True)
-            likely = inside.copy()
-            lists = hot.slice(a, b - a)
-            for k, (lo, hi) in enumerate(zip(first[:-1], first[1:], strict=True)):
-                own = np.asarray(lists[k].values.to_numpy() if lists[k].is_valid else [], np.int64).view(np.uint64)
-                likely[lo:hi] &= np.isin(anchor[lo:hi], own)
-            at = np.flatnonzero(likely)
+            first, anchor, (one, two), inside, _, _ = _windows(text.slice(a, b - a).to_pylist(), second=True)
+            at, row = _asked(first, anchor, inside, hot.slice(a, b - a))
             if len(at):
-                row = np.searchsorted(first, at, "right") - 1
                 held.append((one[at].view(np.int64), two[at].view(np.int64),
                              ids.slice(a, b - a).to_numpy(zero_copy_only=False)[row].astype(np.int64),
                              hashes.slice(a, b - a).to_numpy()[row], (at - first[row]).astype(np.int64)))
@@ -160,19 +192,37 @@ def _repeated_rows(batches):
 _NOT_SPACE = re.compile(r"[^\x20\x09-\x0D]+")
 
 
-def _cut(text: str | None, starts: np.ndarray) -> tuple[int, int, str]:
-    """Words, removed words and what is left of one text."""
+def _span_rows(batches):
+    """Runs (start and number of windows in one number) of a text as the words they cover: begin, end, begin, end, ..."""
+    for batch in batches:
+        out = []
+        for runs in batch.column(2):
+            run = np.sort(runs.values.to_numpy())
+            begin = run >> 32
+            end = np.maximum.accumulate(begin + (run & 0xFFFFFFFF) + WINDOW - 1)
+            new = np.flatnonzero(np.concatenate([[True], begin[1:] > end[:-1]]))
+            out.append(np.stack([begin[new], end[np.append(new[1:], len(end)) - 1]], 1).ravel())
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(out, pa.list_(pa.int32()))],
+                                         ["doc_id", "text_hash", "spans"])
+
+
+def _cut(text: str | None, covered: np.ndarray) -> tuple[int, int, str]:
+    """Words, removed words and what is left of one text without the words of some spans."""
     found = _NOT_SPACE.findall(text or "")
-    if not len(starts):
+    if not len(covered):
         return len(found), 0, " ".join(found)
-    change = np.bincount(starts, minlength=len(found) + 1)[: len(found) + 1]
-    change = change - np.bincount(starts + WINDOW, minlength=len(found) + 1)[: len(found) + 1]
-    gone = np.cumsum(change)[: len(found)] > 0
-    return len(found), int(gone.sum()), " ".join(w for w, g in zip(found, gone.tolist(), strict=True) if not g)
+    gone = int((covered[1::2] - covered[::2]).sum())
+    edges = [0, *covered.tolist(), len(found)]
+    return len(found), gone, " ".join(w for a, b in zip(edges[::2], edges[1::2], strict=True) for w in found[a:b])
+
 
+def repeated_spans(docs: DataFrame, bitmap_cells: int = BITMAP_CELLS) -> DataFrame:
+    """(doc_id, text_hash, spans): the words of each document that repeated windows cover.
 
-def repeated_windows(docs: DataFrame, bitmap_cells: int = BITMAP_CELLS) -> DataFrame:
-    """(doc_id, text_hash, starts): where the repeated windows of each document start."""
+    Equal windows have equal anchors. So if all runs of an anchor have the same words, and none meets a window twice,
+    all their windows are repeated or, for a single run, none is. Only the windows of other anchors are grouped one
+    by one.
+    """
     ship_code(docs.sparkSession)
     rows = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(-1)).alias("doc_id"),
                        F.xxhash64("text").alias("text_hash"), F.col("text")).where("text is not null")
@@ -199,31 +249,46 @@ def repeated_windows(docs: DataFrame, bitmap_cells: int = BITMAP_CELLS) -> DataF
             each = each.withColumn("cell", cell(F.col("a"), r, cells)).join(hot, "cell", "left_semi").drop("cell")
     likely = each.groupBy("doc_id", "text_hash").agg(F.collect_set("a").alias("hot"))
     likely = if_small(materialise(likely, "sub-likely"), PLACES_BYTES)
-    found = rows.join(likely, ["doc_id", "text_hash"]).select("doc_id", "text_hash", "text", "hot")
-    windows = map_arrow(found, _candidate_rows,
+    found = materialise(rows.join(likely, ["doc_id", "text_hash"]).select("doc_id", "text_hash", "text", "hot"), "sub-found")
+    runs = materialise(map_arrow(found, _run_rows, "a long, s1 long, s2 long, doc_id long, text_hash long, start int, "
+                                                   "n int, twice boolean"), "sub-runs")
+    kinds = runs.groupBy("a", "s1", "s2").agg(F.count("*").alias("size"), F.max("twice").alias("twice"))
+    kinds = kinds.groupBy("a").agg(F.sum("size").alias("size"), (F.max("twice") | (F.count("*") > 1)).alias("open"))
+    kinds = materialise(kinds.where("size > 1 or open"), "sub-kinds")
+    run = F.shiftleft(F.col("start").cast("long"), 32) + F.col("n")
+    placed = join_hot(runs.select("a", "doc_id", "text_hash", run.alias("run")), kinds, "a", "size", runs.count())
+    placed = materialise(placed.groupBy("doc_id", "text_hash").agg(
+        F.collect_set(F.when(F.col("open"), F.col("a"))).alias("hot"),
+        F.collect_set(F.when(~F.col("open"), F.col("run"))).alias("runs")), "sub-placed")
+    unsettled = if_small(materialise(placed.where("size(hot) > 0").select("doc_id", "text_hash", "hot"), "sub-open"),
+                         PLACES_BYTES)
+    windows = map_arrow(found.drop("hot").join(unsettled, ["doc_id", "text_hash"]).select(*found.columns), _candidate_rows,
                         "h1 long, h2 long, doc_id long, text_hash long, start long, state byte")
     dealt = windows.repartition("h1", "h2").sortWithinPartitions("h1", "h2")
     again = map_arrow(dealt, _repeated_rows, "doc_id long, text_hash long, start long")
-    return materialise(again.groupBy("doc_id", "text_hash").agg(
-        F.collect_set(F.col("start").cast("int")).alias("starts")), "sub-starts")
+    again = again.groupBy("doc_id", "text_hash").agg(
+        F.collect_set(F.shiftleft(F.col("start"), 32) + 1).alias("runs"))
+    every = again.unionByName(placed.where("size(runs) > 0").select("doc_id", "text_hash", "runs"))
+    every = every.groupBy("doc_id", "text_hash").agg(F.flatten(F.collect_list("runs")).alias("runs"))
+    return materialise(map_arrow(every, _span_rows, "doc_id long, text_hash long, spans array<int>"), "sub-spans")
 
 
 def remove_repeats(docs: DataFrame, bitmap_cells: int = BITMAP_CELLS) -> DataFrame:
     """Remove every word covered by a window of 35 words whose word sequence also starts anywhere else.
 
     Words are runs of other characters than ASCII white space, unchanged. The sketch counts anchors, and a window
-    that repeats has an anchor in two places, so counts are never too low and none is lost; the windows it lets
-    through are grouped by two 64-bit hashes of their words. Windows are judged on the input.
+    that repeats has an anchor in two places, so counts are never too low and none is lost; what it lets through is
+    grouped by two 64-bit hashes of its words. Windows are judged on the input.
 
     Returns all columns of ``docs``, ``text`` as its kept words joined by single blanks (null stays null), and
     ``n_words`` and ``n_removed``, prefixed by underscores where ``docs`` has such names. Rows that agree in
     doc_id and text are two occurrences and get the same result.
     """
-    starts = repeated_windows(docs, bitmap_cells).withColumnsRenamed({"doc_id": "_d", "text_hash": "_t", "starts": "_s"})
-    starts = if_small(starts, PLACES_BYTES)
+    covered = repeated_spans(docs, bitmap_cells).withColumnsRenamed({"doc_id": "_d", "text_hash": "_t", "spans": "_s"})
+    covered = if_small(covered, PLACES_BYTES)
     n_words, n_removed, hidden = fresh(docs, "n_words", "n_removed", "_hash")
     marked = docs.withColumn(hidden, F.xxhash64("text"))
-    joined = marked.join(starts, (F.coalesce(F.col("doc_id").cast("long"), F.lit(-1)) == F.col("_d"))
+    joined = marked.join(covered, (F.coalesce(F.col("doc_id").cast("long"), F.lit(-1)) == F.col("_d"))
                          & (F.col(hidden) == F.col("_t")), "left").select(*docs.columns, "_s")
     place, schema = docs.columns.index("text"), docs.schema
 

@@ -123,6 +123,19 @@ def test_substring_dedup(spark, bitmap_cells):
     assert got[0].asDict().keys() >= {"n_words", "Key", "n_lines"}
 
 
+def test_substring_dedup_groups_runs_before_windows(spark, monkeypatch):
+    stored, store = {}, substring_dedup.materialise
+    monkeypatch.setattr(substring_dedup, "materialise", lambda df, tag: stored.setdefault(tag, store(df, tag)))
+    copied = " ".join(f"c{k}" for k in range(400))
+    docs = frame(spark, [copied] * 5 + [" ".join(f"u{k}" for k in range(200)), "round and " * 60])
+    got = {r["doc_id"]: r["n_removed"] for r in substring_dedup.remove_repeats(docs).collect()}
+    assert got == {0: 400, 1: 400, 2: 400, 3: 400, 4: 400, 5: 0, 6: 120}
+    assert "sub-starts" not in stored  # a number for each repeated window: 366 of each copy
+    assert sorted(r["spans"] for r in stored["sub-spans"].collect()) == [[0, 120]] + [[0, 400]] * 5
+    # windows go one by one only where an anchor's runs differ, or a run may meet a window twice
+    assert [r["doc_id"] for r in stored["sub-open"].collect()] == [6]
+
+
 @pytest.mark.parametrize("block", [512, 3])
 def test_jaccard_join(spark, monkeypatch, block):
     from medcohort.llm import blocks
