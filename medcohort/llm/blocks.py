@@ -16,7 +16,7 @@ BLOCK = 512
 
 
 def in_blocks(rows: DataFrame, group: str, payload: DataFrame) -> DataFrame:
-    """Rows of groups as a stream sorted by ``key``, one key for each pair of blocks of each group of two or more.
+    """Rows of groups as a stream sorted by ``key`` and ``node``, one key for each pair of blocks of each group of two or more.
 
     ``rows`` is a stored narrow table (``group``, node), ``payload`` has one row a node. A group of up to ``BLOCK`` rows
     is one block. A larger one is dealt by node over blocks, and each row goes to every pair of blocks that has its
@@ -31,7 +31,7 @@ def in_blocks(rows: DataFrame, group: str, payload: DataFrame) -> DataFrame:
     dealt = dealt.withColumn("key", F.xxhash64(group, F.least("own", "other"), F.greatest("own", "other")))
     dealt = dealt.withColumn("whole", F.col("own") == F.col("other")).withColumn("side", F.col("own") <= F.col("other"))
     dealt = dealt.drop("size", "blocks", "own", "other").join(payload, "node")
-    return dealt.repartition("key").sortWithinPartitions("key")
+    return dealt.repartition("key").sortWithinPartitions("key", "node")
 
 
 def groups(batches: Iterator[pa.RecordBatch], key: str = "key") -> Iterator[pa.Table]:

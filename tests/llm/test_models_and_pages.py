@@ -3,6 +3,7 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from medcohort.llm import components, embedding_dedup, html_extraction, toxicity
@@ -102,6 +103,33 @@ def test_components(spark):
     assert components.components(spark.createDataFrame([], "a long, b long")).count() == 0
 
 
+def test_components_of_many_small_tasks(spark, monkeypatch):
+    rng = random.Random(3)
+    name = {k: rng.randbytes(4) for k in range(400)}
+    links = [(k, k + 1) for k in range(99)] + [(100, k) for k in range(101, 200)] + [(299, k) for k in range(200, 299)]
+    links += [(rng.randrange(300, 400), rng.randrange(300, 400)) for _ in range(70)]
+    plans, store = [], components.materialise
+    monkeypatch.setattr(components, "materialise", lambda df, tag: plans.append(
+        df._jdf.queryExecution().executedPlan().toString().count("Exchange")) or store(df, tag))
+    edges = spark.createDataFrame([(name[a], name[b]) for a, b in links], "a binary, b binary").repartition(16)
+    got = {bytes(r["node"]): bytes(r["component"]) for r in components.components(edges).collect()}
+    least = {name[k]: name[k] for pair in links if pair[0] != pair[1] for k in pair}
+    for _ in range(400):
+        for a, b in links:
+            if a != b:
+                least[name[a]] = least[name[b]] = min(least[name[a]], least[name[b]])
+    assert got == least
+    assert sum(plans) <= 40  # the plans of stars of salted neighbours named 219
+
+
+@pytest.mark.parametrize("held", [1 << 20, 3])
+def test_a_task_keeps_one_edge_of_a_node(monkeypatch, held):
+    monkeypatch.setattr(components, "HELD_EDGES", held)
+    batches = [pa.RecordBatch.from_pydict({"a": [9] * 50, "b": list(range(k, k + 5)) * 10}) for k in range(4)]
+    got = [row for b in components._star_rows(iter(batches)) for row in zip(*b.to_pydict().values())]
+    assert sorted(got) == [(k, 0) for k in (1, 2, 3, 4, 5, 6, 7, 9)]
+
+
 def subsequence(a, b):
     table = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]
     for i, x in enumerate(a):
