@@ -14,7 +14,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from medcohort.llm.common import STEP_BYTES, fresh, map_arrow, materialise, read_table, ship_code, steps
+from medcohort.llm.common import fresh, map_arrow, materialise, read_table, ship_code, steps
 
 MAX_TOKENS = 4096
 END_ID = 1
@@ -23,8 +23,8 @@ GROUP_PIECES = 50_000
 #: Copies of an equal row that are numbered at once.
 COPIES_AT_ONCE = 1000
 #: Word parts that a Python worker remembers in each of two generations: once the new one is full it becomes the old
-#: one, and parts met again move to the new one (a bound on memory, about 70 MB, not on the input).
-CACHE_PARTS = 200_000
+#: one, and parts met again move to the new one (a bound on memory, about 20 MB, not on the input).
+CACHE_PARTS = 60_000
 PIECE_SCHEMA = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
@@ -106,25 +106,29 @@ def _tokenizer(path: str) -> ChunkTokenizer:
     return _TOKENIZERS[path]
 
 
+def _piece_rows(batches, tokenizer_path: str, max_tokens: int, end_id: int) -> Iterator[pa.RecordBatch]:
+    encoder = _tokenizer(tokenizer_path)
+    for batch in batches:
+        ids, text = batch.column(0).to_pylist(), batch.column(1)
+        for a, b in steps(text):
+            rows = []
+            for doc, tokens in zip(ids[a:b], encoder.encode(text.slice(a, b - a)), strict=True):
+                data = np.append(tokens, np.uint32(end_id)).astype("<u4")
+                for k, start in enumerate(range(0, len(data), max_tokens)):
+                    part = data[start: start + max_tokens]
+                    rows.append((doc, k, start, len(part), zlib.crc32(part.tobytes())))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(c, t) for c, t in zip(zip(*rows, strict=True),
+                                                (pa.int64(), pa.int32(), *[pa.int64()] * 3), strict=True)],
+                ["doc_id", "piece", "start", "length", "ids_crc32"])
+
+
 def tokenised_pieces(docs: DataFrame, tokenizer_path: str, max_tokens: int = MAX_TOKENS,
                      end_id: int = END_ID) -> DataFrame:
     """One row per piece of at most ``max_tokens`` ids, the document's end id included (null text: empty)."""
 
     def run(batches):
-        encoder = _tokenizer(tokenizer_path)
-        for batch in batches:
-            ids, text = batch.column(0).to_pylist(), batch.column(1)
-            rows = []
-            for a, b in steps(text, 4 * STEP_BYTES):
-                for doc, tokens in zip(ids[a:b], encoder.encode(text.slice(a, b - a)), strict=True):
-                    data = np.append(tokens, np.uint32(end_id)).astype("<u4")
-                    for k, start in enumerate(range(0, len(data), max_tokens)):
-                        part = data[start: start + max_tokens]
-                        rows.append((doc, k, start, len(part), zlib.crc32(part.tobytes())))
-            columns = list(zip(*rows, strict=True)) or [()] * 5
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.int32(), *[pa.int64()] * 3), strict=True)],
-                ["doc_id", "piece", "start", "length", "ids_crc32"])
+        yield from _piece_rows(batches, tokenizer_path, max_tokens, end_id)
 
     return map_arrow(docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")), run, PIECE_SCHEMA)
 

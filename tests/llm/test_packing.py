@@ -97,3 +97,14 @@ def test_documents_with_null_and_repeated_ids(spark):
     size = [len(whole.encode(t or "", add_special_tokens=False).ids) + 1 for _, t in rows]
     assert sum(r["length"] for r in got) == sum(size) and len(got) == sum(-(-n // 4096) for n in size)
     assert sum(r["doc_id"] is None for r in got) == 3 + -(-size[-1] // 4096)
+
+
+def test_a_task_works_in_small_steps_and_forgets_word_parts():
+    rng = random.Random(8)
+    seen = [" ".join("".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=9)) for _ in range(250)) for _ in range(2000)]
+    batch = pa.RecordBatch.from_pydict({"doc_id": list(range(2000)), "text": seen})
+    out = list(packing._piece_rows(iter([batch]), PATH, 4096, 1))
+    assert [k for b in out for k, piece in zip(b["doc_id"].to_pylist(), b["piece"].to_pylist()) if not piece] == list(range(2000))
+    assert len(out) >= 4  # five MB of text
+    encoder = packing._tokenizer(PATH)
+    assert len(encoder.parts) + len(encoder.older) <= 2 * (60_000 + (1 << 20) // 10)
