@@ -14,7 +14,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from medcohort.llm.common import fresh, map_arrow, materialise, read_table, ship_code, steps
+from medcohort.llm.common import STEP_BYTES, fresh, map_arrow, materialise, read_table, ship_code, steps
 
 MAX_TOKENS = 4096
 END_ID = 1
@@ -25,6 +25,18 @@ COPIES_AT_ONCE = 1000
 #: Word parts that a Python worker remembers in each of two generations: once the new one is full it becomes the old
 #: one, and parts met again move to the new one (a bound on memory, about 20 MB, not on the input).
 CACHE_PARTS = 60_000
+#: Chunks that a Python worker remembers between steps, those met last, and the most bytes of one (a bound on memory, about
+#: 5 MB, not on the input).
+KNOWN_CHUNKS = 100_000
+KNOWN_BYTES = 32
+#: Bytes of text whose distinct chunks are looked up at once; the ids are then written out by ``STEP_BYTES``.
+CODED_BYTES = 4 * STEP_BYTES
+#: New words that are given to the tokenizer in one call.
+WORDS_AT_ONCE = 10_000
+#: Letters below U+0250 only, without U+0130, whose small form is two characters.
+LETTERS = "^[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u024f]+$"
+#: Marks that are a part of their own between an ASCII letter and white space.
+MARKS = np.isin(np.arange(256), list(b".,;:!?"))
 PIECE_SCHEMA = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
@@ -34,19 +46,50 @@ def _visible_bytes() -> dict[int, int]:
     return {b: 256 + k for k, b in enumerate(hidden)}
 
 
+def _places(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The numbers ``start .. start + size - 1`` of all spans, one after the other."""
+    ends = np.cumsum(sizes, dtype=np.int64)
+    places = np.repeat(starts - (ends - sizes), sizes)
+    places += np.arange(len(places), dtype=np.int64)
+    return places
+
+
+def _apart(texts: pa.Array) -> pa.Array:
+    """Texts of the same ids with fewer different chunks: a blank before a mark that ends a word, and A-Z in lower case.
+
+    A letter stays if no ASCII byte follows (the normaliser composes before it lower-cases), and so do all letters if
+    the texts may have a special token, which is met in the case given.
+    """
+    offsets = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset: texts.offset + len(texts) + 1]
+    if offsets[0] == offsets[-1]:
+        return texts
+    raw = np.frombuffer(texts.buffers()[2], np.uint8)[offsets[0]: offsets[-1]].copy()
+    offsets = offsets - offsets[0]
+    gaps = np.flatnonzero((raw == 32) | (raw - np.uint8(9) < 5))
+    gaps = gaps[gaps > 1]
+    ends = gaps[MARKS[raw[gaps - 1]] & ((raw[gaps - 2] | 32) - np.uint8(97) < 26)] - 1
+    if not np.any((raw[:-1] == ord("<")) & (raw[1:] == ord("|"))):
+        upper = np.flatnonzero(raw[:-1] - np.uint8(65) < 26)
+        raw[upper[raw[upper + 1] < 128]] += 32
+    raw = np.insert(raw, ends, 32)
+    offsets = offsets + np.searchsorted(ends, offsets)
+    return pa.Array.from_buffers(texts.type, len(texts), [None, pa.py_buffer(offsets), pa.py_buffer(raw)])
+
+
 class ChunkTokenizer:
     """Token ids of texts, chunk by chunk.
 
     Texts are cut at blanks, tabs and line ends, which the tokenizer drops and across which it joins nothing, so
     the ids of a text are those of its chunks in order. Chunks of printable Latin letters, which the tokenizer's
     normaliser only lower-cases, are cut by the tokenizer's own pattern and only unseen parts go to its model; all
-    others go to the whole tokenizer.
+    others go to the whole tokenizer. Each step hands its new chunks of letters to the tokenizer's model together. Short
+    chunks are remembered with their ids in Arrow and numpy arrays, so only those not met lately are encoded.
     """
 
     def __init__(self, path: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         import regex
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, normalizers, pre_tokenizers
 
         self.whole = Tokenizer.from_file(path)
         self.model = self.whole.model
@@ -55,6 +98,20 @@ class ChunkTokenizer:
         self.visible = _visible_bytes()
         self.parts: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
+        # for words of small ASCII letters, and of other letters, with blanks between them
+        self.plain, self.latin = Tokenizer(self.model), Tokenizer(self.model)
+        self.plain.pre_tokenizer = pre_tokenizers.CharDelimiterSplit(" ")
+        self.latin.normalizer = normalizers.Lowercase()
+        self.latin.pre_tokenizer = pre_tokenizers.Sequence([
+            pre_tokenizers.CharDelimiterSplit(" "), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
+        vocabulary = self.whole.get_vocab(with_added_tokens=False)
+        self.last = np.zeros(max(vocabulary.values()) + 1, bool)  # a word's last id, and no other, carries the suffix
+        self.last[[k for token, k in vocabulary.items() if token.endswith(self.model.end_of_word_suffix)]] = True
+        self.chunks = pa.array([], pa.large_string())
+        self.ids = np.zeros(0, np.uint32)  # of all remembered chunks, one after the other
+        self.sizes = np.zeros(0, np.int32)
+        self.met = np.zeros(0, np.int32)  # the last step that had the chunk
+        self.step = 0
 
     def part(self, part: str) -> bytes:
         ids = self.parts.get(part)
@@ -63,6 +120,8 @@ class ChunkTokenizer:
             if ids is None:
                 shown = part if part.isascii() else part.encode("utf-8").decode("latin-1").translate(self.visible)
                 ids = array("I", [t.id for t in self.model.tokenize(shown)]).tobytes()
+            if len(self.parts) >= CACHE_PARTS:
+                self.parts, self.older = {}, self.parts
             self.parts[part] = ids
         return ids
 
@@ -77,24 +136,62 @@ class ChunkTokenizer:
                 return b"".join(map(self.part, self.cut(low)))
         return array("I", self.whole.encode(chunk, add_special_tokens=False).ids).tobytes()
 
+    def new_ids(self, chunks: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids of chunks not met before: all ids, and where those of each chunk begin and how many they are."""
+        letters = pc.match_substring_regex(chunks, LETTERS)
+        rest = [self.chunk(c) for c in chunks.filter(pc.invert(letters)).to_pylist()]
+        kinds = [(self.plain, pc.ascii_lower(chunks), pc.and_(letters, pc.string_is_ascii(chunks))),
+                 (self.latin, chunks, pc.and_not(letters, pc.string_is_ascii(chunks)))]
+        ids, sizes = [np.frombuffer(b"".join(rest), np.uint32)], np.zeros(len(chunks), np.int32)
+        starts = np.zeros(len(chunks), np.int64)
+        where = np.flatnonzero(~letters.to_numpy(zero_copy_only=False))
+        sizes[where] = np.fromiter(map(len, rest), np.int32, len(rest)) // 4
+        starts[where] = np.cumsum(sizes[where]) - sizes[where]
+        done = len(ids[0])
+        for tokenizer, shown, mask in kinds:
+            where = np.flatnonzero(mask.to_numpy(zero_copy_only=False))
+            shown = shown.filter(mask)
+            for k in range(0, len(where), WORDS_AT_ONCE):
+                joined = " ".join(shown[k: k + WORDS_AT_ONCE].to_pylist())
+                part = np.array(tokenizer.encode_batch_fast([joined], add_special_tokens=False)[0].ids, np.uint32)
+                size = np.diff(np.flatnonzero(self.last[part]), prepend=-1)
+                sizes[where[k: k + WORDS_AT_ONCE]] = size
+                starts[where[k: k + WORDS_AT_ONCE]] = done + np.cumsum(size) - size
+                ids.append(part)
+                done += len(part)
+        return np.concatenate(ids), starts, sizes
+
+    def look_up(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Every word's chunk number; all ids, and where those of each chunk begin and how many they are."""
+        had = len(self.chunks)
+        coded = pa.concat_arrays([self.chunks, words]).dictionary_encode()  # remembered chunks keep their numbers
+        chunks, at = coded.dictionary, coded.indices.to_numpy()[had:]
+        ids, starts, sizes = self.new_ids(chunks[had:])
+        starts = np.concatenate([np.cumsum(self.sizes, dtype=np.int64) - self.sizes, starts + len(self.ids)])
+        ids, sizes = np.concatenate([self.ids, ids]), np.concatenate([self.sizes, sizes])
+
+        self.step += 1
+        met = np.concatenate([self.met, np.zeros(len(chunks) - had, np.int32)])
+        met[at] = self.step
+        met[pc.greater(pc.binary_length(chunks), KNOWN_BYTES).to_numpy(zero_copy_only=False)] = 0
+        keep = np.argsort(-met, kind="stable")[:KNOWN_CHUNKS]
+        keep = keep[met[keep] > 0]
+        self.chunks, self.met, self.sizes = chunks.take(pa.array(keep)), met[keep], sizes[keep]
+        self.ids = ids[_places(starts[keep], sizes[keep])]
+        return at, ids, starts, sizes
+
     def encode(self, texts: pa.Array) -> Iterator[np.ndarray]:
-        if len(self.parts) > CACHE_PARTS:
-            self.parts, self.older = {}, self.parts
-        split = pc.ascii_split_whitespace(texts.cast(pa.large_string()).fill_null(""))
-        coded = split.flatten().dictionary_encode()
-        known = [self.chunk(c) for c in coded.dictionary.to_pylist()]  # each distinct chunk once
-        flat = np.frombuffer(b"".join(known), np.uint32)
-        sizes = np.fromiter(map(len, known), np.int32, len(known)) // 4
-        at = coded.indices.to_numpy()
-        size = sizes[at]
-        ends = np.concatenate([np.zeros(1, np.int32), np.cumsum(size, dtype=np.int32)])  # a step is far below 2 ** 31
-        place = np.repeat((np.cumsum(sizes, dtype=np.int32) - sizes)[at] - ends[:-1], size)
-        place += np.arange(len(place), dtype=np.int32)
-        ids = flat[place]
+        split = pc.ascii_split_whitespace(_apart(texts.cast(pa.large_string()).fill_null("")))
+        at, ids, starts, sizes = self.look_up(split.flatten())
         stops = split.offsets.to_numpy()
-        stops = ends[stops - stops[0]]
-        for first, last in zip(stops[:-1], stops[1:], strict=True):
-            yield ids[first:last]
+        stops = stops - stops[0]
+        for a, b in steps(texts):
+            here = at[stops[a]: stops[b]]
+            ends = np.concatenate([np.zeros(1, np.int64), np.cumsum(sizes[here], dtype=np.int64)])
+            tokens = ids[_places(starts[here], sizes[here])]
+            cuts = ends[stops[a: b + 1] - stops[a]]
+            for first, last in zip(cuts[:-1], cuts[1:], strict=True):
+                yield tokens[first:last]
 
 
 _TOKENIZERS: dict[str, ChunkTokenizer] = {}
@@ -110,17 +207,20 @@ def _piece_rows(batches, tokenizer_path: str, max_tokens: int, end_id: int) -> I
     encoder = _tokenizer(tokenizer_path)
     for batch in batches:
         ids, text = batch.column(0).to_pylist(), batch.column(1)
-        for a, b in steps(text):
-            rows = []
-            for doc, tokens in zip(ids[a:b], encoder.encode(text.slice(a, b - a)), strict=True):
-                data = np.append(tokens, np.uint32(end_id)).astype("<u4")
-                for k, start in enumerate(range(0, len(data), max_tokens)):
-                    part = data[start: start + max_tokens]
-                    rows.append((doc, k, start, len(part), zlib.crc32(part.tobytes())))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(c, t) for c, t in zip(zip(*rows, strict=True),
-                                                (pa.int64(), pa.int32(), *[pa.int64()] * 3), strict=True)],
-                ["doc_id", "piece", "start", "length", "ids_crc32"])
+        for a, b in steps(text, CODED_BYTES):
+            part = text.slice(a, b - a)
+            coded = encoder.encode(part)
+            for c, d in steps(part):
+                rows = []
+                for doc, tokens in zip(ids[a + c: a + d], coded, strict=False):
+                    data = np.append(tokens, np.uint32(end_id)).astype("<u4")
+                    for k, start in enumerate(range(0, len(data), max_tokens)):
+                        piece = data[start: start + max_tokens]
+                        rows.append((doc, k, start, len(piece), zlib.crc32(piece.tobytes())))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(c, t) for c, t in zip(zip(*rows, strict=True),
+                                                    (pa.int64(), pa.int32(), *[pa.int64()] * 3), strict=True)],
+                    ["doc_id", "piece", "start", "length", "ids_crc32"])
 
 
 def tokenised_pieces(docs: DataFrame, tokenizer_path: str, max_tokens: int = MAX_TOKENS,

@@ -108,3 +108,31 @@ def test_a_task_works_in_small_steps_and_forgets_word_parts():
     assert len(out) >= 4  # five MB of text
     encoder = packing._tokenizer(PATH)
     assert len(encoder.parts) + len(encoder.older) <= 2 * (60_000 + (1 << 20) // 10)
+
+
+def test_chunks_of_letters_are_encoded_together_and_remembered(monkeypatch):
+    coder, whole, calls, batches = packing.ChunkTokenizer(PATH), Tokenizer.from_file(PATH), [], []
+    chunk = coder.chunk
+    monkeypatch.setattr(coder, "chunk", lambda c: calls.append(c) or chunk(c))
+    texts = pa.array(["Une école, the words. And words", None, "The Words and: ÉCOLE d'or 42"]).slice(0, 3)
+    want = [whole.encode(t or "", add_special_tokens=False).ids for t in texts.to_pylist()]
+    assert [ids.tolist() for ids in coder.encode(texts)] == want
+    assert set(calls) <= {",", ".", ":", "d'or", "42", ""}  # one call for each different chunk before
+    new_ids = coder.new_ids
+    monkeypatch.setattr(coder, "new_ids", lambda c: batches.append(c.to_pylist()) or new_ids(c))
+    assert [ids.tolist() for ids in coder.encode(texts.slice(1))] == want[1:] and batches == [[]]
+
+
+def test_forgotten_chunks_and_odd_letters_give_the_tokenizers_ids(monkeypatch):
+    monkeypatch.setattr(packing, "KNOWN_CHUNKS", 20)
+    monkeypatch.setattr(packing, "WORDS_AT_ONCE", 3)
+    rng, coder, whole = random.Random(9), packing.ChunkTokenizer(PATH), Tokenizer.from_file(PATH)
+    odd = ["<|ENDOFTEXT|>", "<|endoftext|>", "H\u0331", "h\u0331", "A.\u0301", "ΑΣ.", "aΣ", "aΣ. Σ", "İI.", "ıJ̌", "a.", "A", ".", "B..", "c;Ω", "x" * 40]
+    words = odd + ["".join(rng.choices("abcDEFéÉœŒ", k=rng.randrange(1, 5))) for _ in range(60)]
+    for with_special in (True, False):
+        for _ in range(40):
+            texts = [rng.choice(["", " "]).join(rng.choices(words[2 * (not with_special):], k=rng.randrange(9))) for _ in range(12)]
+            texts = pa.array([*texts, None, "\u0331", ". A"]).slice(rng.randrange(3))
+            for text, ids in zip(texts.to_pylist(), coder.encode(texts), strict=True):
+                assert ids.tolist() == whole.encode(text or "", add_special_tokens=False).ids, text
+            assert len(coder.chunks) <= 20 and len(coder.ids) == coder.sizes.sum()
